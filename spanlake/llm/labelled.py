@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import crc_fold
 
 #: A classifier is fitted on at most so many labelled documents, each of at most so many bytes.
-SAMPLE_DOCS, SAMPLE_DOC_BYTES = 8000, 1 << 15
+SAMPLE_DOCS, SAMPLE_DOC_BYTES = 8000, 1 << 14
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: int = SAMPLE_DOCS, doc_bytes: int = SAMPLE_DOC_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

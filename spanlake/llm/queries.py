@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, simhash
+from . import decontaminate, quality, simhash, toxicity
 from .common import table
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out fold, and its passages' number and words."""
+    found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    inside = F.aggregate("passages", F.lit(0).cast("long"), lambda a, p: a + p["end"] - p["start"])
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages"), inside.alias("passage_words"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -55,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_quality_classifier": op9_quality_classifier,
+        "op4_toxicity": op4_toxicity,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
     }
 
