@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, simhash, toxicity
+from . import decontaminate, licenses, quality, simhash, toxicity
 from .common import table
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base license phrases of every document, and the labels of the license templates that its blocks contain."""
+    return licenses.verdict(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels outside the held-out fold, and its passages' number and words."""
     found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -43,6 +48,26 @@ def _sql_words(text: str) -> str:
     return rf"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
+_TEMPLATES = ", ".join(f"({n}, '{label}', '{text}')" for n, (label, text) in enumerate(licenses.TEMPLATES))
+_PHRASES = ", ".join(f"({[*phrase.split()]}, '{label}')" for phrase, label in licenses.PHRASES.items())
+_HALF = licenses.BLOCK // 2
+
+OP3_SQL = f"""
+WITH t AS (SELECT label, list_distinct({_sql_words("text")}) AS t FROM (VALUES {_TEMPLATES}) AS v(n, label, text)),
+p AS (SELECT * FROM (VALUES {_PHRASES}) AS v(phrase, label)),
+d AS (SELECT doc_id, {_sql_words("text")} AS w, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+places AS (SELECT doc_id, i, label FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM d) x, p WHERE list_slice(w, i + 1, i + len(phrase)) = phrase),
+base AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
+lines AS (SELECT doc_id, {_sql_words("line")} AS w FROM (SELECT doc_id, unnest(lines) AS line FROM d)),
+blocks AS (SELECT doc_id, list_distinct(list_slice(w, s + 1, s + {licenses.BLOCK})) AS b FROM (SELECT doc_id, w, unnest(CASE WHEN len(w) <= {licenses.BLOCK} THEN [0] ELSE range(0, len(w) - {_HALF}, {_HALF}) END) AS s FROM lines WHERE len(w) > 0)),
+met AS (SELECT doc_id, label, len(list_intersect(t, b)) / len(t) AS share FROM blocks, t WHERE len(list_intersect(t, b)) >= {licenses.THRESHOLD} * len(t) - 1e-9),
+best AS (SELECT doc_id, max(share) AS share FROM met GROUP BY doc_id),
+every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM met UNION ALL SELECT doc_id, label FROM places) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, b.lo AS first_word, b.hi AS last_word, coalesce(b.labels, '') AS base_labels,
+  coalesce(e.labels, '') AS labels, CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(best.share, 0)::DOUBLE END AS score
+FROM d LEFT JOIN base b USING (doc_id) LEFT JOIN every e USING (doc_id) LEFT JOIN best USING (doc_id)
+"""
+
 OP8_SQL = f"""
 WITH d AS (SELECT doc_id, {_sql_words("text")} AS w FROM documents),
 b AS (SELECT item_id, {_sql_words("text")} AS w FROM benchmark),
@@ -62,10 +87,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_quality_classifier": op9_quality_classifier,
+        "op3_license_scan": op3_license_scan,
         "op4_toxicity": op4_toxicity,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_benchmark_decontamination": OP8_SQL}
+    return {"op3_license_scan": OP3_SQL, "op8_benchmark_decontamination": OP8_SQL}
