@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, quality, simhash, toxicity
+from . import decontaminate, fingerprints, licenses, quality, simhash, toxicity
 from .common import table
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical exact fingerprint of every document and of its edited text."""
+    return fingerprints.edit_report(table(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base license phrases of every document, and the labels of the license templates that its blocks contain."""
     return licenses.verdict(licenses.scan(table(spark, sf_dir, "documents")))
@@ -87,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_quality_classifier": op9_quality_classifier,
+        "op1_document_fingerprints": op1_document_fingerprints,
         "op3_license_scan": op3_license_scan,
         "op4_toxicity": op4_toxicity,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
