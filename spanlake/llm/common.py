@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text bytes that a Python worker handles at once; a longer single text is handled alone.
 CHUNK_BYTES = 4 << 20
@@ -78,7 +79,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], name: str, most: int = CHUNK_BYT
             start = end
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str | None = None, most: int = CHUNK_BYTES) -> DataFrame:
+def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType, text: str | None = None, most: int = CHUNK_BYTES) -> DataFrame:
     """mapInArrow of a function of one batch; with `text`, batches are sliced by the bytes of that column first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, licenses, quality, simhash, toxicity
+from . import decontaminate, fingerprints, licenses, pieces, quality, simhash, toxicity
 from .common import table
 
 
@@ -34,6 +34,11 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document (their number and digest), what they decode to, and parity with sentencepiece."""
+    return pieces.round_trip(table(spark, sf_dir, "documents"), pieces.load())
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in 13-word windows of benchmark items, and which items those are."""
     found = decontaminate.verdict(decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -90,6 +95,7 @@ FROM d LEFT JOIN hit h USING (doc_id) LEFT JOIN ids i USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op7_sentencepiece": op7_sentencepiece,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_quality_classifier": op9_quality_classifier,
         "op1_document_fingerprints": op1_document_fingerprints,
