@@ -79,9 +79,18 @@ def by_bytes(batches: Iterator[pa.RecordBatch], name: str, most: int = CHUNK_BYT
             start = end
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of the batches that go to Python workers, unless the session has a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "64MB", "256MB"):
+        spark.conf.set(key, str(2 * CHUNK_BYTES))
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType, text: str | None = None, most: int = CHUNK_BYTES) -> DataFrame:
     """mapInArrow of a function of one batch; with `text`, batches are sliced by the bytes of that column first."""
 
+    bound_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, text, most) if text else batches:
             out = work(batch)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, licenses, pieces, quality, simhash, toxicity
+from . import decontaminate, fingerprints, licenses, pieces, quality, simhash, suffixes, toxicity
 from .common import table
 
 
@@ -51,6 +51,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes of 200-byte strings that also start elsewhere."""
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -96,6 +101,7 @@ FROM d LEFT JOIN hit h USING (doc_id) LEFT JOIN ids i USING (doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op7_sentencepiece": op7_sentencepiece,
+        "op10_suffix_array_dedup": op10_suffix_array_dedup,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_quality_classifier": op9_quality_classifier,
         "op1_document_fingerprints": op1_document_fingerprints,
