@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, licenses, pieces, quality, simhash, suffixes, toxicity
+from . import decontaminate, fingerprints, licenses, lines, pieces, quality, simhash, suffixes, toxicity
 from .common import table
 
 
@@ -28,6 +28,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages"), inside.alias("passage_words"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many of them repeat a line elsewhere, and the text that is left."""
+    found = lines.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -107,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_document_fingerprints": op1_document_fingerprints,
         "op3_license_scan": op3_license_scan,
         "op4_toxicity": op4_toxicity,
+        "op5_line_dedup": op5_line_dedup,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
     }
 

@@ -140,11 +140,11 @@ def _compare(radius: int):
 
 def hamming_links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of distinct `fp` (long) at `radius` or fewer differing bits."""
-    width = 64 // blocks
-    if 64 % blocks or not 0 <= radius < blocks:
-        raise ValueError("blocks must divide 64 and exceed the radius")
+    if not 0 <= radius < blocks <= 64:
+        raise ValueError("blocks must exceed the radius")
     kept = list(combinations(range(blocks), blocks - radius))
-    part = [F.shiftrightunsigned("fp", width * i).bitwiseAND((1 << width) - 1) for i in range(blocks)]
+    cuts = [64 * i // blocks for i in range(blocks + 1)]
+    part = [F.shiftrightunsigned("fp", lo).bitwiseAND((1 << hi - lo) - 1) for lo, hi in zip(cuts, cuts[1:])]
     keys = F.array(*[F.xxhash64(F.lit(n), *[part[i] for i in chosen]) for n, chosen in enumerate(kept)])
     rows = fps.select("fp", F.bit_count("fp").cast("int").alias("ones"), F.explode(keys).alias("key"))
     # hot keys: by bit count, how many tiles each needs; few rows, but they may grow, so they are joined and not collected
