@@ -1,27 +1,53 @@
 """The corpus pipeline: quality classifier, line dedup, near-dedup, decontamination, tokenization, in that order.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the docs
-of the next stage. All stages but the last return the columns of `documents`.
+of the next stage. All stages but the last return the columns of `documents`; the last adds n_tokens and ids.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spanlake.llm import simhash
+from spanlake.llm import decontaminate, lines, pieces, quality, simhash
 from spanlake.llm.common import materialize, table
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the classifier, learned from the labels outside its held-out fold, accepts."""
+    return quality.accepted(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat one elsewhere; n_chars follows the text."""
+    out = lines.deduplicate(docs).drop("n_lines", "n_removed")
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the least doc_id."""
     return simhash.survivors(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no more than a stray word in twenty of benchmark passages."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its token ids and their number."""
+    return pieces.encode(docs, pieces.load()).withColumn("n_tokens", F.size("ids").cast("long"))
+
+
 STAGES = [
-    ("simhash_near_dedup", near_dedup),
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("sentencepiece", sentencepiece),
 ]
 
-#: Classifiers and tokenizers are not SQL; the stages are held against brute-force versions in the tests.
+#: A learned classifier and a tokenizer are not SQL; the stages are held against brute-force versions in the tests.
 ORACLE_SQL = None
 
 

@@ -179,6 +179,16 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), work, "doc_id long, score double", "text", 1 << 20)
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose score is at least the threshold."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        off, raw = text_buffers(column(batch, text_col))
+        return batch.filter(pa.array(score(model, raw, off) >= threshold))
+
+    return map_batches(docs, work, docs.schema, text_col, 1 << 20)
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row; labels of the held-out fold are never read."""
     found = scores(docs, train(docs, labels, folds=folds, held_out=held_out))

@@ -184,7 +184,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of `docs` of which one is kept per component: the one whose id is the component's. Rows without an id stay."""
-    keep = near_duplicates(docs, id_col, text_col, **options).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    lone = docs.where(F.col(id_col).isNull())
-    return docs.join(keep, docs[id_col].cast("long") == keep["_kept"], "left_semi").unionByName(lone)
+    """The rows of `docs` without those that another document stands for: of each component, the one with its least id stays.
+
+    Rows that share an id stay or go together; rows without an id stay.
+    """
+    found = near_duplicates(docs, id_col, text_col, **options).where("doc_id IS NOT NULL")
+    gone = found.groupBy(F.col("doc_id").alias("_gone")).agg(F.min(F.col("doc_id") != F.col("component_id")).alias("all")).where("all").select("_gone")
+    return docs.join(materialize(gone, "gone"), docs[id_col].cast("long") == F.col("_gone"), "left_anti")
