@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, licenses, lines, pieces, quality, simhash, suffixes, toxicity
+from . import decontaminate, fingerprints, licenses, lines, pieces, quality, simhash, suffixes, toxicity, warc
 from .common import table
 
 
@@ -16,6 +16,11 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_report(table(spark, sf_dir, "documents"))
 
 
+def op2_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record into ZIP archives and read back from them."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base license phrases of every document, and the labels of the license templates that its blocks contain."""
     return licenses.verdict(licenses.scan(table(spark, sf_dir, "documents")))
@@ -111,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_quality_classifier": op9_quality_classifier,
         "op1_document_fingerprints": op1_document_fingerprints,
+        "op2_warc_archives": op2_warc_archives,
         "op3_license_scan": op3_license_scan,
         "op4_toxicity": op4_toxicity,
         "op5_line_dedup": op5_line_dedup,
