@@ -188,16 +188,23 @@ def totals(mentions: DataFrame) -> DataFrame:
 
 def validate_payload(rows: DataFrame, column: str = "payload") -> DataFrame:
     """`rows` with entities (array of entity, label, context; other keys dropped, long contexts cut) and error (null if sound) of a JSON payload as text."""
-    raw = F.from_json(F.col(column), "array<map<string,string>>")
     shape = F.try_parse_json(F.col(column))
-    kind = F.schema_of_variant(shape)
+    kind = lambda v: F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
+    raw = F.when(F.startswith(kind(shape), F.lit("ARRAY")), F.try_variant_get(shape, "$", "array<variant>"))
     fields = ["entity", "label", "context"]
-    missing = lambda x: F.filter(F.array(*[F.lit(f) for f in fields]), lambda f: ~F.array_contains(F.map_keys(x), f))
-    blank = lambda x: F.filter(F.array(*[F.lit(f) for f in fields]), lambda f: F.coalesce(tx.strip(x[f]), F.lit("")) == "")
-    problem = lambda x, i: F.when(x.isNull(), F.concat(F.lit("entity "), i.cast("string"), F.lit(": not an object"))).when(F.size(missing(x)) > 0, F.concat(F.lit("entity "), i.cast("string"), F.lit(": missing "), F.array_join(missing(x), ","))).when(F.size(blank(x)) > 0, F.concat(F.lit("entity "), i.cast("string"), F.lit(": blank "), F.array_join(blank(x), ",")))
+    of = lambda x, f: F.try_variant_get(x, f"$.{f}", "variant")
+
+    def problem(x: Column, i: Column) -> Column:
+        """The first fault of an entity: no object, then what is missing, then the first field that is no text or blank."""
+        missing = F.array_join(F.array_compact(F.array(*[F.when(of(x, f).isNull(), F.lit(f)) for f in fields])), ",")
+        wrong = F.coalesce(*[F.when(kind(of(x, f)) != "STRING", F.lit(f"{f} is not text")).when(tx.strip(F.try_variant_get(x, f"$.{f}", "string")) == "", F.lit(f"blank {f}")) for f in fields])
+        fault = F.when(~F.startswith(kind(x), F.lit("OBJECT")), "not an object").when(missing != "", F.concat(F.lit("missing "), missing)).otherwise(wrong)
+        return F.when(fault.isNotNull(), F.concat(F.lit("entity "), i.cast("string"), F.lit(": "), fault))
+
     first = F.try_element_at(F.filter(F.transform(raw, problem), lambda x: x.isNotNull()), F.lit(1))
-    error = F.when(shape.isNull() | ~F.startswith(kind, F.lit("ARRAY")), "not a JSON array").otherwise(first)
+    error = F.when(raw.isNull(), "not a JSON array").otherwise(first)
     most = tx.PAYLOAD_CONTEXT_CHARS
     cut = lambda c: F.when(F.length(c) > most, F.concat(F.substring(c, 1, most), F.lit("…"))).otherwise(c)
-    kept = F.transform(raw, lambda x: F.struct(x["entity"].alias("entity"), x["label"].alias("label"), cut(x["context"]).alias("context")))
+    text = lambda x, f: F.try_variant_get(x, f"$.{f}", "string")
+    kept = F.transform(raw, lambda x: F.struct(text(x, "entity").alias("entity"), text(x, "label").alias("label"), cut(text(x, "context")).alias("context")))
     return rows.withColumn("error", error).withColumn("entities", F.when(F.col("error").isNull(), kept))
