@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import iri
 from ..functions import text as tx
+from ..plans import stages
 
 #: Kinds of input, contexts of a group, and what stands for a missing value in each count.
 MASTER, MAPPED, ENTITIES = "master_extracted_entities", "ontology_mapped_entities", "entities"
@@ -31,12 +32,12 @@ def input_kind(columns: list[str]) -> str:
 def dense_ids(df: DataFrame, seq: str, target: str = "id") -> DataFrame:
     """mention_000000, .. in the order of `seq`, without one task that numbers all rows.
 
-    Rows are dealt over ranges of `seq`; each range's rows are numbered from the count of those before it, which are as
-    many numbers as there are ranges.
+    Rows are dealt over ranges of `seq` and numbered within them; the numbered rows are written, as the ranges are sampled
+    and may come out otherwise when made again; each range goes on from the count of those before it.
     """
     dealt = df.repartitionByRange(F.col(seq)).sortWithinPartitions(seq).withColumn("_part", F.spark_partition_id())
     local = F.row_number().over(Window.partitionBy("_part").orderBy(seq))
-    numbered = dealt.withColumn("_n", local)
+    numbered = stages.written(dealt.withColumn("_n", local), "numbered")
     sizes = numbered.groupBy("_part").agg(F.max("_n").alias("_size"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_size")
     out = numbered.join(F.broadcast(before), "_part")  # one row per range
