@@ -64,10 +64,15 @@ def _windows(text: str, size: int, overlap: int) -> Iterator[tuple[int, int]]:
             return
 
 
-def tag(docs: DataFrame, tagger: Tagger, labels: list[str], threshold: float = 0.5, size: int = WINDOW_WORDS, overlap: int = OVERLAP_WORDS, text_col: str = "text") -> DataFrame:
-    """One row for each mention found in each window: seq, window, start, end (of the whole text), label, score, entity. Windows overlap, so mentions repeat: see dedupe()."""
+def tag(docs: DataFrame, tagger: Tagger, labels: list[str], threshold: float = 0.5, size: int = WINDOW_WORDS, overlap: int = OVERLAP_WORDS, text_col: str = "text", context: int | None = None) -> DataFrame:
+    """One row for each mention found in each window: seq, window, start, end (of the whole text), label, score, entity.
+
+    Windows overlap, so mentions repeat: see dedupe(). With `context`, a column context holds so many characters to
+    either side on one line, taken while the text is at hand: no join back to the documents.
+    """
     keep = [c for c in docs.columns if c != text_col]
     kinds = [("seq", pa.int32(), "int"), ("window", pa.int32(), "int"), ("start", pa.int32(), "int"), ("end", pa.int32(), "int"), ("label", pa.string(), "string"), ("score", pa.float64(), "double"), ("entity", pa.string(), "string")]
+    kinds += [("context", pa.string(), "string")] * (context is not None)
     schema = ", ".join([f"`{n}` {t}" for n, t in docs.select(*keep).dtypes] + [f"{n} {t}" for n, _, t in kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +83,8 @@ def tag(docs: DataFrame, tagger: Tagger, labels: list[str], threshold: float = 0
                 for w, (a, b) in enumerate(_windows(text, size, overlap)):
                     for s, e, label, score in tagger.predict(text[a:b], labels, threshold):
                         source.append(i)
-                        rows.append((n, w, a + s, a + e, label, score, text[a + s : a + e]))
+                        around = () if context is None else (" ".join(text[max(0, a + s - context) : a + e + context].split()),)
+                        rows.append((n, w, a + s, a + e, label, score, text[a + s : a + e], *around))
                         n += 1
             if rows:
                 base = batch.select(keep).take(pa.array(source))

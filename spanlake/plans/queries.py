@@ -264,10 +264,18 @@ def tag_windows(spark, d):
 
 @query(rf"""WITH {_MENTIONS} SELECT doc_id, label, entity, start, {_sql_strip(r"regexp_replace(substr(text, greatest(0, start - 100) + 1, least(length(text), start + length(entity) + 100) - greatest(0, start - 100)), '\s+', ' ', 'g')")} AS context FROM mentions""")
 def mention_context(spark, d):
+    docs = t(spark, d, "documents").select("doc_id", "text")
+    found = tagger.tag(docs, tagger.PatternTagger(PATTERNS), list(PATTERNS), size=0, context=tx.CONTEXT_CHARS)
+    return found.select("doc_id", "label", "entity", "start", "context")
+
+
+@query(rf"""WITH {_MENTIONS} SELECT doc_id, label, entity, start, (start + length(entity))::INTEGER AS "end" FROM mentions""")
+def normalize_mentions(spark, d):
+    """Raw tagger rows with aliased columns brought to normal form, surfaces sliced from the text."""
     m = _mentions(spark, d).withColumnRenamed("doc_id", "_doc")
     docs = t(spark, d, "documents").select("doc_id", "text")
-    raw = m.join(docs, m["_doc"] == docs.doc_id).select("doc_id", "label", "score", "entity", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "text")
-    return tagger.normalize(raw).select("doc_id", "label", "entity", "start", "context")
+    raw = m.join(docs, m["_doc"] == docs.doc_id).select("doc_id", "score", F.col("label").alias("entity_type"), F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "text")
+    return tagger.normalize(raw).select("doc_id", "label", "entity", "start", "end")
 
 
 _SPANS = """spans AS (SELECT l_orderkey AS doc_id, l_linenumber::BIGINT * 100000000 + l_partkey * 1000 + l_suppkey AS seq, (l_partkey % 200)::INTEGER AS start, (l_partkey % 200 + 1 + l_suppkey % 12 + l_linenumber)::INTEGER AS "end", l_returnflag AS label, l_discount AS score FROM lineitem)"""
