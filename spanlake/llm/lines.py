@@ -24,7 +24,9 @@ from .words import FOLD, words
 
 RADIUS, BLOCKS, SIMILAR, LEAST_WORDS = 3, 5, 0.8, 5
 #: Lines of one component that a task compares with as many others, and bytes of lines that are held at a time.
-TILE, FILTER_BITS = 2048, 1 << 22
+TILE, FILTER_BITS = 1024, 1 << 22
+#: Words of so many bytes or fewer say little about a line.
+SHORT_WORD = 3
 #: Lines of more code points are compared word by word.
 LONG_LINE = 1 << 15
 _CHUNK = 1 << 20
@@ -52,7 +54,8 @@ def _span_hash(values: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int
 def line_table(raw: np.ndarray, offsets: np.ndarray, least_words: int = LEAST_WORDS) -> dict[str, np.ndarray]:
     """Of the lines of the texts that lie end to end in `raw`: text, number in it, hash, SimHash, words, and begin and end.
 
-    The hash is of the words in order; the SimHash adds up the words' hashes. Lines without words have none of either.
+    The hash is of the words in order; the SimHash adds up the hashes of the words of more than SHORT_WORD bytes, or of all
+    where those are fewer than `least_words`. Lines without words have none of either.
     """
     n_text = len(offsets) - 1
     breaks = np.flatnonzero(raw == 10)
@@ -81,10 +84,18 @@ def line_table(raw: np.ndarray, offsets: np.ndarray, least_words: int = LEAST_WO
     hashes = _span_hash(word, first, after, _WORD_BASE)
     prints = np.zeros(len(begin), np.uint64)
     some = np.flatnonzero(n_words >= least_words)
+    if len(some):
+        # short words are everywhere: lines of enough longer ones are told by those alone
+        length = stops - starts
+        long = np.r_[0, np.cumsum(length > SHORT_WORD)]
+        few = long[after] - long[first] < least_words
+        counts = np.flatnonzero((length > SHORT_WORD) | np.repeat(few, n_words))  # every word stands in one line
+        word, first, after = word[counts], np.searchsorted(counts, first), np.searchsorted(counts, after)
+        sizes_of = after - first
     step = 1 << 13
     for at in range(0, len(some), step):
         lines = some[at : at + step]
-        sizes = n_words[lines]
+        sizes = sizes_of[lines]
         ends = np.cumsum(sizes)
         for lo, hi in _pieces(ends, 1 << 15):
             take, size = lines[lo:hi], sizes[lo:hi]
@@ -165,7 +176,12 @@ def similar(a: bytes, b: bytes, least: float = SIMILAR) -> bool:
 def _verify(radius: int, least: float):
     """Of rows (part, side, fp, node, line) that come sorted by part: a spanning forest of the verified links of each part."""
 
-    def flush(parts: list[tuple]) -> pa.RecordBatch | None:
+    def flush(parts: list[tuple]) -> list[tuple[int, int]]:
+        if len(parts) == 1 and len(parts[0][1]) <= 2:  # most parts are two lines
+            side, fp, node, lines = parts[0]
+            if len(fp) < 2 or (side[0] and side[0] == side[1]) or (int(fp[0] ^ fp[1]) & (2**64 - 1)).bit_count() > radius:
+                return []
+            return [(int(node[0]), int(node[1]))] if similar(lines[0], lines[1], least) else []
         side, fp, node = (np.concatenate([p[i] for p in parts]) for i in range(3))
         lines = [x for p in parts for x in p[3]]
         forest, out = simhash.Forest(len(fp)), []
@@ -186,12 +202,13 @@ def _verify(radius: int, least: float):
                     if forest.root(p) != forest.root(q) and similar(lines[p], lines[q], least):
                         forest.join(p, q)
                         out.append((int(node[p]), int(node[q])))
-        if not out:
-            return None
+        return out
+
+    def batch_of(out: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = [], None
+        held, at, out = [], None, []
         for batch in batches:
             part = column(batch, "part").to_numpy()
             if not len(part):
@@ -201,13 +218,17 @@ def _verify(radius: int, least: float):
             cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)]):
                 if held and part[s] != at:
-                    if (found := flush(held)) is not None:
-                        yield found
+                    out += flush(held)
                     held = []
                 at = part[s]
                 held.append((side[s:e], fp[s:e], node[s:e], lines[s:e]))
-        if held and (found := flush(held)) is not None:
-            yield found
+            if out:
+                yield batch_of(out)
+                out = []
+        if held:
+            out += flush(held)
+        if out:
+            yield batch_of(out)
 
     return run
 
@@ -237,10 +258,16 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return map_batches(_docs(docs, id_col, text_col), work, "row long, doc_id long, number long, node long, fp long, words long", "text", _CHUNK)
 
 
-def groups(docs: DataFrame, seen: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, blocks: int = BLOCKS, least: float = SIMILAR, least_words: int = LEAST_WORDS, tile: int = TILE, bits: int = FILTER_BITS) -> DataFrame:
-    """(node, root) of each line that is linked to a different one; `seen` are the occurrences()."""
+def node_table(seen: DataFrame) -> DataFrame:
+    """(node, fp, first, n) of each different line: its SimHash, first occurrence (id, row, number) and number of occurrences."""
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row", "number")).alias("first")
+    return seen.groupBy("node").agg(F.min("fp").alias("fp"), first, F.count(F.lit(1)).alias("n"))
+
+
+def groups(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, blocks: int = BLOCKS, least: float = SIMILAR, least_words: int = LEAST_WORDS, tile: int = TILE, bits: int = FILTER_BITS) -> DataFrame:
+    """(node, root) of each line that is linked to a different one; `table` is the node_table()."""
     spark = docs.sparkSession
-    nodes = materialize(seen.where("fp IS NOT NULL").groupBy("node").agg(F.min("fp").alias("fp")), "nodes")
+    nodes = table.where("fp IS NOT NULL").select("node", "fp")
     per_print = nodes.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
     per_print = materialize(per_print, "prints")
     near = connected_components(simhash.hamming_links(per_print.select("fp"), radius, blocks)).select(F.col("node").alias("fp"), F.col("root").alias("part"))
@@ -289,8 +316,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     least_words = options.get("least_words", LEAST_WORDS)
     seen = materialize(occurrences(docs, id_col, text_col, least_words), "occurrences")
-    linked = groups(docs, seen, id_col, text_col, bits=bits, **options)
-    per_node = seen.groupBy("node").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row", "number")).alias("first"), F.count(F.lit(1)).alias("n"))
+    nodes = materialize(node_table(seen), "nodes")
+    linked = groups(docs, nodes, id_col, text_col, bits=bits, **options)
+    per_node = nodes.select("node", "first", "n")
     rooted = materialize(per_node.join(linked, "node", "left").where("n > 1 OR root IS NOT NULL").select("node", "first", F.coalesce("root", "node").alias("root")), "rooted")
     firsts = materialize(rooted.groupBy("root").agg(F.min("first").alias("kept")), "firsts")
     kept = materialize(rooted.join(firsts, "root").select("node", F.col("kept.row").alias("kept_row"), F.col("kept.number").alias("kept_number")), "kept")
@@ -303,11 +331,16 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     plain = docs.toDF(*names)
     kinds = [f"{n} {t}" for n, (_, t) in zip(names, docs.dtypes)]
 
-    def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
-        off, raw = text_buffers(column(batch, at[text_col]))
-        ids = column(batch, at[id_col]).cast(pa.int64()).to_pylist()
-        rows = row_keys(ids, raw.tobytes(), off.tolist())
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows), pa.array(bloom.contains(has, rows))], names=[*batch.schema.names, "row", "moves"])
+    def mark(moving: bool):
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            off, raw = text_buffers(column(batch, at[text_col]))
+            ids = column(batch, at[id_col]).cast(pa.int64()).to_pylist()
+            rows = row_keys(ids, raw.tobytes(), off.tolist())
+            take = pa.array(bloom.contains(has, rows) == moving)
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows)], names=[*batch.schema.names, "row"])
+            return out.filter(take)
+
+        return work
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, removed = [], []
@@ -322,8 +355,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return pa.RecordBatch.from_arrays([*cols, pa.array(removed, pa.int64())], names=[n for n in batch.schema.names if n != "gone"] + ["n_removed"])
 
     lines = F.when(F.col(at[text_col]).isNull(), F.lit(0)).otherwise(F.regexp_count(F.col(at[text_col]), F.lit("\n")) + 1).cast("long")
-    marked = map_batches(plain.withColumn("n_lines", lines), mark, ", ".join([*kinds, "n_lines long", "row long", "moves boolean"]), at[text_col], _CHUNK)
-    still = marked.where("NOT moves").drop("row", "moves").withColumn("n_removed", F.lit(0).cast("long"))
-    moved = map_batches(marked.where("moves").join(per_row, "row", "left").drop("row", "moves"), cut, ", ".join([*kinds, "n_lines long", "n_removed long"]), at[text_col], _CHUNK)
+    kind = ", ".join([*kinds, "n_lines long", "row long"])
+    counted = plain.withColumn("n_lines", lines)
+    still = map_batches(counted, mark(False), kind, at[text_col], _CHUNK).drop("row").withColumn("n_removed", F.lit(0).cast("long"))
+    moved = map_batches(counted, mark(True), kind, at[text_col], _CHUNK).join(per_row, "row", "left").drop("row")
+    moved = map_batches(moved, cut, ", ".join([*kinds, "n_lines long", "n_removed long"]), at[text_col], _CHUNK)
     bound_batches(spark)
     return still.unionByName(moved).toDF(*docs.columns, "n_lines", "n_removed")

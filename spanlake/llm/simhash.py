@@ -24,6 +24,7 @@ from .components import connected_components
 SHINGLE, SEED, RADIUS, BLOCKS = 3, 42, 2, 4
 #: Fingerprints of one key and bit count that one task compares with those of another; beyond that, they are split.
 TILE = 4096
+_SAMPLE = 16
 
 
 def fingerprint(text: bytes, k: int = SHINGLE) -> int:
@@ -100,40 +101,51 @@ def tile_links(left: np.ndarray, right: np.ndarray, radius: int, same: bool, ste
 
 def _compare(radius: int):
     """Of rows (key, side, fp) sorted by key: links within each key. side 0 is a group of its own, 1 and 2 are two tiles to be held against each other."""
+    names = ["a", "b"]
 
-    def flush(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch | None:
-        side, fp = (np.concatenate(x) for x in zip(*parts))
-        fp = fp.view(np.uint64)
+    def batch_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=names)
+
+    def flush(side: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.lexsort((fp, np.bitwise_count(fp)))
         side, fp = side[order], fp[order]
-        if (side == 0).all():
-            left = right = fp
+        if not side.any():
             i, j = tile_links(fp, fp, radius, True)
-        else:
-            left, right = fp[side == 1], fp[side == 2]
-            i, j = tile_links(left, right, radius, False)
-        if not len(i):
-            return None
-        return pa.RecordBatch.from_arrays([pa.array(left[i].view(np.int64)), pa.array(right[j].view(np.int64))], names=["a", "b"])
+            return fp[i], fp[j]
+        left, right = fp[side == 1], fp[side == 2]
+        i, j = tile_links(left, right, radius, False)
+        return left[i], right[j]
+
+    def whole(key: np.ndarray, side: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Links of complete keys. Keys of one row have none; those of two, by far the most of the rest, are compared all at once."""
+        cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[cuts, len(key)])
+        two = cuts[sizes == 2]
+        near = two[(np.bitwise_count(fp[two] ^ fp[two + 1]) <= radius) & ((side[two] == 0) | (side[two] != side[two + 1]))] if len(two) else two
+        if len(near):
+            yield batch_of(fp[near], fp[near + 1])
+        for s, n in zip(cuts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+            a, b = flush(side[s : s + n], fp[s : s + n])
+            if len(a):
+                yield batch_of(a, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = [], None
+        held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            key = column(batch, "key").to_numpy(zero_copy_only=False)
+            key, side, fp = (column(batch, c).to_numpy(zero_copy_only=False) for c in ("key", "side", "fp"))
             if not len(key):
                 continue
-            side, fp = (column(batch, c).to_numpy(zero_copy_only=False) for c in ("side", "fp"))
-            cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            ends = np.r_[cuts[1:], len(key)]
-            for s, e in zip(cuts.tolist(), ends.tolist()):
-                if held and key[s] != at:
-                    if sum(len(x[1]) for x in held) > 1 and (found := flush(held)) is not None:
-                        yield found
-                    held = []
-                at = key[s]
-                held.append((side[s:e], fp[s:e]))
-        if held and sum(len(x[1]) for x in held) > 1 and (found := flush(held)) is not None:
-            yield found
+            # the last key may go on in the next batch
+            cut = int(np.searchsorted(key, key[-1])) if key[0] <= key[-1] else len(key) - 1
+            if cut:
+                parts = [*held, (key[:cut], side[:cut], fp[:cut])]
+                k, d, f = (np.concatenate(x) for x in zip(*parts))
+                yield from whole(k, d, f.view(np.uint64))
+                held = []
+            held.append((key[cut:], side[cut:], fp[cut:]))
+        if held:
+            k, d, f = (np.concatenate(x) for x in zip(*held))
+            yield from whole(k, d, f.view(np.uint64))
 
     return run
 
@@ -147,13 +159,16 @@ def hamming_links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, ti
     part = [F.shiftrightunsigned("fp", lo).bitwiseAND((1 << hi - lo) - 1) for lo, hi in zip(cuts, cuts[1:])]
     keys = F.array(*[F.xxhash64(F.lit(n), *[part[i] for i in chosen]) for n, chosen in enumerate(kept)])
     rows = fps.select("fp", F.bit_count("fp").cast("int").alias("ones"), F.explode(keys).alias("key"))
-    # hot keys: by bit count, how many tiles each needs; few rows, but they may grow, so they are joined and not collected
-    per = rows.groupBy("key", "ones").agg(F.count(F.lit(1)).alias("n"))
-    hot = per.groupBy("key").agg(F.sum("n").alias("all"), F.collect_list(F.struct("ones", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))).alias("have")).where(F.col("all") > 2 * tile)
-    hot = materialize(hot.select("key", "have"), "hot")
-    if hot.isEmpty():
+    # hot keys, found in a sixteenth of the fingerprints (which keys are split has no bearing on the links): by bit count, how
+    # many tiles each needs; few rows, but they may grow, so they are joined and not collected
+    some = rows.where(F.pmod(F.xxhash64("fp"), F.lit(_SAMPLE)) == 0).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * _SAMPLE > 2 * tile).select("key") if tile >= 16 * _SAMPLE else rows.select("key").distinct()
+    some = materialize(some, "sampled")
+    if some.isEmpty():
         cold = rows.select("key", F.lit(0).alias("side"), "fp")
         return cold.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(radius), "a long, b long")
+    per = rows.join(some, "key", "left_semi").groupBy("key", "ones").agg(F.count(F.lit(1)).alias("n"))
+    hot = per.groupBy("key").agg(F.sum("n").alias("all"), F.collect_list(F.struct("ones", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))).alias("have")).where(F.col("all") > 2 * tile)
+    hot = materialize(hot.select("key", "have"), "hot")
     cold = rows.join(hot, "key", "left_anti").select("key", F.lit(0).alias("side"), "fp")
     mine = F.expr("filter(have, h -> h.ones = ones)[0].tiles")
     dealt = rows.join(hot, "key").withColumn("t", F.pmod(F.xxhash64("fp"), mine).cast("int"))
