@@ -20,7 +20,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that repeat one elsewhere; n_chars follows the text."""
-    out = lines.deduplicate(docs).drop("n_lines", "n_removed")
+    out = lines.deduplicate(docs, counts=("_lines_seen", "_lines_gone"))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -307,13 +307,13 @@ def groups(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col:
     return connected_components(links)
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS, **options) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS, counts: tuple[str, str] = ("n_lines", "n_removed"), **options) -> DataFrame:
     """`docs` with the text of each row without the lines that go; all rows and other columns stay as they are.
 
-    Two columns are added: n_lines (of the text given; 0 if null) and n_removed. A null text stays null, and a text of which nothing is left is
+    Two columns, named by `counts`, are added, in place of any of these names: the lines of the text given (0 if null) and how many went. A null text stays null, and a text of which nothing is left is
     empty. Rows without an id come last in the order of occurrences. Rows that share id and text count as one.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.drop(*counts)
     least_words = options.get("least_words", LEAST_WORDS)
     seen = materialize(occurrences(docs, id_col, text_col, least_words), "occurrences")
     nodes = materialize(node_table(seen), "nodes")
@@ -361,4 +361,4 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     moved = map_batches(counted, mark(True), kind, at[text_col], _CHUNK).join(per_row, "row", "left").drop("row")
     moved = map_batches(moved, cut, ", ".join([*kinds, "n_lines long", "n_removed long"]), at[text_col], _CHUNK)
     bound_batches(spark)
-    return still.unionByName(moved).toDF(*docs.columns, "n_lines", "n_removed")
+    return still.unionByName(moved).toDF(*docs.columns, *counts)

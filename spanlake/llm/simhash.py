@@ -205,4 +205,5 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """
     found = near_duplicates(docs, id_col, text_col, **options).where("doc_id IS NOT NULL")
     gone = found.groupBy(F.col("doc_id").alias("_gone")).agg(F.min(F.col("doc_id") != F.col("component_id")).alias("all")).where("all").select("_gone")
-    return docs.join(materialize(gone, "gone"), docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    gone = materialize(gone, "gone")
+    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")

@@ -32,7 +32,7 @@ def write_tables(spark, d):
         labels.append((i, good, 0))
     docs += [(500, None), (501, ""), (502, "x"), (503, prose(9000))]
     rows = [(i, t, "en", "src", None if t is None else len(t)) for i, t in docs]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 AS n_lines", "2 AS row", "3 AS _gone", "cast(null AS string) AS node", "array(1) AS hits").write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     return docs, labels, bench
