@@ -18,9 +18,8 @@ def build(keys: DataFrame, key: str, bits: int = BITS) -> np.ndarray:
     places = F.array(F.pmod(F.col(key), F.lit(bits)), F.pmod(F.shiftrightunsigned(F.col(key), 32), F.lit(bits)))
     rows = keys.where(F.col(key).isNotNull()).select(F.explode(places).alias("p"))
     words = rows.groupBy(F.shiftrightunsigned("p", 6).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 AS int)))").alias("b"))
-    out = np.zeros(bits // 64, np.int64)
-    for r in words.collect():
-        out[r.w] = r.b
+    out, got = np.zeros(bits // 64, np.int64), words.toArrow()
+    out[got["w"].to_numpy()] = got["b"].to_numpy()
     return out
 
 

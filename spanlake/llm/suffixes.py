@@ -24,7 +24,7 @@ from .common import bound_batches, by_bytes, column, map_batches, materialize, p
 
 WINDOW, GRAM = anchors.WINDOW, anchors.GRAM
 #: Classes of one gram beyond which its windows are dealt out one by one.
-HOT_CLASSES = 20_000
+HOT_CLASSES = 1000
 #: Windows that a bucket sorts at a time (whole grams, so at least one), and bits of the filters that spare traffic.
 SORTED_AT_ONCE, FILTER_BITS = 300_000, 1 << 23
 _CHUNK, _SPANS = 2 << 20, "array<struct<start:bigint,end:bigint>>"
