@@ -128,10 +128,10 @@ class _Longest:
         return out
 
 
-def non_overlapping(spans: DataFrame, doc: str = "doc_id", score: str = "score", seq: str = "seq") -> DataFrame:
+def non_overlapping(spans: DataFrame, doc: str | list[str] = "doc_id", score: str = "score", seq: str = "seq") -> DataFrame:
     """Greedy from the left: by start, then longer, then higher score, then first seen; a span stays if it begins after the last kept one."""
     order = [F.col("start"), (F.col("end") - F.col("start")).desc(), F.coalesce(F.col(score), F.lit(0.0)).desc(), F.col(seq)]
-    return streamed(spans, [doc], order, _Greedy, ["start", "end"])
+    return streamed(spans, [doc] if isinstance(doc, str) else doc, order, _Greedy, ["start", "end"])
 
 
 def longest_spans(spans: DataFrame, doc: str = "doc_id", seq: str = "seq") -> DataFrame:

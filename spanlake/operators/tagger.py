@@ -93,9 +93,9 @@ def tag(docs: DataFrame, tagger: Tagger, labels: list[str], threshold: float = 0
     return docs.mapInArrow(run, schema)
 
 
-def dedupe(mentions: DataFrame, doc: str = "doc_id", seq: str = "seq") -> DataFrame:
-    """One of the mentions that share document, start, end and label: the best scored, the first of equals."""
-    w = Window.partitionBy(doc, "start", "end", "label").orderBy(F.coalesce("score", F.lit(0.0)).desc(), seq)
+def dedupe(mentions: DataFrame, doc: str | list[str] = "doc_id", seq: str = "seq") -> DataFrame:
+    """One of the mentions that share document (one key or several), start, end and label: the best scored, the first of equals."""
+    w = Window.partitionBy(*([doc] if isinstance(doc, str) else doc), "start", "end", "label").orderBy(F.coalesce("score", F.lit(0.0)).desc(), seq)
     return mentions.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 

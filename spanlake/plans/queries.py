@@ -578,7 +578,7 @@ def _models() -> extraction.Models:
 @query(None)
 def extraction_master(spark, d):
     """Documents to merged mentions of both passes."""
-    parts = extraction.chunked(t(spark, d, "documents").select("doc_id", "text"), 400)
+    parts = stages.written(extraction.chunked(t(spark, d, "documents").select("doc_id", "text"), 400), "chunks")  # read by three steps
     return extraction.master_mentions(parts, _models()).select("doc_id", "chunk", "entity", "label", "start", "end", "global_start", "global_end", "source_pass")
 
 
