@@ -20,16 +20,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     aggregates with map-side combine and by joins whose large partitions Spark can split, never by one collected group.
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    e = materialize(pairs.distinct(), "edges")
+    e = materialize(pairs.distinct(), "edges", small=True)
     before = _sum(e)
     while True:
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.distinct(), "large")
+        large = materialize(large.distinct(), "large", small=True)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        e = materialize(small.distinct(), "small")
+        e = materialize(small.distinct(), "small", small=True)
         now = _sum(e)
         if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -80,7 +80,7 @@ def collisions(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_c
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[bytes], bytes] = xxh128) -> DataFrame:
     """(doc_id, fingerprint) of each row: the digest in hex, with a suffix where canonical texts of one digest differ."""
     found = materialize(digests(docs, id_col, text_col, digest), "digests")
-    clash = materialize(collisions(docs, found, id_col, text_col, digest), "collisions")
+    clash = materialize(collisions(docs, found, id_col, text_col, digest), "collisions", small=True)
     plain = found.select("doc_id", F.lower(F.hex("digest")).alias("fingerprint"))
     if clash.isEmpty():
         return plain
@@ -178,7 +178,7 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], names=["doc_id", "n_chars", "edited_sha256", "digest", "edited_digest", "near_edited", "near_next"])
 
-    clash = materialize(collisions(docs, digests(docs, id_col, text_col, digest), id_col, text_col, digest), "collisions")
+    clash = materialize(collisions(docs, digests(docs, id_col, text_col, digest), id_col, text_col, digest), "collisions", small=True)
     found = with_next(docs, work, "doc_id long, n_chars long, edited_sha256 string, digest binary, edited_digest binary, near_edited double, near_next double", id_col, text_col)
     hexed = found.select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("digest")).alias("fingerprint"), F.lower(F.hex("edited_digest")).alias("edited_fingerprint"), "near_edited", "near_next")
     if clash.isEmpty():

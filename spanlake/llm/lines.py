@@ -24,7 +24,7 @@ from .words import FOLD, words
 
 RADIUS, BLOCKS, SIMILAR, LEAST_WORDS = 3, 5, 0.8, 5
 #: Lines of one component that a task compares with as many others, and bytes of lines that are held at a time.
-TILE, FILTER_BITS = 1024, 1 << 22
+TILE, FILTER_BITS = 256, 1 << 22
 #: Words of so many bytes or fewer say little about a line.
 SHORT_WORD = 3
 #: Lines of more code points are compared word by word.
@@ -269,10 +269,10 @@ def groups(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     nodes = table.where("fp IS NOT NULL").select("node", "fp")
     per_print = nodes.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
-    per_print = materialize(per_print, "prints")
+    per_print = materialize(per_print, "prints", small=True)
     near = connected_components(simhash.hamming_links(per_print.select("fp"), radius, blocks)).select(F.col("node").alias("fp"), F.col("root").alias("part"))
     parts = per_print.join(near, "fp", "left").where("part IS NOT NULL OR n > 1").select("fp", F.coalesce("part", "fp").alias("part"))
-    chosen = materialize(nodes.join(materialize(parts, "parts"), "fp").select("node", "fp", "part"), "chosen")
+    chosen = materialize(nodes.join(materialize(parts, "parts", small=True), "fp").select("node", "fp", "part"), "chosen", small=True)
     wanted = bloom.build(chosen, "node", bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +295,7 @@ def groups(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col:
     lines = _docs(docs, id_col, text_col).mapInArrow(work, "node long, line binary").groupBy("node").agg(F.min("line").alias("line"))
     full = materialize(chosen.join(lines, "node"), "lines")
     sizes = full.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * tile).select("part", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    sizes = materialize(sizes, "large")
+    sizes = materialize(sizes, "large", small=True)
     if sizes.isEmpty():
         dealt = full.select("part", F.lit(0).alias("side"), "fp", "node", "line")
     else:  # a large part is dealt over its pairs of tiles
@@ -319,11 +319,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = materialize(node_table(seen), "nodes")
     linked = groups(docs, nodes, id_col, text_col, bits=bits, **options)
     per_node = nodes.select("node", "first", "n")
-    rooted = materialize(per_node.join(linked, "node", "left").where("n > 1 OR root IS NOT NULL").select("node", "first", F.coalesce("root", "node").alias("root")), "rooted")
-    firsts = materialize(rooted.groupBy("root").agg(F.min("first").alias("kept")), "firsts")
-    kept = materialize(rooted.join(firsts, "root").select("node", F.col("kept.row").alias("kept_row"), F.col("kept.number").alias("kept_number")), "kept")
+    rooted = materialize(per_node.join(linked, "node", "left").where("n > 1 OR root IS NOT NULL").select("node", "first", F.coalesce("root", "node").alias("root")), "rooted", small=True)
+    firsts = materialize(rooted.groupBy("root").agg(F.min("first").alias("kept")), "firsts", small=True)
+    kept = materialize(rooted.join(firsts, "root").select("node", F.col("kept.row").alias("kept_row"), F.col("kept.number").alias("kept_number")), "kept", small=True)
     gone = seen.select("row", "number", "node").join(kept, "node").where("row != kept_row OR number != kept_number").select("row", "number")
-    gone = materialize(gone, "gone")
+    gone = materialize(gone, "gone", small=True)
     per_row = gone.groupBy("row").agg(F.collect_set("number").alias("gone"))
     has = bloom.build(gone.select("row").distinct(), "row", bits)
     names = [f"_c{i}" for i in range(len(docs.columns))]

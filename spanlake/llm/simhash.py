@@ -162,13 +162,13 @@ def hamming_links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, ti
     # hot keys, found in a sixteenth of the fingerprints (which keys are split has no bearing on the links): by bit count, how
     # many tiles each needs; few rows, but they may grow, so they are joined and not collected
     some = rows.where(F.pmod(F.xxhash64("fp"), F.lit(_SAMPLE)) == 0).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * _SAMPLE > 2 * tile).select("key") if tile >= 16 * _SAMPLE else rows.select("key").distinct()
-    some = materialize(some, "sampled")
+    some = materialize(some, "sampled", small=True)
     if some.isEmpty():
         cold = rows.select("key", F.lit(0).alias("side"), "fp")
         return cold.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(radius), "a long, b long")
     per = rows.join(some, "key", "left_semi").groupBy("key", "ones").agg(F.count(F.lit(1)).alias("n"))
     hot = per.groupBy("key").agg(F.sum("n").alias("all"), F.collect_list(F.struct("ones", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))).alias("have")).where(F.col("all") > 2 * tile)
-    hot = materialize(hot.select("key", "have"), "hot")
+    hot = materialize(hot.select("key", "have"), "hot", small=True)
     cold = rows.join(hot, "key", "left_anti").select("key", F.lit(0).alias("side"), "fp")
     mine = F.expr("filter(have, h -> h.ones = ones)[0].tiles")
     dealt = rows.join(hot, "key").withColumn("t", F.pmod(F.xxhash64("fp"), mine).cast("int"))
@@ -189,12 +189,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     others; null ids are never a component_id unless a component has no other id; repeated rows come back as often.
     """
     fps = materialize(fingerprints(docs, id_col, text_col, k), "fps")
-    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes", small=True)
     found = connected_components(hamming_links(nodes.select("fp"), radius, blocks, tile))
     rooted = nodes.join(found, nodes.fp == found.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = materialize(rooted, "rooted")
-    least = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
-    classes = materialize(rooted.join(least, "root").select("fp", "component_id"), "classes")
+    rooted = materialize(rooted, "rooted", small=True)
+    least = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least", small=True)
+    classes = materialize(rooted.join(least, "root").select("fp", "component_id"), "classes", small=True)
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -205,5 +205,5 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """
     found = near_duplicates(docs, id_col, text_col, **options).where("doc_id IS NOT NULL")
     gone = found.groupBy(F.col("doc_id").alias("_gone")).agg(F.min(F.col("doc_id") != F.col("component_id")).alias("all")).where("all").select("_gone")
-    gone = materialize(gone, "gone")
+    gone = materialize(gone, "gone", small=True)
     return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")

@@ -177,7 +177,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     whole = classes.where("n > 1").select("gram", "ctx", F.col("left").alias("l"), F.col("right").alias("r")).select("gram", "ctx", (-F.col("l")).alias("lo"), F.col("r").alias("hi"))
     forms = found.where("form IS NOT NULL").select("gram", "ctx", "left", "form").groupBy("gram", "ctx").agg(F.min("left").alias("left"), F.min("form").alias("form"))
     forms = materialize(forms, "contexts")
-    crowded = materialize(forms.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("gram"), "crowded")
+    crowded = materialize(forms.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("gram"), "crowded", small=True)
     cold = forms if crowded.isEmpty() else forms.join(crowded, "gram", "left_anti")
     lead = F.conv(F.hex(F.substring("form", F.col("left") + 1, F.lit(7))), 16, 10).cast("long")
     cold = cold.select(lead.alias("lead"), "gram", "ctx", "left", "form").repartitionByRange(partitions(docs.sparkSession), "lead", "gram").sortWithinPartitions("lead", "gram")
@@ -201,7 +201,7 @@ def _one_by_one(forms: DataFrame, window: int) -> DataFrame:
 
     windows = materialize(map_batches(forms, explode, "gram long, ctx long, shift int, digest binary", "form", 1 << 18), "windows")
     twice = windows.groupBy("gram", "shift", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    found = windows.join(materialize(twice, "twice"), ["gram", "shift", "digest"])
+    found = windows.join(materialize(twice, "twice", small=True), ["gram", "shift", "digest"])
     return found.select("gram", "ctx", F.col("shift").alias("lo"), F.col("shift").alias("hi"))
 
 

@@ -86,8 +86,8 @@ def plan(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     keyed = rows.select("page_id", F.sha2("html", 256).alias("sum"), F.octet_length("html").alias("size"))
     same = keyed.where(F.col("size") >= least).groupBy("sum", "size").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1 AND last IS NOT NULL")
-    same = materialize(same.select("sum", "last"), "same")
-    revisits = materialize(keyed.join(same, "sum").where("page_id IS NULL OR page_id != last").select("page_id", "sum", F.col("last").alias("refers_to")).distinct(), "revisits")
+    same = materialize(same.select("sum", "last"), "same", small=True)
+    revisits = materialize(keyed.join(same, "sum").where("page_id IS NULL OR page_id != last").select("page_id", "sum", F.col("last").alias("refers_to")).distinct(), "revisits", small=True)
     if revisits.isEmpty():
         return rows.withColumn("refers_to", F.lit(None).cast("long"))
     joined = rows.withColumn("sum", F.sha2("html", 256)).alias("r").join(revisits.alias("v"), (F.col("r.sum") == F.col("v.sum")) & F.col("r.page_id").eqNullSafe(F.col("v.page_id")), "left")
