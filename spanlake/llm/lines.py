@@ -1,9 +1,10 @@
-"""Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, one occurrence per connected group.
+"""Fuzzy line deduplication: min-hash sketches, bands, edit similarity, one occurrence per connected group.
 
-Lines are normalised to their ASCII-folded words. Equal normalised lines are one node. Of the others, those whose
-SimHash differs in RADIUS bits or fewer meet by pigeonhole blocks; lines that may meet are grouped into the components
-of those links, where each close pair that is not yet connected is verified by edit similarity. The components of the
-verified links are the groups; the first occurrence in the order of id and line stays, all others go. Lines of
+Lines are normalised to their ASCII-folded words. Equal normalised lines are one node. Of each other line, a sketch holds
+HASHES minima over hashes of all its runs of GRAM bytes; lines that agree in a band of the sketch, and in CLOSE of its
+places, are linked, and grouped into the components of those links, where each close pair that is not yet connected is
+verified by edit similarity. Bands find nearly all similar pairs, not all of them (the README has the recall); what they
+find is judged by edit similarity alone. The components of the verified links are the groups; the first occurrence in the order of id and line stays, all others go. Lines of
 fewer than LEAST_WORDS words only go as equal lines, and lines without any word stay.
 """
 
@@ -22,16 +23,23 @@ from .common import bound_batches, by_bytes, column, map_batches, materialize, p
 from .components import connected_components
 from .words import FOLD, words
 
-RADIUS, BLOCKS, SIMILAR, LEAST_WORDS = 3, 5, 0.8, 5
+SIMILAR, LEAST_WORDS = 0.8, 5
+#: Places of a sketch, bytes of a run, and places that two lines must share to be compared.
+HASHES, GRAM, CLOSE = 96, 5, 20
+#: Bytes and places a band: lines of up to so many bytes meet by bands of 3, those of at least so many by bands of 4. Lengths overlap by a fifth and more.
+SHORT_BAND, LONG_BAND = (128, 3), (96, 4)
+#: Bits in which the 64-bit prints of most similar lines differ at most; of unrelated lines, about 32 do. The tests read it; what is compared goes by bands and CLOSE alone.
+RADIUS = 24
 #: Lines of one component that a task compares with as many others, and bytes of lines that are held at a time.
 TILE, FILTER_BITS = 256, 1 << 22
-#: Words of so many bytes or fewer say little about a line.
-SHORT_WORD = 3
+#: Lines of one band key that a task compares with as many others.
+KEY_TILE = 2048
 #: Lines of more code points are compared word by word.
 LONG_LINE = 1 << 15
 _CHUNK = 1 << 20
 _FOLD = np.frombuffer(FOLD, np.uint8)
 _BASE, _WORD_BASE = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
+_FACTORS = np.random.default_rng(5).integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -52,10 +60,10 @@ def _span_hash(values: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int
 
 
 def line_table(raw: np.ndarray, offsets: np.ndarray, least_words: int = LEAST_WORDS) -> dict[str, np.ndarray]:
-    """Of the lines of the texts that lie end to end in `raw`: text, number in it, hash, SimHash, words, and begin and end.
+    """Of the lines of the texts that lie end to end in `raw`: text, number in it, hash, sketch, words, size, and begin and end.
 
-    The hash is of the words in order; the SimHash adds up the hashes of the words of more than SHORT_WORD bytes, or of all
-    where those are fewer than `least_words`. Lines without words have none of either.
+    The hash is of the words in order; size is the bytes of the words and of a blank between each two. The sketch is that of
+    sketches(), and the print a bit each of its first 64 bytes; lines of fewer than `least_words` words have none of either.
     """
     n_text = len(offsets) - 1
     breaks = np.flatnonzero(raw == 10)
@@ -82,35 +90,52 @@ def line_table(raw: np.ndarray, offsets: np.ndarray, least_words: int = LEAST_WO
     after = np.maximum(after, first)
     n_words = after - first
     hashes = _span_hash(word, first, after, _WORD_BASE)
-    prints = np.zeros(len(begin), np.uint64)
-    some = np.flatnonzero(n_words >= least_words)
+    # the words with one blank after each, as far as one stands there; a line's last blank is not counted
+    kept = folded != 32
+    kept[stops[stops < len(raw)]] = True
+    place = np.r_[0, np.cumsum(kept)]
+    has = n_words > 0
+    size, nb = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
+    nb[has] = place[starts[first[has]]]
+    size[has] = place[stops[after[has] - 1]] - nb[has]
+    sketch = np.zeros((len(begin), HASHES), np.uint8)
+    some = np.flatnonzero((n_words >= least_words) & has)
     if len(some):
-        # short words are everywhere: lines of enough longer ones are told by those alone
-        length = stops - starts
-        long = np.r_[0, np.cumsum(length > SHORT_WORD)]
-        few = long[after] - long[first] < least_words
-        counts = np.flatnonzero((length > SHORT_WORD) | np.repeat(few, n_words))  # every word stands in one line
-        word, first, after = word[counts], np.searchsorted(counts, first), np.searchsorted(counts, after)
-        sizes_of = after - first
-    step = 1 << 13
-    for at in range(0, len(some), step):
-        lines = some[at : at + step]
-        sizes = sizes_of[lines]
-        ends = np.cumsum(sizes)
-        for lo, hi in _pieces(ends, 1 << 15):
-            take, size = lines[lo:hi], sizes[lo:hi]
-            begins = np.r_[0, np.cumsum(size)[:-1]]
-            at_word = np.arange(int(size.sum())) + np.repeat(first[take] - begins, size)
-            ones = np.zeros((len(take), 64), np.int64)
-            for piece in range(0, len(at_word), 1 << 16):
-                part = at_word[piece : piece + (1 << 16)]
-                bits = np.unpackbits(word[part].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                if len(take) == 1:
-                    ones[0] += bits.sum(axis=0, dtype=np.int64)
-                else:
-                    ones += np.add.reduceat(bits, begins, axis=0, dtype=np.int64)
-            prints[take] = np.packbits(2 * ones > size[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
-    return {"text": text, "number": number, "hash": hashes.view(np.int64), "print": prints.view(np.int64), "words": n_words, "begin": begin, "end": end}
+        sketch[some] = sketches(folded[kept], nb[some], size[some], hashes[some])
+    prints = print_of(sketch).view(np.int64)
+    return {"text": text, "number": number, "hash": hashes.view(np.int64), "print": prints, "sketch": sketch, "words": n_words, "size": size, "begin": begin, "end": end}
+
+
+def print_of(sketch: np.ndarray) -> np.ndarray:
+    return np.packbits(sketch[:, :64] & 1, axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def sketches(line: np.ndarray, begin: np.ndarray, size: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """A byte each of HASHES minima over the hashes of all runs of GRAM bytes of the lines at `begin`; of shorter lines, of `own`."""
+    n = max(0, len(line) - GRAM + 1)
+    grams = np.zeros(n, np.uint64)
+    for i in range(GRAM):
+        grams *= np.uint64(_BASE)
+        grams += line[i : n + i]
+    grams = (_mix(grams) >> np.uint64(32)).astype(np.uint32)
+    least = np.empty((HASHES, len(begin)), np.uint32)
+    tiny = size < GRAM
+    least[:, tiny] = (own[tiny] >> np.uint64(32)).astype(np.uint32) * _FACTORS[:, None]
+    some = np.flatnonzero(~tiny)
+    count = size[some] - GRAM + 1
+    for lo, hi in _pieces(np.cumsum(count), 1 << 15):
+        take, sizes = some[lo:hi], count[lo:hi]
+        begins = np.r_[0, np.cumsum(sizes)[:-1]]
+        if len(take) == 1:  # one line, however long, in steps
+            a, b = int(begin[take[0]]), int(begin[take[0]] + sizes[0])
+            least[:, take[0]] = np.min([[(grams[i : min(b, i + (1 << 15))] * f).min() for f in _FACTORS] for i in range(a, b, 1 << 15)], axis=0)
+            continue
+        values = grams[np.arange(int(sizes.sum())) + np.repeat(begin[take] - begins, sizes)]
+        product = np.empty_like(values)
+        for k, f in enumerate(_FACTORS):
+            np.multiply(values, f, out=product)
+            least[k, take] = np.minimum.reduceat(product, begins)
+    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).T
 
 
 def _pieces(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -173,47 +198,154 @@ def similar(a: bytes, b: bytes, least: float = SIMILAR) -> bool:
     return distance_at_most(x, y, int((1 - least) * longer + 1e-9))
 
 
-def _verify(radius: int, least: float):
+def _sketch_rows(array: pa.Array) -> np.ndarray:
+    return text_buffers(array)[1].reshape(len(array), HASHES)
+
+
+def _close(a: np.ndarray, b: np.ndarray, close: int) -> np.ndarray:
+    """Which rows of two tables of sketches agree in `close` places or more."""
+    same = np.zeros((len(a), len(b)), np.uint8)
+    for x, y in zip(np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)):
+        same += x[:, None] == y[None, :]
+    return same >= close
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (key, node) sorted by key: those of keys that more than one row has."""
+    last, left = None, None
+    for batch in batches:
+        key, node = (column(batch, c).to_numpy() for c in ("key", "node"))
+        if not len(key):
+            continue
+        if left is not None:
+            key, node = np.r_[left[0], key], np.r_[left[1], node]
+        same = key[1:] == key[:-1]
+        keep = np.r_[last is not None and key[0] == last, same] | np.r_[same, False]
+        # whether the last row has company shows in the next batch, unless it has some already
+        if keep[-1]:
+            left, last = None, key[-1]
+        else:
+            left, last = (key[-1:], node[-1:]), None
+        take = np.flatnonzero(keep)
+        if len(take):
+            yield pa.RecordBatch.from_arrays([pa.array(key[take]), pa.array(node[take])], names=["key", "node"])
+
+
+def _meet(close: int):
+    """Of rows (key, side, node, fp) sorted by key: a spanning forest of the close pairs of each key."""
+
+    def flush(side: np.ndarray, node: np.ndarray, fp: np.ndarray) -> list[tuple[int, int]]:
+        left = np.flatnonzero(side <= 1)
+        right = left if (side == 0).all() else np.flatnonzero(side == 2)
+        forest, out = simhash.Forest(len(node)), []
+        for i in range(0, len(left), 512):
+            for j in range(i if right is left else 0, len(right), 512):
+                a, b = left[i : i + 512], right[j : j + 512]
+                near = _close(fp[a], fp[b], close)
+                if right is left and i == j:
+                    near = np.triu(near, 1)
+                for x, y in zip(*(v.tolist() for v in np.nonzero(near))):
+                    if forest.join(int(a[x]), int(b[y])):
+                        out.append((int(node[a[x]]), int(node[b[y]])))
+        return out
+
+    def whole(key: np.ndarray, side: np.ndarray, node: np.ndarray, fp: np.ndarray) -> list[tuple[int, int]]:
+        cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[cuts, len(key)])
+        two = cuts[sizes == 2]
+        two = two[((side[two] == 0) | (side[two] != side[two + 1])) & ((fp[two] == fp[two + 1]).sum(axis=1) >= close)]
+        out = list(zip(node[two].tolist(), node[two + 1].tolist()))
+        for s, n in zip(cuts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+            out += flush(side[s : s + n], node[s : s + n], fp[s : s + n])
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = (*(column(batch, c).to_numpy() for c in ("key", "side", "node")), _sketch_rows(column(batch, "fp")))
+            # the last key may go on in the next batch
+            cut = int(np.searchsorted(new[0], new[0][-1]))
+            if cut:
+                out = whole(*(np.concatenate(x) for x in zip(*held, tuple(c[:cut] for c in new))))
+                held = []
+                if out:
+                    yield _pairs(out)
+            held.append(tuple(c[cut:] for c in new))
+        out = whole(*(np.concatenate(x) for x in zip(*held))) if held else []
+        if out:
+            yield _pairs(out)
+
+    return run
+
+
+def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
+
+
+def _deal(rows: DataFrame, key: str, tile: int, name: str, rest: list[str]) -> DataFrame:
+    """(key, side, rest) of rows: those of a large key are dealt over its pairs of tiles."""
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * tile).select(key, F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    sizes = materialize(sizes, name, small=True)
+    if sizes.isEmpty():
+        return rows.select(key, F.lit(0).alias("side"), *rest)
+    cold = rows.join(sizes, key, "left_anti").select(key, F.lit(0).alias("side"), *rest)
+    hot = rows.join(sizes, key).withColumn("t", F.pmod(F.xxhash64("node"), "tiles").cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    side = F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2)
+    return cold.unionByName(hot.select(F.xxhash64(key, F.least("t", "o"), F.greatest("t", "o")).alias(key), side.alias("side"), *rest))
+
+
+def sketch_links(nodes: DataFrame, close: int = CLOSE, tile: int = KEY_TILE) -> DataFrame:
+    """Links (a, b) between the rows (node, fp, size) whose sketches agree in a band and in `close` places."""
+    spark = nodes.sparkSession
+    bands = lambda n, width: F.array(*[F.xxhash64(F.lit(width * HASHES + i), F.substring("fp", i * width + 1, width)) for i in range(n // width)])
+    none = F.array().cast("array<bigint>")
+    short = F.when(F.col("size") <= SHORT_BAND[0], bands(HASHES, SHORT_BAND[1])).otherwise(none)
+    long = F.when(F.col("size") >= LONG_BAND[0], bands(HASHES, LONG_BAND[1])).otherwise(none)
+    rows = nodes.select("node", F.explode(F.concat(short, long)).alias("key")).select("key", "node")
+    bound_batches(spark)
+    shared = rows.repartition(partitions(spark), "key").sortWithinPartitions("key").mapInArrow(_shared, "key long, node long")
+    shared = materialize(shared, "shared")
+    dealt = _deal(shared.join(nodes.select("node", "fp"), "node"), "key", tile, "hot", ["node", "fp"])
+    return dealt.repartition(partitions(spark), "key").sortWithinPartitions("key").mapInArrow(_meet(close), "a long, b long")
+
+
+def _verify(close: int, least: float):
     """Of rows (part, side, fp, node, line) that come sorted by part: a spanning forest of the verified links of each part."""
 
     def flush(parts: list[tuple]) -> list[tuple[int, int]]:
         if len(parts) == 1 and len(parts[0][1]) <= 2:  # most parts are two lines
             side, fp, node, lines = parts[0]
-            if len(fp) < 2 or (side[0] and side[0] == side[1]) or (int(fp[0] ^ fp[1]) & (2**64 - 1)).bit_count() > radius:
+            if len(fp) < 2 or (side[0] and side[0] == side[1]) or not _close(fp[:1], fp[1:], close)[0, 0]:
                 return []
             return [(int(node[0]), int(node[1]))] if similar(lines[0], lines[1], least) else []
         side, fp, node = (np.concatenate([p[i] for p in parts]) for i in range(3))
         lines = [x for p in parts for x in p[3]]
         forest, out = simhash.Forest(len(fp)), []
-        fps = fp.view(np.uint64)
-        order = np.lexsort((node, fps, np.bitwise_count(fps)))
+        order = np.argsort(node, kind="stable")
         left = order[side[order] <= 1]
         right = left if (side == 0).all() else order[side[order] == 2]
         for i in range(0, len(left), 512):
             for j in range(i if right is left else 0, len(right), 512):
                 a, b = left[i : i + 512], right[j : j + 512]
-                if abs(int(np.bitwise_count(fps[a[0]])) - int(np.bitwise_count(fps[b[-1]]))) > radius + 64:
-                    continue
-                close = np.bitwise_count(fps[a][:, None] ^ fps[b][None, :]) <= radius
+                near = _close(fp[a], fp[b], close)
                 if right is left and i == j:
-                    close = np.triu(close, 1)
-                for x, y in zip(*(v.tolist() for v in np.nonzero(close))):
+                    near = np.triu(near, 1)
+                for x, y in zip(*(v.tolist() for v in np.nonzero(near))):
                     p, q = int(a[x]), int(b[y])
                     if forest.root(p) != forest.root(q) and similar(lines[p], lines[q], least):
                         forest.join(p, q)
                         out.append((int(node[p]), int(node[q])))
         return out
 
-    def batch_of(out: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at, out = [], None, []
         for batch in batches:
             part = column(batch, "part").to_numpy()
             if not len(part):
                 continue
-            side, fp, node = (column(batch, c).to_numpy() for c in ("side", "fp", "node"))
+            side, node, fp = column(batch, "side").to_numpy(), column(batch, "node").to_numpy(), _sketch_rows(column(batch, "fp"))
             lines = column(batch, "line").to_pylist()
             cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)]):
@@ -223,12 +355,12 @@ def _verify(radius: int, least: float):
                 at = part[s]
                 held.append((side[s:e], fp[s:e], node[s:e], lines[s:e]))
             if out:
-                yield batch_of(out)
+                yield _pairs(out)
                 out = []
         if held:
             out += flush(held)
         if out:
-            yield batch_of(out)
+            yield _pairs(out)
 
     return run
 
@@ -243,7 +375,7 @@ def row_keys(ids: list, data: bytes, ends: list[int]) -> np.ndarray:
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """(row, doc_id, number, node, fp, words) of each line that has a word; fp is null for lines of too few words."""
+    """(row, doc_id, number, node, fp, words, size) of each line that has a word; fp, the sketch, is null for lines of too few words."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         off, raw = text_buffers(column(batch, "text"))
@@ -252,27 +384,24 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rows = row_keys(ids.to_pylist(), raw.tobytes(), off.tolist())
         keep = np.flatnonzero(t["words"] > 0)
         of, n = t["text"][keep], t["words"][keep]
-        cols = [pa.array(rows[of]), ids.take(pa.array(of)), pa.array(t["number"][keep]), pa.array(t["hash"][keep]), pa.array(t["print"][keep], mask=n < least_words), pa.array(n)]
-        return pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "number", "node", "fp", "words"])
+        cols = [pa.array(rows[of]), ids.take(pa.array(of)), pa.array(t["number"][keep]), pa.array(t["hash"][keep]), pa.array([x if m >= least_words else None for x, m in zip(map(bytes, t["sketch"][keep]), n.tolist())], pa.binary()), pa.array(n), pa.array(t["size"][keep])]
+        return pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "number", "node", "fp", "words", "size"])
 
-    return map_batches(_docs(docs, id_col, text_col), work, "row long, doc_id long, number long, node long, fp long, words long", "text", _CHUNK)
+    return map_batches(_docs(docs, id_col, text_col), work, "row long, doc_id long, number long, node long, fp binary, words long, size long", "text", _CHUNK)
 
 
 def node_table(seen: DataFrame) -> DataFrame:
-    """(node, fp, first, n) of each different line: its SimHash, first occurrence (id, row, number) and number of occurrences."""
+    """(node, fp, size, first, n) of each different line: its sketch, bytes, first occurrence (id, row, number) and number of occurrences."""
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row", "number")).alias("first")
-    return seen.groupBy("node").agg(F.min("fp").alias("fp"), first, F.count(F.lit(1)).alias("n"))
+    return seen.groupBy("node").agg(F.min("fp").alias("fp"), F.min("size").alias("size"), first, F.count(F.lit(1)).alias("n"))
 
 
-def groups(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, blocks: int = BLOCKS, least: float = SIMILAR, least_words: int = LEAST_WORDS, tile: int = TILE, bits: int = FILTER_BITS) -> DataFrame:
+def groups(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col: str = "text", close: int = CLOSE, least: float = SIMILAR, least_words: int = LEAST_WORDS, tile: int = TILE, bits: int = FILTER_BITS) -> DataFrame:
     """(node, root) of each line that is linked to a different one; `table` is the node_table()."""
     spark = docs.sparkSession
-    nodes = table.where("fp IS NOT NULL").select("node", "fp")
-    per_print = nodes.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
-    per_print = materialize(per_print, "prints", small=True)
-    near = connected_components(simhash.hamming_links(per_print.select("fp"), radius, blocks)).select(F.col("node").alias("fp"), F.col("root").alias("part"))
-    parts = per_print.join(near, "fp", "left").where("part IS NOT NULL OR n > 1").select("fp", F.coalesce("part", "fp").alias("part"))
-    chosen = materialize(nodes.join(materialize(parts, "parts", small=True), "fp").select("node", "fp", "part"), "chosen", small=True)
+    nodes = table.where("fp IS NOT NULL").select("node", "fp", "size")
+    parts = connected_components(sketch_links(nodes, close)).select("node", F.col("root").alias("part"))
+    chosen = materialize(nodes.join(parts, "node").select("node", "fp", "part"), "chosen", small=True)
     wanted = bloom.build(chosen, "node", bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,16 +423,8 @@ def groups(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col:
     bound_batches(spark)
     lines = _docs(docs, id_col, text_col).mapInArrow(work, "node long, line binary").groupBy("node").agg(F.min("line").alias("line"))
     full = materialize(chosen.join(lines, "node"), "lines")
-    sizes = full.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * tile).select("part", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    sizes = materialize(sizes, "large", small=True)
-    if sizes.isEmpty():
-        dealt = full.select("part", F.lit(0).alias("side"), "fp", "node", "line")
-    else:  # a large part is dealt over its pairs of tiles
-        cold = full.join(sizes, "part", "left_anti").select("part", F.lit(0).alias("side"), "fp", "node", "line")
-        hot = full.join(sizes, "part").withColumn("t", F.pmod(F.xxhash64("node"), "tiles").cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        side = F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2)
-        dealt = cold.unionByName(hot.select(F.xxhash64("part", F.least("t", "o"), F.greatest("t", "o")).alias("part"), side.alias("side"), "fp", "node", "line"))
-    links = dealt.repartition(partitions(spark), "part").sortWithinPartitions("part").mapInArrow(_verify(radius, least), "a long, b long")
+    dealt = _deal(full, "part", tile, "large", ["fp", "node", "line"])
+    links = dealt.repartition(partitions(spark), "part").sortWithinPartitions("part").mapInArrow(_verify(close, least), "a long, b long")
     return connected_components(links)
 
 
