@@ -23,3 +23,11 @@ def test_against_edit_similarity_alone(spark):
     got = L.deduplicate(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
     found = {r.doc_id for r in got if r.n_removed}
     assert found <= gone and len(found) >= 0.98 * len(gone)
+
+
+def test_short_words_count():
+    """Lines that differ in a short word only have prints of their own."""
+    from tests.llm.test_lines import table
+
+    a, b = table(["aaaa bbbb cccc dddd eeee of on at by"])["print"], table(["aaaa bbbb cccc dddd eeee in is am up"])["print"]
+    assert a[0] != b[0]
