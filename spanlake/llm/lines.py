@@ -1,151 +1,145 @@
-"""Fuzzy line deduplication: min-hash sketches, bands, edit similarity, one occurrence per connected group.
-
-Lines are normalised to their ASCII-folded words. Equal normalised lines are one node. Of each other line, a sketch holds
-HASHES minima over hashes of all its runs of GRAM bytes; lines that agree in a band of the sketch, and in CLOSE of its
-places, are linked, and grouped into the components of those links, where each close pair that is not yet connected is
-verified by edit similarity. Bands find nearly all similar pairs, not all of them (the README has the recall); what they
-find is judged by edit similarity alone. The components of the verified links are the groups; the first occurrence in the order of id and line stays, all others go. Lines of
-fewer than LEAST_WORDS words only go as equal lines, and lines without any word stay.
+"""Fuzzy line deduplication: blocks of a min-hash signature, edit similarity, one occurrence per connected group.
+
+Lines are normalised to their ASCII-folded words and known by a 128-bit cryptographic digest; equal ones are one node.
+Every different line has BANDS keys, made of min-hashes over its pairs of neighbouring words (lines of up to SHORT code
+points: over its GRAM-byte strings; around that length lines have both, so that no similar pair is parted). Lines that
+share a key are compared by edit similarity, unless they are connected already: each key's lines with its least one
+first, then those that are still in different groups with each other. Verified links alone make the groups; the first
+occurrence in the order of id and line stays, all others go. Lines without a word stay. Blocks find nearly all similar
+pairs, not all of them: the README has the measured recall, and why these are not blocks of a SimHash.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom, simhash
-from .common import bound_batches, by_bytes, column, map_batches, materialize, partitions, text_buffers
+from .anchors import _power
+from .common import by_bytes, column, map_batches, materialize, partitions, text_bytes
 from .components import connected_components
-from .words import FOLD, words
-
-SIMILAR, LEAST_WORDS = 0.8, 5
-#: Places of a sketch, bytes of a run, and places that two lines must share to be compared.
-HASHES, GRAM, CLOSE = 96, 5, 20
-#: Bytes and places a band: lines of up to so many bytes meet by bands of 3, those of at least so many by bands of 4. Lengths overlap by a fifth and more.
-SHORT_BAND, LONG_BAND = (128, 3), (96, 4)
-#: Bits in which the 64-bit prints of most similar lines differ at most; of unrelated lines, about 32 do. The tests read it; what is compared goes by bands and CLOSE alone.
-RADIUS = 24
-#: Lines of one component that a task compares with as many others, and bytes of lines that are held at a time.
-TILE, FILTER_BITS = 256, 1 << 22
-#: Lines of one band key that a task compares with as many others.
-KEY_TILE = 2048
-#: Lines of more code points are compared word by word.
-LONG_LINE = 1 << 15
-_CHUNK = 1 << 20
-_FOLD = np.frombuffer(FOLD, np.uint8)
-_BASE, _WORD_BASE = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
-_FACTORS = np.random.default_rng(5).integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+from .words import FOLD
 
+SIMILAR = 0.8
+#: Keys of a line, and min-hashes a key of a short line and of any other.
+BANDS, SHORT_PLACES, LONG_PLACES = 8, 3, 2
+#: Code points of the lines that are compared by byte strings, and of those compared by word pairs: similar lines differ by a fifth at most.
+SHORT, LONG = 48, 38
+#: Bytes of a string; bytes beyond which a word (of a script without blanks) counts by its strings as well, and their size.
+GRAM, LONG_WORD, PIECE = 4, 24, 6
+#: Code points of the shortest line that can be similar to a different one, by one edit in five.
+LEAST = 5
+#: Lines of one key that a task compares with as many others, share of lines in which hot keys are looked for, bits of the filters that spare traffic.
+TILE, SAMPLE, FILTER_BITS = 1024, 16, 1 << 22
+_CHUNK, _SEEN = 1 << 20, 500_000
+_LINES = bytes(10 if b == 10 else FOLD[b] for b in range(256))
+_BASE = 0x9E3779B97F4A7C15 | 1
+_FACTORS = np.random.default_rng(5).integers(0, 1 << 31, BANDS * SHORT_PLACES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
 
+def normal_lines(text: bytes) -> list[tuple[int, bytes]]:
+    """(number, words with one blank between) of each line of a text that has a word."""
+    return [(i, b" ".join(w)) for i, x in enumerate(text.translate(_LINES).split(b"\n")) if (w := x.split())]
 
-def _span_hash(values: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash modulo 2 ** 64 of values[begin:end] for each span, from one running sum."""
-    from .anchors import _power
 
-    n = len(values)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * _power(base, n), out=sums[1:])
-    inverse = pow(base, -1, 1 << 64)
-    return _mix((sums[end] - sums[begin]) * _power(inverse, n + 1)[begin] + (end - begin).astype(np.uint64))
+def digest(line: bytes) -> bytes:
+    return hashlib.blake2b(line, digest_size=16).digest()
 
 
-def line_table(raw: np.ndarray, offsets: np.ndarray, least_words: int = LEAST_WORDS) -> dict[str, np.ndarray]:
-    """Of the lines of the texts that lie end to end in `raw`: text, number in it, hash, sketch, words, size, and begin and end.
+def row_key(i: int | None, text: bytes) -> bytes:
+    """Key of a row by id and text; rows that share both are one occurrence."""
+    return hashlib.blake2b(text, digest_size=16, salt=b"" if i is None else i.to_bytes(8, "big", signed=True) + b"i").digest()
 
-    The hash is of the words in order; size is the bytes of the words and of a blank between each two. The sketch is that of
-    sketches(), and the print a bit each of its first 64 bytes; lines of fewer than `least_words` words have none of either.
-    """
-    n_text = len(offsets) - 1
-    breaks = np.flatnonzero(raw == 10)
-    of = np.searchsorted(offsets, breaks, side="right") - 1
-    # a line begins at each text's begin and after each break
-    begin = np.r_[offsets[:-1], breaks + 1]
-    text = np.r_[np.arange(n_text), of]
-    order = np.lexsort((begin, text))
-    begin, text = begin[order], text[order]
-    end = np.r_[begin[1:] - 1, offsets[-1]]
-    last = np.flatnonzero(np.r_[text[1:] != text[:-1], True])
-    end[last] = offsets[1:][text[last]]
-    number = np.arange(len(begin)) - np.searchsorted(text, text)
-    folded = _FOLD[raw]
-    inside = np.r_[False, folded != 32, False]
-    # words end at line breaks, which are no part of a word, and at the ends of texts
-    cuts = np.zeros(len(raw) + 1, bool)
-    cuts[offsets] = True
-    starts = np.flatnonzero(inside[1:] & (~inside[:-1] | cuts))
-    stops = np.flatnonzero(inside[:-1] & (~inside[1:] | cuts))
-    starts = starts[starts < len(raw)]
-    word = _span_hash(folded.astype(np.uint64) + np.uint64(1), starts, stops, _BASE)
-    first, after = np.searchsorted(starts, begin), np.searchsorted(starts, end)
-    after = np.maximum(after, first)
-    n_words = after - first
-    hashes = _span_hash(word, first, after, _WORD_BASE)
-    # the words with one blank after each, as far as one stands there; a line's last blank is not counted
-    kept = folded != 32
-    kept[stops[stops < len(raw)]] = True
-    place = np.r_[0, np.cumsum(kept)]
-    has = n_words > 0
-    size, nb = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
-    nb[has] = place[starts[first[has]]]
-    size[has] = place[stops[after[has] - 1]] - nb[has]
-    sketch = np.zeros((len(begin), HASHES), np.uint8)
-    some = np.flatnonzero((n_words >= least_words) & has)
-    if len(some):
-        sketch[some] = sketches(folded[kept], nb[some], size[some], hashes[some])
-    prints = print_of(sketch).view(np.int64)
-    return {"text": text, "number": number, "hash": hashes.view(np.int64), "print": prints, "sketch": sketch, "words": n_words, "size": size, "begin": begin, "end": end}
-
-
-def print_of(sketch: np.ndarray) -> np.ndarray:
-    return np.packbits(sketch[:, :64] & 1, axis=1, bitorder="little").view(np.uint64).ravel()
-
-
-def sketches(line: np.ndarray, begin: np.ndarray, size: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """A byte each of HASHES minima over the hashes of all runs of GRAM bytes of the lines at `begin`; of shorter lines, of `own`."""
-    n = max(0, len(line) - GRAM + 1)
-    grams = np.zeros(n, np.uint64)
-    for i in range(GRAM):
-        grams *= np.uint64(_BASE)
-        grams += line[i : n + i]
-    grams = (_mix(grams) >> np.uint64(32)).astype(np.uint32)
-    least = np.empty((HASHES, len(begin)), np.uint32)
-    tiny = size < GRAM
-    least[:, tiny] = (own[tiny] >> np.uint64(32)).astype(np.uint32) * _FACTORS[:, None]
-    some = np.flatnonzero(~tiny)
-    count = size[some] - GRAM + 1
-    for lo, hi in _pieces(np.cumsum(count), 1 << 15):
-        take, sizes = some[lo:hi], count[lo:hi]
-        begins = np.r_[0, np.cumsum(sizes)[:-1]]
-        if len(take) == 1:  # one line, however long, in steps
-            a, b = int(begin[take[0]]), int(begin[take[0]] + sizes[0])
-            least[:, take[0]] = np.min([[(grams[i : min(b, i + (1 << 15))] * f).min() for f in _FACTORS] for i in range(a, b, 1 << 15)], axis=0)
-            continue
-        values = grams[np.arange(int(sizes.sum())) + np.repeat(begin[take] - begins, sizes)]
-        product = np.empty_like(values)
-        for k, f in enumerate(_FACTORS):
-            np.multiply(values, f, out=product)
-            least[k, take] = np.minimum.reduceat(product, begins)
-    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).T
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
 
 
-def _pieces(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of lines with at most `most` words together, or of a single longer line."""
+def _span_hash(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes [begin, end) of each span, from the running sums of bytes times powers; it only orders features."""
+    inverse = _power(pow(_BASE, -1, 1 << 64), len(sums))
+    return _mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+
+
+def _least(values: np.ndarray, weight: np.ndarray | None, count: np.ndarray, places: int) -> np.ndarray:
+    """For each group of `count` neighbouring values and each place the least of the place's hashes, over the weight if there is one."""
+    out = np.empty((BANDS * places, len(count)), np.uint32)
+    ends = np.cumsum(count)
     lo = 0
-    while lo < len(ends):
-        base = ends[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(ends, base + most, side="right")))
-        yield lo, hi
+    while lo < len(count):  # so many groups at a time that their features stay in the cache
+        base = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, base + (1 << 15), side="right")))
+        part, begins = values[base : ends[hi - 1]], np.r_[0, ends[lo : hi - 1] - base]
+        for k in range(BANDS * places):
+            if weight is None:
+                out[k, lo:hi] = np.minimum.reduceat(part * _FACTORS[k], begins)
+            else:
+                out[k, lo:hi] = np.minimum.reduceat((part * _FACTORS[k]).astype(np.float32) * weight[base : ends[hi - 1]], begins).view(np.uint32)
         lo = hi
+    return out
+
+
+def _keys_of(least: np.ndarray, places: int, kind: int) -> np.ndarray:
+    """A row of BANDS keys for each column of min-hashes."""
+    out = np.empty((least.shape[1], BANDS), np.uint64)
+    for band in range(BANDS):
+        h = np.full(least.shape[1], kind * BANDS + band + 1, np.uint64)
+        for x in least[band * places : (band + 1) * places]:
+            h = _mix(h * np.uint64(_BASE) + x)
+        out[:, band] = h
+    return out.view(np.int64)
+
+
+def line_keys(lines: list[bytes]) -> list[np.ndarray]:
+    """The keys of each normalised line: none under LEAST code points, BANDS of them, or twice as many between LONG and SHORT."""
+    raw = np.frombuffer(b"\n" + b"\n".join(lines) + b"\n", np.uint8)
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    begin = np.cumsum(size + 1) - size
+    end = begin + size
+    points = np.r_[0, np.cumsum(raw & 0xC0 != 0x80)]
+    points = points[end] - points[begin]
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(raw)), out=sums[1:])
+    out: list[list[np.ndarray]] = [[] for _ in lines]
+
+    def add(some: np.ndarray, least: np.ndarray, places: int, kind: int) -> None:
+        for i, keys in zip(some.tolist(), _keys_of(least, places, kind)):
+            out[i].append(keys)
+
+    def strings(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return np.arange(int(counts.sum())) + np.repeat(starts - np.r_[0, np.cumsum(counts)[:-1]], counts)
+
+    some = np.flatnonzero((points >= LEAST) & (points <= SHORT))
+    if len(some):  # with the breaks before and after, which mark a line's begin and end
+        count = size[some] + 3 - GRAM
+        at = strings(begin[some] - 1, count)
+        add(some, _least((_span_hash(sums, at, at + GRAM) >> np.uint64(32)).astype(np.uint32), None, count, SHORT_PLACES), SHORT_PLACES, 0)
+    is_long = points >= LONG
+    if is_long.any():
+        gap = np.flatnonzero(raw <= 32)
+        start, stop = gap[:-1] + 1, gap[1:]
+        word = _span_hash(sums, start, stop)
+        of = np.searchsorted(begin, start, side="right") - 1
+        pair = np.flatnonzero((of[1:] == of[:-1]) & is_long[of[1:]])
+        line, h = of[pair], _mix(word[pair] * np.uint64(_BASE) + word[pair + 1])
+        w = 1 / np.minimum(stop[pair + 1] - start[pair], 64).astype(np.float32)
+        big = np.flatnonzero((stop - start > LONG_WORD) & is_long[of])
+        if len(big):
+            count = stop[big] - start[big] - PIECE + 1
+            at = strings(start[big], count)
+            line, h, w = np.r_[line, np.repeat(of[big], count)], np.r_[h, _span_hash(sums, at, at + PIECE)], np.r_[w, np.full(len(at), 1 / PIECE, np.float32)]
+            order = np.argsort(line, kind="stable")
+            line, h, w = line[order], h[order], w[order]
+        some, count = np.unique(line, return_counts=True)
+        add(some, _least((h >> np.uint64(32)).astype(np.uint32), w, count, LONG_PLACES), LONG_PLACES, 1)
+    return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
 
 
 def distance_at_most(a, b, most: int) -> bool:
@@ -189,297 +183,260 @@ def distance_at_most(a, b, most: int) -> bool:
     return score <= most
 
 
+def _pair_counts(x: str) -> np.ndarray:
+    """How often each pair of neighbouring code points occurs, in 512 buckets."""
+    p = np.frombuffer(x.encode("utf-32-le"), np.uint32)
+    return np.bincount((p[:-1] * np.uint32(31) + p[1:]) & np.uint32(511), minlength=512)
+
+
 def similar(a: bytes, b: bytes, least: float = SIMILAR) -> bool:
-    """Edit similarity of two normalised lines: 1 - distance / longer length, in code points; in words beyond LONG_LINE."""
+    """Whether the edit similarity of two normalised lines, 1 - distance / longer length in code points, is `least` or more."""
     x, y = a.decode("utf-8", "replace"), b.decode("utf-8", "replace")
-    if max(len(x), len(y)) > LONG_LINE:
-        x, y = a.split(), b.split()
     longer = max(len(x), len(y))
-    return distance_at_most(x, y, int((1 - least) * longer + 1e-9))
+    most = int((1 - least) * longer + 1e-9)
+    if longer - min(len(x), len(y)) > most:
+        return False
+    if len(x) == len(y) and np.count_nonzero(np.frombuffer(x.encode("utf-32-le"), np.uint32) != np.frombuffer(y.encode("utf-32-le"), np.uint32)) <= most:
+        return True
+    # an edit makes or breaks at most two pairs of either line
+    if np.abs(_pair_counts(x) - _pair_counts(y)).sum() > 4 * most:
+        return False
+    return distance_at_most(x, y, most)
 
 
-def _sketch_rows(array: pa.Array) -> np.ndarray:
-    return text_buffers(array)[1].reshape(len(array), HASHES)
+def _first_half(key: str):
+    """short_ids() as a Column."""
+    return F.conv(F.hex(F.substring(key, 1, 8)), 16, -10).cast("long")
 
 
-def _close(a: np.ndarray, b: np.ndarray, close: int) -> np.ndarray:
-    """Which rows of two tables of sketches agree in `close` places or more."""
-    same = np.zeros((len(a), len(b)), np.uint8)
-    for x, y in zip(np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)):
-        same += x[:, None] == y[None, :]
-    return same >= close
+def short_ids(keys: list[bytes]) -> np.ndarray:
+    """The first half of each digest, as a signed number."""
+    return np.frombuffer(b"".join(keys), ">i8")[::2].astype(np.int64)
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (key, node) sorted by key: those of keys that more than one row has."""
-    last, left = None, None
-    for batch in batches:
-        key, node = (column(batch, c).to_numpy() for c in ("key", "node"))
-        if not len(key):
-            continue
-        if left is not None:
-            key, node = np.r_[left[0], key], np.r_[left[1], node]
-        same = key[1:] == key[:-1]
-        keep = np.r_[last is not None and key[0] == last, same] | np.r_[same, False]
-        # whether the last row has company shows in the next batch, unless it has some already
-        if keep[-1]:
-            left, last = None, key[-1]
-        else:
-            left, last = (key[-1:], node[-1:]), None
-        take = np.flatnonzero(keep)
-        if len(take):
-            yield pa.RecordBatch.from_arrays([pa.array(key[take]), pa.array(node[take])], names=["key", "node"])
-
-
-def _meet(close: int):
-    """Of rows (key, side, node, fp) sorted by key: a spanning forest of the close pairs of each key."""
-
-    def flush(side: np.ndarray, node: np.ndarray, fp: np.ndarray) -> list[tuple[int, int]]:
-        left = np.flatnonzero(side <= 1)
-        right = left if (side == 0).all() else np.flatnonzero(side == 2)
-        forest, out = simhash.Forest(len(node)), []
-        for i in range(0, len(left), 512):
-            for j in range(i if right is left else 0, len(right), 512):
-                a, b = left[i : i + 512], right[j : j + 512]
-                near = _close(fp[a], fp[b], close)
-                if right is left and i == j:
-                    near = np.triu(near, 1)
-                for x, y in zip(*(v.tolist() for v in np.nonzero(near))):
-                    if forest.join(int(a[x]), int(b[y])):
-                        out.append((int(node[a[x]]), int(node[b[y]])))
-        return out
+def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
-    def whole(key: np.ndarray, side: np.ndarray, node: np.ndarray, fp: np.ndarray) -> list[tuple[int, int]]:
-        cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        sizes = np.diff(np.r_[cuts, len(key)])
-        two = cuts[sizes == 2]
-        two = two[((side[two] == 0) | (side[two] != side[two + 1])) & ((fp[two] == fp[two + 1]).sum(axis=1) >= close)]
-        out = list(zip(node[two].tolist(), node[two + 1].tolist()))
-        for s, n in zip(cuts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-            out += flush(side[s : s + n], node[s : s + n], fp[s : s + n])
-        return out
+
+def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, doc_id, number, node, keys) of each line that has a word. A task gives a line's keys once, where it first meets it; else they are null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        for batch in batches:
-            if not batch.num_rows:
+        seen: set[bytes] = set()
+        for batch in by_bytes(batches, "text", _CHUNK):
+            ids = column(batch, "doc_id").to_pylist()
+            rows, of, numbers, nodes, lines, new = [], [], [], [], [], []
+            for i, text in enumerate(text_bytes(column(batch, "text"))):
+                rows.append(row_key(ids[i], text))
+                for number, line in normal_lines(text):
+                    d = digest(line)
+                    if d not in seen:
+                        seen.add(d), new.append(len(nodes)), lines.append(line)
+                    of.append(i), numbers.append(number), nodes.append(d)
+            if len(seen) > _SEEN:
+                seen.clear()
+            if not nodes:
                 continue
-            new = (*(column(batch, c).to_numpy() for c in ("key", "side", "node")), _sketch_rows(column(batch, "fp")))
-            # the last key may go on in the next batch
-            cut = int(np.searchsorted(new[0], new[0][-1]))
-            if cut:
-                out = whole(*(np.concatenate(x) for x in zip(*held, tuple(c[:cut] for c in new))))
-                held = []
-                if out:
-                    yield _pairs(out)
-            held.append(tuple(c[cut:] for c in new))
-        out = whole(*(np.concatenate(x) for x in zip(*held))) if held else []
-        if out:
-            yield _pairs(out)
+            keys: list[np.ndarray | None] = [None] * len(nodes)
+            for i, k in zip(new, line_keys(lines) if lines else []):
+                keys[i] = k
+            at = pa.array(of, pa.int32())
+            columns = [pa.array(rows, pa.binary()).take(at), column(batch, "doc_id").take(at), pa.array(numbers, pa.int32()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "number", "node", "keys"])
 
-    return run
+    return _docs(docs, id_col, text_col).mapInArrow(run, "row binary, doc_id long, number int, node binary, keys array<long>")
 
 
-def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
+def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (key, id) sorted by both: (key, first, id) for each id of a key but its first one."""
+    key0 = first0 = None
+    for batch in batches:
+        key, node = (column(batch, c).to_numpy() for c in ("key", "id"))
+        if not len(key):
+            continue
+        # where the key goes on from the batch before, its first id is the one held over
+        begin = np.r_[key[0] != key0, key[1:] != key[:-1]]
+        at = np.maximum.accumulate(np.where(begin, np.arange(len(key)), -1))
+        first = np.where(at >= 0, node[at], first0 or 0)
+        take = np.flatnonzero(node != first)
+        key0, first0 = key[-1], first[-1]
+        if len(take):
+            yield pa.RecordBatch.from_arrays([pa.array(x[take].astype(np.int64)) for x in (key, first, node)], names=["key", "first", "id"])
 
 
-def _deal(rows: DataFrame, key: str, tile: int, name: str, rest: list[str]) -> DataFrame:
-    """(key, side, rest) of rows: those of a large key are dealt over its pairs of tiles."""
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * tile).select(key, F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    sizes = materialize(sizes, name, small=True)
-    if sizes.isEmpty():
-        return rows.select(key, F.lit(0).alias("side"), *rest)
-    cold = rows.join(sizes, key, "left_anti").select(key, F.lit(0).alias("side"), *rest)
-    hot = rows.join(sizes, key).withColumn("t", F.pmod(F.xxhash64("node"), "tiles").cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    side = F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2)
-    return cold.unionByName(hot.select(F.xxhash64(key, F.least("t", "o"), F.greatest("t", "o")).alias(key), side.alias("side"), *rest))
-
-
-def sketch_links(nodes: DataFrame, close: int = CLOSE, tile: int = KEY_TILE) -> DataFrame:
-    """Links (a, b) between the rows (node, fp, size) whose sketches agree in a band and in `close` places."""
-    spark = nodes.sparkSession
-    bands = lambda n, width: F.array(*[F.xxhash64(F.lit(width * HASHES + i), F.substring("fp", i * width + 1, width)) for i in range(n // width)])
-    none = F.array().cast("array<bigint>")
-    short = F.when(F.col("size") <= SHORT_BAND[0], bands(HASHES, SHORT_BAND[1])).otherwise(none)
-    long = F.when(F.col("size") >= LONG_BAND[0], bands(HASHES, LONG_BAND[1])).otherwise(none)
-    rows = nodes.select("node", F.explode(F.concat(short, long)).alias("key")).select("key", "node")
-    bound_batches(spark)
-    shared = rows.repartition(partitions(spark), "key").sortWithinPartitions("key").mapInArrow(_shared, "key long, node long")
-    shared = materialize(shared, "shared")
-    dealt = _deal(shared.join(nodes.select("node", "fp"), "node"), "key", tile, "hot", ["node", "fp"])
-    return dealt.repartition(partitions(spark), "key").sortWithinPartitions("key").mapInArrow(_meet(close), "a long, b long")
-
-
-def _verify(close: int, least: float):
-    """Of rows (part, side, fp, node, line) that come sorted by part: a spanning forest of the verified links of each part."""
-
-    def flush(parts: list[tuple]) -> list[tuple[int, int]]:
-        if len(parts) == 1 and len(parts[0][1]) <= 2:  # most parts are two lines
-            side, fp, node, lines = parts[0]
-            if len(fp) < 2 or (side[0] and side[0] == side[1]) or not _close(fp[:1], fp[1:], close)[0, 0]:
-                return []
-            return [(int(node[0]), int(node[1]))] if similar(lines[0], lines[1], least) else []
-        side, fp, node = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        lines = [x for p in parts for x in p[3]]
-        forest, out = simhash.Forest(len(fp)), []
-        order = np.argsort(node, kind="stable")
-        left = order[side[order] <= 1]
-        right = left if (side == 0).all() else order[side[order] == 2]
-        for i in range(0, len(left), 512):
-            for j in range(i if right is left else 0, len(right), 512):
-                a, b = left[i : i + 512], right[j : j + 512]
-                near = _close(fp[a], fp[b], close)
-                if right is left and i == j:
-                    near = np.triu(near, 1)
-                for x, y in zip(*(v.tolist() for v in np.nonzero(near))):
-                    p, q = int(a[x]), int(b[y])
-                    if forest.root(p) != forest.root(q) and similar(lines[p], lines[q], least):
-                        forest.join(p, q)
-                        out.append((int(node[p]), int(node[q])))
-        return out
+def shared_keys(rows: DataFrame, tile: int = TILE) -> DataFrame:
+    """(key, first, id) of the rows (key, id) that aren't their key's first, its least id; a row may come more than once.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at, out = [], None, []
-        for batch in batches:
-            part = column(batch, "part").to_numpy()
-            if not len(part):
-                continue
-            side, node, fp = column(batch, "side").to_numpy(), column(batch, "node").to_numpy(), _sketch_rows(column(batch, "fp"))
-            lines = column(batch, "line").to_pylist()
-            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-            for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)]):
-                if held and part[s] != at:
-                    out += flush(held)
-                    held = []
-                at = part[s]
-                held.append((side[s:e], fp[s:e], node[s:e], lines[s:e]))
-            if out:
-                yield _pairs(out)
-                out = []
-        if held:
-            out += flush(held)
-        if out:
-            yield _pairs(out)
+    The rows of a key are gone through as a sorted stream; a key that a sample of the ids shows to be large isn't sent to
+    one task, but gets its least id by an aggregate with map-side combine and a join whose partitions Spark can split.
+    """
+    spark = rows.sparkSession
+    hot = rows.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * SAMPLE > 2 * tile).select("key")
+    hot = materialize(hot, "hot")
+    cold = rows if hot.isEmpty() else rows.join(hot, "key", "left_anti")
+    found = cold.repartition(partitions(spark), "key").sortWithinPartitions("key", "id").mapInArrow(_firsts, "key long, first long, id long")
+    if not hot.isEmpty():
+        many = rows.join(hot, "key", "left_semi").distinct()
+        found = found.unionByName(many.join(many.groupBy("key").agg(F.min("id").alias("first")), "key").where("id != first").select("key", "first", "id"))
+    return materialize(found, "shared")
 
-    return run
 
+def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*pairs) if pairs else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
+def _across(least: float):
+    """Of rows (part, side, label, id, line) sorted by part: links that join different labels of a part, by lines not yet connected.
 
-def row_keys(ids: list, data: bytes, ends: list[int]) -> np.ndarray:
-    """A key of each row by id and text; rows that share both are one occurrence."""
-    return np.fromiter((xxhash.xxh3_64_intdigest(data[a:b], i & (2**64 - 1) if i is not None else 2**63 + 1) for i, a, b in zip(ids, ends, ends[1:])), np.uint64, len(ids)).view(np.int64)
+    side 0: all lines of the part meet; 1 and 2: those of one side meet those of the other.
+    """
 
+    def flush(side: list[int], label: list[int], ids: list[int], lines: list[bytes]) -> list[tuple[int, int]]:
+        number = {x: i for i, x in enumerate(dict.fromkeys(label))}
+        forest, out = simhash.Forest(len(number)), []
+        at = [number[x] for x in label]
+        for i in range(len(ids)):
+            for j in range(i):
+                if (side[i] == 0 or side[i] != side[j]) and forest.root(at[i]) != forest.root(at[j]) and similar(lines[i], lines[j], least):
+                    forest.join(at[i], at[j])
+                    out.append((ids[i], ids[j]))
+        return out
 
-def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """(row, doc_id, number, node, fp, words, size) of each line that has a word; fp, the sketch, is null for lines of too few words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = ([], [], [], []), None
+        for batch in batches:
+            out = []
+            for part, *row in zip(*(column(batch, c).to_pylist() for c in ("part", "side", "label", "id", "line"))):
+                if part != at:
+                    out += flush(*held)
+                    held, at = ([], [], [], []), part
+                for x, v in zip(held, row):
+                    x.append(v)
+            if out:
+                yield _links(out)
+        if found := flush(*held):
+            yield _links(found)
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        off, raw = text_buffers(column(batch, "text"))
-        t = line_table(raw, off, least_words)
-        ids = column(batch, "doc_id")
-        rows = row_keys(ids.to_pylist(), raw.tobytes(), off.tolist())
-        keep = np.flatnonzero(t["words"] > 0)
-        of, n = t["text"][keep], t["words"][keep]
-        cols = [pa.array(rows[of]), ids.take(pa.array(of)), pa.array(t["number"][keep]), pa.array(t["hash"][keep]), pa.array([x if m >= least_words else None for x, m in zip(map(bytes, t["sketch"][keep]), n.tolist())], pa.binary()), pa.array(n), pa.array(t["size"][keep])]
-        return pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "number", "node", "fp", "words", "size"])
+    return run
 
-    return map_batches(_docs(docs, id_col, text_col), work, "row long, doc_id long, number long, node long, fp binary, words long, size long", "text", _CHUNK)
 
+def _dealt(rows: DataFrame, tile: int) -> DataFrame:
+    """(part, side, label, id, line) of rows (key, label, id, line).
 
-def node_table(seen: DataFrame) -> DataFrame:
-    """(node, fp, size, first, n) of each different line: its sketch, bytes, first occurrence (id, row, number) and number of occurrences."""
-    first = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row", "number")).alias("first")
-    return seen.groupBy("node").agg(F.min("fp").alias("fp"), F.min("size").alias("size"), first, F.count(F.lit(1)).alias("n"))
+    A large key is dealt over pairs of tiles. Its most frequent label has tiles of its own, which never meet each other:
+    where nearly all lines are connected already, a line is sent once and the few others to each tile.
+    """
+    per = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    large = per.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("most")).where(F.col("all") > 2 * tile)
+    tiles = lambda n: F.greatest(F.lit(1), F.ceil(n / tile)).cast("int")
+    large = materialize(large.select("key", F.col("most.label").alias("main"), tiles(F.col("most.n")).alias("a"), tiles(F.col("all") - F.col("most.n")).alias("b")), "large")
+    plain = ["side", "label", "id", "line"]
+    if large.isEmpty():
+        return rows.withColumn("side", F.lit(0)).select(F.col("key").alias("part"), *plain)
+    cold = rows.join(large, "key", "left_anti").withColumn("side", F.lit(0)).select(F.col("key").alias("part"), *plain)
+    own = F.when(F.col("label") == F.col("main"), F.pmod(F.xxhash64("id"), "a")).otherwise(F.col("a") + F.pmod(F.xxhash64("id"), "b")).cast("int")
+    others = F.when(F.col("t") < F.col("a"), F.sequence(F.col("a"), F.col("a") + F.col("b") - 1)).otherwise(F.sequence(F.lit(0), F.col("a") + F.col("b") - 1))
+    hot = rows.join(large, "key").withColumn("t", own).withColumn("o", F.explode(others))
+    side = F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2)
+    return cold.unionByName(hot.select(F.xxhash64("key", F.least("t", "o"), F.greatest("t", "o")).alias("part"), side.alias("side"), "label", "id", "line"))
 
 
-def groups(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col: str = "text", close: int = CLOSE, least: float = SIMILAR, least_words: int = LEAST_WORDS, tile: int = TILE, bits: int = FILTER_BITS) -> DataFrame:
-    """(node, root) of each line that is linked to a different one; `table` is the node_table()."""
-    spark = docs.sparkSession
-    nodes = table.where("fp IS NOT NULL").select("node", "fp", "size")
-    parts = connected_components(sketch_links(nodes, close)).select("node", F.col("root").alias("part"))
-    chosen = materialize(nodes.join(parts, "node").select("node", "fp", "part"), "chosen", small=True)
-    wanted = bloom.build(chosen, "node", bits)
+def _texts(docs: DataFrame, ids: DataFrame, bits: int) -> DataFrame:
+    """(id, node, line) of the chosen ids. Should two lines share an id, which is half of their digest, it stands for one of them."""
+    wanted = bloom.build(ids, "id", bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
+        sent: set[bytes] = set()
         for batch in by_bytes(batches, "text", _CHUNK):
-            off, raw = text_buffers(column(batch, "text"))
-            t, data = line_table(raw, off, 1 << 60), raw.tobytes()
-            out = []
-            for i in np.flatnonzero((t["words"] >= least_words) & bloom.contains(wanted, t["hash"])).tolist():
-                h = int(t["hash"][i])
-                if h not in sent:
-                    sent.add(h)
-                    out.append((h, b" ".join(words(data[t["begin"][i] : t["end"][i]]))))
-            if len(sent) > 500_000:
+            lines = [x for text in text_bytes(column(batch, "text")) for _, x in normal_lines(text)]
+            nodes = [digest(x) for x in lines]
+            short = short_ids(nodes)
+            some = [i for i in np.flatnonzero(bloom.contains(wanted, short)).tolist() if nodes[i] not in sent and not sent.add(nodes[i])]
+            if len(sent) > _SEEN:
                 sent.clear()
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), (pa.int64(), pa.binary()))], names=["node", "line"])
-
-    bound_batches(spark)
-    lines = _docs(docs, id_col, text_col).mapInArrow(work, "node long, line binary").groupBy("node").agg(F.min("line").alias("line"))
-    full = materialize(chosen.join(lines, "node"), "lines")
-    dealt = _deal(full, "part", tile, "large", ["fp", "node", "line"])
-    links = dealt.repartition(partitions(spark), "part").sortWithinPartitions("part").mapInArrow(_verify(close, least), "a long, b long")
-    return connected_components(links)
+            if some:
+                yield pa.RecordBatch.from_arrays([pa.array(short[some]), pa.array([nodes[i] for i in some], pa.binary()), pa.array([lines[i] for i in some], pa.binary())], names=["id", "node", "line"])
+
+    found = docs.select("text").mapInArrow(work, "id long, node binary, line binary")
+    return materialize(found.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("node", "line")).alias("x")).select("id", "x.node", "x.line"), "lines")
+
+
+def groups(docs: DataFrame, seen: DataFrame, least: float = SIMILAR, tile: int = TILE, bits: int = FILTER_BITS) -> DataFrame:
+    """(node, root) of each line that is linked to a different one; docs has the column text, `seen` are its occurrences()."""
+    rows = seen.where("keys IS NOT NULL").select(_first_half("node").alias("id"), F.explode("keys").alias("key"))
+    shared = shared_keys(rows, tile)
+    pairs = materialize(shared.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), bits)
+
+    def check(batch: pa.RecordBatch) -> pa.RecordBatch:
+        a, b, x, y = (column(batch, c).to_pylist() for c in ("a", "b", "x", "y"))
+        return _links([(i, j) for i, j, u, v in zip(a, b, x, y) if similar(u, v, least)])
+
+    pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b").join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
+    links = materialize(map_batches(pairs, check, "a long, b long"), "links")
+    found = connected_components(links)
+    # lines of one key, none of them the one that all were held against, that are in different groups so far
+    rest = shared.select("key", "id").distinct().join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("label"))
+    rest = materialize(rest, "labels")
+    mixed = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
+    rest = materialize(rest.join(mixed, "key", "left_semi").join(texts.select("id", "line"), "id"), "mixed")
+    if not rest.isEmpty():
+        dealt = _dealt(rest, tile).repartition(partitions(docs.sparkSession), "part").sortWithinPartitions("part")
+        more = materialize(dealt.mapInArrow(_across(least), "a long, b long"), "more")
+        if not more.isEmpty():
+            found = connected_components(links.unionByName(more))
+    return texts.select("id", "node").join(found.select(F.col("node").alias("id"), "root"), "id").select("node", "root")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS, counts: tuple[str, str] = ("n_lines", "n_removed"), **options) -> DataFrame:
     """`docs` with the text of each row without the lines that go; all rows and other columns stay as they are.
 
-    Two columns, named by `counts`, are added, in place of any of these names: the lines of the text given (0 if null) and how many went. A null text stays null, and a text of which nothing is left is
-    empty. Rows without an id come last in the order of occurrences. Rows that share id and text count as one.
+    Two columns, named by `counts`, are added, in place of any of these names: the lines of the text given (0 if null)
+    and how many went. A null text stays null, and a text of which nothing is left is empty. Rows without an id come last
+    in the order of occurrences; rows that share an id follow the order of a digest of id and text, and rows that share
+    both count as one. An empty table gives an empty one. A text of any length is held by one task, line by line.
     """
-    spark, docs = docs.sparkSession, docs.drop(*counts)
-    least_words = options.get("least_words", LEAST_WORDS)
-    seen = materialize(occurrences(docs, id_col, text_col, least_words), "occurrences")
-    nodes = materialize(node_table(seen), "nodes")
-    linked = groups(docs, nodes, id_col, text_col, bits=bits, **options)
-    per_node = nodes.select("node", "first", "n")
-    rooted = materialize(per_node.join(linked, "node", "left").where("n > 1 OR root IS NOT NULL").select("node", "first", F.coalesce("root", "node").alias("root")), "rooted", small=True)
-    firsts = materialize(rooted.groupBy("root").agg(F.min("first").alias("kept")), "firsts", small=True)
-    kept = materialize(rooted.join(firsts, "root").select("node", F.col("kept.row").alias("kept_row"), F.col("kept.number").alias("kept_number")), "kept", small=True)
-    gone = seen.select("row", "number", "node").join(kept, "node").where("row != kept_row OR number != kept_number").select("row", "number")
-    gone = materialize(gone, "gone", small=True)
-    per_row = gone.groupBy("row").agg(F.collect_set("number").alias("gone"))
-    has = bloom.build(gone.select("row").distinct(), "row", bits)
+    docs = docs.drop(*counts)
+    seen = materialize(occurrences(docs, id_col, text_col), "occurrences")
+    linked = materialize(groups(_docs(docs, id_col, text_col), seen, bits=bits, **options), "linked")
+    twice = seen.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node")
+    # eight bytes name a group of links, sixteen the copies of one line
+    group = F.unhex(F.lpad(F.hex("root"), 16, "0"))
+    grouped = linked.select("node", group.alias("grp")).unionByName(twice.join(linked, "node", "left_anti").select("node", F.col("node").alias("grp")))
+    hits = materialize(seen.select("row", "doc_id", "number", "node").join(grouped, "node").select("row", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "number", "grp"), "hits")
+    kept = hits.groupBy("grp").agg(F.min(F.struct("id", "row", "number")).alias("kept"))
+    gone = hits.join(kept, "grp").where("row != kept.row OR number != kept.number").select("row", "number")
+    per_row = materialize(gone.groupBy("row").agg(F.collect_set("number").alias("gone")), "gone")
+    has = bloom.build(per_row.select(_first_half("row").alias("row")), "row", bits)
     names = [f"_c{i}" for i in range(len(docs.columns))]
     at = {c: n for c, n in zip(docs.columns, names)}
-    plain = docs.toDF(*names)
-    kinds = [f"{n} {t}" for n, (_, t) in zip(names, docs.dtypes)]
+    text, lines, row = at[text_col], f"_c{len(names)}", f"_c{len(names) + 1}"
+    counted = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.regexp_count(F.col(text), F.lit("\n")) + 1).cast("long")
+    plain = docs.toDF(*names).withColumn(lines, counted)
+    kinds = ", ".join(f"{n} {t}" for n, t in plain.dtypes)
 
-    def mark(moving: bool):
+    def part(moving: bool) -> DataFrame:
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            off, raw = text_buffers(column(batch, at[text_col]))
             ids = column(batch, at[id_col]).cast(pa.int64()).to_pylist()
-            rows = row_keys(ids, raw.tobytes(), off.tolist())
-            take = pa.array(bloom.contains(has, rows) == moving)
-            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows)], names=[*batch.schema.names, "row"])
-            return out.filter(take)
+            keys = [row_key(i, x) for i, x in zip(ids, text_bytes(column(batch, text)))]
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=[*batch.schema.names, row])
+            return out.filter(pa.array(bloom.contains(has, short_ids(keys)) == moving))
 
-        return work
+        return map_batches(plain, work, f"{kinds}, {row} binary", text, _CHUNK)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, removed = [], []
-        for text, gone in zip(column(batch, at[text_col]).to_pylist(), column(batch, "gone").to_pylist()):
+        for x, gone in zip(column(batch, text).to_pylist(), column(batch, "gone").to_pylist()):
             if gone:
                 drop = set(gone)
-                text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop)
-            texts.append(text), removed.append(len(gone or ()))
-        i = batch.schema.get_field_index(at[text_col])
+                x = "\n".join(y for i, y in enumerate(x.split("\n")) if i not in drop)
+            texts.append(x), removed.append(len(gone or ()))
+        i = batch.schema.get_field_index(text)
         cols = [c for c, n in zip(batch.columns, batch.schema.names) if n != "gone"]
         cols[i] = pa.array(texts, batch.schema.field(i).type)
         return pa.RecordBatch.from_arrays([*cols, pa.array(removed, pa.int64())], names=[n for n in batch.schema.names if n != "gone"] + ["n_removed"])
 
-    lines = F.when(F.col(at[text_col]).isNull(), F.lit(0)).otherwise(F.regexp_count(F.col(at[text_col]), F.lit("\n")) + 1).cast("long")
-    kind = ", ".join([*kinds, "n_lines long", "row long"])
-    counted = plain.withColumn("n_lines", lines)
-    still = map_batches(counted, mark(False), kind, at[text_col], _CHUNK).drop("row").withColumn("n_removed", F.lit(0).cast("long"))
-    moved = map_batches(counted, mark(True), kind, at[text_col], _CHUNK).join(per_row, "row", "left").drop("row")
-    moved = map_batches(moved, cut, ", ".join([*kinds, "n_lines long", "n_removed long"]), at[text_col], _CHUNK)
-    bound_batches(spark)
-    return still.unionByName(moved).toDF(*docs.columns, *counts)
+    still = part(False).drop(row).withColumn("n_removed", F.lit(0).cast("long"))
+    moved = part(True).join(per_row.withColumnRenamed("row", row), row, "left").drop(row)
+    return still.unionByName(map_batches(moved, cut, f"{kinds}, n_removed long", text, _CHUNK)).toDF(*docs.columns, *counts)

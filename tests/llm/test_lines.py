@@ -1,11 +1,10 @@
 import random
+import re
 
-import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from spanlake.llm import lines as L
-from spanlake.llm.words import words
 
 
 def levenshtein(a, b):
@@ -23,35 +22,50 @@ def test_distance(a, b, most):
     assert L.distance_at_most(a, b, most) == (levenshtein(a, b) <= most)
 
 
-def table(texts):
-    raw = "".join(texts).encode()
-    off = np.r_[0, np.cumsum([len(t.encode()) for t in texts], dtype=np.int64)]
-    return L.line_table(np.frombuffer(raw, np.uint8), off)
+def normal(line):
+    return " ".join(re.findall("[0-9a-z\x80-\U0010ffff]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line)))
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(alphabet="aB é\n.1", max_size=60), min_size=1, max_size=5))
-def test_line_table(texts):
-    t = table(texts)
-    want = [(i, n, words(x.encode())) for i, s in enumerate(texts) for n, x in enumerate(s.split("\n"))]
-    raw = "".join(texts).encode()
-    got = [(int(i), int(n), words(raw[a:b])) for i, n, a, b in zip(t["text"], t["number"], t["begin"], t["end"])]
-    assert got == want and t["words"].tolist() == [len(w) for *_, w in want]
-    alone = {}
-    for (_, _, w), h, p in zip(want, t["hash"].tolist(), t["print"].tolist()):
-        assert alone.setdefault(tuple(w), (h, p)) == (h, p)
-    assert len({h for h, _ in alone.values()}) == len(alone)
-
-
-def brute(rows, tile_of=None):
-    """Kept texts by the definition: equal or close and similar lines are linked, the first of each group stays."""
-    order = sorted(range(len(rows)), key=lambda i: (2**63 - 1 if rows[i][0] is None else rows[i][0], L.row_keys([rows[i][0]], (rows[i][1] or "").encode(), [0, len((rows[i][1] or "").encode())])[0]))
-    occ = []
-    for i in order:
-        t = table([rows[i][1] or ""])
-        for n, x in enumerate((rows[i][1] or "").split("\n")):
-            occ.append((i, n, b" ".join(words(x.encode())), int(t["print"][n]) & (2**64 - 1)))
-    occ = [o for o in occ if o[2]]
+@given(st.text(alphabet="aB é\n.1", max_size=60))
+def test_normal_lines(text):
+    want = [(i, normal(x).encode()) for i, x in enumerate(text.split("\n")) if normal(x)]
+    assert L.normal_lines(text.encode()) == want
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="ab é1", max_size=90), min_size=1, max_size=6), st.text(alphabet="abcd ", max_size=4000))
+def test_keys_do_not_depend_on_neighbours(texts, long):
+    lines = [x.encode() for t in [*texts, long, long.replace(" ", "")] if (x := normal(t))]
+    for line, keys in zip(lines, L.line_keys(lines) if lines else []):
+        n = len(line.decode())
+        assert keys.tolist() == L.line_keys([line])[0].tolist()
+        assert len(keys) == L.BANDS * ((L.LEAST <= n <= L.SHORT) + (n >= L.LONG))
+
+
+def edit_similar(x, y):
+    return 1 - levenshtein(x, y) / max(len(x), len(y)) >= L.SIMILAR - 1e-9
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abé ", min_size=1, max_size=30), st.text(alphabet="abé ", min_size=1, max_size=30))
+def test_similar(x, y):
+    assert L.similar(x.encode(), y.encode()) == edit_similar(x, y)
+
+
+def test_digests_tell_lines_apart():
+    """Polynomial hashes modulo 2 ** 64 can't tell a Thue-Morse word from its complement, digests can."""
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
+    other = word.translate(str.maketrans("ab", "ba"))
+    assert L.digest(word.encode()) != L.digest(other.encode())
+
+
+def brute(rows):
+    """Kept texts by the definition: equal lines, and similar ones that share a key, are linked; the first of each group stays."""
+    key = lambda r: (2**63 - 1 if r[0] is None else r[0], L.row_key(r[0], (r[1] or "").encode()))
+    occ = [(key(r), n, x, i) for i, r in enumerate(rows) for n, line in enumerate((r[1] or "").split("\n")) if (x := normal(line))]
+    occ.sort(key=lambda o: o[:2])
+    keys = {x: set(L.line_keys([x.encode()])[0].tolist()) for _, _, x, _ in occ}
     up = list(range(len(occ)))
 
     def root(x):
@@ -61,23 +75,18 @@ def brute(rows, tile_of=None):
 
     for a in range(len(occ)):
         for b in range(a):
-            x, y = occ[a], occ[b]
-            near = x[2] == y[2]
-            if not near and min(x[2].count(b" "), y[2].count(b" ")) >= L.LEAST_WORDS - 1 and (x[3] ^ y[3]).bit_count() <= L.RADIUS:
-                u, v = x[2].decode(), y[2].decode()
-                near = 1 - levenshtein(u, v) / max(len(u), len(v)) >= L.SIMILAR - 1e-9
-            if near:
+            x, y = occ[a][2], occ[b][2]
+            if root(a) != root(b) and (x == y or (keys[x] & keys[y] and edit_similar(x, y))):
                 p, q = sorted((root(a), root(b)))
                 up[q] = p
-    key = lambda i: (rows[i][0], rows[i][1])
-    gone = {(o[0], o[1]) for n, o in enumerate(occ) if root(n) != n and (key(o[0]), o[1]) != (key(occ[root(n)][0]), occ[root(n)][1])}
+    gone = {(o[3], o[1]) for n, o in enumerate(occ) if o[:2] != occ[root(n)][:2]}
     return [(d, t if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone)) for i, (d, t) in enumerate(rows)]
 
 
 def fixture():
     rng = random.Random(6)
     vocab = ["".join(rng.choices("abcdefgé", k=rng.randint(2, 7))) for _ in range(90)]
-    base = [" ".join(rng.choices(vocab, k=rng.choice([2, 4, 7, 12, 25]))) for _ in range(14)]
+    base = [" ".join(rng.choices(vocab, k=rng.choice([1, 2, 4, 7, 12, 25]))) for _ in range(14)]
     rows = []
     for i in range(45):
         out = []
@@ -97,11 +106,47 @@ def test_against_brute_force(spark):
     df = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, row string").selectExpr("*", "1 AS gone")
     for tile in (L.TILE, 2):
         got = L.deduplicate(df, tile=tile)
-        assert got.columns == ["doc_id", "text", "row", "gone", "n_lines", "n_removed"]
+        assert got.columns == ["doc_id", "text", "row", "gone", "n_lines", "n_removed"]  # the clashing names stay
         have = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
         assert have == sorted(brute(rows), key=str), tile
 
 
+def test_ids_that_collide(spark, monkeypatch):
+    """Lines whose digests agree in the half that names links stay apart: one of them may go unlinked, none goes with a line unlike it."""
+    whole = L.digest
+    monkeypatch.setattr(L, "digest", lambda x: b"\0" * 8 + whole(x)[8:])
+    lines = ["the quick brown fox jumps over the lazy dog", "pack my box with five dozen liquor jugs now", "the quick brown fox jumps over the lazy dogs"]
+    nodes = {x: L.digest(x.encode()) for x in lines}
+    seen = L.occurrences(spark.createDataFrame(list(enumerate([*lines, lines[1]])), "doc_id long, text string"))
+    assert {bytes(r.node) for r in seen.collect()} == set(nodes.values())
+    got = L.deduplicate(spark.createDataFrame(list(enumerate([*lines, lines[1]])), "doc_id long, text string"))
+    assert {r.doc_id: r.n_removed for r in got.collect()} == {0: 0, 1: 0, 2: 0, 3: 1}
+
+
+def test_hot_key_in_tiles(spark):
+    """Two families of lines under one key, one far larger: dealt over tiles, both become one group each."""
+    rng = random.Random(1)
+    lines = {i: "".join(rng.choices("abcdefgh", k=40)) for i in (0, 1)}
+    rows = [(7, i, i if i % 9 else 100, ("x" * 10 + str(i) + lines[i % 9 == 0]).encode()) for i in range(60)]
+    rows = [(k, 500 if lab == i and i % 9 and i > 8 else lab, i, x) for k, i, lab, x in rows]
+    df = spark.createDataFrame(rows, "key long, label long, id long, line binary")
+    for tile in (1000, 4):
+        links = L._dealt(df, tile).repartition(3, "part").sortWithinPartitions("part").mapInArrow(L._across(0.8), "a long, b long").collect()
+        up = {r[1]: r[1] for r in rows}
+
+        def root(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for _, label, i, _ in rows:
+            up.setdefault(i, i)
+            up[root(i)] = root(label)
+        for r in links:
+            up[root(r.a)] = root(r.b)
+        assert len({root(i) for _, _, i, _ in rows}) == 2, tile
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert L.deduplicate(df).count() == 0
