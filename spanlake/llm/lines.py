@@ -26,20 +26,22 @@ from .components import connected_components
 from .words import FOLD
 
 SIMILAR = 0.8
-#: Keys of a line, and min-hashes a key of a short line and of any other.
-BANDS, SHORT_PLACES, LONG_PLACES = 8, 3, 2
+#: Keys of a line, and min-hashes a key.
+BANDS, PLACES = 8, 3
 #: Code points of the lines that are compared by byte strings, and of those compared by word pairs: similar lines differ by a fifth at most.
-SHORT, LONG = 48, 38
+SHORT, LONG = 64, 51
 #: Bytes of a string; bytes beyond which a word (of a script without blanks) counts by its strings as well, and their size.
 GRAM, LONG_WORD, PIECE = 4, 24, 6
 #: Code points of the shortest line that can be similar to a different one, by one edit in five.
 LEAST = 5
 #: Lines of one key that a task compares with as many others, share of lines in which hot keys are looked for, bits of the filters that spare traffic.
 TILE, SAMPLE, FILTER_BITS = 1024, 16, 1 << 22
+#: Buckets of counted code points: two to the eleventh.
+BUCKETS = 2048
 _CHUNK, _SEEN = 1 << 20, 500_000
 _LINES = bytes(10 if b == 10 else FOLD[b] for b in range(256))
 _BASE = 0x9E3779B97F4A7C15 | 1
-_FACTORS = np.random.default_rng(5).integers(0, 1 << 31, BANDS * SHORT_PLACES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_FACTORS = np.random.default_rng(5).integers(0, 1 << 31, BANDS * PLACES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def normal_lines(text: bytes) -> list[tuple[int, bytes]]:
@@ -68,16 +70,16 @@ def _span_hash(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return _mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
 
 
-def _least(values: np.ndarray, weight: np.ndarray | None, count: np.ndarray, places: int) -> np.ndarray:
+def _least(values: np.ndarray, weight: np.ndarray | None, count: np.ndarray) -> np.ndarray:
     """For each group of `count` neighbouring values and each place the least of the place's hashes, over the weight if there is one."""
-    out = np.empty((BANDS * places, len(count)), np.uint32)
+    out = np.empty((BANDS * PLACES, len(count)), np.uint32)
     ends = np.cumsum(count)
     lo = 0
     while lo < len(count):  # so many groups at a time that their features stay in the cache
         base = int(ends[lo - 1]) if lo else 0
         hi = max(lo + 1, int(np.searchsorted(ends, base + (1 << 15), side="right")))
         part, begins = values[base : ends[hi - 1]], np.r_[0, ends[lo : hi - 1] - base]
-        for k in range(BANDS * places):
+        for k in range(BANDS * PLACES):
             if weight is None:
                 out[k, lo:hi] = np.minimum.reduceat(part * _FACTORS[k], begins)
             else:
@@ -86,12 +88,12 @@ def _least(values: np.ndarray, weight: np.ndarray | None, count: np.ndarray, pla
     return out
 
 
-def _keys_of(least: np.ndarray, places: int, kind: int) -> np.ndarray:
+def _keys_of(least: np.ndarray, kind: int) -> np.ndarray:
     """A row of BANDS keys for each column of min-hashes."""
     out = np.empty((least.shape[1], BANDS), np.uint64)
     for band in range(BANDS):
         h = np.full(least.shape[1], kind * BANDS + band + 1, np.uint64)
-        for x in least[band * places : (band + 1) * places]:
+        for x in least[band * PLACES : (band + 1) * PLACES]:
             h = _mix(h * np.uint64(_BASE) + x)
         out[:, band] = h
     return out.view(np.int64)
@@ -109,8 +111,8 @@ def line_keys(lines: list[bytes]) -> list[np.ndarray]:
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(raw)), out=sums[1:])
     out: list[list[np.ndarray]] = [[] for _ in lines]
 
-    def add(some: np.ndarray, least: np.ndarray, places: int, kind: int) -> None:
-        for i, keys in zip(some.tolist(), _keys_of(least, places, kind)):
+    def add(some: np.ndarray, least: np.ndarray, kind: int) -> None:
+        for i, keys in zip(some.tolist(), _keys_of(least, kind)):
             out[i].append(keys)
 
     def strings(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -120,7 +122,7 @@ def line_keys(lines: list[bytes]) -> list[np.ndarray]:
     if len(some):  # with the breaks before and after, which mark a line's begin and end
         count = size[some] + 3 - GRAM
         at = strings(begin[some] - 1, count)
-        add(some, _least((_span_hash(sums, at, at + GRAM) >> np.uint64(32)).astype(np.uint32), None, count, SHORT_PLACES), SHORT_PLACES, 0)
+        add(some, _least((_span_hash(sums, at, at + GRAM) >> np.uint64(32)).astype(np.uint32), None, count), 0)
     is_long = points >= LONG
     if is_long.any():
         gap = np.flatnonzero(raw <= 32)
@@ -138,7 +140,7 @@ def line_keys(lines: list[bytes]) -> list[np.ndarray]:
             order = np.argsort(line, kind="stable")
             line, h, w = line[order], h[order], w[order]
         some, count = np.unique(line, return_counts=True)
-        add(some, _least((h >> np.uint64(32)).astype(np.uint32), w, count, LONG_PLACES), LONG_PLACES, 1)
+        add(some, _least((h >> np.uint64(32)).astype(np.uint32), w, count), 1)
     return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
 
 
@@ -183,10 +185,36 @@ def distance_at_most(a, b, most: int) -> bool:
     return score <= most
 
 
-def _pair_counts(x: str) -> np.ndarray:
-    """How often each pair of neighbouring code points occurs, in 512 buckets."""
+def _triples(x: str) -> np.ndarray:
+    """How often each three neighbouring code points occur, in buckets; at most 255 are told apart, which never adds a difference."""
     p = np.frombuffer(x.encode("utf-32-le"), np.uint32)
-    return np.bincount((p[:-1] * np.uint32(31) + p[1:]) & np.uint32(511), minlength=512)
+    if len(p) < 3:
+        return np.zeros(BUCKETS, np.uint8)
+    h = ((p[:-2] * np.uint32(0x9E3779B1) + p[1:-1]) * np.uint32(0x85EBCA77) + p[2:]) * np.uint32(0xC2B2AE3D)
+    return np.minimum(np.bincount(h >> np.uint32(21), minlength=BUCKETS), 255).astype(np.uint8)
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of differences of the counts of two lines, or of one line and each row of a table of others."""
+    return (np.maximum(a, b) - np.minimum(a, b)).sum(axis=-1, dtype=np.int64)
+
+
+def _aligned_within(a: list[str], b: list[str], most: int) -> bool:
+    """Whether one alignment of two lists of words, found in a single pass, takes `most` edits or less; if not, another one may."""
+    j = cost = left = 0
+    for w in a:
+        if j < len(b) and b[j] == w:
+            k = j
+        else:
+            k = next((k for k in range(j, min(j + 8, len(b))) if b[k] == w), -1)
+        if k < 0:
+            left += len(w) + 1
+            continue
+        cost += max(left, sum(map(len, b[j:k])) + k - j) if left or k > j else 0
+        if cost > most:
+            return False
+        left, j = 0, k + 1
+    return cost + max(left, sum(map(len, b[j:])) + len(b) - j) <= most
 
 
 def similar(a: bytes, b: bytes, least: float = SIMILAR) -> bool:
@@ -196,12 +224,10 @@ def similar(a: bytes, b: bytes, least: float = SIMILAR) -> bool:
     most = int((1 - least) * longer + 1e-9)
     if longer - min(len(x), len(y)) > most:
         return False
-    if len(x) == len(y) and np.count_nonzero(np.frombuffer(x.encode("utf-32-le"), np.uint32) != np.frombuffer(y.encode("utf-32-le"), np.uint32)) <= most:
+    if _aligned_within(x.split(" "), y.split(" "), most):
         return True
-    # an edit makes or breaks at most two pairs of either line
-    if np.abs(_pair_counts(x) - _pair_counts(y)).sum() > 4 * most:
-        return False
-    return distance_at_most(x, y, most)
+    # an edit makes or breaks at most three triples of either line
+    return bool(_apart(_triples(x), _triples(y)) <= 6 * most) and distance_at_most(x, y, most)
 
 
 def _first_half(key: str):
@@ -295,12 +321,19 @@ def _across(least: float):
     def flush(side: list[int], label: list[int], ids: list[int], lines: list[bytes]) -> list[tuple[int, int]]:
         number = {x: i for i, x in enumerate(dict.fromkeys(label))}
         forest, out = simhash.Forest(len(number)), []
-        at = [number[x] for x in label]
-        for i in range(len(ids)):
-            for j in range(i):
-                if (side[i] == 0 or side[i] != side[j]) and forest.root(at[i]) != forest.root(at[j]) and similar(lines[i], lines[j], least):
-                    forest.join(at[i], at[j])
-                    out.append((ids[i], ids[j]))
+        texts = [x.decode("utf-8", "replace") for x in lines]
+        order = sorted(range(len(ids)), key=lambda i: len(texts[i]))
+        at, sides = [number[label[i]] for i in order], np.array([side[i] for i in order])
+        sizes, counts = np.array([len(texts[i]) for i in order], np.int64), np.zeros((len(ids), BUCKETS), np.uint8)
+        for n, i in enumerate(order):
+            # the shorter ones before it that are long enough, on the other side, and no more apart than so many edits allow
+            counts[n] = _triples(texts[i])
+            lo, most = int(np.searchsorted(sizes, sizes[n] - int((1 - least) * sizes[n] + 1e-9))), int((1 - least) * sizes[n] + 1e-9)
+            near = lo + np.flatnonzero(_apart(counts[lo:n], counts[n]) <= 6 * most)
+            for m in near[(sides[n] == 0) | (sides[near] != sides[n])].tolist():
+                if forest.root(at[m]) != forest.root(at[n]) and similar(lines[order[m]], lines[i], least):
+                    forest.join(at[m], at[n])
+                    out.append((ids[order[m]], ids[i]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
