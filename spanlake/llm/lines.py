@@ -3,10 +3,11 @@
 Lines are normalised to their ASCII-folded words and known by a 128-bit cryptographic digest; equal ones are one node.
 Every different line has BANDS keys, made of min-hashes over its pairs of neighbouring words (lines of up to SHORT code
 points: over its GRAM-byte strings; around that length lines have both, so that no similar pair is parted). Lines that
-share a key are compared by edit similarity, unless they are connected already: each key's lines with its least one
-first, then those that are still in different groups with each other. Verified links alone make the groups; the first
-occurrence in the order of id and line stays, all others go. Lines without a word stay. Blocks find nearly all similar
-pairs, not all of them: the README has the measured recall, and why these are not blocks of a SimHash.
+share a key and have SimHashes of no more than RADIUS differing bits are compared by edit similarity, unless they are
+connected already: each key's lines with its least one first, then those that are still in different groups with each
+other. Verified links alone make the groups; the first occurrence in the order of id and line stays, all others go. Lines
+without a word stay. What is compared holds nearly all similar pairs, not all of them: the README has the measured
+recall, and why blocks of the SimHash itself don't do.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import bloom, simhash
 from .anchors import _power
-from .common import by_bytes, column, map_batches, materialize, partitions, text_bytes
+from .common import by_bytes, column, map_batches, materialize, partitions, text_buffers, text_bytes
 from .components import connected_components
 from .words import FOLD
 
@@ -36,11 +37,12 @@ GRAM, LONG_WORD, PIECE = 4, 24, 6
 LEAST = 5
 #: Lines of one key that a task compares with as many others, share of lines in which hot keys are looked for, bits of the filters that spare traffic.
 TILE, SAMPLE, FILTER_BITS = 1024, 16, 1 << 22
-#: Buckets of counted code points: two to the eleventh.
-BUCKETS = 2048
+#: Bits of a SimHash, and those in which lines of one key may differ to be compared: all but few of the similar ones do in less, most others in more.
+BITS, RADIUS = 128, 40
 _CHUNK, _SEEN = 1 << 20, 500_000
 _LINES = bytes(10 if b == 10 else FOLD[b] for b in range(256))
 _BASE = 0x9E3779B97F4A7C15 | 1
+_SIGNS = np.random.default_rng(7).choice(np.array([-1, 1], np.float32), (2048, BITS))
 _FACTORS = np.random.default_rng(5).integers(0, 1 << 31, BANDS * PLACES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
@@ -185,18 +187,26 @@ def distance_at_most(a, b, most: int) -> bool:
     return score <= most
 
 
-def _triples(x: str) -> np.ndarray:
-    """How often each three neighbouring code points occur, in buckets; at most 255 are told apart, which never adds a difference."""
-    p = np.frombuffer(x.encode("utf-32-le"), np.uint32)
-    if len(p) < 3:
-        return np.zeros(BUCKETS, np.uint8)
-    h = ((p[:-2] * np.uint32(0x9E3779B1) + p[1:-1]) * np.uint32(0x85EBCA77) + p[2:]) * np.uint32(0xC2B2AE3D)
-    return np.minimum(np.bincount(h >> np.uint32(21), minlength=BUCKETS), 255).astype(np.uint8)
+def simhashes(lines: list[bytes]) -> np.ndarray:
+    """A SimHash of BITS bits of each line, as rows of 64-bit words: signs of sums over its triples of neighbouring code points, in 2,048 buckets, by the roots of their counts."""
+    out = np.empty((len(lines), BITS // 64), np.uint64)
+    for lo in range(0, len(lines), 256):
+        counts = np.empty((len(lines[lo : lo + 256]), 2048), np.float32)
+        for i, x in enumerate(lines[lo : lo + 256]):
+            p = np.frombuffer(f"\n{x.decode('utf-8', 'replace')}\n".encode("utf-32-le"), np.uint32)
+            h = ((p[:-2] * np.uint32(0x9E3779B1) + p[1:-1]) * np.uint32(0x85EBCA77) + p[2:]) * np.uint32(0xC2B2AE3D)
+            counts[i] = np.bincount((h ^ h >> np.uint32(15)) * np.uint32(0x85EBCA77) >> np.uint32(21), minlength=2048)
+        out[lo : lo + 256] = np.packbits(np.sqrt(counts) @ _SIGNS > 0, axis=1).view(np.uint64)
+    return out
+
 
+def _prints(array: pa.Array) -> np.ndarray:
+    return text_buffers(array)[1].view(np.uint64).reshape(-1, BITS // 64)
 
-def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sum of differences of the counts of two lines, or of one line and each row of a table of others."""
-    return (np.maximum(a, b) - np.minimum(a, b)).sum(axis=-1, dtype=np.int64)
+
+def _bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which SimHashes differ, row by row."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
 def _aligned_within(a: list[str], b: list[str], most: int) -> bool:
@@ -224,10 +234,7 @@ def similar(a: bytes, b: bytes, least: float = SIMILAR) -> bool:
     most = int((1 - least) * longer + 1e-9)
     if longer - min(len(x), len(y)) > most:
         return False
-    if _aligned_within(x.split(" "), y.split(" "), most):
-        return True
-    # an edit makes or breaks at most three triples of either line
-    return bool(_apart(_triples(x), _triples(y)) <= 6 * most) and distance_at_most(x, y, most)
+    return _aligned_within(x.split(" "), y.split(" "), most) or distance_at_most(x, y, most)
 
 
 def _first_half(key: str):
@@ -312,38 +319,33 @@ def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _across(least: float):
-    """Of rows (part, side, label, id, line) sorted by part: links that join different labels of a part, by lines not yet connected.
+def _across(least: float, radius: int):
+    """Of rows (part, side, label, id, fp, line) sorted by part: links that join different labels of a part, by lines not yet connected.
 
     side 0: all lines of the part meet; 1 and 2: those of one side meet those of the other.
     """
 
-    def flush(side: list[int], label: list[int], ids: list[int], lines: list[bytes]) -> list[tuple[int, int]]:
+    def flush(side: list[int], label: list[int], ids: list[int], fps: list[bytes], lines: list[bytes]) -> list[tuple[int, int]]:
         number = {x: i for i, x in enumerate(dict.fromkeys(label))}
         forest, out = simhash.Forest(len(number)), []
-        texts = [x.decode("utf-8", "replace") for x in lines]
-        order = sorted(range(len(ids)), key=lambda i: len(texts[i]))
-        at, sides = [number[label[i]] for i in order], np.array([side[i] for i in order])
-        sizes, counts = np.array([len(texts[i]) for i in order], np.int64), np.zeros((len(ids), BUCKETS), np.uint8)
-        for n, i in enumerate(order):
-            # the shorter ones before it that are long enough, on the other side, and no more apart than so many edits allow
-            counts[n] = _triples(texts[i])
-            lo, most = int(np.searchsorted(sizes, sizes[n] - int((1 - least) * sizes[n] + 1e-9))), int((1 - least) * sizes[n] + 1e-9)
-            near = lo + np.flatnonzero(_apart(counts[lo:n], counts[n]) <= 6 * most)
-            for m in near[(sides[n] == 0) | (sides[near] != sides[n])].tolist():
-                if forest.root(at[m]) != forest.root(at[n]) and similar(lines[order[m]], lines[i], least):
-                    forest.join(at[m], at[n])
-                    out.append((ids[order[m]], ids[i]))
+        at, sides = [number[x] for x in label], np.array(side)
+        prints = np.frombuffer(b"".join(fps), np.uint64).reshape(-1, BITS // 64)
+        for i in range(1, len(ids)):
+            near = np.flatnonzero((_bits_apart(prints[:i], prints[i]) <= radius) & ((sides[i] == 0) | (sides[:i] != sides[i])))
+            for j in near.tolist():
+                if forest.root(at[i]) != forest.root(at[j]) and similar(lines[i], lines[j], least):
+                    forest.join(at[i], at[j])
+                    out.append((ids[j], ids[i]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = ([], [], [], []), None
+        held, at = ([], [], [], [], []), None
         for batch in batches:
             out = []
-            for part, *row in zip(*(column(batch, c).to_pylist() for c in ("part", "side", "label", "id", "line"))):
+            for part, *row in zip(*(column(batch, c).to_pylist() for c in ("part", "side", "label", "id", "fp", "line"))):
                 if part != at:
                     out += flush(*held)
-                    held, at = ([], [], [], []), part
+                    held, at = ([], [], [], [], []), part
                 for x, v in zip(held, row):
                     x.append(v)
             if out:
@@ -355,7 +357,7 @@ def _across(least: float):
 
 
 def _dealt(rows: DataFrame, tile: int) -> DataFrame:
-    """(part, side, label, id, line) of rows (key, label, id, line).
+    """(part, side, label, id, fp, line) of rows (key, label, id, fp, line).
 
     A large key is dealt over pairs of tiles. Its most frequent label has tiles of its own, which never meet each other:
     where nearly all lines are connected already, a line is sent once and the few others to each tile.
@@ -364,7 +366,7 @@ def _dealt(rows: DataFrame, tile: int) -> DataFrame:
     large = per.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("most")).where(F.col("all") > 2 * tile)
     tiles = lambda n: F.greatest(F.lit(1), F.ceil(n / tile)).cast("int")
     large = materialize(large.select("key", F.col("most.label").alias("main"), tiles(F.col("most.n")).alias("a"), tiles(F.col("all") - F.col("most.n")).alias("b")), "large")
-    plain = ["side", "label", "id", "line"]
+    plain = ["side", "label", "id", "fp", "line"]
     if large.isEmpty():
         return rows.withColumn("side", F.lit(0)).select(F.col("key").alias("part"), *plain)
     cold = rows.join(large, "key", "left_anti").withColumn("side", F.lit(0)).select(F.col("key").alias("part"), *plain)
@@ -372,11 +374,11 @@ def _dealt(rows: DataFrame, tile: int) -> DataFrame:
     others = F.when(F.col("t") < F.col("a"), F.sequence(F.col("a"), F.col("a") + F.col("b") - 1)).otherwise(F.sequence(F.lit(0), F.col("a") + F.col("b") - 1))
     hot = rows.join(large, "key").withColumn("t", own).withColumn("o", F.explode(others))
     side = F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2)
-    return cold.unionByName(hot.select(F.xxhash64("key", F.least("t", "o"), F.greatest("t", "o")).alias("part"), side.alias("side"), "label", "id", "line"))
+    return cold.unionByName(hot.select(F.xxhash64("key", F.least("t", "o"), F.greatest("t", "o")).alias("part"), side.alias("side"), *plain[1:]))
 
 
 def _texts(docs: DataFrame, ids: DataFrame, bits: int) -> DataFrame:
-    """(id, node, line) of the chosen ids. Should two lines share an id, which is half of their digest, it stands for one of them."""
+    """(id, node, line, fp) of the chosen ids, fp their SimHash. Should two lines share an id, which is half of their digest, it stands for one of them."""
     wanted = bloom.build(ids, "id", bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,13 +391,13 @@ def _texts(docs: DataFrame, ids: DataFrame, bits: int) -> DataFrame:
             if len(sent) > _SEEN:
                 sent.clear()
             if some:
-                yield pa.RecordBatch.from_arrays([pa.array(short[some]), pa.array([nodes[i] for i in some], pa.binary()), pa.array([lines[i] for i in some], pa.binary())], names=["id", "node", "line"])
+                yield pa.RecordBatch.from_arrays([pa.array(short[some]), pa.array([nodes[i] for i in some], pa.binary()), pa.array([lines[i] for i in some], pa.binary()), pa.array([x.tobytes() for x in simhashes([lines[i] for i in some])], pa.binary())], names=["id", "node", "line", "fp"])
 
-    found = docs.select("text").mapInArrow(work, "id long, node binary, line binary")
-    return materialize(found.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("node", "line")).alias("x")).select("id", "x.node", "x.line"), "lines")
+    found = docs.select("text").mapInArrow(work, "id long, node binary, line binary, fp binary")
+    return materialize(found.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("node", "line", "fp")).alias("x")).select("id", "x.*"), "lines")
 
 
-def groups(docs: DataFrame, seen: DataFrame, least: float = SIMILAR, tile: int = TILE, bits: int = FILTER_BITS) -> DataFrame:
+def groups(docs: DataFrame, seen: DataFrame, least: float = SIMILAR, tile: int = TILE, bits: int = FILTER_BITS, radius: int = RADIUS) -> DataFrame:
     """(node, root) of each line that is linked to a different one; docs has the column text, `seen` are its occurrences()."""
     rows = seen.where("keys IS NOT NULL").select(_first_half("node").alias("id"), F.explode("keys").alias("key"))
     shared = shared_keys(rows, tile)
@@ -403,20 +405,22 @@ def groups(docs: DataFrame, seen: DataFrame, least: float = SIMILAR, tile: int =
     texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), bits)
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
+        batch = batch.filter(pa.array(_bits_apart(_prints(column(batch, "p")), _prints(column(batch, "q"))) <= radius))
         a, b, x, y = (column(batch, c).to_pylist() for c in ("a", "b", "x", "y"))
         return _links([(i, j) for i, j, u, v in zip(a, b, x, y) if similar(u, v, least)])
 
-    pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b").join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
+    one, other = texts.select(F.col("id").alias("a"), F.col("line").alias("x"), F.col("fp").alias("p")), texts.select(F.col("id").alias("b"), F.col("line").alias("y"), F.col("fp").alias("q"))
+    pairs = pairs.join(other, "b").join(one, "a")
     links = materialize(map_batches(pairs, check, "a long, b long"), "links")
     found = connected_components(links)
     # lines of one key, none of them the one that all were held against, that are in different groups so far
     rest = shared.select("key", "id").distinct().join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("label"))
     rest = materialize(rest, "labels")
     mixed = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
-    rest = materialize(rest.join(mixed, "key", "left_semi").join(texts.select("id", "line"), "id"), "mixed")
+    rest = materialize(rest.join(mixed, "key", "left_semi").join(texts.select("id", "line", "fp"), "id"), "mixed")
     if not rest.isEmpty():
         dealt = _dealt(rest, tile).repartition(partitions(docs.sparkSession), "part").sortWithinPartitions("part")
-        more = materialize(dealt.mapInArrow(_across(least), "a long, b long"), "more")
+        more = materialize(dealt.mapInArrow(_across(least, radius), "a long, b long"), "more")
         if not more.isEmpty():
             found = connected_components(links.unionByName(more))
     return texts.select("id", "node").join(found.select(F.col("node").alias("id"), "root"), "id").select("node", "root")

@@ -61,11 +61,12 @@ def test_digests_tell_lines_apart():
 
 
 def brute(rows):
-    """Kept texts by the definition: equal lines, and similar ones that share a key, are linked; the first of each group stays."""
+    """Kept texts by the definition: equal lines, and similar ones that share a key and are near in their SimHashes, are linked; the first of each group stays."""
     key = lambda r: (2**63 - 1 if r[0] is None else r[0], L.row_key(r[0], (r[1] or "").encode()))
     occ = [(key(r), n, x, i) for i, r in enumerate(rows) for n, line in enumerate((r[1] or "").split("\n")) if (x := normal(line))]
     occ.sort(key=lambda o: o[:2])
     keys = {x: set(L.line_keys([x.encode()])[0].tolist()) for _, _, x, _ in occ}
+    prints = {x: int.from_bytes(L.simhashes([x.encode()])[0].tobytes()) for x in keys}
     up = list(range(len(occ)))
 
     def root(x):
@@ -76,7 +77,7 @@ def brute(rows):
     for a in range(len(occ)):
         for b in range(a):
             x, y = occ[a][2], occ[b][2]
-            if root(a) != root(b) and (x == y or (keys[x] & keys[y] and edit_similar(x, y))):
+            if root(a) != root(b) and (x == y or (keys[x] & keys[y] and (prints[x] ^ prints[y]).bit_count() <= L.RADIUS and edit_similar(x, y))):
                 p, q = sorted((root(a), root(b)))
                 up[q] = p
     gone = {(o[3], o[1]) for n, o in enumerate(occ) if o[:2] != occ[root(n)][:2]}
@@ -129,9 +130,10 @@ def test_hot_key_in_tiles(spark):
     lines = {i: "".join(rng.choices("abcdefgh", k=40)) for i in (0, 1)}
     rows = [(7, i, i if i % 9 else 100, ("x" * 10 + str(i) + lines[i % 9 == 0]).encode()) for i in range(60)]
     rows = [(k, 500 if lab == i and i % 9 and i > 8 else lab, i, x) for k, i, lab, x in rows]
-    df = spark.createDataFrame(rows, "key long, label long, id long, line binary")
+    rows = [(*r[:3], x.tobytes(), r[3]) for r, x in zip(rows, L.simhashes([r[3] for r in rows]))]
+    df = spark.createDataFrame(rows, "key long, label long, id long, fp binary, line binary")
     for tile in (1000, 4):
-        links = L._dealt(df, tile).repartition(3, "part").sortWithinPartitions("part").mapInArrow(L._across(0.8), "a long, b long").collect()
+        links = L._dealt(df, tile).repartition(3, "part").sortWithinPartitions("part").mapInArrow(L._across(0.8, L.BITS), "a long, b long").collect()
         up = {r[1]: r[1] for r in rows}
 
         def root(x):
@@ -139,12 +141,12 @@ def test_hot_key_in_tiles(spark):
                 x = up[x]
             return x
 
-        for _, label, i, _ in rows:
+        for _, label, i, *_ in rows:
             up.setdefault(i, i)
             up[root(i)] = root(label)
         for r in links:
             up[root(r.a)] = root(r.b)
-        assert len({root(i) for _, _, i, _ in rows}) == 2, tile
+        assert len({root(i) for _, _, i, *_ in rows}) == 2, tile
 
 
 def test_empty(spark):
