@@ -37,8 +37,10 @@ GRAM, LONG_WORD, PIECE = 4, 24, 6
 LEAST = 5
 #: Lines of one key that a task compares with as many others, share of lines in which hot keys are looked for, bits of the filters that spare traffic.
 TILE, SAMPLE, FILTER_BITS = 1024, 16, 1 << 22
+#: Lines from which on one line is compared with them all at once.
+MANY = 40
 #: Bits of a SimHash, and those in which lines of one key may differ to be compared: all but few of the similar ones do in less, most others in more.
-BITS, RADIUS = 128, 40
+BITS, RADIUS = 128, 24
 _CHUNK, _SEEN = 1 << 20, 500_000
 _LINES = bytes(10 if b == 10 else FOLD[b] for b in range(256))
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -227,14 +229,58 @@ def _aligned_within(a: list[str], b: list[str], most: int) -> bool:
     return cost + max(left, sum(map(len, b[j:])) + len(b) - j) <= most
 
 
+def _many_within(x: str, others: list[str], most: np.ndarray) -> np.ndarray:
+    """distance_at_most() of one text and many others, all of code points under 256: Myers's bit vectors, 64 bits a block, a column for each other."""
+    m, n = len(x), np.fromiter(map(len, others), np.int64, len(others))
+    width, one = int(n.max()), np.uint64(1)
+    texts = np.frombuffer("".join(y.ljust(width, "\0") for y in others).encode("latin-1"), np.uint8).reshape(len(others), width)
+    match = np.zeros((-(-m // 64), 256), np.uint64)
+    for i, c in enumerate(x.encode("latin-1")):
+        match[i >> 6, c] |= np.uint64(1 << (i & 63))
+    up, down = np.full((len(match), len(others)), ~np.uint64(0)), np.zeros((len(match), len(others)), np.uint64)
+    shift, score = np.uint64(m - 1 & 63), np.full(len(others), m, np.int64)
+    for j in range(width):
+        more, less = np.ones(len(others), np.uint64), np.zeros(len(others), np.uint64)
+        for k, same in enumerate(match[:, texts[:, j]]):
+            p, q = up[k], down[k]
+            vertical, same = same | q, same | less
+            across = (((same & p) + p) ^ p) | same
+            plus, minus = q | ~(across | p), p & across
+            hp, hm = (plus << one) | more, (minus << one) | less
+            more, less = plus >> np.uint64(63), minus >> np.uint64(63)
+            up[k], down[k] = hm | ~(vertical | hp), hp & vertical
+        step = (plus >> shift & one).astype(np.int64) - (minus >> shift & one).astype(np.int64)
+        score += np.where(j < n, step, 0)
+        if j & 15 == 15 and (score - np.maximum(n - 1 - j, 0) > most).all():
+            break
+    return score <= most
+
+
+def _limit(x: str, y: str, least: float) -> int:
+    """Edits that two texts may be apart, or -1 if their lengths alone are further apart."""
+    longer, shorter = max(len(x), len(y)), min(len(x), len(y))
+    most = int((1 - least) * longer + 1e-9)
+    return most if longer - shorter <= most else -1
+
+
 def similar(a: bytes, b: bytes, least: float = SIMILAR) -> bool:
     """Whether the edit similarity of two normalised lines, 1 - distance / longer length in code points, is `least` or more."""
     x, y = a.decode("utf-8", "replace"), b.decode("utf-8", "replace")
-    longer = max(len(x), len(y))
-    most = int((1 - least) * longer + 1e-9)
-    if longer - min(len(x), len(y)) > most:
-        return False
-    return _aligned_within(x.split(" "), y.split(" "), most) or distance_at_most(x, y, most)
+    most = _limit(x, y, least)
+    return most >= 0 and (_aligned_within(x.split(" "), y.split(" "), most) or distance_at_most(x, y, most))
+
+
+def all_similar(a: bytes, others: list[bytes], least: float = SIMILAR) -> list[bool]:
+    """similar() of one line and each of others; many of them are held against it at once."""
+    x, texts = a.decode("utf-8", "replace"), [y.decode("utf-8", "replace") for y in others]
+    limits = [_limit(x, y, least) for y in texts]
+    some = [i for i, most in enumerate(limits) if most >= 0 and max(texts[i]) < "\u0100"] if max(x) < "\u0100" else []
+    if len(some) < MANY:
+        return [most >= 0 and similar(a, y, least) for most, y in zip(limits, others)]
+    out = [most >= 0 and max(y) >= "\u0100" and similar(a, z, least) for most, y, z in zip(limits, texts, others)]
+    for i, ok in zip(some, _many_within(x, [texts[i] for i in some], np.array([limits[i] for i in some])).tolist()):
+        out[i] = ok
+    return out
 
 
 def _first_half(key: str):
@@ -332,9 +378,9 @@ def _across(least: float, radius: int):
         prints = np.frombuffer(b"".join(fps), np.uint64).reshape(-1, BITS // 64)
         for i in range(1, len(ids)):
             near = np.flatnonzero((_bits_apart(prints[:i], prints[i]) <= radius) & ((sides[i] == 0) | (sides[:i] != sides[i])))
-            for j in near.tolist():
-                if forest.root(at[i]) != forest.root(at[j]) and similar(lines[i], lines[j], least):
-                    forest.join(at[i], at[j])
+            near = [j for j in near.tolist() if forest.root(at[i]) != forest.root(at[j])]
+            for j, ok in zip(near, all_similar(lines[i], [lines[j] for j in near], least)):
+                if ok and forest.join(at[i], at[j]):
                     out.append((ids[j], ids[i]))
         return out
 

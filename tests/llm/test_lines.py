@@ -53,6 +53,13 @@ def test_similar(x, y):
     assert L.similar(x.encode(), y.encode()) == edit_similar(x, y)
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.text(alphabet="abé ", min_size=1, max_size=150), st.lists(st.text(alphabet="abé\u4e00 ", min_size=1, max_size=150), min_size=45, max_size=50), st.integers(0, 60))
+def test_many_at_once(x, others, cut):
+    others += [x[:cut] + y[cut:] for y in others if x[:cut] + y[cut:]]
+    assert L.all_similar(x.encode(), [y.encode() for y in others]) == [edit_similar(x, y) for y in others]
+
+
 def test_digests_tell_lines_apart():
     """Polynomial hashes modulo 2 ** 64 can't tell a Thue-Morse word from its complement, digests can."""
     word = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
