@@ -2,11 +2,12 @@
 
 The model file is parsed as protobuf wire format; normaliser, whitespace marker, scores and byte fallback are rebuilt as
 a tokenizers pipeline: a unigram model from its scores, a BPE model from merges in the order of its scores. Batches are
-encoded by the library's own threads, and the result is held against sentencepiece itself.
+encoded and decoded by the library's own threads, and its results are the results. sentencepiece only judges them: each
+row says whether the two agree on all of it.
 
 Where no piece goes on past a word's end, a text's encoding is that of its words one after another. Then each new word
-of a task is encoded once, by the library and by sentencepiece, the two must agree, and texts are put together from
-word encodings with array operations. Whole texts are held against sentencepiece for an audited share of the rows.
+of a task is encoded and decoded once, by the library and by sentencepiece, and texts are put together from what the
+library made of their words; a row's parity is that of all its words. Other models take whole texts.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ import hashlib
 import itertools
 import os
 import struct
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,8 +36,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 UNIGRAM, BPE = 1, 2
 #: Text bytes of a batch, and threads that encode it.
 BATCH_BYTES, THREADS = 1 << 20, 2
-#: Words whose encodings a worker keeps at hand; one row in so many is audited as a whole; new words encoded in one text.
-WORDS, AUDIT, JOINED = 400_000, 50, 2000
+#: Words whose encodings a worker keeps at hand; new words encoded in one text.
+WORDS, JOINED = 400_000, 2000
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -195,6 +195,7 @@ class Codec:
     def _clear(self):
         self._at: dict[str, int] = {}
         self._ids, self._ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self._agree, self._back = np.zeros(0, bool), []
 
     @property
     def tok(self):
@@ -222,33 +223,40 @@ class Codec:
         """What sentencepiece makes of the texts."""
         return self.ref.encode(texts, num_threads=self.threads)
 
-    def checked(self, texts: list[str]) -> list[list[int]]:
-        """The library's encoding; where sentencepiece's is another one, that one."""
-        mine, theirs = self.library_encode(texts), self.expected(texts)
-        return [b if a != b else a for a, b in zip(mine, theirs)]
+    def _words(self, words: list[str]) -> list[list[int]]:
+        """The library's encoding of each word."""
+        return self._cut(words, self.library_encode)
+
+    def _cut(self, words: list[str], encode) -> list[list[int]]:
+        """What `encode` makes of each word. Those without spaces go many to a text, which is cut apart at the marks they begin with."""
+        out: list[list[int]] = [[self.mark] if not w else [] for w in words]  # an empty word is a lone mark at the end
+        plain, odd = [i for i, w in enumerate(words) if w and " " not in w], [i for i, w in enumerate(words) if " " in w]
+        for at in range(0, len(plain), JOINED):
+            some = plain[at : at + JOINED]
+            ids = encode([" ".join(words[i] for i in some)])[0]
+            begins = np.flatnonzero(self.marked[np.array(ids, np.int64)]).tolist() if ids else []
+            if len(begins) != len(some):  # a vocabulary, or a backend, without words' beginnings
+                odd += some
+                continue
+            for i, a, b in zip(some, begins, [*begins[1:], len(ids)]):
+                out[i] = ids[a:b]
+        for i, ids in zip(odd, encode([words[i] for i in odd]) if odd else []):
+            out[i] = ids
+        return out
 
     def _learn(self, new: list[str]) -> None:
-        """Add the encodings of new words. Those without spaces are encoded many to a text and cut apart at the marks they begin with."""
-        plain, odd = [w for w in new if w and " " not in w], [w for w in new if not w or " " in w]
-        joined = [" ".join(plain[i : i + JOINED]) for i in range(0, len(plain), JOINED)]
-        flat = np.fromiter(itertools.chain.from_iterable(self.checked(joined)), np.int32)
-        begins = np.flatnonzero(self.marked[flat])
-        sizes = np.diff(np.r_[begins, len(flat)])
-        if len(sizes) != len(plain):  # a vocabulary without words' beginnings
-            plain, odd, flat, sizes = [], new, np.zeros(0, np.int32), np.zeros(0, np.int64)
-        more = [x if w else [self.mark] for w, x in zip(odd, self.checked(odd))] if odd else []  # an empty word is a lone mark at the end
+        """Add what the library makes of new words, and whether sentencepiece makes the same of them, both ways."""
+        mine, theirs = self._words(new), self._cut(new, self.expected)
+        back, judged = self.library_decode(mine), self.ref.decode(mine)
         start = len(self._at)
-        self._at.update((w, start + i) for i, w in enumerate(itertools.chain(plain, odd)))
-        sizes = np.r_[sizes, np.fromiter(map(len, more), np.int64, len(more))]
-        self._ids = np.r_[self._ids, flat, np.fromiter(itertools.chain.from_iterable(more), np.int32)]
-        self._ends = np.r_[self._ends, self._ends[-1] + np.cumsum(sizes)]
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and where each text's begin and end (n + 1 offsets)."""
-        self.tok  # noqa: B018
-        if not self.by_word:
-            ids = self.checked(texts)
-            return np.fromiter((i for x in ids for i in x), np.int32), np.r_[0, np.cumsum([len(x) for x in ids], dtype=np.int64)]
+        self._at.update((w, start + i) for i, w in enumerate(new))
+        self._ids = np.r_[self._ids, np.fromiter(itertools.chain.from_iterable(mine), np.int32)]
+        self._ends = np.r_[self._ends, self._ends[-1] + np.cumsum([len(x) for x in mine], dtype=np.int64)]
+        self._agree = np.r_[self._agree, [a == b and x == y for a, b, x, y in zip(mine, theirs, back, judged)]]
+        self._back += back
+
+    def _lookup(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of all texts, and the offsets of each text's (n + 1)."""
         lists = [word_list(t) for t in texts]
         if len(self._at) > self.words:
             self._clear()
@@ -258,33 +266,39 @@ class Codec:
         if unknown:
             self._learn(list(dict.fromkeys(flat[i] for i in unknown)))
             at[unknown] = [self._at[flat[i]] for i in unknown]
-        n_words = np.fromiter(map(len, lists), np.int64, len(lists))
+        return at, np.r_[0, np.cumsum([len(x) for x in lists], dtype=np.int64)]
+
+    def _joined(self, at: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         begin, size = self._ends[at], self._ends[at + 1] - self._ends[at]
         total = np.r_[0, np.cumsum(size)]
         ids = self._ids[np.arange(total[-1]) + np.repeat(begin - total[:-1], size)]
-        return ids, total[np.r_[0, np.cumsum(n_words)]]
-
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes that each id stands for, end to end, and their offsets; control and unknown pieces stand for nothing."""
-        if not hasattr(self, "_table"):
-            self.tok  # noqa: B018
-            parts = [bytes([int(t[1:-1], 16)]) if kind == BYTE else b"" if kind in (CONTROL, UNKNOWN, UNUSED) else t.replace(MARK, " ").encode() for t, _, kind in self.spec.pieces]
-            self._table = np.frombuffer(b"".join(parts), np.uint8), np.r_[0, np.cumsum([len(x) for x in parts])]
-        return self._table
-
-    def decode(self, flat: np.ndarray, offsets: np.ndarray) -> list[str]:
-        """Texts of ids that lie end to end. Bytes that are no UTF-8 become the replacement character."""
-        raw, ends = self.table()
-        begin, size = ends[flat], ends[flat + 1] - ends[flat]
-        total = np.r_[0, np.cumsum(size)]
-        data = raw[np.arange(total[-1]) + np.repeat(begin - total[:-1], size)].tobytes()
-        cuts = total[offsets].tolist()
-        strip = self.spec.dummy_prefix
-        texts = (data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:]))
-        return [t[1:] if strip and t[:1] == " " else t for t in texts]
+        wrong = np.r_[0, np.cumsum(~self._agree[at])]
+        return ids, total[words], wrong[words[1:]] == wrong[words[:-1]]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The library's ids of all texts end to end, where each text's begin and end (n + 1 offsets), and whether sentencepiece agrees."""
+        self.tok  # noqa: B018
+        if self.by_word:
+            return self._joined(*self._lookup(texts))
+        mine, theirs = self.library_encode(texts), self.expected(texts)
+        return np.fromiter((i for x in mine for i in x), np.int32), np.r_[0, np.cumsum([len(x) for x in mine], dtype=np.int64)], np.array([a == b for a, b in zip(mine, theirs)], bool)
+
+    def both_ways(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """encode(), with agreement on decoding as well, and what the library decodes the ids to."""
+        self.tok  # noqa: B018
+        if self.by_word:
+            at, words = self._lookup(texts)
+            get, cuts = self._back.__getitem__, words.tolist()
+            numbers = at.tolist()
+            return *self._joined(at, words), [" ".join(map(get, numbers[a:b])) for a, b in zip(cuts, cuts[1:])]
+        ids, off, agree = self.encode(texts)
+        lists = [ids[a:b].tolist() for a, b in zip(off, off[1:])]
+        back = self.library_decode(lists)
+        return ids, off, agree & np.array([x == y for x, y in zip(back, self.ref.decode(lists))], bool), back
 
     def library_decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tok.decode_batch(ids, skip_special_tokens=False)
+        """Texts of lists of ids; bytes that are no UTF-8 become the replacement character."""
+        return self.tok.decode_batch(ids, skip_special_tokens=False) if ids else []
 
 
 @functools.cache
@@ -302,51 +316,47 @@ def load(path: str = MODEL_PATH, threads: int = THREADS) -> Codec:
         return Codec(f.read(), threads)
 
 
-def encode(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with the column ids (array of int) added; null and empty texts have none. Other columns stay; one named ids is replaced."""
-    have = docs.drop("ids")
-    schema = T.StructType([*have.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+def encode(docs: DataFrame, codec: Codec, text_col: str = "text") -> DataFrame:
+    """`docs` with the columns ids (array of int) and parity added, in place of any of these names; null and empty texts have no ids.
+
+    ids are the library's; parity is whether sentencepiece makes the same of the row. Rows may repeat, and an empty table
+    gives an empty one.
+    """
+    have = docs.drop("ids", "parity")
+    schema = T.StructType([*have.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("parity", T.BooleanType())])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        flat, off = codec.encode([x or "" for x in column(batch, text_col).cast(pa.string()).to_pylist()])
+        flat, off, agree = codec.encode([x or "" for x in column(batch, text_col).cast(pa.string()).to_pylist()])
         lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat))
-        return pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "ids"])
+        return pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(agree)], names=[*batch.schema.names, "ids", "parity"])
 
     return map_batches(have, work, schema, text_col, BATCH_BYTES)
 
 
 def decode(tokens: DataFrame, codec: Codec, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(doc_id, text) of each row of ids; a null list is an empty one."""
+    """(doc_id, text) of each row of ids, as the library decodes them; a null list is an empty one, repeated rows come back as often."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = [np.array(x or [], np.int32) for x in column(batch, "ids").to_pylist()]
-        texts = codec.decode(np.concatenate([*lists, np.zeros(0, np.int32)]), np.r_[0, np.cumsum([len(x) for x in lists], dtype=np.int64)])
+        texts = codec.library_decode([x or [] for x in column(batch, "ids").to_pylist()])
         return pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return map_batches(tokens.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")), work, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text", audit: int = AUDIT) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip, parity) of each row.
+def round_trip(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip, parity) of each row; other columns of `docs` are not looked at.
 
-    ids_sha256: of the ids as little-endian 32-bit integers; round_trip: the ids decode to the text, but that the
-    whitespace mark itself reads as a space; parity: for rows whose text's crc32 is divisible by `audit`, whether
-    encoding and decoding of the whole text are those of sentencepiece and the library, else null.
+    ids_sha256: of the library's ids as little-endian 32-bit integers; decoded_sha256: of what it decodes them to;
+    round_trip: that is the text, but that the whitespace mark itself reads as a space; parity: whether sentencepiece
+    encodes and decodes all of the row alike. A null text is an empty one; repeated rows come back as often, and an
+    empty table gives an empty one. A very long text, or word, is held whole by one task.
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [x or "" for x in column(batch, "text").to_pylist()]
-        flat, off = codec.encode(texts)
-        back = codec.decode(flat, off)
+        flat, off, agree, back = codec.both_ways(texts)
         cuts, raw = off.tolist(), flat.astype("<i4")
-        some = [i for i, t in enumerate(texts) if zlib.crc32(t.encode()) % audit == 0]
-        parity: list[bool | None] = [None] * len(texts)
-        if some:
-            whole = [texts[i] for i in some]
-            for i, a, b in zip(some, codec.library_encode(whole), codec.expected(whole)):
-                mine = flat[cuts[i] : cuts[i + 1]].tolist()
-                parity[i] = mine == a == b and codec.library_decode([mine])[0] == back[i]
-        columns = [column(batch, "doc_id"), pa.array(np.diff(off)), pa.array([hashlib.sha256(raw[a:b].tobytes()).hexdigest() for a, b in zip(cuts, cuts[1:])]), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in back]), pa.array([x == t.replace(MARK, " ") for x, t in zip(back, texts)]), pa.array(parity, pa.bool_())]
+        columns = [column(batch, "doc_id"), pa.array(np.diff(off)), pa.array([hashlib.sha256(raw[a:b].tobytes()).hexdigest() for a, b in zip(cuts, cuts[1:])]), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in back]), pa.array([x == t.replace(MARK, " ") for x, t in zip(back, texts)]), pa.array(agree)]
         return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip", "parity"])
 
     return map_batches(_docs(docs, id_col, text_col), work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean, parity boolean", "text", BATCH_BYTES)
