@@ -8,7 +8,9 @@ shuffled, and any token counter can be plugged in.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from itertools import accumulate, groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -19,12 +21,11 @@ from ..functions import text as tx
 #: Where a sentence ends, and where a paragraph does.
 SENTENCE_END = r"""(?<=[.!?])(?:["')\]]+)?\s+(?=[A-Z0-9#*\-])|(?<=\n)\s*(?=\S)"""
 PARAGRAPH = r"\S(?:.*?\S)?(?=\n\s*\n|\Z)"
-SNAP = r"(?<=[.!?])\s+|(?<=\n)\s*"
 #: Tokens of a chunk where a tokenizer's limit is unknown, the share of a known limit, and what is no limit at all.
 UNKNOWN_LIMIT, LIMIT_SHARE, NO_LIMIT, LEAST_LIMIT = 4096, 0.85, 1_000_000, 32
 
 Span = tuple[int, int]
-_sentence, _paragraph, _snap, _word = re.compile(SENTENCE_END), re.compile(PARAGRAPH, re.DOTALL), re.compile(SNAP), re.compile(r"\S+")
+_sentence, _paragraph, _word = re.compile(SENTENCE_END), re.compile(PARAGRAPH, re.DOTALL), re.compile(r"\S+")
 
 
 def token_limit(requested: int | None, model_limit: int | None = None) -> int:
@@ -43,6 +44,18 @@ def whitespace_tokens(text: str) -> list[Span]:
     return [m.span() for m in _word.finditer(text)]
 
 
+#: Cuts at white space never part a token, so the tokens of a whole text tell those of any of its pieces.
+whitespace_tokens.by_blanks = True
+
+
+def _counter(text: str, tokens: Callable[[str], list[Span]]) -> Callable[[int, int], int]:
+    """Tokens of text[a:b] for pieces that begin and end at tokens: looked up where cuts don't part tokens, else counted anew."""
+    if not getattr(tokens, "by_blanks", False):
+        return lambda a, b: len(tokens(text[a:b]))
+    starts = [a for a, _ in tokens(text)]
+    return lambda a, b: bisect_left(starts, b) - bisect_left(starts, a)
+
+
 def _trimmed(text: str, a: int, b: int) -> Span | None:
     """The span without white space at its ends; None if nothing is left."""
     part = text[a:b]
@@ -73,40 +86,31 @@ def _pieces(text: str, a: int, b: int) -> list[Span]:
 
 
 def split_oversized(text: str, a: int, b: int, tokens: Callable[[str], list[Span]], most: int) -> list[Span]:
-    """Spans of at most `most` tokens that cover a sentence of more: pieces packed greedily, a piece that is too long by itself cut at tokens.
+    """Spans of at most `most` tokens that cover a sentence of more: pieces joined as far as they fit, one too long by itself cut at tokens.
 
     Spans are those of the source, so offsets stay true where pieces are parted by more than one space.
     """
+    fits = lambda x, y: len(tokens(text[x:y])) <= most
     out: list[Span] = []
-    held: list[Span] = []
-
-    def flush() -> None:
-        if held:
-            out.append((held[0][0], held[-1][1]))
-            held.clear()
-
-    for piece in _pieces(text, a, b):
-        if held and len(tokens(text[held[0][0] : piece[1]])) > most:
-            flush()
-        if len(tokens(text[piece[0] : piece[1]])) > most:
-            flush()
-            spans = tokens(text[piece[0] : piece[1]])
-            for i in range(0, len(spans), most):
-                part = spans[i : i + most]
-                if s := _trimmed(text, piece[0] + part[0][0], piece[0] + part[-1][1]):
-                    out.append(s)
+    grows = False  # whether the last span may take in the next piece
+    for x, y in _pieces(text, a, b):
+        if grows and fits(out[-1][0], y):
+            out[-1] = (out[-1][0], y)
+        elif grows := fits(x, y):
+            out.append((x, y))
         else:
-            held.append(piece)
-    flush()
+            found = tokens(text[x:y])
+            ends = zip(found[::most], found[most - 1 :: most] + found[-1:])
+            out += [s for (first, _), (_, last) in ends if (s := _trimmed(text, x + first, x + last))]
     return out
 
 
 def units(text: str, tokens: Callable[[str], list[Span]], most: int) -> list[Span]:
     """Sentences of all paragraphs, those over the budget split."""
-    out = []
+    count, out = _counter(text, tokens), []
     for p in paragraphs(text):
         for s in sentences(text, *p):
-            out += [s] if len(tokens(text[s[0] : s[1]])) <= most else split_oversized(text, *s, tokens, most)
+            out += [s] if count(*s) <= most else split_oversized(text, *s, tokens, most)
     return out
 
 
@@ -115,76 +119,80 @@ def chunks(text: str, tokens: Callable[[str], list[Span]], most: int) -> list[tu
 
     A chunk begins with the last unit of the one before where both fit, so mentions at a cut are seen whole once.
     """
-    out, first, have = [], None, []
-    for u in units(text, tokens, most):
-        if have and len(tokens(text[have[0][0] : u[1]])) > most:
-            out.append((have[0][0], have[-1][1], len(tokens(text[have[0][0] : have[-1][1]])), len(have)))
-            again = have[-1]
-            have = [again] if len(tokens(text[again[0] : u[1]])) <= most else []
-        have.append(u)
-        first = have[0]
-    if first is not None:
-        out.append((have[0][0], have[-1][1], len(tokens(text[have[0][0] : have[-1][1]])), len(have)))
+    every, out = units(text, tokens, most), []
+    # units that a tokenizer had to cut may begin within a word: they are counted for themselves
+    count = _counter(text, tokens) if all(text[a - 1 : a].strip() == "" for a, _ in every) else lambda a, b: len(tokens(text[a:b]))
+    first = 0
+    for i, (_, end) in enumerate(every):
+        if i > first and count(every[first][0], end) > most:
+            a, b = every[first][0], every[i - 1][1]
+            out.append((a, b, count(a, b), i - first))
+            first = i - 1 if count(every[i - 1][0], end) <= most else i
+    if every:
+        a, b = every[first][0], every[-1][1]
+        out.append((a, b, count(a, b), len(every) - first))
     return out
 
 
+class _Stops:
+    """Where windows may be cut: the ends of runs of white space that follow the end of a sentence or hold a line break."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.runs = [m.span() for m in re.finditer(r"\s+", text)]
+
+    def last(self, lo: int, cut: int) -> int | None:
+        """The last one within text[lo:cut], of which nothing else is seen."""
+        for a, b in reversed(self.runs[: bisect_left(self.runs, (cut,))]):
+            a, b = max(a, lo), min(b, cut)
+            if a >= b:
+                break
+            if self.text[max(a - 1, lo) : a] in (".", "!", "?") or "\n" in self.text[a:b]:
+                return b
+        return None
+
+
 def sliding(text: str, most: int, stride: int, snap: int | None = None) -> list[Span]:
     """Windows of at most `most` characters, `stride` apart, both ends drawn back to a sentence end within the snap width."""
     if stride >= most:
         raise ValueError("the stride must be less than the window")
-    snap = most - stride if snap is None else snap
-
-    def back(cut: int, start: int) -> int:
-        if cut >= len(text):
-            return len(text)
-        lo = max(cut - snap, start)
-        ends = [m.end() for m in _snap.finditer(text[lo:cut])]
-        return lo + ends[-1] if ends else cut
-
-    out, at = [], 0
-    while at < len(text):
-        end = back(min(at + most, len(text)), at)
-        out.append((at, end))
-        if end >= len(text):
-            break
-        at = max(back(at + stride, at), at + 1)
+    width, size, stops = most - stride if snap is None else snap, len(text), _Stops(text)
+
+    def drawn(begin: int, far: int) -> int:
+        cut = begin + far
+        return size if cut >= size else (stops.last(max(begin, cut - width), cut) or cut)
+
+    out: list[Span] = []
+    begin = end = 0
+    while begin < size and end < size:
+        end = drawn(begin, most)
+        out.append((begin, end))
+        begin = max(begin + 1, drawn(begin, stride))
     return out
 
 
 def packed_paragraphs(paras: list[str], most: int, sep: str = "\n\n", legacy: bool = False, stride: int | None = None) -> list[tuple[int, str, str]]:
     """(offset, text, kind) of chunks of whole paragraphs of at most `most` characters; longer ones go through sliding().
 
-    With `legacy`, the size of a chunk after a full one counts a separator too many, and too long paragraphs use the
-    default stride of 35,000, which fails for smaller windows; else the stride is 7/8 of the window.
+    Offsets are running sums over all paragraphs, and a chunk ends at the last paragraph whose sum is within reach of
+    its begin. With `legacy`, a chunk that follows a full one counts a separator too many, and too long paragraphs use
+    the default stride of 35,000, which fails for smaller windows; else the stride is 7/8 of the window.
     """
+    after = list(accumulate(len(p) + len(sep) for p in paras))
+    begin = [0, *after]
     out: list[tuple[int, str, str]] = []
-    held: list[str] = []
-    size = at = 0
-
-    def flush() -> None:
-        nonlocal size, at
-        if held:
-            body = sep.join(held)
-            out.append((at, body, "structural"))
-            at += len(body) + len(sep)
-            held.clear()
-            size = 0
-
-    for p in paras:
-        more = (len(sep) if held else 0) + len(p)
-        if held and size + more > most:
-            flush()
-            if not legacy:
-                more = len(p)
-        if len(p) > most:
-            flush()
-            spans = sliding(p, most, (35_000 if legacy else most * 7 // 8) if stride is None else stride)
-            out += [(at + a, p[a:b], "sliding_window") for a, b in spans]
-            at += len(p) + len(sep)
+    for too_long, numbers in groupby(range(len(paras)), key=lambda i: len(paras[i]) > most):
+        run = list(numbers)
+        if too_long:
+            step = stride if stride is not None else 35_000 if legacy else most * 7 // 8
+            out += [(begin[i] + a, paras[i][a:b], "sliding_window") for i in run for a, b in sliding(paras[i], most, step)]
             continue
-        held.append(p)
-        size += more
-    flush()
+        i = run[0]
+        while i <= run[-1]:
+            reach = begin[i] + most + len(sep) * (1 - (legacy and i > run[0]))
+            j = min(max(i + 1, bisect_right(after, reach)), run[-1] + 1)
+            out.append((begin[i], sep.join(paras[i:j]), "structural"))
+            i = j
     return out
 
 

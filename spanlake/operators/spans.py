@@ -100,7 +100,7 @@ class _Greedy:
         self.cursor = -1
 
     def __call__(self, row, number):
-        if row is None or row[0] is None or row[0] < self.cursor:
+        if row is None or None in row or row[0] < self.cursor:
             return []
         self.cursor = row[1]
         return [number]
@@ -119,6 +119,8 @@ class _Longest:
         if row is None:
             return [self.last[2]] if self.last else []
         start, end = row
+        if start is None or end is None:
+            return []
         if self.last and start < self.last[1] and self.last[0] < end:
             if self.last[1] - self.last[0] < end - start:
                 self.last = (start, end, number)
@@ -129,13 +131,13 @@ class _Longest:
 
 
 def non_overlapping(spans: DataFrame, doc: str | list[str] = "doc_id", score: str = "score", seq: str = "seq") -> DataFrame:
-    """Greedy from the left: by start, then longer, then higher score, then first seen; a span stays if it begins after the last kept one."""
+    """Greedy from the left: by start, then longer, then higher score, then first seen; a span stays if it begins after the last kept one. Spans without a start or end go."""
     order = [F.col("start"), (F.col("end") - F.col("start")).desc(), F.coalesce(F.col(score), F.lit(0.0)).desc(), F.col(seq)]
     return streamed(spans, [doc] if isinstance(doc, str) else doc, order, _Greedy, ["start", "end"])
 
 
 def longest_spans(spans: DataFrame, doc: str = "doc_id", seq: str = "seq") -> DataFrame:
-    """Longest wins: by start, then longer; a span goes if one at least as long overlaps it, and ousts a shorter one."""
+    """Longest wins: by start, then longer; a span goes if one at least as long overlaps it, and ousts a shorter one. Spans without a start or end go."""
     return streamed(spans, [doc], [F.col("start"), (F.col("end") - F.col("start")).desc(), F.col(seq)], _Longest, ["start", "end"])
 
 
@@ -228,51 +230,13 @@ def best_occurrence(text: str, entity: str, near: int | None, taken: _Taken) ->
 MASTER = "struct<entity:string,label:string,start:int,end:int,source_pass:string,context:string,masked:boolean>"
 
 
-def _context(text: str, a: int, b: int) -> str:
-    return re.sub(r"\s+", " ", text[max(0, a - tx.CONTEXT_CHARS) : b + tx.CONTEXT_CHARS]).strip()
-
-
-def _mapped_order(m: dict):
-    return (m["start"] is None, m["start"] or LAST, m["end"] or LAST, m["entity"])
-
-
-def mask_text(text: str, mentions: list[dict]) -> tuple[str, list[dict], list[dict], list[dict]]:
-    """Masked text, masks, unmatched mentions, and mentions for the merge. Longest surfaces are placed first."""
-    taken, masks, unmatched, master = _Taken(), [], [], []
-    chars = list(text)
-    for m in sorted(mentions, key=lambda m: (-len(m["entity"] or ""), m["start"] or 0)):
-        entity, label = (m["entity"] or "").strip(), (m["label"] or "").strip()
-        old = {"pass1_start": m["start"], "pass1_end": m["end"]}
-        if not entity or not label:
-            unmatched.append({"entity": entity, "label": label, **old, "reason": "empty entity or label"})
-            continue
-        span = best_occurrence(text, entity, m["start"], taken)
-        if span is None:
-            unmatched.append({"entity": entity, "label": label, **old, "reason": "no free exact occurrence"})
-            master.append({"entity": entity, "label": label, "start": None, "end": None, "source_pass": "llm_pass1_unmapped", "context": m.get("context") or None, "masked": False})
-            continue
-        a, b = span
-        taken.add(a, b)
-        chars[a:b] = "*" * (b - a)
-        masks.append({"entity": entity, "label": label, "start": a, "end": b, **old})
-        master.append({"entity": text[a:b], "label": label, "start": a, "end": b, "source_pass": "llm_pass1", "context": _context(text, a, b), "masked": True})
-    masks.sort(key=lambda m: (m["start"], m["end"]))
-    return "".join(chars), masks, unmatched, sorted(master, key=_mapped_order)
-
-
-def recall_text(masked: str, text: str, found: list[dict]) -> list[dict]:
-    """Mentions of what was found in a masked text, in the order found; each takes the leftmost free occurrence."""
+def places(text: str, wanted: list[tuple[str, int | None]]) -> list[tuple[int, int] | None]:
+    """A free occurrence of each of the wanted surfaces, in their order; what one has taken is not free for the next."""
     taken, out = _Taken(), []
-    for m in found:
-        if not m["entity"]:
-            continue
-        span = best_occurrence(masked, m["entity"], None, taken)
-        if span is None:
-            out.append({"entity": m["entity"], "label": m["label"], "start": None, "end": None, "source_pass": "llm_masked_pass_unmapped", "context": None, "masked": False})
-            continue
-        taken.add(*span)
-        a, b = span
-        out.append({"entity": text[a:b], "label": m["label"], "start": a, "end": b, "source_pass": "llm_masked_pass", "context": _context(text, a, b), "masked": False})
+    for surface, near in wanted:
+        out.append(best_occurrence(text, surface, near, taken))
+        if out[-1]:
+            taken.add(*out[-1])
     return out
 
 
@@ -295,25 +259,88 @@ def _with(df: DataFrame, add: str, work: Callable[[dict], dict], read: list[str]
     return df.mapInArrow(run, schema)
 
 
-_MASKS = "masked_text string, masks array<struct<entity:string,label:string,start:int,end:int,pass1_start:int,pass1_end:int>>, unmatched array<struct<entity:string,label:string,pass1_start:int,pass1_end:int,reason:string>>, master array<" + MASTER + ">"
+def _placed(df: DataFrame, text_col: str, wanted: Column) -> DataFrame:
+    """`df` with column _placed: the elements of `wanted`, with surface and near, and the span (a, b) that each has got, or null."""
 
+    def work(row: dict) -> dict:
+        found = places(row["_text"] or "", [(w["surface"], w["near"]) for w in row["_wanted"]])
+        return {"_spans": [None if s is None else {"a": s[0], "b": s[1]} for s in found]}
 
-def mask(chunks: DataFrame, text_col: str = "body", mentions_col: str = "mentions") -> DataFrame:
-    """`chunks` with masked_text, masks, unmatched and master; mentions are an array of (entity, label, start, end, context)."""
+    given = df.withColumns({"_wanted": F.coalesce(wanted, F.array()), "_text": F.col(text_col)})
+    out = _with(given, "_spans array<struct<a:int,b:int>>", work, ["_wanted", "_text"])
+    return out.withColumn("_placed", F.zip_with("_wanted", "_spans", lambda w, s: F.struct(w.alias("w"), s["a"].alias("a"), s["b"].alias("b")))).drop("_wanted", "_spans", "_text")
 
-    def work(row: dict) -> dict:
-        return dict(zip(("masked_text", "masks", "unmatched", "master"), mask_text(row[text_col] or "", row[mentions_col] or [])))
 
-    return _with(chunks, _MASKS, work, [text_col, mentions_col])
+def _merge_row(text: Column, p: Column, source: str, masked: bool, context: Column) -> Column:
+    """A placed mention as merge_master() takes it: with its surface in the text where it has a span, else with the one wanted and `context`."""
+    has = p["a"].isNotNull()
+    fields = {
+        "entity": F.when(has, F.substring(text, p["a"] + 1, p["b"] - p["a"])).otherwise(p["w"]["surface"]),
+        "label": p["w"]["label"],
+        "start": p["a"],
+        "end": p["b"],
+        "source_pass": F.when(has, source).otherwise(f"{source}_unmapped"),
+        "context": F.when(has, tx.context(text, p["a"], p["b"])).otherwise(context),
+        "masked": F.when(has, masked).otherwise(False),
+    }
+    return F.struct(*[c.alias(n) for n, c in fields.items()])
 
 
-def recall(masked: DataFrame, text_col: str = "body", found_col: str = "found") -> DataFrame:
-    """`masked` with column recalled: what was found (array of entity, label), placed."""
+def _sorted_by(rows: Column, key: Callable[[Column], list[Column]]) -> Column:
+    """An array in the order of the keys, equal ones as they stand."""
+    keyed = F.transform(rows, lambda x, i: F.struct(*[k.alias(f"k{n}") for n, k in enumerate(key(x))], i.alias("i"), x.alias("x")))
+    return F.transform(F.array_sort(keyed), lambda y: y["x"])
 
-    def work(row: dict) -> dict:
-        return {"recalled": recall_text(row["masked_text"] or "", row[text_col] or "", row[found_col] or [])}
 
-    return _with(masked, f"recalled array<{MASTER}>", work, ["masked_text", text_col, found_col])
+def masked_text(text: Column, masks: Column) -> Column:
+    """Text with asterisks for each of an array of disjoint masks, sorted by start."""
+
+    def part(m: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(0)).otherwise(F.try_element_at(masks, i)["end"])
+        return F.concat(F.substring(text, before + 1, m["start"] - before), F.repeat(F.lit("*"), m["end"] - m["start"]))
+
+    last = F.coalesce(F.try_element_at(masks, F.lit(-1))["end"], F.lit(0))
+    return F.concat(F.array_join(F.transform(masks, part), ""), F.substring(text, last + 1, F.length(text)))
+
+
+def mask(chunks: DataFrame, text_col: str = "body", mentions_col: str = "mentions") -> DataFrame:
+    """`chunks` with masked_text, masks, unmatched and master; mentions are an array of (entity, label, start, end, context).
+
+    Longest surfaces are placed first, at the free occurrence nearest to where they were seen; what is masked, what has no
+    place and what goes on to the merge all follow from those places. A null text is an empty one.
+    """
+    order = lambda m: [-F.length(F.coalesce(m["entity"], F.lit(""))), F.coalesce(m["start"], F.lit(0))]
+
+    def want(m: Column) -> Column:
+        surface, label = (tx.strip(F.coalesce(m[c], F.lit(""))) for c in ("entity", "label"))
+        usable = (surface != "") & (label != "")
+        fields = {"surface": F.when(usable, surface).otherwise(""), "entity": surface, "label": label, "near": m["start"], "end": m["end"], "context": F.when(m["context"] != "", m["context"])}
+        return F.struct(*[c.alias(n) for n, c in fields.items()])
+
+    keep = [c for c in chunks.columns if c not in ("masked_text", "masks", "unmatched", "master")]
+    out = _placed(chunks.select(*keep), text_col, F.transform(_sorted_by(F.col(mentions_col), order), want))
+    text, placed = F.coalesce(F.col(text_col), F.lit("")), F.col("_placed")
+    old = lambda p: [p["w"]["near"].cast("int").alias("pass1_start"), p["w"]["end"].cast("int").alias("pass1_end")]
+    names = lambda p: [p["w"]["entity"].alias("entity"), p["w"]["label"].alias("label")]
+    reason = lambda p: F.when(p["w"]["surface"] == "", "empty entity or label").otherwise("no free exact occurrence").alias("reason")
+    masks = F.transform(_sorted_by(F.filter(placed, lambda p: p["a"].isNotNull()), lambda p: [p["a"], p["b"]]), lambda p: F.struct(*names(p), p["a"].alias("start"), p["b"].alias("end"), *old(p)))
+    unmatched = F.transform(F.filter(placed, lambda p: p["a"].isNull()), lambda p: F.struct(*names(p), *old(p), reason(p)))
+    master = F.transform(F.filter(placed, lambda p: p["w"]["surface"] != ""), lambda p: _merge_row(text, p, "llm_pass1", True, p["w"]["context"]))
+    late = lambda c: F.when(F.coalesce(c, F.lit(0)) == 0, LAST).otherwise(c)
+    master = _sorted_by(master, lambda m: [m["start"].isNull(), late(m["start"]), late(m["end"]), m["entity"]])
+    out = out.withColumns({"masks": masks, "unmatched": unmatched, "master": master.cast(f"array<{MASTER}>")})
+    return out.withColumn("masked_text", masked_text(text, F.col("masks"))).select(*keep, "masked_text", "masks", "unmatched", "master")
+
+
+def recall(masked: DataFrame, text_col: str = "body", found_col: str = "found") -> DataFrame:
+    """`masked` with column recalled: what was found in the masked text (array of entity, label), each at its leftmost free occurrence, in the order found."""
+    keep = [c for c in masked.columns if c != "recalled"]
+    named = F.filter(F.col(found_col), lambda m: F.coalesce(m["entity"], F.lit("")) != "")
+    wanted = F.transform(named, lambda m: F.struct(m["entity"].alias("surface"), m["label"].alias("label"), F.lit(None).cast("int").alias("near")))
+    out = _placed(masked.select(*keep), "masked_text", wanted)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = F.transform("_placed", lambda p: _merge_row(text, p, "llm_masked_pass", False, F.lit(None).cast("string")))
+    return out.withColumn("recalled", rows.cast(f"array<{MASTER}>")).drop("_placed")
 
 
 def _fold_text(value: str) -> str:
@@ -325,6 +352,7 @@ class _Merge:
 
     def __init__(self):
         self.spans: set = set()
+        self.local: set = set()
         self.by_text: dict = {}
         self.by_chunk: dict = {}
         self.keys: dict = {}
@@ -343,7 +371,7 @@ class _Merge:
         if whole and ((g_start, g_end) in self.spans or self._meets(self.by_text.get(key, []), g_start, g_end)):
             return []
         here = self.by_chunk.setdefault(chunk, [])
-        if local and ((start, end) in here or self._meets(here, start, end)):
+        if local and ((chunk, start, end) in self.local or self._meets(here, start, end)):
             return []
         seen = self.keys.get((chunk, *key))
         if seen is not None and (not local or seen == "unmapped"):
@@ -352,6 +380,7 @@ class _Merge:
             self.spans.add((g_start, g_end))
             insort(self.by_text.setdefault(key, []), (g_start, g_end))
         if local:
+            self.local.add((chunk, start, end))
             insort(here, (start, end))
         if seen is None or not local:
             self.keys[chunk, *key] = "mapped" if local else "unmapped"

@@ -73,6 +73,12 @@ def test_a_long_span_ousts_the_one_before(spark):
     assert [r.seq for r in E.longest_spans(frame(spark, rows)).orderBy("seq").collect()] == [1, 3]
 
 
+def test_spans_without_an_offset_go(spark):
+    rows = [(1, 0, None, 4, "X", 0.5), (1, 1, 3, None, "X", 0.5), (1, 2, 5, 8, "X", 0.5), (1, 3, 9, 12, "X", 0.5)]
+    assert [r.seq for r in E.longest_spans(frame(spark, rows)).orderBy("seq").collect()] == [2, 3]
+    assert [r.seq for r in E.non_overlapping(frame(spark, rows)).orderBy("seq").collect()] == [2, 3]
+
+
 def test_overlap_pairs(spark):
     rows = many_spans(3)
     got = sorted((r.doc_id, r.a, r.b) for r in E.overlap_pairs(frame(spark, rows), key="seq", width=8).collect())
@@ -116,15 +122,17 @@ def test_masking_and_recall(spark):
     text = "alpha beta alpha gamma alphabet"
     m = lambda e, s=None, label="L", c=None: {"entity": e, "label": label, "start": s, "end": None if s is None else s + len(e), "context": c}
     given = [m("alpha", 12), m("alphabet", 23), m("alpha"), m("nope", 1, c="ctx"), m("", 2), m("beta", 6, label=" ")]
-    masked, masks, unmatched, master = E.mask_text(text, given)
+    kind = "id int, body string, mentions array<struct<entity:string,label:string,start:int,end:int,context:string>>"
+    df = spark.createDataFrame([(1, text, given), (2, "", []), (3, None, None)], kind)
+    masked, masks, unmatched, master = E.mask(df.where("id = 1")).select("masked_text", "masks", "unmatched", "master").first()
     assert masked == "***** beta ***** gamma ********" and len(masked) == len(text)
     assert [(x["start"], x["end"]) for x in masks] == [(0, 5), (11, 16), (23, 31)]
     assert sorted(x["reason"] for x in unmatched) == ["empty entity or label"] * 2 + ["no free exact occurrence"]
     # an offset of 0 comes last among the mapped ones, unmapped ones after all
     assert [(x["entity"], x["start"]) for x in master] == [("alpha", 11), ("alphabet", 23), ("alpha", 0), ("nope", None)]
-    found = E.recall_text(masked, text, [{"entity": "gamma", "label": "G"}, {"entity": "gamma", "label": "H"}, {"entity": "beta", "label": "B"}, {"entity": "", "label": "x"}])
+    wanted = [("gamma", "G"), ("gamma", "H"), ("beta", "B"), ("", "x")]
+    found = E.recall(spark.createDataFrame([(text, masked, wanted)], "body string, masked_text string, found array<struct<entity:string,label:string>>")).first().recalled
     assert [(x["entity"], x["start"], x["source_pass"]) for x in found] == [("gamma", 17, "llm_masked_pass"), ("gamma", None, "llm_masked_pass_unmapped"), ("beta", 6, "llm_masked_pass")]
-    df = spark.createDataFrame([(1, text, given), (2, "", []), (3, None, None)], "id int, body string, mentions array<struct<entity:string,label:string,start:int,end:int,context:string>>")
     out = {r.id: r for r in E.mask(df).collect()}
     assert out[1].masked_text == masked and len(out[1].masks) == 3 and out[2].masked_text == "" and out[3].master == []
 
