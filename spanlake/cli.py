@@ -52,7 +52,7 @@ def extract(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def map_terms(spark: SparkSession, a: argparse.Namespace) -> int:
     """Mentions to mapped mentions with an ontology table (ontology_id, ontology_label, ontology)."""
-    mapped = extraction.mapped_mentions(spark.read.parquet(a.input), spark.read.parquet(a.ontology))
+    mapped = extraction.mapped_mentions(audit.in_order(spark.read.parquet(a.input)), spark.read.parquet(a.ontology))
     mapped.write.mode("overwrite").parquet(a.output)
     out = spark.read.parquet(a.output)
     if a.csv:
@@ -65,10 +65,9 @@ def map_terms(spark: SparkSession, a: argparse.Namespace) -> int:
 def run_audit(spark: SparkSession, a: argparse.Namespace) -> int:
     """Mapped mentions to groups, counters and totals, one folder each."""
     raw = spark.read.parquet(a.input)
-    key = F.xxhash64(*[F.col(c) for c in raw.columns])
     from .plans import stages
 
-    normal = stages.written(audit.validate_ontology(audit.normalize(raw.withColumn("seq", key), a.kind)), "audit")
+    normal = stages.written(audit.validate_ontology(audit.normalize(audit.in_order(raw), a.kind)), "audit")
     for name, table in (("mentions", normal), ("groups", audit.groups(normal)), ("counters", audit.counters(normal)), ("totals", audit.totals(normal)), ("ontology", audit.ontology_counts(normal))):
         table.write.mode("overwrite").parquet(f"{a.output}/{name}")
     invalid = normal.where("ontology_validation = 'invalid'").count()

@@ -29,19 +29,34 @@ def input_kind(columns: list[str]) -> str:
     raise ValueError("no column master_entities or entities")
 
 
-def dense_ids(df: DataFrame, seq: str, target: str = "id") -> DataFrame:
-    """mention_000000, .. in the order of `seq`, without one task that numbers all rows.
+def numbered(df: DataFrame, order: list, target: str = "seq") -> DataFrame:
+    """`df` with numbers 0, 1, .. in an order of columns, without one task that numbers all rows.
 
-    Rows are dealt over ranges of `seq` and numbered within them; the numbered rows are written, as the ranges are sampled
+    Rows are dealt over ranges of the order and numbered within them; the numbered rows are written, as the ranges are sampled
     and may come out otherwise when made again; each range goes on from the count of those before it.
     """
-    dealt = df.repartitionByRange(F.col(seq)).sortWithinPartitions(seq).withColumn("_part", F.spark_partition_id())
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(seq))
-    numbered = stages.written(dealt.withColumn("_n", local), "numbered")
-    sizes = numbered.groupBy("_part").agg(F.max("_n").alias("_size"))
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    rows = stages.written(dealt.withColumn("_n", local), "numbered")
+    sizes = rows.groupBy("_part").agg(F.max("_n").alias("_size"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_size")
-    out = numbered.join(F.broadcast(before), "_part")  # one row per range
-    return out.withColumn(target, F.format_string("mention_%06d", F.col("_n") + F.col("_before") - 1)).drop("_part", "_n", "_before")
+    out = rows.join(F.broadcast(before), "_part")  # one row per range
+    return out.withColumn(target, (F.col("_n") + F.col("_before") - 1).cast("long")).drop("_part", "_n", "_before")
+
+
+#: Columns by which mentions follow each other, as far as they are there: document, chunk, place, and the order in which they came.
+ORDER = ("doc_id", "source_file", "chunk", "global_start", "start", "seq")
+
+
+def in_order(mentions: DataFrame) -> DataFrame:
+    """Mentions with seq numbered in the order of their documents; those without a place come last in their chunk, equal ones by a hash."""
+    have = [c for c in ORDER if c in mentions.columns]
+    return numbered(mentions, [F.col(c).asc_nulls_last() for c in have] + [F.xxhash64(*[F.col(c).cast("string") for c in mentions.columns])], "_seq").drop("seq").withColumnRenamed("_seq", "seq")
+
+
+def dense_ids(df: DataFrame, seq: str, target: str = "id") -> DataFrame:
+    """mention_000000, .. in the order of `seq`."""
+    return numbered(df, [seq], "_number").withColumn(target, F.format_string("mention_%06d", "_number")).drop("_number")
 
 
 def normalize(raw: DataFrame, kind: str, seq: str = "seq") -> DataFrame:
@@ -145,10 +160,10 @@ def best_mappings(mentions: DataFrame, seq: str = "seq") -> DataFrame:
     return _keys(mentions).groupBy("_surface", "_label").agg(best.alias("best")).withColumnsRenamed({"_surface": "surface", "_label": "label"})
 
 
-def groups(mentions: DataFrame, seq: str = "seq", with_ids: bool = True) -> DataFrame:
+def groups(mentions: DataFrame, seq: str = "seq", with_ids: bool = False) -> DataFrame:
     """One row for each lower-cased surface and label: entity, mention_count, chunks, source_passes, first contexts, best mapping, judge scores.
 
-    mention_ids grow with the group; leave them out (with_ids False) where a group may hold a large share of all rows.
+    mention_ids (with_ids) grow with the group: ask for them only where no group holds a large share of all rows.
     """
     m = _keys(mentions)
     keys = ["_surface", "_label"]

@@ -575,20 +575,21 @@ def _models() -> extraction.Models:
     return extraction.Models(tagger.PatternTagger(PATTERNS), list(PATTERNS), discover=_namer)
 
 
+def _master(spark: SparkSession, d: str) -> DataFrame:
+    parts = stages.written(extraction.chunked(t(spark, d, "documents").select("doc_id", "text"), 400), "chunks")  # read by three steps
+    return extraction.master_mentions(parts, _models())
+
+
 @query(None)
 def extraction_master(spark, d):
-    """Documents to merged mentions of both passes."""
-    parts = stages.written(extraction.chunked(t(spark, d, "documents").select("doc_id", "text"), 400), "chunks")  # read by three steps
-    return extraction.master_mentions(parts, _models()).select("doc_id", "chunk", "entity", "label", "start", "end", "global_start", "global_end", "source_pass")
+    """Documents to merged mentions of both passes, with their contexts."""
+    return _master(spark, d).select("doc_id", "chunk", "entity", "label", "start", "end", "global_start", "global_end", "source_pass", "context")
 
 
 @query(None)
 def extraction_groups(spark, d):
-    """Documents to mentions, their ontology mapping, and audited groups."""
+    """Documents to mentions, their ontology mapping, and audited groups with their first contexts."""
     ontology = t(spark, d, "nation").selectExpr("'GO:' || n_nationkey AS ontology_id", "n_name AS ontology_label", "'GO' AS ontology").unionByName(t(spark, d, "part").selectExpr("'CL:' || p_partkey AS ontology_id", "initcap(p_type) AS ontology_label", "'CL' AS ontology").dropDuplicates(["ontology_label"]))
-    master = stages.written(extraction_master(spark, d), "master")  # read by the lookup of terms and by the join back
-    mapped = extraction.mapped_mentions(master.withColumn("context", F.lit(None).cast("string")), ontology)
-    g = extraction.audited(mapped.withColumn("seq", F.xxhash64("doc_id", "chunk", "start", "source_pass", "extracted_text", "llm_label")).drop("refused_uri", "refused_ontology"))
-    return g.select("entity", "label", "mention_count", "ontology_id", F.array_join("chunks", ",").alias("chunks"))
-
-
+    master = audit.in_order(_master(spark, d))  # written: read by the lookup of terms and by the join back
+    g = extraction.audited(extraction.mapped_mentions(master, ontology).drop("refused_uri", "refused_ontology"))
+    return g.select("entity", "label", "mention_count", "ontology_id", F.array_join("chunks", ",").alias("chunks"), F.array_join("contexts", "\n").alias("contexts"))

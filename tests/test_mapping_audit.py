@@ -109,7 +109,7 @@ def test_audit_validation_groups_and_counts(spark):
     v = audit.validate_ontology(n)
     assert {r.seq: (r.ontology_validation, r.ontology_validation_error) for r in v.collect()} == {0: ("valid", None), 1: ("valid", None), 2: ("not_mapped", None), 4: ("invalid", "malformed_iri"), 5: ("invalid", "missing_ontology_id")}
     assert tuple(audit.ontology_counts(v).first()) == (2, 2, 0, 1)
-    g = {(r.entity, r.label): r for r in audit.groups(n).collect()}
+    g = {(r.entity, r.label): r for r in audit.groups(n, with_ids=True).collect()}
     c = g["cortex", "R"]
     assert (c.mention_count, c.mention_ids, c.chunks, c.source_passes, c.contexts) == (3, ["mention_000000", "mention_000001", "mention_000002"], ["c0", "c1"], {"p1": 2, "p2": 1}, ["one", "two"])
     assert (c.ontology_id, c.judge_score_max, c.judge_score_avg, c.judge_score_min) == ("GO:1", 5.5, 3.75, 2.0)

@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from spanlake.operators import mapping, segment, spans, tagger
+from spanlake.operators import audit, mapping, segment, spans, tagger
 from spanlake.plans import extraction
 from spanlake.sources import chunks, markup
 from spanlake.streaming import ingest
@@ -100,8 +100,15 @@ def test_extraction(spark):
     assert rows == [("Amygdala", 62, "llm_masked_pass"), ("Cortex", 0, "llm_pass1"), ("Cortex", 35, "llm_pass1"), ("Cortex", 75, "llm_pass1"), ("Thalamus", 21, "llm_pass1")]
     assert all(text[a : a + len(e)] == e for e, a, _ in rows)
     onto = spark.createDataFrame([("UBERON:1", "Cortex", "uberon"), ("UBERON:2", "Thalamis", "uberon")], "ontology_id string, ontology_label string, ontology string")
-    mapped = extraction.mapped_mentions(master, onto).withColumn("seq", F.coalesce("global_start", F.lit(999)))
-    got = {r.entity: (r.mention_count, r.ontology_id) for r in extraction.audited(mapped.drop("refused_uri", "refused_ontology")).where("mention_count > 0").collect()}
+    mapped = extraction.mapped_mentions(audit.in_order(master), onto)
+    rows = extraction.audited(mapped.drop("refused_uri", "refused_ontology")).where("mention_count > 0").collect()
+    got = {r.entity: (r.mention_count, r.ontology_id) for r in rows}
+    # contexts of a group: those of its mentions, in the order of the document
+    body = {r.chunk: r.body for r in parts.where("doc_id = 1").collect()}
+    for r in rows:
+        seen = sorted((m.chunk, m.start) for m in master.where(F.col("entity") == r.entity).collect() if m.start is not None)
+        want = list(dict.fromkeys(" ".join(body[c][max(0, a - 100) : a + len(r.entity) + 100].split()) for c, a in seen))
+        assert r.contexts == want[:10], r.entity
     assert got["Cortex"] == (3, "UBERON:1") and got["Thalamus"] == (1, "UBERON:2") and got["Amygdala"][1] is None
 
 
