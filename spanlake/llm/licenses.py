@@ -1,7 +1,9 @@
 """License scans: base phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line, or of a line of more than BLOCK words each window of BLOCK words that starts at a multiple of half
-of that. A template matches a block that contains at least `threshold` of the template's distinct words. Words are ordered by
+A block is a window of BLOCK words of the whole text, line breaks or not, that starts at a multiple of half of that (all
+of a shorter text), so a notice of up to half a block lies in one. A template matches a block that contains at least
+`threshold` of the template's distinct words, those that tell its license from others among them; where the words that a
+block shares with one template are all shared with another and more, the other one alone counts. Words are ordered by
 their frequency in the whole corpus, rarest first; a template of n words that needs a of them can only match a block
 that has one of its n - a + 1 rarest (prefix filter), that has at least a words in any template (length filter), and in
 which enough words are left from that one on in both (positional filter). Candidates are verified in full, so the
@@ -26,54 +28,53 @@ THRESHOLD, BLOCK = 0.8, 64
 #: Base phrases and their labels, as agreed.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Sentences of public license notices, with labels.
+#: Sentences of public license notices: label, sentence, and the words of it that no other license's notice has in their place.
 TEMPLATES = [
-    ("mit", "Released under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("apache", "Licensed under the Apache License, Version 2.0"),
-    ("apache", "you may not use this file except in compliance with the License"),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    ("unlicense", "This is free and unencumbered software released into the public domain"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("all-rights-reserved", "All rights reserved"),
+    ("mit", "Released under the MIT License", "mit license"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "free charge obtaining"),
+    ("apache", "Licensed under the Apache License, Version 2.0", "apache license"),
+    ("apache", "you may not use this file except in compliance with the License", "except compliance license"),
+    ("gpl", "This work is licensed under the GNU General Public License, version 3", "gnu general public"),
+    ("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", "redistribute gnu general"),
+    ("bsd", "Released under the BSD License", "bsd license"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "redistribution binary permitted"),
+    ("mpl", "Licensed under the Mozilla Public License, Version 2.0", "mozilla public"),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mozilla public"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "permission distribute fee"),
+    ("unlicense", "This is free and unencumbered software released into the public domain", "unencumbered domain"),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License", "creative commons attribution"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License", "creative commons sharealike"),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License", "creative commons noncommercial"),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0", "cc sa"),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0", "cc nc"),
+    ("all-rights-reserved", "All rights reserved", "all rights reserved"),
 ]
 
 
-def blocks(line: list[bytes], size: int = BLOCK) -> Iterator[tuple[int, list[bytes]]]:
-    """(start, words) of the blocks of a line's words."""
-    n = len(line)
-    if n <= size:
-        if n:
-            yield 0, line
-        return
+def blocks(w: list[bytes], size: int = BLOCK) -> Iterator[tuple[int, list[bytes]]]:
+    """(start, words) of the blocks of a text's words."""
     half = size // 2
-    for s in range(0, n - half, half):
-        yield s, line[s : s + size]
+    for s in range(0, max(len(w) - half, min(len(w), 1)), half):
+        yield s, w[s : s + size]
 
 
 @dataclass
 class Index:
-    """Templates as (label, word set, words needed), and what their prefixes point to: word -> (template, place)."""
+    """Templates as (label, word set, words needed, words that must be there), and what their prefixes point to: word -> (template, place)."""
 
-    templates: list[tuple[str, frozenset[bytes], int]]
+    templates: list[tuple[str, frozenset[bytes], int, frozenset[bytes]]]
     rank: dict[bytes, int]
     prefix: dict[bytes, list[tuple[int, int]]]
 
 
-def build_index(templates: list[tuple[str, str]], freq: dict[bytes, int], threshold: float = THRESHOLD) -> Index:
+def build_index(templates: list[tuple[str, str, str]], freq: dict[bytes, int], threshold: float = THRESHOLD) -> Index:
     kept, prefix = [], defaultdict(list)
-    sets = [(label, frozenset(words(text.encode()))) for label, text in templates]
-    vocabulary = sorted({w for _, s in sets for w in s}, key=lambda w: (freq.get(w, 0), w))
+    sets = [(label, frozenset(words(text.encode())), frozenset(words(own.encode()))) for label, text, own in templates]
+    vocabulary = sorted({w for _, s, _ in sets for w in s}, key=lambda w: (freq.get(w, 0), w))
     rank = {w: i for i, w in enumerate(vocabulary)}
-    for number, (label, s) in enumerate(sets):
+    for number, (label, s, own) in enumerate(sets):
         need = next(k for k in range(len(s) + 1) if k >= threshold * len(s) - 1e-9)
-        kept.append((label, s, need))
+        kept.append((label, s, need, own))
         for place, w in enumerate(sorted(s, key=rank.__getitem__)[: len(s) - need + 1]):
             prefix[w].append((number, place))
     return Index(kept, rank, dict(prefix))
@@ -82,19 +83,19 @@ def build_index(templates: list[tuple[str, str]], freq: dict[bytes, int], thresh
 def match_block(index: Index, block: list[bytes]) -> list[tuple[int, float]]:
     """(template, containment) of every template that the block meets."""
     have = sorted((w for w in set(block) if w in index.rank), key=index.rank.__getitem__)
-    seen, out = set(), []
+    seen, met = set(), {}
     for j, w in enumerate(have):
         for number, i in index.prefix.get(w, ()):
             if number in seen:
                 continue
-            _, s, need = index.templates[number]
+            _, s, need, own = index.templates[number]
             if len(have) < need or min(len(s) - i, len(have) - j) < need:
                 continue
             seen.add(number)
-            both = sum(x in s for x in have)
-            if both >= need:
-                out.append((number, both / len(s)))
-    return out
+            both = s.intersection(have)
+            if len(both) >= need and own <= both:
+                met[number] = both
+    return [(n, len(x) / len(index.templates[n][1])) for n, x in met.items() if not any(x < y for y in met.values())]
 
 
 def word_counts(docs: DataFrame, vocabulary: set[bytes], text_col: str = "text") -> dict[bytes, int]:
@@ -128,15 +129,16 @@ def _phrases(w: list[bytes], phrases: list[tuple[list[bytes], str]]) -> list[tup
     return sorted(out)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD, phrases: dict[str, str] | None = None) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str, str]] | None = None, threshold: float = THRESHOLD, phrases: dict[str, str] | None = None) -> DataFrame:
     """(doc_id, n_words, places, matches) of each row.
 
     places: (word, label) where a base phrase starts, ascending; matches: (start, end, label, template, containment)
-    of every block and template that meet, words counted over the whole text. Null and empty texts have neither.
+    of every block and template that meet, words counted over the whole text. Null and empty texts have neither;
+    repeated rows come back as often, other columns aren't looked at, and an empty table gives an empty one.
     """
     templates = TEMPLATES if templates is None else templates
     base = [(words(p.encode()), label) for p, label in (PHRASES if phrases is None else phrases).items()]
-    index = build_index(templates, word_counts(docs, {w for _, t in templates for w in words(t.encode())}, text_col), threshold)
+    index = build_index(templates, word_counts(docs, {w for _, t, _ in templates for w in words(t.encode())}, text_col), threshold)
     ends, starters = {p[-1] for p, _ in base}, set(index.prefix)
     place_t = pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))
     match_t = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("label", pa.string()), ("template", pa.int32()), ("containment", pa.float64())]))
@@ -148,15 +150,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
             kinds = set(w)
             n_words.append(len(w))
             places.append([{"word": i, "label": label} for i, label in _phrases(w, base)] if kinds & ends else [])
-            found, at = [], 0
-            if kinds & starters:
-                for line in text.split(b"\n"):
-                    lw = words(line)
-                    if not starters.isdisjoint(lw):
-                        for s, block in blocks(lw):
-                            for number, share in match_block(index, block):
-                                found.append({"start": at + s, "end": at + s + len(block), "label": index.templates[number][0], "template": number, "containment": share})
-                    at += len(lw)
+            found = []
+            for s, block in blocks(w) if kinds & starters else ():
+                if not starters.isdisjoint(block):
+                    for number, share in match_block(index, block):
+                        found.append({"start": s, "end": s + len(block), "label": index.templates[number][0], "template": number, "containment": share})
             matches.append(found)
         return pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(n_words, pa.int64()), pa.array(places, place_t), pa.array(matches, match_t)], names=["doc_id", "n_words", "places", "matches"])
 

@@ -74,19 +74,19 @@ def _sql_words(text: str) -> str:
     return rf"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
-_TEMPLATES = ", ".join(f"({n}, '{label}', '{text}')" for n, (label, text) in enumerate(licenses.TEMPLATES))
+_TEMPLATES = ", ".join(f"({n}, '{label}', '{text}', {own.split()})" for n, (label, text, own) in enumerate(licenses.TEMPLATES))
 _PHRASES = ", ".join(f"({[*phrase.split()]}, '{label}')" for phrase, label in licenses.PHRASES.items())
 _HALF = licenses.BLOCK // 2
 
 OP3_SQL = f"""
-WITH t AS (SELECT label, list_distinct({_sql_words("text")}) AS t FROM (VALUES {_TEMPLATES}) AS v(n, label, text)),
+WITH t AS (SELECT n, label, own, list_distinct({_sql_words("text")}) AS t FROM (VALUES {_TEMPLATES}) AS v(n, label, text, own)),
 p AS (SELECT * FROM (VALUES {_PHRASES}) AS v(phrase, label)),
-d AS (SELECT doc_id, {_sql_words("text")} AS w, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+d AS (SELECT doc_id, {_sql_words("text")} AS w FROM documents),
 places AS (SELECT doc_id, i, label FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM d) x, p WHERE list_slice(w, i + 1, i + len(phrase)) = phrase),
 base AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
-lines AS (SELECT doc_id, {_sql_words("line")} AS w FROM (SELECT doc_id, unnest(lines) AS line FROM d)),
-blocks AS (SELECT doc_id, list_distinct(list_slice(w, s + 1, s + {licenses.BLOCK})) AS b FROM (SELECT doc_id, w, unnest(CASE WHEN len(w) <= {licenses.BLOCK} THEN [0] ELSE range(0, len(w) - {_HALF}, {_HALF}) END) AS s FROM lines WHERE len(w) > 0)),
-met AS (SELECT doc_id, label, len(list_intersect(t, b)) / len(t) AS share FROM blocks, t WHERE len(list_intersect(t, b)) >= {licenses.THRESHOLD} * len(t) - 1e-9),
+blocks AS (SELECT doc_id, s, list_distinct(list_slice(w, s + 1, s + {licenses.BLOCK})) AS b FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - {_HALF}, 1), {_HALF})) AS s FROM d WHERE len(w) > 0)),
+shared AS (SELECT doc_id, s, n, label, len(t) AS size, list_intersect(t, b) AS m FROM blocks, t WHERE len(list_intersect(t, b)) >= {licenses.THRESHOLD} * len(t) - 1e-9 AND list_has_all(b, own)),
+met AS (SELECT doc_id, label, len(m) / size AS share FROM shared x WHERE NOT EXISTS (SELECT 1 FROM shared y WHERE y.doc_id = x.doc_id AND y.s = x.s AND len(y.m) > len(x.m) AND list_has_all(y.m, x.m))),
 best AS (SELECT doc_id, max(share) AS share FROM met GROUP BY doc_id),
 every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM met UNION ALL SELECT doc_id, label FROM places) GROUP BY doc_id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, b.lo AS first_word, b.hi AS last_word, coalesce(b.labels, '') AS base_labels,

@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 from spanlake.llm import licenses as L
 from tests.llm.test_decontaminate import words as plain_words
@@ -7,23 +8,50 @@ from tests.llm.test_decontaminate import words as plain_words
 def brute(text):
     w = plain_words(text)
     places = sorted((i, label) for phrase, label in L.PHRASES.items() for i in range(len(w)) if w[i : i + len(phrase.split())] == phrase.split())
-    matches, at = [], 0
-    for line in (text or "").split("\n"):
-        lw = plain_words(line)
-        starts = [0] if len(lw) <= L.BLOCK else list(range(0, len(lw) - L.BLOCK // 2, L.BLOCK // 2))
-        for s in starts if lw else []:
-            b = set(lw[s : s + L.BLOCK])
-            for n, (label, t) in enumerate(L.TEMPLATES):
-                t = set(plain_words(t))
-                if len(t & b) / len(t) >= L.THRESHOLD - 1e-9:
-                    matches.append((at + s, min(at + s + L.BLOCK, at + len(lw)), label, n, len(t & b) / len(t)))
-        at += len(lw)
+    matches = []
+    starts = [0] if len(w) <= L.BLOCK else list(range(0, len(w) - L.BLOCK // 2, L.BLOCK // 2))
+    for s in starts if w else []:
+        b = set(w[s : s + L.BLOCK])
+        met = {}
+        for n, (_, t, own) in enumerate(L.TEMPLATES):
+            t = set(plain_words(t))
+            if len(t & b) / len(t) >= L.THRESHOLD - 1e-9 and set(own.split()) <= b:
+                met[n] = (t & b, len(t))
+        for n, (m, size) in met.items():
+            if not any(m < other for other, _ in met.values()):
+                matches.append((s, min(s + L.BLOCK, len(w)), L.TEMPLATES[n][0], n, len(m) / size))
     return len(w), places, sorted(matches)
 
 
+def labels(spark, rows):
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    return [r.labels for r in L.verdict(L.scan(df)).orderBy("doc_id").collect()]
+
+
+def test_no_license_stands_for_another(spark):
+    rows = {
+        "Licensed under the Mozilla Public License, Version 2.0": "mpl",
+        "Released under the Apache License": "apache",
+        "Released under the BSD license.": "bsd",
+        "Licensed under CC BY-NC 4.0": "cc-by-nc",
+        "Licensed under CC BY-SA 4.0": "cc-by-sa",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+        "Released under the MIT License": "mit",
+        "The license was released under public pressure in all regions": "",
+    }
+    assert labels(spark, rows) == list(rows.values())
+
+
+def test_wrapped_notices(spark):
+    """Notices in lines of 60 characters, after other text."""
+    want = [(label, t) for label, t, _ in L.TEMPLATES if len(t.split()) >= 10]
+    rows = ["Some words before.\n" * 9 + "\n".join(textwrap.wrap(t, 60)) + "\nand after" for _, t in want]
+    assert [label in x.split(",") for x, (label, _) in zip(labels(spark, rows), want)] == [True] * len(want)
+
+
 def texts():
     rng = random.Random(9)
-    vocab = [w for _, t in L.TEMPLATES for w in t.split()] + [f"f{i}" for i in range(30)]
+    vocab = [w for _, t, _ in L.TEMPLATES for w in t.split()] + [f"f{i}" for i in range(30)]
     out = ["", None, "MIT license MIT License.\nmit\nlicense", "General Public\nLicense", "licensemit", "É all Rights reserved!"]
     for _ in range(80):
         lines = []
@@ -54,7 +82,7 @@ def test_scan_against_brute_force(spark):
 
 def test_other_thresholds_and_empty(spark):
     df = spark.createDataFrame([(1, "alpha beta gamma"), (1, "alpha beta"), (None, "delta")], "doc_id long, text string")
-    t = [("x", "alpha beta gamma delta")]
+    t = [("x", "alpha beta gamma delta", "")]
     for threshold, want in ((0.5, [(1, 1), (1, 1), (None, 0)]), (0.75, [(1, 0), (1, 1), (None, 0)]), (1.0, [(1, 0), (1, 0), (None, 0)])):
         got = [(r.doc_id, len(r.matches)) for r in L.scan(df, templates=t, threshold=threshold).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
