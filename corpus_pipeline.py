@@ -1,7 +1,7 @@
 """The corpus pipeline: quality classifier, line dedup, near-dedup, decontamination, tokenization, in that order.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the docs
-of the next stage. All stages but the last return the columns of `documents`; the last adds n_tokens and ids.
+of the next stage. All stages but the last return the columns of `documents`; the last adds n_tokens, ids and parity.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its token ids and their number."""
+    """Every document with its token ids, their number, and whether sentencepiece makes the same of it."""
     return pieces.encode(docs, pieces.load()).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
