@@ -11,12 +11,27 @@ from .text import strip
 NO_IRI = ["n/a", "none", "null", "unmapped"]
 GENERIC_IRI = r"^(https?://[^\s]+|urn:[A-Za-z0-9][A-Za-z0-9:._\-]+|[A-Za-z][A-Za-z0-9_]*:[A-Za-z0-9_\-]+)$"
 
-#: Ontologies whose identifiers follow the common OBO scheme, by their prefix.
-OBO_PREFIXES = "UBERON CL PCL FMA GO OBI MONDO DOID HP MP CHEBI DRON BTO PR NCBITaxon".split()
-#: Patterns of the others.
-OTHER_PATTERNS = {
+#: Identifiers of the common OBO scheme, as addresses and in short.
+OBO, SHORT = r"^https?://purl\.obolibrary\.org/obo/{}_[0-9]+(?:[/#?].*)?$", r"^{}:[0-9A-Za-z\-_]+$"
+#: The registered ontologies in the order in which they are tried; by prefix where they follow that scheme, else with patterns.
+REGISTRY = {
+    "uberon": "UBERON",
+    "cl": "CL",
+    "pcl": "PCL",
+    "fma": "FMA",
     "nifstd": [r"^https?://uri\.neuinfo\.org/nif/nifstd/[A-Za-z0-9_]+$"],
+    "go": "GO",
+    "obi": "OBI",
     "efo": [r"^https?://www\.ebi\.ac\.uk/efo/EFO_[0-9]+$", r"^EFO:[0-9]+$"],
+    "mondo": "MONDO",
+    "doid": "DOID",
+    "hp": "HP",
+    "mp": "MP",
+    "chebi": "CHEBI",
+    "dron": "DRON",
+    "bto": "BTO",
+    "pr": "PR",
+    "ncbitaxon": "NCBITaxon",
     "hgnc": [r"^https?://identifiers\.org/hgnc/[0-9]+$", r"^HGNC:[0-9]+$"],
     "ncbigene": [r"^https?://www\.ncbi\.nlm\.nih\.gov/gene/[0-9]+$", r"^NCBIGene:[0-9]+$"],
     "mgi": [r"^MGI:[0-9]+$", r"^https?://www\.informatics\.jax\.org/marker/MGI:[0-9]+$"],
@@ -36,8 +51,7 @@ PLAUSIBLE = [
 
 def registry() -> dict[str, list[str]]:
     """Patterns of each of the registered ontologies."""
-    obo = {p.lower(): [rf"^https?://purl\.obolibrary\.org/obo/{p}_[0-9]+(?:[/#?].*)?$", rf"^{p}:[0-9A-Za-z\-_]+$"] for p in OBO_PREFIXES}
-    return obo | OTHER_PATTERNS
+    return {name: [x.format(known) for x in (OBO, SHORT)] if isinstance(known, str) else known for name, known in REGISTRY.items()}
 
 
 def well_formed(c: Column) -> Column:
