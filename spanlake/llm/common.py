@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -21,9 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where it is unset and all run on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spanlake-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

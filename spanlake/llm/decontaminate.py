@@ -180,7 +180,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     hits: merged word spans [start, end) inside an exact occurrence of a window of any item; items: ids of the items
     with such windows, ascending; n_near: windows found only in proximity, all their words within size + slop words.
     Null texts have no words, items without words no window; an item without an id hits words but isn't listed.
-    Documents with the same id are one row each.
+    Documents with the same id are one row each, repeated rows too, and an empty table gives an empty one. Other columns of
+    either table are not looked at, whatever their names. A text of any length is one row of the index.
     """
     blocks = _blocks(items, item_id, item_text, item_bytes)
     if len(blocks) == 1:

@@ -209,7 +209,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def passages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, passages) of each row; passages are (start, end, evidence, p_value) in words, significant ones only.
 
-    Null and empty texts have no passages and the score of a text in which nothing counts.
+    Null and empty texts have no passages and the score of a text in which nothing counts. Repeated rows come back as often,
+    an empty table gives an empty one, and other columns are not looked at. Equal texts score alike.
     """
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("evidence", pa.float64()), ("p_value", pa.float64())]))
 
