@@ -203,9 +203,22 @@ def word_windows(spark, d):
     return segment.window_table(t(spark, d, "documents").select("doc_id", "text"), tagger.WINDOW_WORDS, tagger.OVERLAP_WORDS).select("doc_id", "window", "start", "end")
 
 
-@query(None)
+_WINDOW, _STRIDE = 1500, 1200
+
+
+def _sql_drawn(far: int) -> str:
+    """Where a window's end is drawn back to: the last sentence end or line break within reach, else where it would be."""
+    cut, lo = f"b + {far}", f"greatest(b, b + {far} - {_WINDOW - _STRIDE})"
+    return f"CASE WHEN {cut} >= n THEN n ELSE coalesce(greatest(list_max(list_filter(ends, lambda p: p <= {cut} AND p - 2 >= {lo})), list_max(list_filter(breaks, lambda p: p <= {cut} AND p - 1 >= {lo}))), {cut}) END"
+
+
+@query(rf"""WITH RECURSIVE ch AS (SELECT doc_id, length(text) AS n, string_split(text, '') AS ch FROM documents),
+s AS (SELECT doc_id, n, list_filter(range(2, n + 1), lambda p: regexp_matches(ch[p], '\s') AND ch[p - 1] IN ('.', '!', '?')) AS ends, list_filter(range(1, n + 1), lambda p: ch[p] = chr(10)) AS breaks FROM ch),
+w AS (SELECT doc_id, n, ends, breaks, 0 AS k, 0::BIGINT AS b, CASE WHEN n > 0 THEN {_sql_drawn(_WINDOW).replace("greatest(b, ", "greatest(0, ").replace("b + ", "0 + ")} ELSE 0 END AS e FROM s WHERE n > 0
+ UNION ALL SELECT doc_id, n, ends, breaks, k, b, {_sql_drawn(_WINDOW)} FROM (SELECT doc_id, n, ends, breaks, k + 1 AS k, greatest(b + 1, {_sql_drawn(_STRIDE)}) AS b, e FROM w) WHERE b < n AND e < n)
+SELECT w.doc_id, k::INTEGER AS chunk_index, b::INTEGER AS start, e::INTEGER AS "end", sha256(substr(text, b + 1, e - b)) AS body_sha256 FROM w JOIN documents USING (doc_id)""")
 def sliding_chunks(spark, d):
-    return segment.sliding_table(t(spark, d, "documents").select("doc_id", "text"), 1500, 1200).select("doc_id", "chunk_index", "start", "end", F.sha2("body", 256).alias("body_sha256"))
+    return segment.sliding_table(t(spark, d, "documents").select("doc_id", "text"), _WINDOW, _STRIDE).select("doc_id", "chunk_index", "start", "end", F.sha2("body", 256).alias("body_sha256"))
 
 
 @query("SELECT conv_id, count(*) AS total_chunks, string_agg('chunk_' || lpad(turn::VARCHAR, 3, '0') || '.txt', '|' ORDER BY turn) AS chunks FROM conversations GROUP BY conv_id")
