@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -38,6 +39,38 @@ def test_segments_against_definition(scores):
     assert [s for *_, s in got] == pytest.approx([s for *_, s in want])
 
 
+def brute_log_odds(docs, y, word):
+    """Log-odds of a word over those of all documents, straight from the definition: each prefix shrinks to the next shorter one; 0 under the least that counts."""
+    base = (sum(y) + 1) / (len(y) + 2)
+    rate, n_up = base, None
+    for key in [(word[:n], True) for n in range(3, 10) if n < len(word)] + [(word, False)]:
+        has = [any((x.startswith(key[0]) and len(x) > len(key[0])) if key[1] else x == word for x in d) for d in docs]
+        n = sum(has)
+        if not n:
+            break
+        if n != n_up:
+            rate = (sum(v for h, v in zip(has, y) if h) + T.PRIOR * rate) / (n + T.PRIOR)
+        n_up = n
+    odds = math.log(rate / (1 - rate)) - math.log(base / (1 - base))
+    return odds if odds >= T.LEAST else 0.0
+
+
+def test_scores_against_plain_version():
+    rows = corpus(60, 9)
+    texts, y = [t.encode() for _, t, _ in rows], [v for *_, v in rows]
+    model, docs = T.fit(texts, y), [T.words(t) for t in texts]
+    for t in texts[:12] + [b"", b"Scumbagger zzzklmk abc", b"new words only"]:
+        w = T.words(t)
+        odds = [brute_log_odds(docs, y, x) for x in w]
+        assert [T.word_score(model, x) for x in w] == pytest.approx(odds, abs=1e-9)
+        found = [(s, model.lam * s - math.log(max(model.k * len(w), 1e-9))) for *_, s in brute_segments([o or -T.COST for o in odds])]
+        top = max([T.FLOOR] + [e for _, e in found])
+        total = sum(max(e, 0) for _, e in found if 1 - math.exp(-math.exp(min(50, -e))) <= T.SIGNIFICANT)
+        z = model.weights[0] + model.weights[1] * top + model.weights[2] * math.log(1 + total)
+        got = T.score(model, T.evidence(model, len(w), T.maximal_segments(T.token_scores(model, w))))
+        assert got == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-6)
+
+
 def corpus(n, seed):
     rng = random.Random(seed)
     plain = ["".join(rng.choices("abcdeé", k=rng.randint(2, 6))) for _ in range(400)]
