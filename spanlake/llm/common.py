@@ -23,12 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where it is unset and all run on one machine."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = tempfile.mkdtemp(prefix="spanlake-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spanlake-"))
+        found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
@@ -41,7 +41,20 @@ def materialize(df: DataFrame, name: str, small: bool = False) -> DataFrame:
         df = df.coalesce(max(8, partitions(df.sparkSession) // 8))
     path = f"{shared_dir(df.sparkSession)}/spanlake/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def path_of(written: DataFrame) -> str:
+    """Where materialize() has put this table."""
+    return written._written_to
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table of materialize() that nothing will read again."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def partitions(spark: SparkSession) -> int:
