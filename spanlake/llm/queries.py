@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, licenses, lines, pieces, quality, simhash, suffixes, toxicity, warc
+from . import codes, decontaminate, exact, fingerprints, licenses, lines, middle, pieces, quality, simhash, suffixes, toxicity, warc
 from .common import table
 
 
@@ -67,6 +67,21 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.report(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fill-in-middle form, the digest of its output, and of the text rebuilt from it."""
+    return middle.report(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and error of every usable vector, and the digest of the codebooks."""
+    return codes.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the documents with equal texts stays, and how many there are, for every document."""
+    return exact.report(table(spark, sf_dir, "documents"))
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -108,6 +123,43 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_
 FROM d LEFT JOIN hit h USING (doc_id) LEFT JOIN ids i USING (doc_id)
 """
 
+OP11_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, t, w, len(w)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT doc_id, t, w, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+x AS (SELECT doc_id, t, n, form, array_to_string(list_slice(w, 1, a), '') AS p, array_to_string(list_slice(w, a + 1, b), '') AS m, array_to_string(list_slice(w, b + 1, n), '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM x
+"""
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[ 	-
+]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)
+"""
+
+
+def _op12_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds written out: assignment a0, codebook b1, assignment a1 and so on."""
+    steps = [
+        f"v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)::BIGINT) AS e, len(embedding) // {parts} AS w FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"x AS MATERIALIZED (SELECT vec_id, label, p, list_slice(e, p * w + 1, p * w + w) AS c FROM v, range({parts}) r(p))",
+        f"b0 AS MATERIALIZED (SELECT p, rank() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, c FROM x WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT {entries}))",
+    ]
+    dist = "list_sum(list_transform(list_zip(x.c, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS MATERIALIZED (SELECT vec_id, label, p, c, n.k, n.d FROM (SELECT x.vec_id, x.label, x.p, x.c, min({{'d': {dist}, 'k': b.k}}) AS n FROM x JOIN b{r} b ON x.p = b.p GROUP BY ALL))")
+        if r < rounds:
+            steps.append(f"m{r} AS MATERIALIZED (SELECT p, k, list(m ORDER BY i) AS c FROM (SELECT p, k, i, floor(sum(y) / count(*))::BIGINT AS m FROM (SELECT p, k, unnest(c) AS y, unnest(range(len(c))) AS i FROM a{r}) GROUP BY p, k, i) GROUP BY p, k)")
+            steps.append(f"b{r + 1} AS MATERIALIZED (SELECT p, k, coalesce(m.c, b.c) AS c FROM b{r} b LEFT JOIN m{r} m USING (p, k))")
+    steps.append(f"g AS (SELECT vec_id, label, string_agg(printf('%02x', k), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY ALL)")
+    steps.append(f"h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM b{rounds})")
+    return "WITH " + ",\n".join(steps) + "\nSELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM g, h"
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -121,8 +173,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": op4_toxicity,
         "op5_line_dedup": op5_line_dedup,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
+        "op11_fill_in_middle": op11_fill_in_middle,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_exact_dedup": op13_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": OP3_SQL, "op8_benchmark_decontamination": OP8_SQL}
+    return {"op3_license_scan": OP3_SQL, "op8_benchmark_decontamination": OP8_SQL, "op11_fill_in_middle": OP11_SQL, "op12_vector_codes": _op12_sql(), "op13_exact_dedup": OP13_SQL}
