@@ -143,10 +143,9 @@ class _Stops:
 
     def last(self, lo: int, cut: int) -> int | None:
         """The last one within text[lo:cut], of which nothing else is seen."""
-        for a, b in reversed(self.runs[: bisect_left(self.runs, (cut,))]):
-            a, b = max(a, lo), min(b, cut)
-            if a >= b:
-                break
+        i = bisect_left(self.runs, (cut,))
+        while i and (run := (max(self.runs[i - 1][0], lo), min(self.runs[i - 1][1], cut)))[0] < run[1]:
+            i, (a, b) = i - 1, run
             if self.text[max(a - 1, lo) : a] in (".", "!", "?") or "\n" in self.text[a:b]:
                 return b
         return None

@@ -147,3 +147,21 @@ def test_tables(spark):
         want = max(0, by[d, i - 1].char_end - r.char_start) if i else 0
         assert r.overlap_chars_with_previous == want and r.overlap_with_previous == (want > 0)
     assert S.select_chunks(S.chunk_table(df, 9), [0]).where("chunk_index != 0").count() == 0
+
+
+def test_windows_look_back_no_further_than_the_snap_width():
+    class Runs(list):
+        seen = 0
+
+        def __getitem__(self, i):
+            Runs.seen += 1
+            return list.__getitem__(self, i)
+
+    steps = []
+    for n in (1000, 2000, 4000):
+        stops = S._Stops("word " * 79 * n)
+        stops.runs, Runs.seen = Runs(stops.runs), 0
+        for cut in range(400, len(stops.text), 400):
+            stops.last(cut - 100, cut)
+        steps.append(Runs.seen / n)
+    assert max(steps) < 1.3 * min(steps)  # by bisection and a walk within the width, whatever the text's size
