@@ -93,16 +93,21 @@ def parse_labels(c: Column) -> Column:
     return F.when(F.size(kept) > 0, kept)
 
 
+def one_line(c: Column) -> Column:
+    """White space as single spaces, stripped."""
+    return strip(F.regexp_replace(c, r"(?U)\s+", " "))
+
+
 def entity_text(c: Column) -> Column:
-    """A discovered entity: white space as single spaces, stripped; null if it holds mask characters."""
-    c = strip(F.regexp_replace(c, r"(?U)\s+", " "))
+    """A discovered entity on one line; null if it holds mask characters."""
+    c = one_line(c)
     return F.when(~F.contains(c, F.lit("*")), c)
 
 
 def context(text: Column, start: Column, end: Column, width: int = CONTEXT_CHARS) -> Column:
     """The mention and `width` characters to either side on one line; null unless 0 <= start < end <= length."""
     left, right = F.greatest(start - width, F.lit(0)), F.least(end + width, F.length(text))
-    cut = strip(F.regexp_replace(F.substring(text, left + 1, right - left), r"(?U)\s+", " "))
+    cut = one_line(F.substring(text, left + 1, right - left))
     return F.when((start >= 0) & (end <= F.length(text)) & (start < end), cut)
 
 

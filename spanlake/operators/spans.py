@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
 
@@ -141,15 +142,39 @@ def longest_spans(spans: DataFrame, doc: str = "doc_id", seq: str = "seq") -> Da
     return streamed(spans, [doc], [F.col("start"), (F.col("end") - F.col("start")).desc(), F.col(seq)], _Longest, ["start", "end"])
 
 
-def decorated(text: Column, spans: Column) -> Column:
-    """Text with [surface](LABEL) for each of an array of disjoint (start, end, label), sorted by start."""
+@F.arrow_udf(T.StringType())
+def _spliced(text: pa.Array, edits: pa.Array) -> pa.Array:
+    offsets, edit = edits.offsets.to_pylist(), edits.values
+    starts, ends, puts = (edit.field(n).to_pylist() for n in ("start", "end", "put"))
+    out: list[str | None] = []
+    for i, whole in enumerate(text.to_pylist()):
+        if whole is not None and edits[i].is_valid:
+            parts, at = [], 0
+            for k in range(offsets[i], offsets[i + 1]):
+                parts += [whole[at : starts[k]], puts[k] or ""]
+                at = ends[k]
+            whole = "".join([*parts, whole[at:]])
+        out.append(whole)
+    return pa.array(out, pa.string())
+
+
+def spliced(text: Column, edits: Column) -> Column:
+    """The text with each of an array of (start, end, put) in place of what stands there; edits are disjoint and in order.
+
+    A text is cut and joined once, so the work grows with the text and the edits: a substring for each edit, counted
+    from the begin of the text, would grow with their product. A null array changes nothing; a null put is empty.
+    """
+    return _spliced(text, edits.cast("array<struct<start:int,end:int,put:string>>"))
 
-    def part(m: Column, i: Column) -> Column:
-        before = F.when(i == 0, F.lit(0)).otherwise(F.try_element_at(spans, i)["end"])
-        return F.concat(F.substring(text, before + 1, m["start"] - before), F.lit("["), F.substring(text, m["start"] + 1, m["end"] - m["start"]), F.lit("]("), tx.markup_label(m["label"]), F.lit(")"))
 
-    last = F.coalesce(F.try_element_at(spans, F.lit(-1))["end"], F.lit(0))
-    return F.concat(F.array_join(F.transform(spans, part), ""), F.substring(text, last + 1, F.length(text)))
+def _edit(start: Column, end: Column, put: Column) -> Column:
+    return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), put.alias("put"))
+
+
+def decorated(text: Column, spans: Column) -> Column:
+    """Text with [surface](LABEL) for each of an array of disjoint (start, end, label), sorted by start."""
+    closing = lambda m: F.concat(F.lit("]("), F.coalesce(tx.markup_label(m["label"]), F.lit("")), F.lit(")"))
+    return spliced(text, F.flatten(F.transform(spans, lambda m: F.array(_edit(m["start"], m["start"], F.lit("[")), _edit(m["end"], m["end"], closing(m))))))
 
 
 def decorate(docs: DataFrame, mentions: DataFrame, doc: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,29 +189,37 @@ def clean_markup(c: Column) -> Column:
     return F.regexp_replace(c, ANNOTATION, "$1")
 
 
-def parse_markup(docs: DataFrame, text_col: str = "markdown") -> DataFrame:
-    """One row for each annotation: mention (0, 1, ..), entity, label (cleaned), start and end in the clean text, markdown_start, markdown_end, annotation_start and annotation_end."""
+def parse_markup(docs: DataFrame, text_col: str = "markdown", context: int | None = None) -> DataFrame:
+    """One row for each annotation: mention (0, 1, ..), entity, label (cleaned), start and end in the clean text, markdown_start, markdown_end, annotation_start and annotation_end.
+
+    With `context`, a column context holds so many characters of the clean text to either side on one line, taken while the text is at hand.
+    """
     keep = [c for c in docs.columns if c != text_col]
     add = ["mention", "start", "end", "markdown_start", "markdown_end", "annotation_start", "annotation_end"]
-    schema = ", ".join([f"`{n}` {t}" for n, t in docs.select(*keep).dtypes] + [f"{c} int" for c in add] + ["entity string", "label string"])
+    texts = ["entity", "label"] + ["context"] * (context is not None)
+    schema = ", ".join([f"`{n}` {t}" for n, t in docs.select(*keep).dtypes] + [f"{c} int" for c in add] + [f"{c} string" for c in texts])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             source, rows = [], []
             for i, text in enumerate(batch.column(batch.schema.get_field_index(text_col)).to_pylist()):
-                cut = 0
-                for n, m in enumerate(_annotation.finditer(text or "")):
+                text, cut = text or "", 0
+                clean = _annotation.sub(r"\1", text) if context is not None else ""
+                for n, m in enumerate(_annotation.finditer(text)):
                     # each annotation before this one was longer than its surface by its marks and label
                     start = m.start() - cut
+                    end = start + len(m[1])
                     source.append(i)
-                    rows.append((n, start, start + len(m[1]), m.start(1), m.end(1), m.start(), m.end(), m[1], m[2]))
+                    around = () if context is None else (clean[max(0, start - context) : end + context],)
+                    rows.append((n, start, end, m.start(1), m.end(1), m.start(), m.end(), m[1], m[2], *around))
                     cut += len(m[0]) - len(m[1])
             if rows:
                 base = batch.select(keep).take(pa.array(source))
-                kinds = [pa.int32()] * 7 + [pa.string()] * 2
-                yield pa.RecordBatch.from_arrays([*base.columns, *(pa.array(x, t) for x, t in zip(zip(*rows), kinds))], names=[*keep, *add, "entity", "label"])
+                kinds = [pa.int32()] * 7 + [pa.string()] * len(texts)
+                yield pa.RecordBatch.from_arrays([*base.columns, *(pa.array(x, t) for x, t in zip(zip(*rows), kinds))], names=[*keep, *add, *texts])
 
-    return docs.mapInArrow(run, schema).withColumn("label", tx.clean_label(F.col("label")))
+    out = docs.mapInArrow(run, schema).withColumn("label", tx.clean_label(F.col("label")))
+    return out if context is None else out.withColumn("context", tx.one_line(F.col("context")))
 
 
 class _Taken:
@@ -203,27 +236,43 @@ class _Taken:
         insort(self.ranges, (a, b))
 
 
-def best_occurrence(text: str, entity: str, near: int | None, taken: _Taken) -> tuple[int, int] | None:
-    """The free exact occurrence nearest to `near`, the leftmost of two as near, or of all if `near` is None."""
+#: Characters to either side in which an occurrence is first looked for; each time that there is none, four times as many.
+REACH = 256
+
+
+def best_occurrence(text: str, entity: str, near: int | None, taken: _Taken, begin: int = 0) -> tuple[int, int] | None:
+    """The free exact occurrence nearest to `near`, the leftmost of two as near, or of all from `begin` on if `near` is None.
+
+    The search widens around `near`, so it costs what lies between there and the occurrence, not the text.
+    """
     size = len(entity)
     if not size:
         return None
 
-    def right(at: int) -> int:
-        while (at := text.find(entity, at)) >= 0 and not taken.free(at, at + size):
+    def right(at: int, end: int) -> int:
+        while (at := text.find(entity, at, end)) >= 0 and not taken.free(at, at + size):
             at += 1
         return at
 
+    def left(least: int, end: int) -> int:
+        while (at := text.rfind(entity, least, max(end, 0))) >= 0 and not taken.free(at, at + size):
+            end = at + size - 1
+        return at
+
     if near is None:
-        at = right(0)
+        at = right(begin, len(text))
         return None if at < 0 else (at, at + size)
-    after, at = right(max(near, 0)), near - 1 + size
-    while (before := text.rfind(entity, 0, max(at, 0))) >= 0 and not taken.free(before, before + size):
-        at = before + size - 1
-    if before < 0 and after < 0:
-        return None
-    at = after if before < 0 or (after >= 0 and after - near < near - before) else before
-    return at, at + size
+    reach = REACH
+    while True:
+        lo, hi = max(near - reach, 0), near + reach
+        after = right(max(near, 0), max(hi + size, 0))
+        before = left(lo if after < 0 else max(lo, 2 * near - after), near - 1 + size)
+        if after >= 0 or before >= 0:
+            at = after if before < 0 else before  # one to the left is only seen as near as that to the right
+            return at, at + size
+        if lo == 0 and hi >= len(text):
+            return None
+        reach *= 4
 
 
 #: A mention as it is merged: see merge_master().
@@ -233,10 +282,14 @@ MASTER = "struct<entity:string,label:string,start:int,end:int,source_pass:string
 def places(text: str, wanted: list[tuple[str, int | None]]) -> list[tuple[int, int] | None]:
     """A free occurrence of each of the wanted surfaces, in their order; what one has taken is not free for the next."""
     taken, out = _Taken(), []
+    begin: dict[str, int] = {}  # before it, a surface has no free occurrence: what is taken stays taken
     for surface, near in wanted:
-        out.append(best_occurrence(text, surface, near, taken))
+        at = begin.get(surface, 0)
+        out.append(best_occurrence(text, surface, near, taken, at) if at < len(text) else None)
         if out[-1]:
             taken.add(*out[-1])
+        if out[-1] is None or near is None:
+            begin[surface] = out[-1][1] if out[-1] else len(text)
     return out
 
 
@@ -259,28 +312,31 @@ def _with(df: DataFrame, add: str, work: Callable[[dict], dict], read: list[str]
     return df.mapInArrow(run, schema)
 
 
-def _placed(df: DataFrame, text_col: str, wanted: Column) -> DataFrame:
-    """`df` with column _placed: the elements of `wanted`, with surface and near, and the span (a, b) that each has got, or null."""
+def _placed(df: DataFrame, text_col: str, wanted: Column, body_col: str) -> DataFrame:
+    """`df` with column _placed: the elements of `wanted`, with surface and near, the span (a, b) that each has got, or null, and what is around it in the body."""
+    width = tx.CONTEXT_CHARS
 
     def work(row: dict) -> dict:
-        found = places(row["_text"] or "", [(w["surface"], w["near"]) for w in row["_wanted"]])
-        return {"_spans": [None if s is None else {"a": s[0], "b": s[1]} for s in found]}
+        body, out = row["_body"] or "", []
+        for span in places(row["_text"] or "", [(w["surface"], w["near"]) for w in row["_wanted"]]):
+            out.append(span and {"a": span[0], "b": span[1], "around": body[max(0, span[0] - width) : span[1] + width]})
+        return {"_spans": out}
 
-    given = df.withColumns({"_wanted": F.coalesce(wanted, F.array()), "_text": F.col(text_col)})
-    out = _with(given, "_spans array<struct<a:int,b:int>>", work, ["_wanted", "_text"])
-    return out.withColumn("_placed", F.zip_with("_wanted", "_spans", lambda w, s: F.struct(w.alias("w"), s["a"].alias("a"), s["b"].alias("b")))).drop("_wanted", "_spans", "_text")
+    given = df.withColumns({"_wanted": F.coalesce(wanted, F.array()), "_text": F.col(text_col), "_body": F.col(body_col)})
+    out = _with(given, "_spans array<struct<a:int,b:int,around:string>>", work, ["_wanted", "_text", "_body"])
+    return out.withColumn("_placed", F.zip_with("_wanted", "_spans", lambda w, s: F.struct(w.alias("w"), s["a"].alias("a"), s["b"].alias("b"), s["around"].alias("around")))).drop("_wanted", "_spans", "_text", "_body")
 
 
-def _merge_row(text: Column, p: Column, source: str, masked: bool, context: Column) -> Column:
-    """A placed mention as merge_master() takes it: with its surface in the text where it has a span, else with the one wanted and `context`."""
+def _merge_row(p: Column, source: str, masked: bool, context: Column) -> Column:
+    """A placed mention as merge_master() takes it: with what is around it where it has a span (its surface stands there), else with `context`."""
     has = p["a"].isNotNull()
     fields = {
-        "entity": F.when(has, F.substring(text, p["a"] + 1, p["b"] - p["a"])).otherwise(p["w"]["surface"]),
+        "entity": p["w"]["surface"],
         "label": p["w"]["label"],
         "start": p["a"],
         "end": p["b"],
         "source_pass": F.when(has, source).otherwise(f"{source}_unmapped"),
-        "context": F.when(has, tx.context(text, p["a"], p["b"])).otherwise(context),
+        "context": F.when(has, tx.one_line(p["around"])).otherwise(context),
         "masked": F.when(has, masked).otherwise(False),
     }
     return F.struct(*[c.alias(n) for n, c in fields.items()])
@@ -294,13 +350,7 @@ def _sorted_by(rows: Column, key: Callable[[Column], list[Column]]) -> Column:
 
 def masked_text(text: Column, masks: Column) -> Column:
     """Text with asterisks for each of an array of disjoint masks, sorted by start."""
-
-    def part(m: Column, i: Column) -> Column:
-        before = F.when(i == 0, F.lit(0)).otherwise(F.try_element_at(masks, i)["end"])
-        return F.concat(F.substring(text, before + 1, m["start"] - before), F.repeat(F.lit("*"), m["end"] - m["start"]))
-
-    last = F.coalesce(F.try_element_at(masks, F.lit(-1))["end"], F.lit(0))
-    return F.concat(F.array_join(F.transform(masks, part), ""), F.substring(text, last + 1, F.length(text)))
+    return spliced(text, F.transform(masks, lambda m: _edit(m["start"], m["end"], F.repeat(F.lit("*"), m["end"] - m["start"]))))
 
 
 def mask(chunks: DataFrame, text_col: str = "body", mentions_col: str = "mentions") -> DataFrame:
@@ -318,14 +368,14 @@ def mask(chunks: DataFrame, text_col: str = "body", mentions_col: str = "mention
         return F.struct(*[c.alias(n) for n, c in fields.items()])
 
     keep = [c for c in chunks.columns if c not in ("masked_text", "masks", "unmatched", "master")]
-    out = _placed(chunks.select(*keep), text_col, F.transform(_sorted_by(F.col(mentions_col), order), want))
+    out = _placed(chunks.select(*keep), text_col, F.transform(_sorted_by(F.col(mentions_col), order), want), text_col)
     text, placed = F.coalesce(F.col(text_col), F.lit("")), F.col("_placed")
     old = lambda p: [p["w"]["near"].cast("int").alias("pass1_start"), p["w"]["end"].cast("int").alias("pass1_end")]
     names = lambda p: [p["w"]["entity"].alias("entity"), p["w"]["label"].alias("label")]
     reason = lambda p: F.when(p["w"]["surface"] == "", "empty entity or label").otherwise("no free exact occurrence").alias("reason")
     masks = F.transform(_sorted_by(F.filter(placed, lambda p: p["a"].isNotNull()), lambda p: [p["a"], p["b"]]), lambda p: F.struct(*names(p), p["a"].alias("start"), p["b"].alias("end"), *old(p)))
     unmatched = F.transform(F.filter(placed, lambda p: p["a"].isNull()), lambda p: F.struct(*names(p), *old(p), reason(p)))
-    master = F.transform(F.filter(placed, lambda p: p["w"]["surface"] != ""), lambda p: _merge_row(text, p, "llm_pass1", True, p["w"]["context"]))
+    master = F.transform(F.filter(placed, lambda p: p["w"]["surface"] != ""), lambda p: _merge_row(p, "llm_pass1", True, p["w"]["context"]))
     late = lambda c: F.when(F.coalesce(c, F.lit(0)) == 0, LAST).otherwise(c)
     master = _sorted_by(master, lambda m: [m["start"].isNull(), late(m["start"]), late(m["end"]), m["entity"]])
     out = out.withColumns({"masks": masks, "unmatched": unmatched, "master": master.cast(f"array<{MASTER}>")})
@@ -337,9 +387,8 @@ def recall(masked: DataFrame, text_col: str = "body", found_col: str = "found")
     keep = [c for c in masked.columns if c != "recalled"]
     named = F.filter(F.col(found_col), lambda m: F.coalesce(m["entity"], F.lit("")) != "")
     wanted = F.transform(named, lambda m: F.struct(m["entity"].alias("surface"), m["label"].alias("label"), F.lit(None).cast("int").alias("near")))
-    out = _placed(masked.select(*keep), "masked_text", wanted)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = F.transform("_placed", lambda p: _merge_row(text, p, "llm_masked_pass", False, F.lit(None).cast("string")))
+    out = _placed(masked.select(*keep), "masked_text", wanted, text_col)
+    rows = F.transform("_placed", lambda p: _merge_row(p, "llm_masked_pass", False, F.lit(None).cast("string")))
     return out.withColumn("recalled", rows.cast(f"array<{MASTER}>")).drop("_placed")
 
 

@@ -118,6 +118,90 @@ def test_best_occurrence(text, entity, near, taken):
     assert E.best_occurrence(text, entity, near, t) == occurrence_spec(text, entity, near, ranges)
 
 
+def test_search_widens(monkeypatch):
+    monkeypatch.setattr(E, "REACH", 1)
+    rng = random.Random(6)
+    for _ in range(1500):
+        text = "".join(rng.choices("ab", k=rng.randint(0, 40)))
+        entity, near = "".join(rng.choices("ab", k=rng.randint(1, 4))), rng.randint(-5, 60)
+        ranges, t = [], E._Taken()
+        for a in sorted(rng.sample(range(40), 6)):
+            if t.free(a, a + 2):
+                t.add(a, a + 2)
+                ranges.append((a, a + 2))
+        assert E.best_occurrence(text, entity, near, t) == occurrence_spec(text, entity, near, ranges)
+
+
+def test_places_against_one_search_each():
+    rng = random.Random(7)
+    for _ in range(300):
+        text = "".join(rng.choices(["ab", "abc", "b", " "], k=60))
+        wanted = [(rng.choice(["ab", "abc", "b", "", "zz"]), rng.choice([None, rng.randint(0, 100)])) for _ in range(40)]
+        ranges, want = [], []
+        for surface, near in wanted:
+            want.append(occurrence_spec(text, surface, near, ranges))
+            if want[-1]:
+                ranges.append(want[-1])
+        assert E.places(text, wanted) == want
+
+
+class CountingText(str):
+    """A text that counts the characters its searches and slices pass over."""
+
+    seen = 0
+
+    def find(self, x, a=0, b=None):
+        at = str.find(self, x, a, len(self) if b is None else b)
+        CountingText.seen += (at if at >= 0 else min(len(self), len(self) if b is None else b)) - a + len(x)
+        return at
+
+    def rfind(self, x, a=0, b=None):
+        at = str.rfind(self, x, a, len(self) if b is None else b)
+        CountingText.seen += max(0, min(len(self), len(self) if b is None else b) - (at if at >= 0 else a))
+        return at
+
+
+def test_work_of_placing_doubles_with_the_text():
+    steps = []
+    for n in (500, 1000, 2000, 4000):
+        names = [f"Name{100 + i % 97}" for i in range(n)]
+        text = CountingText(" some filler words ".join(names))
+        wanted = [(x, i * (len(text) + 19) // n + 3) for i, x in enumerate(names)] + [("not there", 5)] * 50 + [("Name103", None)] * n
+        CountingText.seen = 0
+        E.places(text, sorted(wanted, key=lambda w: -len(w[0])))
+        steps.append(CountingText.seen)
+    assert all(b < 2.5 * a for a, b in zip(steps, steps[1:]))  # eight times the text, about eight times the work
+
+
+def test_splicing(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(60):
+        text = "".join(rng.choices("aé漢😀 ", k=rng.randint(0, 30)))
+        cuts = sorted(rng.choices(range(len(text) + 1), k=rng.choice([0, 2, 4, 6])))
+        edits = [(a, b, rng.choice(["", "X", "long put", None])) for a, b in zip(cuts[::2], cuts[1::2])]
+        rows.append((i, text, edits))
+    rows += [(100, None, [(0, 1, "x")]), (101, "stays", None), (102, "stays", []), (103, "ab", [(1, 1, "+"), (1, 1, "-"), (2, 2, "!")])]
+    df = spark.createDataFrame(rows, "id int, text string, edits array<struct<start:int,end:int,put:string>>").repartition(3)
+
+    def spec(text, edits):
+        if text is None or edits is None:
+            return text
+        for a, b, put in reversed(edits):
+            text = text[:a] + (put or "") + text[b:]
+        return text
+
+    got = {r.id: r.out for r in df.select("id", E.spliced(F.col("text"), F.col("edits")).alias("out")).collect()}
+    assert got == {i: spec(text, edits) for i, text, edits in rows}
+
+
+def test_contexts_of_markup(spark):
+    docs = spark.createDataFrame([(0, "one [Ab](X) and\n\n two [Cd](Y Z)"), (1, None), (2, "[all](L)")], "doc_id int, markdown string")
+    got = {(r.doc_id, r.mention): r.context for r in E.parse_markup(docs, context=4).collect()}
+    assert got == {(0, 0): "one Ab and", (0, 1): "two Cd", (2, 0): "all"}
+    assert "context" not in E.parse_markup(docs).columns
+
+
 def test_masking_and_recall(spark):
     text = "alpha beta alpha gamma alphabet"
     m = lambda e, s=None, label="L", c=None: {"entity": e, "label": label, "start": s, "end": None if s is None else s + len(e), "context": c}
