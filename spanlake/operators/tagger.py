@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 from typing import Protocol
 
 import pyarrow as pa
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +19,8 @@ WINDOW_WORDS, OVERLAP_WORDS = 220, 50
 
 
 class Tagger(Protocol):
-    """Anything that finds mentions in a text; made once per Python worker if it loads a model on first use."""
+    """Anything that finds mentions in a text. One that has predict_many() is given the windows of many texts at once;
+    one that has after_text() is told after each text. See models.ModelTagger for models that a worker loads once."""
 
     def predict(self, text: str, labels: list[str], threshold: float) -> Iterable[tuple[int, int, str, float]]:
         """(start, end, label, score) of mentions in the text."""
@@ -52,6 +54,10 @@ class GazetteerTagger:
                 yield m.start(), m.end(), label, self.score
 
 
+#: Windows that a tagger with predict_many() is given at once.
+WINDOWS_AT_ONCE = 256
+
+
 def _windows(text: str, size: int, overlap: int) -> Iterator[tuple[int, int]]:
     w = whitespace_tokens(text)
     if size <= 0 or len(w) <= size:
@@ -64,11 +70,36 @@ def _windows(text: str, size: int, overlap: int) -> Iterator[tuple[int, int]]:
             return
 
 
-def tag(docs: DataFrame, tagger: Tagger, labels: list[str], threshold: float = 0.5, size: int = WINDOW_WORDS, overlap: int = OVERLAP_WORDS, text_col: str = "text", context: int | None = None) -> DataFrame:
+def _predicted(tagger: Tagger, texts: Iterable[str], labels: list[str], threshold: float, size: int, overlap: int) -> Iterator[tuple[int, str, int, int, Iterable[tuple[int, int, str, float]]]]:
+    """(number of the text, text, window, its begin, mentions) in order, windows gathered for a tagger that takes many."""
+    many, after = getattr(tagger, "predict_many", None), getattr(tagger, "after_text", None)
+    held: list[tuple[int, str, int, int, int]] = []
+
+    def settle() -> Iterator[tuple]:
+        found = many([text[a:b] for _, text, _, a, b in held], labels, threshold)
+        yield from ((i, text, w, a, x) for (i, text, w, a, _), x in zip(held, found, strict=True))
+        held.clear()
+
+    for i, text in enumerate(texts):
+        for w, (a, b) in enumerate(_windows(text, size, overlap)):
+            if many is None:
+                yield i, text, w, a, tagger.predict(text[a:b], labels, threshold)
+                continue
+            held.append((i, text, w, a, b))
+            if len(held) == WINDOWS_AT_ONCE:
+                yield from settle()
+        if after is not None:
+            after()
+    if held:
+        yield from settle()
+
+
+def tag(docs: DataFrame, tagger: Tagger, labels: list[str], threshold: float = 0.5, size: int = WINDOW_WORDS, overlap: int = OVERLAP_WORDS, text_col: str = "text", context: int | None = None, profile: ResourceProfile | None = None) -> DataFrame:
     """One row for each mention found in each window: seq, window, start, end (of the whole text), label, score, entity.
 
     Windows overlap, so mentions repeat: see dedupe(). With `context`, a column context holds so many characters to
-    either side on one line, taken while the text is at hand: no join back to the documents.
+    either side on one line, taken while the text is at hand: no join back to the documents. `profile` holds the
+    resources of the stage that tags, such as models.stage_profile().
     """
     keep = [c for c in docs.columns if c != text_col]
     kinds = [("seq", pa.int32(), "int"), ("window", pa.int32(), "int"), ("start", pa.int32(), "int"), ("end", pa.int32(), "int"), ("label", pa.string(), "string"), ("score", pa.float64(), "double"), ("entity", pa.string(), "string")]
@@ -77,20 +108,20 @@ def tag(docs: DataFrame, tagger: Tagger, labels: list[str], threshold: float = 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            source, rows = [], []
-            for i, text in enumerate(batch.column(batch.schema.get_field_index(text_col)).to_pylist()):
-                text, n = text or "", 0
-                for w, (a, b) in enumerate(_windows(text, size, overlap)):
-                    for s, e, label, score in tagger.predict(text[a:b], labels, threshold):
-                        source.append(i)
-                        around = () if context is None else (" ".join(text[max(0, a + s - context) : a + e + context].split()),)
-                        rows.append((n, w, a + s, a + e, label, score, text[a + s : a + e], *around))
-                        n += 1
+            source, rows, at, n = [], [], -1, 0
+            texts = (x or "" for x in batch.column(batch.schema.get_field_index(text_col)).to_pylist())
+            for i, text, w, a, found in _predicted(tagger, texts, labels, threshold, size, overlap):
+                at, n = i, n if i == at else 0
+                for s, e, label, score in found:
+                    source.append(i)
+                    around = () if context is None else (" ".join(text[max(0, a + s - context) : a + e + context].split()),)
+                    rows.append((n, w, a + s, a + e, label, score, text[a + s : a + e], *around))
+                    n += 1
             if rows:
                 base = batch.select(keep).take(pa.array(source))
                 yield pa.RecordBatch.from_arrays([*base.columns, *(pa.array(x, t) for x, (_, t, _) in zip(zip(*rows), kinds))], names=[*keep, *(n for n, *_ in kinds)])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema, profile=profile)
 
 
 def dedupe(mentions: DataFrame, doc: str | list[str] = "doc_id", seq: str = "seq") -> DataFrame:
