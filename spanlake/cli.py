@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .operators import audit, mapping, segment, tagger
-from .plans import extraction
+from .plans import extraction, lookups
 from .sources import chunks
 
 REFUSED = 2
@@ -51,14 +51,20 @@ def extract(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def map_terms(spark: SparkSession, a: argparse.Namespace) -> int:
-    """Mentions to mapped mentions with an ontology table (ontology_id, ontology_label, ontology)."""
-    mapped = extraction.mapped_mentions(audit.in_order(spark.read.parquet(a.input)), spark.read.parquet(a.ontology))
+    """Mentions to mapped mentions with an ontology table (ontology_id, ontology_label, ontology), and before it a service, named as module:attribute, whose answers and failed terms stay in a store."""
+    service, store = None, None
+    if a.service:
+        if not a.store:
+            raise SystemExit("--service needs --store")
+        store, call = lookups.LookupStore(spark, a.store, a.most_terms), _load(a.service, None)
+        service = lambda terms: store.lookup(terms, call, "service")
+    mapped = extraction.mapped_mentions(audit.in_order(spark.read.parquet(a.input)), spark.read.parquet(a.ontology), service)
     mapped.write.mode("overwrite").parquet(a.output)
     out = spark.read.parquet(a.output)
     if a.csv:
         chunks.write_csv(out, a.csv, mapping.MAPPED_COLUMNS)
     refused = out.where("ontology_validation = 'invalid_demoted'").count()
-    print(json.dumps({"refused": refused}))
+    print(json.dumps({"refused": refused} | ({"failed_terms": store.failed.read().count()} if store else {})))
     return REFUSED if a.fail_on_invalid and refused else 0
 
 
@@ -101,7 +107,7 @@ def parser() -> argparse.ArgumentParser:
     inout = [("input", {}), ("output", {})]
     command("chunk", chunk, *inout, ("--max-tokens", {"type": int}), ("--text", {"action": "store_true"}))
     command("extract", extract, *inout, ("--labels", {"required": True}), ("--tagger", {}), ("--refine", {}), ("--discover", {}), ("--chunk-index", {"type": int, "action": "append"}))
-    command("map", map_terms, *inout, ("--ontology", {"required": True}), ("--csv", {}), ("--fail-on-invalid", {"action": "store_true"}))
+    command("map", map_terms, *inout, ("--ontology", {"required": True}), ("--csv", {}), ("--service", {}), ("--store", {}), ("--most-terms", {"type": int, "default": lookups.MOST_TERMS}), ("--fail-on-invalid", {"action": "store_true"}))
     command("audit", run_audit, *inout, ("--kind", {"default": audit.MAPPED, "choices": [audit.MASTER, audit.MAPPED, audit.ENTITIES]}), ("--fail-on-invalid", {"action": "store_true"}))
     command("save", save, ("output", {}), ("--paper", {"required": True}), ("--run", {"required": True}), ("--chunk", {"type": int, "required": True}))
     return p

@@ -1,22 +1,21 @@
 """Ontology mapping: distinct terms, lookup cascades with fallback, enrichment, validation.
 
-A lookup service becomes a table of (term, items), a join, and a left-anti join for what is still missing; terms are made
+A lookup service (see services.py) becomes a table of (term, items), a join, and a left-anti join for what is still missing; terms are made
 distinct before any lookup and joined back after. Small sides are left to Spark to broadcast by their measured size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import iri
 from ..functions import text as tx
 
-#: Terms of a service call, examples of a summary, columns of the mapped CSV.
-BATCH_TERMS, EXAMPLES = 4000, 20
+#: Examples of a summary, columns of the mapped CSV.
+EXAMPLES = 20
 MAPPED_COLUMNS = [
     "extracted_text", "llm_label", "bioportal_prefLabel", "ontology_uri", "ontology", "mapping_backend", "mapping_error", "concept_mapping_provenance",
     "alignment_method", "ontology_validation", "ontology_validation_error", "chunk", "start", "end", "global_start", "global_end", "source_pass", "context", "source_chunk_path",
@@ -53,24 +52,6 @@ def lookup(terms: DataFrame, table: DataFrame, backend: str) -> DataFrame:
     return hit.select("term", "hit.ontology_id", "hit.ontology_label", "hit.ontology", F.when(F.col("hit").isNull(), "No mapping found").alias("error"), F.lit(backend).alias("mapping_backend"))
 
 
-def call_service(terms: DataFrame, call: Callable[[list[tuple[str, str | None]]], dict[str, list[dict]]], batch: int = BATCH_TERMS) -> DataFrame:
-    """(term, items) from a service that maps a batch of (term, context) to candidates; a failed batch leaves its terms without."""
-    item = pa.struct([("ontology_id", pa.string()), ("ontology_label", pa.string()), ("ontology", pa.string())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = b.to_pylist()
-            for i in range(0, len(rows), batch):
-                part = [(r["term"], r["context"]) for r in rows[i : i + batch]]
-                try:
-                    got = call(part)
-                except Exception:
-                    got = {}
-                yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in part]), pa.array([got.get(t) or [] for t, _ in part], pa.list_(item))], names=["term", "items"])
-
-    return terms.select("term", "context").mapInArrow(run, "term string, items array<struct<ontology_id:string,ontology_label:string,ontology:string>>")
-
-
 def exact_then_fuzzy(terms: DataFrame, ontology: DataFrame, most: int = 2) -> DataFrame:
     """(term, ontology_id, ontology_label, ontology, exact_match): the label that equals a term, else the nearest within `most` edits.
 

@@ -50,18 +50,6 @@ def test_exact_then_fuzzy(spark):
     assert got == want
 
 
-def test_service_batches_and_failures(spark):
-    terms = spark.createDataFrame([(f"t{i}", None) for i in range(10)], "term string, context string").coalesce(1)
-
-    def call(batch):
-        if any(t == "t4" for t, _ in batch):
-            raise RuntimeError("down")
-        return {t: [{"ontology_id": "X:" + t, "ontology_label": t, "ontology": None}] for t, _ in batch}
-
-    got = {r.term: len(r["items"]) for r in mapping.call_service(terms, call, batch=4).collect()}
-    assert got == {f"t{i}": int(not 4 <= i < 8) for i in range(10)}
-
-
 def test_enrich_demote_and_summary(spark):
     m = spark.createDataFrame([(0, "a", "L", "chunk_0"), (1, "b", "L", "chunk_0"), (2, "c", "M", "chunk_1"), (3, "d", "M", None)], "seq int, entity string, label string, chunk string")
     maps = spark.createDataFrame([("a", "GO:1", "A", "go", None, "local"), ("b", "bad iri", "B", "go", None, "local"), ("c", None, None, None, "No mapping found", "remote")], "term string, ontology_id string, ontology_label string, ontology string, error string, mapping_backend string")
