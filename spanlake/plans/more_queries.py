@@ -9,10 +9,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import llm_calls, mapping, segment, spans
+from ..operators import llm_calls, mapping, models, segment, services, spans, tagger
 from ..sources import chunks, markup
-from . import stages
-from .queries import _MAPPED, _MENTIONS, _PACK, QUERIES, SQL, TURN_TOKENS, _mappings, _mentions, _parts, decorate, query, t
+from . import lookups, stages
+from .queries import _MAPPED, _MENTIONS, _PACK, PATTERNS, QUERIES, SQL, TURN_TOKENS, _mappings, _mentions, _parts, decorate, query, t
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -204,3 +204,87 @@ def merge_known(spark, d):
 def refine_markup(spark, d):
     """Marked text through a stand-in model that answers in a code fence."""
     return llm_calls.refine(decorate(spark, d), lambda x: f"```markdown\n{x}\n```").select("doc_id", "refined")
+
+
+class PatternBackend(models.GlinerBackend):
+    """A stand-in framework, whose model is the patterns of the stand-in tagger."""
+
+    def devices(self):
+        return ["cpu"]
+
+    def load(self, model, device, half):
+        return tagger.PatternTagger(PATTERNS)
+
+    def predict(self, model, texts, labels, threshold):
+        return [list(model.predict(x, labels, threshold)) for x in texts]
+
+
+@query(SQL["tag_windows"])
+def tag_model(spark, d):
+    """Tagged by a model that each worker loads once and that is given the windows of many texts at a time."""
+    found = tagger.tag(t(spark, d, "documents").select("doc_id", "text"), models.ModelTagger(PatternBackend(), "patterns"), list(PATTERNS))
+    return tagger.dedupe(found).select("doc_id", "label", "entity", "start", "end")
+
+
+# ---- lookup services ----
+
+_QUICK = services.Policy(batch=64, wait=0.0, longest=0.0, timeout=None)
+
+
+class _Busy:
+    """A stand-in service: too many requests at first, refuses a batch with a term it can't take, has nothing on some terms."""
+
+    def __init__(self, refused=7, said="S"):
+        self.refused, self.said, self.met = refused, said, set()
+
+    def __call__(self, part):
+        if part[0] not in self.met:
+            self.met.add(part[0])
+            raise services.HttpError(429, "busy")
+        if self.refused and any(len(term) % self.refused == 0 for term, _ in part):
+            raise services.HttpError(400, "refused")
+        return {term: [{"ontology_id": "", "ontology_label": "none"}, {"ontology_id": f"{self.said}:{len(term)}", "ontology_label": term.upper(), "ontology": self.said}] for term, _ in part if len(term) % 5}
+
+
+@query("""SELECT DISTINCT p_name AS term, CASE WHEN length(p_name) % 7 != 0 AND length(p_name) % 5 != 0 THEN 'S:' || length(p_name) END AS ontology_id,
+CASE WHEN length(p_name) % 7 != 0 THEN CASE WHEN length(p_name) % 5 != 0 THEN 2 ELSE 0 END END AS candidates, CASE WHEN length(p_name) % 7 = 0 THEN 'HttpError: HTTP 400: refused' END AS failure FROM part""")
+def service_lookup(spark, d):
+    """Terms asked of a service in batches, each busy at first; terms that it refuses are named, and cost no other its answer."""
+    asked = services.ask(mapping.distinct_terms(_parts(spark, d)), _Busy(), _QUICK)
+    return asked.select("term", mapping.first_hit(F.col("items"))["ontology_id"].alias("ontology_id"), F.size("items").alias("candidates"), "failure")
+
+
+def _two_runs(spark, d, most=lookups.MOST_TERMS):
+    """A store after a run over types, where terms of a length were refused, and one over types, names and brands, where they weren't."""
+    store, part = lookups.LookupStore(spark, _folder(spark, "store"), most), t(spark, d, "part")
+    store.run(part.select(F.col("p_type").alias("term"), F.col("p_brand").alias("context")), _Busy(said="one"), _QUICK)
+    terms = part.select(F.explode(F.array("p_type", "p_name", "p_brand")).alias("term"))
+    return store, store.run(terms, _Busy(refused=11, said="two"), _QUICK)
+
+
+_RUNS = """a AS (SELECT DISTINCT p_type AS term FROM part), b AS (SELECT DISTINCT unnest([p_type, p_name, p_brand]) AS term FROM part),
+c AS (SELECT term, 1 AS added FROM a WHERE length(term) % 7 != 0 UNION ALL SELECT term, 2 FROM b WHERE length(term) % 11 != 0 AND term NOT IN (SELECT term FROM a WHERE length(term) % 7 != 0))"""
+
+
+@query(f"WITH {_RUNS} SELECT term, added, CASE WHEN length(term) % 5 != 0 THEN CASE added WHEN 1 THEN 'one' ELSE 'two' END END AS ontology FROM c")
+def lookup_cache(spark, d):
+    """The cache after two runs: the second asked for what was new or had failed, and answers of the first stay as they were."""
+    store, _ = _two_runs(spark, d)
+    return store.cache.read().select("term", "added", mapping.first_hit(F.col("items"))["ontology"].alias("ontology"))
+
+
+_HELD = 70
+
+
+@query(f"WITH {_RUNS} SELECT term, added FROM (SELECT *, row_number() OVER (ORDER BY added DESC, term DESC) AS r FROM (SELECT * FROM c WHERE added = 1 AND term NOT IN (SELECT term FROM (SELECT term, row_number() OVER (ORDER BY term DESC) AS r FROM c WHERE added = 1) WHERE r > {_HELD}) UNION ALL SELECT term, 2 FROM b WHERE length(term) % 11 != 0 AND term NOT IN (SELECT term FROM (SELECT term, row_number() OVER (ORDER BY term DESC) AS r FROM c WHERE added = 1) WHERE r <= {_HELD}))) WHERE r <= {_HELD}")
+def lookup_eviction(spark, d):
+    """The same with a cache too small for all: first in, first out, so what the first run lost is asked for again."""
+    store, _ = _two_runs(spark, d, _HELD)
+    return store.cache.read().select("term", "added")
+
+
+@query(f"WITH {_RUNS} SELECT term, 'HttpError: HTTP 400: refused' AS failure, CASE WHEN term IN (SELECT term FROM a WHERE length(term) % 7 = 0) THEN 2 ELSE 1 END AS runs FROM b WHERE length(term) % 11 = 0 AND term NOT IN (SELECT term FROM a WHERE length(term) % 7 != 0)")
+def lookup_failures(spark, d):
+    """Terms that have no answer after two runs, and in how many they failed."""
+    store, _ = _two_runs(spark, d)
+    return store.failed.read().select("term", "failure", "runs")

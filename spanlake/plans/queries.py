@@ -542,7 +542,7 @@ def audit_best_mapping(spark, d):
 g AS (SELECT lower(entity) AS k, coalesce(label, '') AS l, count(*) AS mention_count, string_agg('mention_' || lpad(n::VARCHAR, 6, '0'), ',' ORDER BY seq) AS mention_ids, array_to_string(list_sort(list(DISTINCT chunk) FILTER (chunk IS NOT NULL)), ',') AS chunks, count(*) FILTER (source_pass = 'llm_pass1') AS pass1, count(*) FILTER (source_pass = 'llm_masked_pass') AS pass2, max(p_size)::DOUBLE AS judge_score_max, min(p_size)::DOUBLE AS judge_score_min, round(avg(p_size), 3) AS judge_score_avg FROM a JOIN part ON p_partkey = seq GROUP BY 1, 2)
 SELECT surf.entity, nullif(l, '') AS label, mention_count, mention_ids, coalesce(chunks, '') AS chunks, pass1, pass2, contexts, ontology_id, judge_score_max, judge_score_min, judge_score_avg FROM g JOIN surf USING (k, l) JOIN b USING (k, l) JOIN ctx USING (k, l)""")
 def audit_groups(spark, d):
-    g = audit.groups(_normal(spark, d))
+    g = audit.groups(_normal(spark, d), with_ids=True)
     passes = [F.coalesce(F.col("source_passes")[p], F.lit(0)).alias(n) for p, n in (("llm_pass1", "pass1"), ("llm_masked_pass", "pass2"))]
     lists = [F.coalesce(F.array_join(c, s), F.lit("")).alias(c) for c, s in (("mention_ids", ","), ("chunks", ","), ("contexts", "|"))]
     return g.select("entity", "label", "mention_count", *lists, *passes, "ontology_id", "judge_score_max", "judge_score_min", "judge_score_avg")
