@@ -6,6 +6,7 @@ import argparse
 import importlib
 import json
 import sys
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from .functions import text as tx
 from .operators import audit, mapping, segment, tagger
 from .plans import extraction, lookups
-from .sources import chunks
+from .sources import artifacts, chunks
 
 REFUSED = 2
 
@@ -38,6 +39,10 @@ def chunk(spark: SparkSession, a: argparse.Namespace) -> int:
         docs = spark.read.parquet(a.input)
     out = segment.with_overlap(extraction.chunked(docs.select("doc_id", "text"), segment.token_limit(a.max_tokens)))
     out.write.mode("overwrite").parquet(a.output)
+    if a.files:
+        out = spark.read.parquet(a.output)
+        header = ["doc_id", "chunk_index", "char_start", "char_end", "token_count", "overlap_with_previous", "overlap_chars_with_previous"]
+        artifacts.save_chunks(out, a.files, header, meta={"input": a.input, "max_tokens": segment.token_limit(a.max_tokens)}, overwrite=True)
     return 0
 
 
@@ -46,7 +51,8 @@ def extract(spark: SparkSession, a: argparse.Namespace) -> int:
     labels = [r.l for r in spark.range(1).select(F.explode(tx.parse_labels(F.lit(a.labels))).alias("l")).collect()]
     models = extraction.Models(_load(a.tagger, None) or tagger.GazetteerTagger({x: [x] for x in labels}), labels, _load(a.refine, extraction.llm_calls.identity), _load(a.discover, extraction.llm_calls.silent))
     parts = segment.select_chunks(spark.read.parquet(a.input), a.chunk_index)
-    extraction.master_mentions(parts, models).write.mode("overwrite").parquet(a.output)
+    meta = {"input": a.input, "labels": labels, "tagger": a.tagger or "gazetteer", "refine": a.refine, "discover": a.discover}
+    extraction.master_mentions(parts, models, artifacts=a.artifacts, meta=meta).write.mode("overwrite").parquet(a.output)
     return 0
 
 
@@ -76,6 +82,9 @@ def run_audit(spark: SparkSession, a: argparse.Namespace) -> int:
     normal = stages.written(audit.validate_ontology(audit.normalize(audit.in_order(raw), a.kind)), "audit")
     for name, table in (("mentions", normal), ("groups", audit.groups(normal)), ("counters", audit.counters(normal)), ("totals", audit.totals(normal)), ("ontology", audit.ontology_counts(normal))):
         table.write.mode("overwrite").parquet(f"{a.output}/{name}")
+    facts = F.struct(F.lit(datetime.now(timezone.utc).isoformat(timespec="seconds")).alias("created_at"), F.lit(a.input).alias("input_path"), F.lit(a.kind).alias("input_kind"))
+    one = audit.totals(normal).select(F.struct("*").alias("totals")).crossJoin(audit.ontology_counts(normal).select(F.struct("*").alias("ontology")))  # a row each
+    one.select(facts.alias("source"), "totals", F.struct("ontology").alias("validation")).write.mode("overwrite").json(f"{a.output}/summary")
     invalid = normal.where("ontology_validation = 'invalid'").count()
     print(json.dumps({"invalid": invalid}))
     return REFUSED if a.fail_on_invalid and invalid else 0
@@ -105,8 +114,8 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument(flag, **options)
 
     inout = [("input", {}), ("output", {})]
-    command("chunk", chunk, *inout, ("--max-tokens", {"type": int}), ("--text", {"action": "store_true"}))
-    command("extract", extract, *inout, ("--labels", {"required": True}), ("--tagger", {}), ("--refine", {}), ("--discover", {}), ("--chunk-index", {"type": int, "action": "append"}))
+    command("chunk", chunk, *inout, ("--max-tokens", {"type": int}), ("--text", {"action": "store_true"}), ("--files", {}))
+    command("extract", extract, *inout, ("--labels", {"required": True}), ("--tagger", {}), ("--refine", {}), ("--discover", {}), ("--artifacts", {}), ("--chunk-index", {"type": int, "action": "append"}))
     command("map", map_terms, *inout, ("--ontology", {"required": True}), ("--csv", {}), ("--service", {}), ("--store", {}), ("--most-terms", {"type": int, "default": lookups.MOST_TERMS}), ("--fail-on-invalid", {"action": "store_true"}))
     command("audit", run_audit, *inout, ("--kind", {"default": audit.MAPPED, "choices": [audit.MASTER, audit.MAPPED, audit.ENTITIES]}), ("--fail-on-invalid", {"action": "store_true"}))
     command("save", save, ("output", {}), ("--paper", {"required": True}), ("--run", {"required": True}), ("--chunk", {"type": int, "required": True}))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import llm_calls, mapping, models, segment, services, spans, tagger
-from ..sources import chunks, markup
+from ..sources import artifacts, chunks, markup
 from . import lookups, stages
 from .queries import _MAPPED, _MENTIONS, _PACK, PATTERNS, QUERIES, SQL, TURN_TOKENS, _mappings, _mentions, _parts, decorate, query, t
 
@@ -71,6 +71,35 @@ def mapped_csv(spark, d):
     return spark.read.schema(", ".join(f"{c} string" for c in columns)).option("header", True).csv(folder)
 
 
+@query("SELECT conv_id, turn::INTEGER AS chunk_index, length(text)::INTEGER AS chars, text AS body FROM conversations WHERE turn IN (0, 1, 3)")
+def artifact_chunks(spark, d):
+    """Chunk files of all turns, in buckets and under a manifest, of which the chosen numbers are read back."""
+    rows = t(spark, d, "conversations").select("conv_id", F.col("turn").cast("int").alias("chunk_index"), F.length("text").alias("chars"), F.col("text").alias("body"), F.col("conv_id").cast("string").alias("doc_id"))
+    folder = _folder(spark, "artifacts")
+    artifacts.save_chunks(rows, folder, ["doc_id", "chunk_index", "chars"], buckets=16)
+    return artifacts.read_chunks(spark, folder, [0, 1, 3]).select(F.col("doc_id").cast("long").alias("conv_id"), "chunk_index", "chars", "body")
+
+
+@query(f"""WITH {_MENTIONS} SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY label DESC, start) - 1)::INTEGER AS seq, entity, label, start, (start + length(entity))::INTEGER AS "end" FROM mentions""")
+def artifact_mentions(spark, d):
+    """Mention files, one for each document, also for those without a mention, and the mentions read back in their order."""
+    folder, docs = _folder(spark, "artifacts"), t(spark, d, "documents").select("doc_id", F.lit(0).alias("chunk"))
+    rows = _mentions(spark, d).withColumn("chunk", F.lit(0))
+    artifacts.save_mentions(rows, folder, ["entity", "label", "start", "end"], {"model": "patterns", "labels": list(PATTERNS)}, texts=docs, buckets=16)
+    return artifacts.read_mentions(spark, folder, "entity string, label string, start int, end int").select(F.col("doc").cast("long").alias("doc_id"), "seq", "entity", "label", "start", "end")
+
+
+@query("SELECT o_custkey AS doc_id, chunk, CASE WHEN newer THEN 'second' ELSE 'first' END AS run, CASE WHEN newer THEN total || '' ELSE o_custkey || '' END AS content FROM (SELECT o_custkey, (o_orderkey % 4)::INTEGER AS chunk, count(*) AS total, max(o_orderdate) >= DATE '1997-01-01' AS newer FROM orders GROUP BY 1, 2)")
+def artifact_runs(spark, d):
+    """Files of one run and of a later one, which replaces those that it writes again."""
+    folder = _folder(spark, "artifacts")
+    orders = t(spark, d, "orders").groupBy(F.col("o_custkey").alias("doc"), (F.col("o_orderkey") % 4).cast("int").alias("chunk")).agg(F.count(F.lit(1)).alias("n"), F.max("o_orderdate").alias("last"))
+    artifacts.save(orders.select("doc", "chunk", F.concat(F.lit("first "), "doc").alias("content")), folder, buckets=16)
+    artifacts.save(orders.where("last >= DATE '1997-01-01'").select("doc", "chunk", F.concat(F.lit("second "), "n").alias("content")), folder, buckets=16)
+    word = lambda n: F.split("content", " ")[n]
+    return artifacts.load(spark, folder).select(F.col("doc").cast("long").alias("doc_id"), "chunk", word(0).alias("run"), word(1).alias("content"))
+
+
 _TEI = """'<TEI xmlns="http://www.tei-c.org/ns/1.0"><head>h</head><p> ' || p_name || '   <hi>' || p_brand || '</hi></p><p> </p><note>n</note><p>' || p_type || '</p></TEI>'"""
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import urllib.request
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -49,12 +50,18 @@ def path_in(prompt: str) -> str:
     raise ValueError("the prompt names no path")
 
 
-def sample(spark: SparkSession, path: str, chars: int = SAMPLE_CHARS) -> tuple[str, str]:
-    """(path, text) of the first chunk or text file under a path, without header, cut to `chars`."""
+def sample(spark: SparkSession, path: str, chars: int = SAMPLE_CHARS, parser: Callable[[bytes], str] | None = None) -> tuple[str, str]:
+    """(path, text) of the first chunk or text file under a path, without header, cut to `chars`; where there are only PDFs, of the first of them by a parser, without which it fails."""
     from ..functions import text as tx
 
-    first = chunks.discover(spark, path).limit(1).select("path", F.substring(tx.strip(chunks.body(F.col("value"))), 1, chars).alias("text")).first()
-    return first.path, first.text
+    try:
+        first = chunks.discover(spark, path).select("path", F.substring(tx.strip(chunks.body(F.col("value"))), 1, chars).alias("text")).first()
+        return first.path, first.text
+    except FileNotFoundError:
+        pdf = chunks.pdfs(spark, path).first()
+    if parser is None:
+        raise ValueError(f"{pdf.path} is a PDF: chunk it first, or name a parser")
+    return pdf.path, parser(bytes(pdf.content)).strip()[:chars]
 
 
 def service_alive(url: str, timeout: float = 5.0, any_body: bool = False) -> bool:

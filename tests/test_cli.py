@@ -7,7 +7,7 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 import pytest
 
 from spanlake import cli
-from spanlake.sources import config
+from spanlake.sources import artifacts, config
 
 
 def test_commands_end_to_end(spark, tmp_path, capsys):
@@ -28,6 +28,45 @@ def test_commands_end_to_end(spark, tmp_path, capsys):
         run("chunk", p("docs"), p("chunks"), "--max-tokens", 5)
 
 
+def refusing(part):
+    """A lookup service named on the command line: it refuses Thalamus."""
+    from spanlake.operators.services import HttpError
+
+    if any(t == "Thalamus" for t, _ in part):
+        raise HttpError(400, "no")
+    return {t: [{"ontology_id": f"SVC:{len(t)}", "ontology_label": t, "ontology": "svc"}] for t, _ in part}
+
+
+def test_files_artifacts_and_a_service(spark, tmp_path, capsys):
+    p = lambda *x: str(tmp_path.joinpath(*x))
+    spark.createDataFrame([("a", "Cortex and Thalamus. Cortex again."), ("b", "Nothing.")], "doc_id string, text string").write.parquet(p("docs"))
+    spark.createDataFrame([("GO:1", "Thalamus", "go")], "ontology_id string, ontology_label string, ontology string").write.parquet(p("onto"))
+    run = lambda *a: cli.main([str(x) for x in a], spark)
+    assert run("chunk", p("docs"), p("chunks"), "--files", p("files")) == 0
+    assert {(r.doc_id, r.body) for r in artifacts.read_chunks(spark, p("files")).collect()} == {("a", "Cortex and Thalamus. Cortex again."), ("b", "Nothing.")}
+    assert run("extract", p("chunks"), p("master"), "--labels", "Cortex, Thalamus", "--artifacts", p("left")) == 0
+    texts = {(r.doc, r.part): r.content for r in artifacts.load(spark, p("left", "second_pass")).collect()}
+    assert texts["a", "masked_text"] == "****** and ********. ****** again." and len(json.loads(texts["a", "master"])) == 3 and texts["b", "master"] == "[]"
+    assert artifacts.read_manifest(p("left", "first_pass"))["labels"] == ["Cortex", "Thalamus"]
+    for _ in range(2):
+        assert run("map", p("master"), p("mapped"), "--ontology", p("onto"), "--service", "tests.test_cli:refusing", "--store", p("store")) == 0
+        assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"refused": 0, "failed_terms": 1}
+    got = {r.extracted_text: (r.ontology_uri, r.mapping_backend) for r in spark.read.parquet(p("mapped")).collect()}
+    assert got == {"Cortex": ("SVC:6", "service"), "Thalamus": ("GO:1", "local")}
+    assert run("audit", p("mapped"), p("audit")) == 0
+    one = spark.read.json(p("audit", "summary")).first()
+    assert one.totals.total_entity_mentions == 3 and one.validation.ontology.valid_mapped == 3 and one.source.input_kind == "ontology_mapped_entities"
+    with pytest.raises(SystemExit):
+        run("map", p("master"), p("mapped"), "--ontology", p("onto"), "--service", "tests.test_cli:refusing")
+
+
+def test_samples_of_pdfs(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"%PDF some words")
+    with pytest.raises(ValueError, match="is a PDF"):
+        config.sample(spark, str(tmp_path))
+    assert config.sample(spark, str(tmp_path), 9, lambda raw: raw.decode())[1] == "%PDF some"
+
+
 def test_save(spark, tmp_path, monkeypatch):
     good = json.dumps([{"entity": "a", "label": "B", "context": "c"}])
     for payload, paper, want in ((good, "p", 0), ("[1]", "p", cli.REFUSED), (good, "../p", cli.REFUSED), ("x", "p", cli.REFUSED)):
