@@ -48,10 +48,89 @@ def whitespace_tokens(text: str) -> list[Span]:
 whitespace_tokens.by_blanks = True
 
 
-def _counter(text: str, tokens: Callable[[str], list[Span]]) -> Callable[[int, int], int]:
-    """Tokens of text[a:b] for pieces that begin and end at tokens: looked up where cuts don't part tokens, else counted anew."""
-    if not getattr(tokens, "by_blanks", False):
-        return lambda a, b: len(tokens(text[a:b]))
+#: Characters on either side of a cut that are tokenised anew at first, and tokens that must then agree with the whole text's.
+REPAIR, AGREEING = 96, 6
+
+
+class _Patched:
+    """Tokens of text[a:b] from the tokens of the whole text, which are found once: only what lies about the cuts is tokenised anew.
+
+    A cut changes tokens near it. From the cut, a window is tokenised for itself; where its tokens have come to agree with
+    those of the whole text, the whole text's go on. Windows that don't come to agree are made wider. What a cut needs is kept for
+    other pieces with the same cut, so all pieces of a text together cost about one more pass over it. Tokenizers must be local: what
+    is some words away must not matter. Those that cut at words, and byte-pair ones on top of them, are.
+    """
+
+    def __init__(self, text: str, tokens: Callable[[str], list[Span]]):
+        self.text, self.tokens = text, tokens
+        self._whole: tuple[list[Span], list[int]] | None = None
+        self._heads: dict[int, tuple[int, int] | None] = {}
+        self._tails: dict[int, tuple[int, int] | None] = {}
+
+    @property
+    def whole(self) -> tuple[list[Span], list[int]]:
+        """Tokens of the text and their starts; found when they are first needed, as short pieces don't need them."""
+        if self._whole is None:
+            found = self.tokens(self.text)
+            self._whole = found, [a for a, _ in found]
+        return self._whole
+
+    def _agreeing(self, part: list[Span]) -> tuple[int, int, int]:
+        """The longest run of tokens of a window that are the text's, too: its length, its begin in the window and in the text."""
+        every, starts = self.whole
+        best, i = (0, 0, 0), 0
+        while i < len(part):
+            j, n = bisect_left(starts, part[i][0]), 0
+            while i + n < len(part) and j + n < len(every) and every[j + n] == part[i + n]:
+                n += 1
+            best = max(best, (n, i, j), key=lambda x: x[0])
+            i += max(n, 1)
+        return best
+
+    def _window(self, a: int, b: int) -> list[Span]:
+        return [(a + x, a + y) for x, y in self.tokens(self.text[a:b])]
+
+    def _head(self, a: int) -> tuple[int, int] | None:
+        """(tokens of text[a:] before the text's own go on, number of the text's token that goes on); None if they never do."""
+        if a not in self._heads:
+            width, found = REPAIR, None
+            while found is None:
+                part = self._window(a, a + width)
+                n, i, j = self._agreeing(part)
+                # the window's end is a cut itself: the run must end before it, so that it isn't an accident of both
+                if n >= AGREEING:
+                    found = (i, j)
+                elif a + width >= len(self.text):
+                    break
+                width *= 2
+            self._heads[a] = found
+        return self._heads[a]
+
+    def _tail(self, b: int) -> tuple[int, int] | None:
+        """(number of the text's token from which text[:b] has its own, how many these are)."""
+        if b not in self._tails:
+            width, found = REPAIR, None
+            while found is None:
+                part = self._window(max(0, b - width), b)
+                n, i, j = self._agreeing(part)
+                if n >= AGREEING:
+                    found = (j + n, len(part) - i - n)
+                elif width >= b:
+                    break
+                width *= 2
+            self._tails[b] = found
+        return self._tails[b]
+
+    def __call__(self, a: int, b: int) -> int:
+        if b - a > 2 * REPAIR and (head := self._head(a)) and (tail := self._tail(b)) and head[1] + AGREEING <= tail[0]:
+            return head[0] + tail[0] - head[1] + tail[1]
+        return len(self.tokens(self.text[a:b]))
+
+
+def _counter(text: str, tokens: Callable[[str], list[Span]], anywhere: bool = False) -> Callable[[int, int], int]:
+    """Tokens of text[a:b]: looked up where cuts don't part tokens (unless pieces begin or end `anywhere`), else found about the cuts."""
+    if anywhere or not getattr(tokens, "by_blanks", False):
+        return _Patched(text, tokens)
     starts = [a for a, _ in tokens(text)]
     return lambda a, b: bisect_left(starts, b) - bisect_left(starts, a)
 
@@ -85,12 +164,13 @@ def _pieces(text: str, a: int, b: int) -> list[Span]:
     return [(a + x, a + y) for x, y in zip(starts, ends) if y > x]
 
 
-def split_oversized(text: str, a: int, b: int, tokens: Callable[[str], list[Span]], most: int) -> list[Span]:
+def split_oversized(text: str, a: int, b: int, tokens: Callable[[str], list[Span]], most: int, count: Callable[[int, int], int] | None = None) -> list[Span]:
     """Spans of at most `most` tokens that cover a sentence of more: pieces joined as far as they fit, one too long by itself cut at tokens.
 
-    Spans are those of the source, so offsets stay true where pieces are parted by more than one space.
+    Spans are those of the source, so offsets stay true where pieces are parted by more than one space. `count` may tell the tokens of a piece.
     """
-    fits = lambda x, y: len(tokens(text[x:y])) <= most
+    count = count or _counter(text, tokens)
+    fits = lambda x, y: count(x, y) <= most
     out: list[Span] = []
     grows = False  # whether the last span may take in the next piece
     for x, y in _pieces(text, a, b):
@@ -110,7 +190,7 @@ def units(text: str, tokens: Callable[[str], list[Span]], most: int) -> list[Spa
     count, out = _counter(text, tokens), []
     for p in paragraphs(text):
         for s in sentences(text, *p):
-            out += [s] if count(*s) <= most else split_oversized(text, *s, tokens, most)
+            out += [s] if count(*s) <= most else split_oversized(text, *s, tokens, most, count)
     return out
 
 
@@ -120,8 +200,8 @@ def chunks(text: str, tokens: Callable[[str], list[Span]], most: int) -> list[tu
     A chunk begins with the last unit of the one before where both fit, so mentions at a cut are seen whole once.
     """
     every, out = units(text, tokens, most), []
-    # units that a tokenizer had to cut may begin within a word: they are counted for themselves
-    count = _counter(text, tokens) if all(text[a - 1 : a].strip() == "" for a, _ in every) else lambda a, b: len(tokens(text[a:b]))
+    # units that a tokenizer had to cut may begin within a word
+    count = _counter(text, tokens, anywhere=any(text[a - 1 : a].strip() for a, _ in every if a))
     first = 0
     for i, (_, end) in enumerate(every):
         if i > first and count(every[first][0], end) > most:

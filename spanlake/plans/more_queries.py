@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.tokenizers import VocabularyTokens
 from ..operators import llm_calls, mapping, models, segment, services, spans, tagger
 from ..sources import artifacts, chunks, markup
 from . import lookups, stages
@@ -178,6 +180,31 @@ def turn_overlap(spark, d):
     return segment.with_overlap(packed).select("conv_id", "turn", "chunk_index", "char_start", "char_end", "overlap_chars_with_previous", "overlap_with_previous")
 
 
+class _Letters:
+    """A token counter that isn't additive: words in pieces of four letters, counted from where a piece of text begins."""
+
+    def __call__(self, text):
+        return [m.span() for m in re.finditer(r"\w{1,4}|[^\w\s]", text)]
+
+
+_LETTERS = r"len(regexp_extract_all({}, '[\p{{L}}\p{{N}}_]{{1,4}}|[^\p{{L}}\p{{N}}_\s]'))"
+
+
+@query(_PACK.format(budget=4 * TURN_TOKENS).replace(r"len(regexp_extract_all(body, '\S+'))", _LETTERS.format("body")) + " SELECT conv_id, turn, chunk::INTEGER AS chunk_index, total::INTEGER AS token_count, (hi - lo + 1)::INTEGER AS n_units FROM c")
+def pack_subwords(spark, d):
+    """Chunks of turns by a counter of parts of words, whose tokens are found once a text and anew about the cuts."""
+    packed = segment.chunk_table(t(spark, d, "conversations").select("conv_id", "turn", "text"), 4 * TURN_TOKENS, tokens=_Letters())
+    return packed.select("conv_id", "turn", "chunk_index", "token_count", "n_units")
+
+
+@query(None)
+def pack_vocabulary(spark, d):
+    """Whole documents packed by the tokens of a byte-pair vocabulary; SPANLAKE_VOCABULARY names another one."""
+    counter = VocabularyTokens(os.environ.get("SPANLAKE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json"))
+    packed = segment.chunk_table(t(spark, d, "documents").select("doc_id", "text"), 512, tokens=counter)
+    return packed.select("doc_id", "chunk_index", "char_start", "char_end", "token_count", "n_units")
+
+
 # ---- passes ----
 
 _KNOWN = f"""{_MENTIONS}, cut AS (SELECT *, start % 5 = 0 AS lost FROM mentions),

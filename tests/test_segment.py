@@ -1,3 +1,4 @@
+import pathlib
 import random
 import re
 
@@ -6,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from spanlake.functions.tokenizers import VocabularyTokens, model_limit
 from spanlake.operators import segment as S
 
 TEXT = st.text(alphabet="aB. !?\n\")'1,;#-é", max_size=120)
@@ -165,3 +167,65 @@ def test_windows_look_back_no_further_than_the_snap_width():
             stops.last(cut - 100, cut)
         steps.append(Runs.seen / n)
     assert max(steps) < 1.3 * min(steps)  # by bisection and a walk within the width, whatever the text's size
+
+
+VOCABULARIES = [p for n in ("byte_bpe_50k.json", "word_bpe_49k.json") if (p := pathlib.Path("/opt/tokenizers") / n).is_file()]
+
+
+def mixed_text(rng, n):
+    words = ["Alpha", "beta,", "gamma.", "New", "line\n", "漢字", "naïve", "😀", "x1-y2", "(see", "note)", "internationalisation", "  ", "...", "a", "I", "3.14", "<|endoftext|>", "don't", "\n\n", "Ünï"]
+    return "".join(w + rng.choice([" ", " ", " ", "", "\t"]) for w in rng.choices(words, k=n)).strip()
+
+
+@pytest.mark.skipif(not VOCABULARIES, reason="no vocabularies here")
+@pytest.mark.parametrize("path", VOCABULARIES, ids=lambda p: p.name)
+def test_counts_are_those_of_tokenising_anew(path):
+    tokens, rng = VocabularyTokens(str(path)), random.Random(4)
+    for _ in range(25):
+        text = mixed_text(rng, 400)
+        count = S._Patched(text, tokens)
+        cuts = sorted(rng.sample(range(len(text) + 1), 40))  # anywhere, within words and tokens
+        for a in cuts[::3]:
+            for b in cuts:
+                if a < b:
+                    assert count(a, b) == len(tokens(text[a:b])), (text[a:b],)
+
+
+@pytest.mark.skipif(not VOCABULARIES, reason="no vocabularies here")
+@pytest.mark.parametrize("path", VOCABULARIES, ids=lambda p: p.name)
+def test_chunks_with_a_vocabulary(path, monkeypatch):
+    tokens, rng = VocabularyTokens(str(path)), random.Random(5)
+    cases = [(mixed_text(rng, rng.randint(0, 600)), rng.choice([32, 60, 200])) for _ in range(40)] + [("word" * 2000, 32), ("", 32)]
+    got = [(S.units(t, tokens, m), S.chunks(t, tokens, m)) for t, m in cases]
+    monkeypatch.setattr(S, "_counter", lambda text, tokens, anywhere=False: lambda a, b: len(tokens(text[a:b])))
+    assert got == [(S.units(t, tokens, m), S.chunks(t, tokens, m)) for t, m in cases]
+    for (t, m), (_, parts) in zip(cases, got):
+        assert all(n == len(tokens(t[a:b])) for a, b, n, _ in parts)
+        assert all(n <= m for _, _, n, k in parts if k > 1)  # a piece cut within a word may count a token more by itself
+
+
+def test_work_of_packing_doubles_with_the_text():
+    seen = [0]
+
+    def tokens(text):
+        seen[0] += len(text)
+        return [m.span() for m in re.finditer(r"\s?\w{1,4}|[^\w\s]", text)]
+
+    for budget in (64, 4096):
+        steps = []
+        for n in (300, 600, 1200):
+            text = " ".join(f"Sentence number {i} has some further words in it." for i in range(n))
+            seen[0] = 0
+            S.chunks(text, tokens, budget)
+            steps.append(seen[0] / len(text))
+        assert max(steps) < 1.2 * min(steps) < 20  # a few passes over the text, whatever its size and the budget
+
+
+def test_limits_of_models(tmp_path):
+    assert model_limit(str(tmp_path)) is None
+    (tmp_path / "tokenizer.json").write_text('{"truncation": {"max_length": 77}}')
+    assert model_limit(str(tmp_path)) == 77
+    (tmp_path / "tokenizer_config.json").write_text('{"model_max_length": 512}')
+    assert model_limit(str(tmp_path)) == 512 and S.token_limit(None, model_limit(str(tmp_path))) == 435
+    (tmp_path / "tokenizer_config.json").write_text('{"model_max_length": 1e30}')
+    assert model_limit(str(tmp_path)) == 77
