@@ -8,9 +8,8 @@ shuffled, and any token counter can be plugged in.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
-from itertools import accumulate, groupby
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -250,32 +249,36 @@ def sliding(text: str, most: int, stride: int, snap: int | None = None) -> list[
     return out
 
 
-def packed_paragraphs(paras: list[str], most: int, sep: str = "\n\n", legacy: bool = False, stride: int | None = None) -> list[tuple[int, str, str]]:
-    """(offset, text, kind) of chunks of whole paragraphs of at most `most` characters; longer ones go through sliding().
+def packed_stream(paras: Iterable[str], most: int, sep: str = "\n\n", legacy: bool = False, stride: int | None = None) -> Iterator[tuple[int, str, str]]:
+    """(offset, text, kind) of chunks of whole paragraphs of at most `most` characters, as the paragraphs come; longer ones go through sliding().
 
-    Offsets are running sums over all paragraphs, and a chunk ends at the last paragraph whose sum is within reach of
-    its begin. With `legacy`, a chunk that follows a full one counts a separator too many, and too long paragraphs use
-    the default stride of 35,000, which fails for smaller windows; else the stride is 7/8 of the window.
+    Offsets are those of all paragraphs joined. With `legacy`, a chunk that follows a full one counts a separator too many, and too long
+    paragraphs use the default stride of 35,000, which fails for smaller windows; else the stride is 7/8 of the window.
     """
-    after = list(accumulate(len(p) + len(sep) for p in paras))
-    begin = [0, *after]
-    out: list[tuple[int, str, str]] = []
-    for too_long, numbers in groupby(range(len(paras)), key=lambda i: len(paras[i]) > most):
-        run = list(numbers)
-        if too_long:
+    held: list[str] = []
+    at = size = 0  # where the held paragraphs begin, and their characters with separators after them
+    room = most
+    for p in paras:
+        if held and (len(p) > most or size + len(p) > room):
+            yield at, sep.join(held), "structural"
+            at, size, held = at + size, 0, []
+            room = most - len(sep) if legacy else most
+        if len(p) > most:
             step = stride if stride is not None else 35_000 if legacy else most * 7 // 8
-            out += [(begin[i] + a, paras[i][a:b], "sliding_window") for i in run for a, b in sliding(paras[i], most, step)]
+            yield from ((at + a, p[a:b], "sliding_window") for a, b in sliding(p, most, step))
+            at, room = at + len(p) + len(sep), most
             continue
-        i = run[0]
-        while i <= run[-1]:
-            reach = begin[i] + most + len(sep) * (1 - (legacy and i > run[0]))
-            j = min(max(i + 1, bisect_right(after, reach)), run[-1] + 1)
-            out.append((begin[i], sep.join(paras[i:j]), "structural"))
-            i = j
-    return out
+        held.append(p)
+        size += len(p) + len(sep)
+    if held:
+        yield at, sep.join(held), "structural"
+
+
+def packed_paragraphs(paras: Iterable[str], most: int, sep: str = "\n\n", legacy: bool = False, stride: int | None = None) -> list[tuple[int, str, str]]:
+    return list(packed_stream(paras, most, sep, legacy, stride))
 
 
-def _rows(df: DataFrame, text_col: str, add: str, work: Callable[[str], Iterator[tuple]]) -> DataFrame:
+def text_rows(df: DataFrame, text_col: str, add: str, work: Callable[[str], Iterator[tuple]]) -> DataFrame:
     """Each row once for each tuple that `work` makes of its text, with the tuple's fields as new columns `add`."""
     fields = [x.split() for x in add.split(", ")]
     kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
@@ -306,7 +309,7 @@ def sentence_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for i, (a, b) in enumerate(spans):
             yield i, a + shift, b + shift, text[a + shift : b + shift]
 
-    return _rows(docs, text_col, "sentence int, start int, end int, body string", work).drop(text_col)
+    return text_rows(docs, text_col, "sentence int, start int, end int, body string", work).drop(text_col)
 
 
 def paragraph_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -318,7 +321,7 @@ def paragraph_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for i, (a, b) in enumerate(paragraphs(body)):
             yield i, a + shift, b + shift, body[a:b]
 
-    return _rows(docs, text_col, "paragraph int, start int, end int, body string", work).drop(text_col)
+    return text_rows(docs, text_col, "paragraph int, start int, end int, body string", work).drop(text_col)
 
 
 def chunk_table(docs: DataFrame, most: int, text_col: str = "text", tokens: Callable[[str], list[Span]] = whitespace_tokens) -> DataFrame:
@@ -329,7 +332,7 @@ def chunk_table(docs: DataFrame, most: int, text_col: str = "text", tokens: Call
         for i, (a, b, n, k) in enumerate(chunks(text.strip(), tokens, most)):
             yield i, a + shift, b + shift, n, k, text[a + shift : b + shift]
 
-    return _rows(docs, text_col, "chunk_index int, char_start int, char_end int, token_count int, n_units int, body string", work).drop(text_col)
+    return text_rows(docs, text_col, "chunk_index int, char_start int, char_end int, token_count int, n_units int, body string", work).drop(text_col)
 
 
 def with_overlap(chunked: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -354,7 +357,7 @@ def window_table(docs: DataFrame, size: int, overlap: int, text_col: str = "text
             if s + size >= len(w):
                 return
 
-    return _rows(docs, text_col, "window int, start int, end int, body string", work).drop(text_col)
+    return text_rows(docs, text_col, "window int, start int, end int, body string", work).drop(text_col)
 
 
 def sliding_table(docs: DataFrame, most: int, stride: int, snap: int | None = None, text_col: str = "text") -> DataFrame:
@@ -364,7 +367,7 @@ def sliding_table(docs: DataFrame, most: int, stride: int, snap: int | None = No
         for i, (a, b) in enumerate(sliding(text, most, stride, snap)):
             yield i, a, b, text[a:b]
 
-    return _rows(docs, text_col, "chunk_index int, start int, end int, body string", work).drop(text_col)
+    return text_rows(docs, text_col, "chunk_index int, start int, end int, body string", work).drop(text_col)
 
 
 def packed_table(docs: DataFrame, most: int, text_col: str = "text", cut: str = "\n", sep: str = "\n\n", legacy: bool = False) -> DataFrame:
@@ -375,7 +378,7 @@ def packed_table(docs: DataFrame, most: int, text_col: str = "text", cut: str =
         for i, (at, body, kind) in enumerate(packed_paragraphs(paras, most, sep, legacy)):
             yield i, at, kind, body
 
-    return _rows(docs, text_col, "chunk_index int, global_offset int, kind string, body string", work).drop(text_col)
+    return text_rows(docs, text_col, "chunk_index int, global_offset int, kind string, body string", work).drop(text_col)
 
 
 def sentence_array(c: Column) -> Column:

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import segment
+
 #: Elements of a TEI document whose text is read, HTML elements that are blocks of text, and those that are none.
 TEI_BLOCKS = {"title", "head", "p", "note"}
 TEI_NAMESPACE = "http://www.tei-c.org/ns/1.0"
@@ -45,6 +47,66 @@ def tei_paragraphs(xml: str) -> list[str]:
     return [t for t in found if t]
 
 
+#: Characters of a document that a parser is given at once.
+FEED_CHARS = 1 << 16
+
+
+def tei_stream(xml: str) -> Iterator[str]:
+    """tei_paragraphs() as the document is read: a paragraph comes when the outermost one that holds it has ended, and its elements are let go.
+
+    Of a document that isn't well-formed, the paragraphs before the fault come, then ParseError.
+    """
+    names = ("p", f"{{{TEI_NAMESPACE}}}p")
+    parser = ET.XMLPullParser(("start", "end"))
+    path: list[ET.Element] = []
+    inside = 0
+
+    def events() -> Iterator[tuple[str, ET.Element]]:
+        for at in range(0, len(xml), FEED_CHARS):
+            parser.feed(xml[at : at + FEED_CHARS])
+            yield from parser.read_events()
+        parser.close()
+        yield from parser.read_events()
+
+    for event, e in events():
+        if event == "start":
+            path.append(e)
+            inside += e.tag in names
+            continue
+        path.pop()
+        inside -= e.tag in names
+        if inside:
+            continue  # it goes with the paragraph that it is part of
+        if e.tag in names:
+            for p in e.iter():
+                if p.tag in names and (t := re.sub(r"[ \t]+", " ", "".join(p.itertext())).strip()):
+                    yield t
+        if path:
+            path[-1].remove(e)
+
+
+def tei_chunks(docs: DataFrame, most: int, xml_col: str = "xml", sep: str = "\n\n", lenient: bool = False) -> DataFrame:
+    """One row for each chunk of whole TEI paragraphs: `docs` with chunk_index, global_offset, kind and body instead of the XML.
+
+    Paragraphs go from the parser straight into packing; offsets are those of the text that joins them. A null document has no chunks;
+    one that isn't well-formed fails, or, if `lenient`, gives the chunks of what could be read.
+    """
+
+    def paragraphs(xml: str) -> Iterator[str]:
+        try:
+            yield from tei_stream(xml)
+        except ET.ParseError:
+            if not lenient:
+                raise
+
+    def work(xml: str) -> Iterator[tuple]:
+        for n, (at, body, kind) in enumerate(segment.packed_stream(paragraphs(xml), most, sep)):
+            yield n, at, kind, body
+
+    given = docs.where(F.col(xml_col).isNotNull())
+    return segment.text_rows(given, xml_col, "chunk_index int, global_offset int, kind string, body string", work).drop(xml_col)
+
+
 class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)

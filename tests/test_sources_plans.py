@@ -73,6 +73,64 @@ def test_markup(spark):
     assert got == {"a": ("Title\n\nA b, c\n\nin", "primary"), "b": ("local", "fallback")}
 
 
+def tei(body):
+    return f'<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><title>t</title></teiHeader><text><body>{body}</body></text></TEI>'
+
+
+def test_tei_as_it_is_read(monkeypatch):
+    cases = [
+        tei("<p>one</p><p> </p><p>a  <hi>b</hi>\t c<note>n</note> tail</p>"),
+        tei("<p>out <note><p>inner <p>most</p> x</p></note> end</p><div><p>next</p></div>"),
+        "<r><p>bare</p><q:p xmlns:q='urn:other'>not ours</q:p></r>",
+        "<p>root <p>in</p></p>",
+        "<r/>",
+    ]
+    for size in (1, 7, 1 << 16):
+        monkeypatch.setattr(markup, "FEED_CHARS", size)
+        for xml in cases:
+            assert list(markup.tei_stream(xml)) == markup.tei_paragraphs(xml)
+    got = []
+    with pytest.raises(markup.ET.ParseError):
+        for p in markup.tei_stream("<r><p>a</p><p>b</p><broken"):
+            got.append(p)
+    assert got == ["a", "b"]
+
+
+def test_tei_elements_are_let_go():
+    seen = []
+
+    class Watched(markup.ET.XMLPullParser):
+        def read_events(self):
+            for event, e in super().read_events():
+                seen.append(len(list(e.iter())))
+                yield event, e
+
+    big = tei("".join(f"<div><p>paragraph {i}</p></div>" for i in range(3000)))
+    original, markup.ET.XMLPullParser = markup.ET.XMLPullParser, Watched
+    try:
+        assert sum(1 for _ in markup.tei_stream(big)) == 3000
+    finally:
+        markup.ET.XMLPullParser = original
+    assert seen[-1] < 100  # the root, at its end, holds none of the paragraphs any more
+
+
+def test_tei_chunks(spark):
+    words = ["Word"] * 30
+    docs = spark.createDataFrame([(1, tei("".join(f"<p>{' '.join(words[: i % 9 + 1])}.</p>" for i in range(20)))), (2, tei(f"<p>{'x. Y ' * 60}</p><p>z</p>")), (3, None), (4, "<r><p>a</p><broken")], "doc_id int, xml string")
+    with pytest.raises(Exception, match="ParseError"):
+        markup.tei_chunks(docs, 50).collect()
+    got = {}
+    for r in markup.tei_chunks(docs, 50, lenient=True).collect():
+        got.setdefault(r.doc_id, []).append((r.chunk_index, r.global_offset, r.kind, r.body))
+    assert set(got) == {1, 2, 4} and [x[3] for x in got[4]] == ["a"]
+    for d in (1, 2):
+        paras = markup.tei_paragraphs(docs.where(f"doc_id = {d}").first().xml)
+        whole = "\n\n".join(paras)
+        assert all(whole[at : at + len(body)] == body and len(body) <= 50 for _, at, _, body in got[d])
+        assert [(at, body, kind) for _, at, kind, body in sorted(got[d])] == segment.packed_paragraphs(paras, 50)
+    assert {x[2] for x in got[2]} == {"sliding_window", "structural"}
+
+
 def test_streams(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
