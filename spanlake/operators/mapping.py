@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import iri
 from ..functions import text as tx
+from ..plans import stages
 
 #: Examples of a summary, columns of the mapped CSV.
 EXAMPLES = 20
@@ -52,30 +53,93 @@ def lookup(terms: DataFrame, table: DataFrame, backend: str) -> DataFrame:
     return hit.select("term", "hit.ontology_id", "hit.ontology_label", "hit.ontology", F.when(F.col("hit").isNull(), "No mapping found").alias("error"), F.lit(backend).alias("mapping_backend"))
 
 
-def exact_then_fuzzy(terms: DataFrame, ontology: DataFrame, most: int = 2) -> DataFrame:
+#: A key of the fuzzy index is split, into so many parts, if it has more than this share of an average shuffle partition's rows, and so many rows at least.
+_FREQUENT_SHARE, _FREQUENT_LEAST, _SPLITS = 16, 16, 8
+
+
+def _short(most: int) -> int:
+    """Labels of fewer characters can't be cut into most + 1 pieces that tell them apart."""
+    return 3 * (most + 1)
+
+
+def _deletions(c: Column, most: int) -> Column:
+    """A text and what is left of it without up to `most` characters, but for nothing at all."""
+    level, every = F.array(c), [F.array(c)]
+    for _ in range(most):
+        level = F.array_distinct(F.flatten(F.transform(level, lambda x: F.transform(F.filter(F.sequence(F.lit(0), F.length(x)), lambda i: i > 0), lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x)))))))
+        every.append(level)
+    return F.array_remove(F.array_distinct(F.flatten(F.array(*every))), "")
+
+
+def _pieces(most: int) -> Column:
+    """A label's pieces, by its length and their number."""
+    size = F.length("ontology_label")
+    n = most + 1
+    cut = lambda i: F.floor(size * i / n).cast("int")
+    key = lambda i: F.concat_ws(":", size.cast("string"), F.lit(str(i)), F.substring(F.col("ontology_label"), cut(i) + 1, cut(i + 1) - cut(i)))
+    return F.array(*[key(i) for i in range(n)])
+
+
+def _probes(most: int) -> Column:
+    """The pieces of all labels that a term may be near to: for each length and piece, shifted by `most` places or fewer."""
+    n = most + 1
+    spans = F.expr(
+        f"flatten(flatten(transform(sequence(greatest({_short(most)}, length(term) - {most}), greatest({_short(most)}, length(term) + {most})), s -> transform(sequence(0, {most}), i -> "
+        f"transform(sequence(-{most}, {most}), d -> named_struct('s', s, 'i', i, 'at', cast(floor(s * i / {n}) AS int) + d, 'n', cast(floor(s * (i + 1) / {n}) - floor(s * i / {n}) AS int)))))))"
+    )
+    inside = F.filter(spans, lambda w: (w["at"] >= 0) & (w["at"] + w["n"] <= F.length("term")))
+    return F.array_distinct(F.transform(inside, lambda w: F.concat_ws(":", w["s"].cast("string"), w["i"].cast("string"), F.substring(F.col("term"), w["at"] + 1, w["n"]))))
+
+
+def fuzzy_index(ontology: DataFrame, most: int = 2) -> DataFrame:
+    """(key, kind, part, splits, ontology_id, ontology_label, ontology): the labels by keys that they share with every term within `most` edits.
+
+    A label of fewer than 3 (most + 1) characters has what is left of it without up to `most` characters (kind d): texts within that many edits have
+    one such rest in common. A longer one has its most + 1 pieces (kind p), of which at least one is unharmed and off its place by
+    `most` at most. No key is empty. The rows of a frequent key are dealt over `splits` parts. Write the index down to use it again.
+    """
+    o = ontology.where("ontology_id != '' AND ontology_label != ''").select("ontology_id", "ontology_label", "ontology")
+    short = F.length("ontology_label") < _short(most)
+    rows = o.select("*", F.when(short, "d").otherwise("p").alias("kind"), F.explode(F.when(short, _deletions(F.col("ontology_label"), most)).otherwise(_pieces(most))).alias("key"))
+    rows = stages.written(rows, "keys")  # counted for its frequent keys, and read
+    parts = int(o.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = rows.count() / (_FREQUENT_SHARE * parts)
+    often = rows.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max(many, _FREQUENT_LEAST)).drop("_n")  # fewer than _FREQUENT_SHARE * parts keys
+    marked = rows.join(F.broadcast(often.withColumn("_often", F.lit(True))), ["kind", "key"], "left")
+    splits = F.when(F.col("_often"), _SPLITS).otherwise(1)
+    return marked.select("key", "kind", F.pmod(F.xxhash64("ontology_label", "ontology_id"), splits).cast("int").alias("part"), splits.alias("splits"), "ontology_id", "ontology_label", "ontology")
+
+
+def near_terms(terms: DataFrame, index: DataFrame, most: int = 2) -> DataFrame:
+    """(term, ontology_id, ontology_label, ontology, edits) of all labels within `most` edits of a term, by a fuzzy_index() for as many.
+
+    Only pairs of two texts of at most `most` characters may have no key in common; see exact_then_fuzzy().
+    """
+    reach = F.length("term") < _short(most) + most
+    keyed = lambda keys, kind, where: terms.where(where & (F.length("term") > 0)).select("term", F.explode(keys).alias("key"), F.lit(kind).alias("kind"))
+    probes = keyed(_deletions(F.col("term"), most), "d", reach).unionByName(keyed(_probes(most), "p", F.length("term") >= _short(most) - most))
+    splits = index.where("splits > 1").select("kind", "key", "splits").distinct()  # a bounded number of keys
+    probes = probes.join(F.broadcast(splits), ["kind", "key"], "left")
+    probes = probes.select("term", "kind", "key", F.explode(F.sequence(F.lit(0), F.coalesce("splits", F.lit(1)) - 1)).alias("part"))
+    met = probes.join(index.drop("splits"), ["kind", "key", "part"]).select("term", "ontology_id", "ontology_label", "ontology")
+    found = met.withColumn("edits", F.levenshtein("term", "ontology_label")).where(F.col("edits") <= most)
+    return found.distinct()
+
+
+def exact_then_fuzzy(terms: DataFrame, ontology: DataFrame, most: int = 2, index: DataFrame | None = None) -> DataFrame:
     """(term, ontology_id, ontology_label, ontology, exact_match): the label that equals a term, else the nearest within `most` edits.
 
-    `ontology` has ontology_id, ontology_label, ontology. Equal labels join on the label; for what is left, terms and
-    labels meet on the pieces of a cut into most + 1 parts: within `most` edits of each other at least one piece of the
-    label stands in the term, shifted by `most` places or fewer. No term is held against all labels. Ties: fewest edits, then label, then id.
+    `ontology` has ontology_id, ontology_label, ontology; `index` is its fuzzy_index(), made anew where it isn't given. Equal labels join on the label;
+    what is left meets labels on keys. No term is held against all labels. Ties: fewest edits, then label, then id.
     """
     o = ontology.where("ontology_id != '' AND ontology_label != ''").select("ontology_id", "ontology_label", "ontology")
     exact = terms.select("term").join(o, terms.term == o.ontology_label).withColumn("edits", F.lit(0)).withColumn("exact_match", F.lit(True))
     left = terms.select("term").join(exact.select("term").distinct(), "term", "left_anti")
-    n = most + 1
-    size = F.length("ontology_label")
-    cut = lambda i: F.floor(size * i / n).cast("int")
-    pieces = F.array(*[F.struct(F.lit(i).alias("i"), F.substring(F.col("ontology_label"), cut(i) + 1, cut(i + 1) - cut(i)).alias("piece"), size.alias("size")) for i in range(n)])
-    labels = o.withColumn("p", F.explode(pieces)).select("*", "p.*").drop("p")
-    # a term's pieces for each length that a label within reach may have
-    spans = F.expr(
-        f"flatten(flatten(transform(sequence(greatest(1, length(term) - {most}), length(term) + {most}), s -> transform(sequence(0, {most}), i -> "
-        f"transform(sequence(-{most}, {most}), d -> named_struct('i', i, 'size', s, 'at', cast(floor(s * i / {n}) AS int) + d, 'n', cast(floor(s * (i + 1) / {n}) - floor(s * i / {n}) AS int)))))))"
-    )
-    probes = left.withColumn("w", F.explode(F.array_distinct(spans))).where("w.at >= 0 AND w.at + w.n <= length(term)")
-    probes = probes.select("term", F.col("w.i").alias("i"), F.col("w.size").alias("size"), F.substring(F.col("term"), F.col("w.at") + 1, F.col("w.n")).alias("piece")).distinct()
-    near = probes.join(labels, ["i", "size", "piece"]).select("term", "ontology_id", "ontology_label", "ontology").distinct()
-    near = near.withColumn("edits", F.levenshtein("term", "ontology_label")).where(F.col("edits") <= most).withColumn("exact_match", F.lit(False))
+    near = near_terms(left, fuzzy_index(ontology, most) if index is None else index, most)
+    # texts of at most `most` characters are all near each other, and may share no key: the least such label stands for those that are as far as can be
+    least = o.where(F.length("ontology_label") <= most).agg(F.min(F.struct("ontology_label", "ontology_id", "ontology")).alias("o")).where("o IS NOT NULL")
+    tiny = left.where(F.length("term").between(1, most)).join(F.broadcast(least), F.lit(True)).select("term", "o.ontology_id", "o.ontology_label", "o.ontology")  # one row
+    near = near.unionByName(tiny.withColumn("edits", F.levenshtein("term", "ontology_label"))).withColumn("exact_match", F.lit(False))
     both = exact.select("term", "ontology_id", "ontology_label", "ontology", "edits", "exact_match").unionByName(near)
     best = both.groupBy("term").agg(F.min(F.struct("edits", "ontology_label", "ontology_id", "ontology", "exact_match")).alias("b"))
     return best.select("term", "b.ontology_id", "b.ontology_label", "b.ontology", "b.exact_match")

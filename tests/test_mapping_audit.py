@@ -1,9 +1,11 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from spanlake.operators import audit, llm_calls, mapping, tagger
+from spanlake.plans import stages
 
 
 def test_terms_lookup_and_fallback(spark):
@@ -50,6 +52,40 @@ def test_exact_then_fuzzy(spark):
     assert got == want
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, old = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_fuzzy_terms_of_all_lengths(spark, most, monkeypatch):
+    monkeypatch.setattr(mapping, "_FREQUENT_SHARE", 10**6)
+    monkeypatch.setattr(mapping, "_FREQUENT_LEAST", 3)
+    rng = random.Random(most)
+    word = lambda n: "".join(rng.choices("abé漢", k=n))
+    labels = sorted({word(rng.choice([1, 1, 2, 2, 3, 4, 6, 8, 9, 10, 12, 14])) for _ in range(140)})
+    words = sorted({word(rng.randint(1, 14)) for _ in range(80)} | {x[:-1] + "b" for x in labels[::3]} | {"a" + x[2:] for x in labels[::4]} | {"x", "xy", "xyz", ""})
+    onto = spark.createDataFrame([(f"O:{i % 7}", x, None) for i, x in enumerate(labels)] + [("", "no id", "o"), ("O:1", "", "o")], "ontology_id string, ontology_label string, ontology string")
+    terms = spark.createDataFrame([(w,) for w in words], "term string").repartition(3)
+    index = stages.written(mapping.fuzzy_index(onto, most), "index")
+    assert index.where("key = ''").count() == 0 and index.where("splits > 1").count() > 0  # a few letters make frequent keys
+    ids = {x: f"O:{i % 7}" for i, x in enumerate(labels)}
+    want = {}
+    for w in words:
+        best = min(((edits(w, x), x) for x in labels), default=None)
+        if w and best and best[0] <= most:
+            want[w] = (best[1], ids[best[1]], best[0] == 0)
+    for made in (index, None):
+        assert {r.term: (r.ontology_label, r.ontology_id, r.exact_match) for r in mapping.exact_then_fuzzy(terms, onto, most, made).collect()} == want
+    near = {(r.term, r.ontology_label): r.edits for r in mapping.near_terms(terms, index, most).collect()}
+    every = {(w, x): n for w in words for x in labels if w and (n := edits(w, x)) <= most}
+    assert near.items() <= every.items() and all(len(w) <= most and len(x) <= most for w, x in every.keys() - near.keys())
+
+
 def test_enrich_demote_and_summary(spark):
     m = spark.createDataFrame([(0, "a", "L", "chunk_0"), (1, "b", "L", "chunk_0"), (2, "c", "M", "chunk_1"), (3, "d", "M", None)], "seq int, entity string, label string, chunk string")
     maps = spark.createDataFrame([("a", "GO:1", "A", "go", None, "local"), ("b", "bad iri", "B", "go", None, "local"), ("c", None, None, None, "No mapping found", "remote")], "term string, ontology_id string, ontology_label string, ontology string, error string, mapping_backend string")
