@@ -12,11 +12,12 @@ from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
+from ..plans import stages
 
 #: Fixed value: inline markup, [surface](LABEL).
 ANNOTATION = r"\[([^\]\n]+)\]\(([^)\n]+)\)"
@@ -42,18 +43,39 @@ def project(mentions: DataFrame, chunks: DataFrame, keys: list[str], base: str =
     return out.withColumns({"global_start": shift("start"), "global_end": shift("end")}).drop("_base", "_chars")
 
 
+#: Each level of bins is so many times as wide as the one below; there are as many as a long of characters needs.
+_TIMES, _LEVELS = 8, 18
+
+
+def _binned(spans: DataFrame, doc: str, key: str, width: int) -> DataFrame:
+    """(doc, k, s, e, level): the lowest level on which a bin is as wide as the span."""
+    s = spans.where(F.col("start") < F.col("end")).select(F.col(doc).alias("doc"), F.col(key).alias("k"), F.col("start").cast("long").alias("s"), F.col("end").cast("long").alias("e"))
+    wide = " + ".join(f"if(e - s > {width}L * shiftleft(1L, {3 * i}), 1, 0)" for i in range(_LEVELS))
+    return s.withColumn("level", F.expr(wide))
+
+
+def _probes(binned: DataFrame, levels: Column, width: int) -> DataFrame:
+    """A row for each bin in which a span that overlaps may begin, on its own level and those above that are in use: three a level at most."""
+    size = lambda level: F.lit(width).cast("long") * F.call_function("shiftleft", F.lit(1).cast("long"), (level * 3).cast("int"))
+    used = F.filter(F.col("_levels"), lambda x: x >= F.col("level"))
+    bins = F.transform(used, lambda x: F.transform(F.sequence(F.floor((F.col("s") - size(x) + 1) / size(x)), F.floor((F.col("e") - 1) / size(x))), lambda b: F.struct(x.alias("at"), b.alias("bin"))))
+    return binned.withColumn("_levels", levels).select("doc", "k", "s", "e", "level", F.explode(F.flatten(bins)).alias("p")).select("doc", "k", "s", "e", "level", F.col("p.at").alias("at"), F.col("p.bin").alias("bin"))
+
+
 def overlap_pairs(spans: DataFrame, doc: str = "doc_id", key: str = "id", width: int = BUCKET) -> DataFrame:
     """(doc, a, b) of each two spans of a document that share a character, a < b.
 
-    A span meets others in each position bucket that it touches; a pair counts in the first bucket both touch. So a
-    document's spans are never held against each other as a whole.
+    Bins are nested: a span is put in one bin, that of its begin on the level of its length, and looks for others in a few
+    bins of its own level and of each wider one that is in use. So a long span costs no more rows than a short one, and a document's
+    spans are never held against each other as a whole. Of two spans the shorter one's search finds the other; of two on one level, that of the greater key.
     """
-    s = spans.where(F.col("start") < F.col("end")).select(F.col(doc).alias("doc"), F.col(key).alias("k"), F.col("start").alias("s"), F.col("end").alias("e"))
-    s = s.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("s") / width), F.floor((F.col("e") - 1) / width))))
-    a, b = s.alias("a"), s.alias("b")
-    met = a.join(b, (F.col("a.doc") == F.col("b.doc")) & (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.k") < F.col("b.k")) & (F.col("a.s") < F.col("b.e")) & (F.col("b.s") < F.col("a.e")))
-    met = met.where(F.col("a.bucket") == F.floor(F.greatest("a.s", "b.s") / width))
-    return met.select(F.col("a.doc").alias(doc), F.col("a.k").alias("a"), F.col("b.k").alias("b"))
+    s = _binned(spans, doc, key, width)
+    levels = s.agg(F.sort_array(F.collect_set("level")).alias("l")).scalar()
+    size = F.expr(f"{width}L * shiftleft(1L, 3 * level)")
+    home = s.select(F.col("doc").alias("_doc"), F.col("k").alias("_k"), F.col("s").alias("_s"), F.col("e").alias("_e"), F.col("level").alias("_level"), F.floor(F.col("s") / size).alias("_bin"))
+    met = _probes(s, levels, width).join(home, (F.col("doc") == F.col("_doc")) & (F.col("at") == F.col("_level")) & (F.col("bin") == F.col("_bin")) & (F.col("s") < F.col("_e")) & (F.col("_s") < F.col("e")))
+    met = met.where((F.col("level") < F.col("_level")) | (F.col("_k") < F.col("k")))
+    return met.where("k != _k").select(F.col("doc").alias(doc), F.least("k", "_k").alias("a"), F.greatest("k", "_k").alias("b"))
 
 
 def streamed(df: DataFrame, keys: list[str], order: list[Column], make: Callable[[], Callable], read: list[str]) -> DataFrame:
@@ -414,9 +436,12 @@ class _Merge:
     def __call__(self, row, number):
         if row is None:
             return []
-        entity, label, chunk, start, end, g_start, g_end = row
+        entity, label, chunk, start, end, g_start, g_end, *settled = row
         key = (_fold_text(entity or ""), (label or "").casefold())
         whole, local = g_start is not None and g_end is not None, start is not None and end is not None
+        if any(settled):  # kept before: it counts, and doesn't come again
+            self._keep(key, chunk, (start, end) if local else None, (g_start, g_end) if whole else None)
+            return []
         if whole and ((g_start, g_end) in self.spans or self._meets(self.by_text.get(key, []), g_start, g_end)):
             return []
         here = self.by_chunk.setdefault(chunk, [])
@@ -425,15 +450,28 @@ class _Merge:
         seen = self.keys.get((chunk, *key))
         if seen is not None and (not local or seen == "unmapped"):
             return []
+        self._keep(key, chunk, (start, end) if local else None, (g_start, g_end) if whole else None)
+        return [number]
+
+    def _keep(self, key, chunk, local, whole):
         if whole:
-            self.spans.add((g_start, g_end))
-            insort(self.by_text.setdefault(key, []), (g_start, g_end))
+            self.spans.add(whole)
+            insort(self.by_text.setdefault(key, []), whole)
         if local:
-            self.local.add((chunk, start, end))
-            insort(here, (start, end))
-        if seen is None or not local:
+            self.local.add((chunk, *local))
+            insort(self.by_chunk.setdefault(chunk, []), local)
+        if not local or (chunk, *key) not in self.keys:
             self.keys[chunk, *key] = "mapped" if local else "unmapped"
-        return [number]
+
+
+#: What a merge reads of a mention, and the mentions of a document beyond which it is merged in parts.
+_MERGED = ["entity", "label", "chunk", "start", "end", "global_start", "global_end"]
+WHOLE_MENTIONS = 200_000
+
+
+def _merge_order(seq: str) -> list[Column]:
+    late = lambda c: [F.col(c).isNull(), F.when(F.col(c) == 0, LAST).otherwise(F.col(c))]
+    return [*late("global_start"), F.col("chunk"), *late("start"), F.length("entity").desc(), F.col("label"), F.col("source_pass"), F.col(seq)]
 
 
 def merge_master(mentions: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
@@ -442,9 +480,63 @@ def merge_master(mentions: DataFrame, keys: list[str], seq: str = "seq") -> Data
     Columns: entity, label, chunk, start, end, global_start, global_end, source_pass, seq. In order, a mention goes if a kept one has its global
     span, or overlaps it globally with the same folded text and label; or if one of its chunk has or overlaps its span;
     or, where either has no span, if one of its chunk has its folded text and label. Offsets of 0 come last in the order.
+    A document is one stream of a task; see merge_parts() for documents without a bound.
     """
-    size = F.length("entity")
-    order = [F.col("global_start").isNull(), F.when(F.col("global_start") == 0, LAST).otherwise(F.col("global_start")), F.col("chunk"), F.col("start").isNull(), F.when(F.col("start") == 0, LAST).otherwise(F.col("start")), size.desc(), F.col("label"), F.col("source_pass"), F.col(seq)]
-    return streamed(mentions, keys, order, _Merge, ["entity", "label", "chunk", "start", "end", "global_start", "global_end"])
+    return streamed(mentions, keys, _merge_order(seq), _Merge, _MERGED)
+
 
+def _joined(df: DataFrame, side: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """A join on columns of which two nulls are equal."""
+    renamed = side.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    return df.join(renamed, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on], how).drop(*(f"_on_{c}" for c in on))
 
+
+def islands(spans: DataFrame, keys: list[str], start: str = "start", end: str = "end", target: str = "island") -> DataFrame:
+    """`spans` with the begin of the island each lies in: spans that overlap or touch, one by way of the next, share one. Written once.
+
+    Spans are dealt over ranges of place, so a document is no single task's. What reaches into a range from those before it
+    is a row or two for each range: the furthest end so far, and the begin of the island that it belongs to.
+    """
+    dealt = spans.repartitionByRange(*keys, start).withColumn("_part", F.spark_partition_id())
+    rows = stages.written(dealt, "ranges")  # ranges are sampled, and may come out otherwise when made again
+    here = ["_part", *keys]
+    ahead = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*here).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*here).orderBy(start).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def carried(per: DataFrame, value: Column, name: str) -> DataFrame:
+        """What comes from earlier ranges into those that a document goes on in: two rows for each range at most."""
+        return F.broadcast(per.withColumn(name, value).where(F.col(name).isNotNull()).select(*here, name))
+
+    ends = carried(rows.groupBy(*here).agg(F.max(end).alias("_max")), F.max("_max").over(ahead), "_reach")
+    found = _joined(rows, ends, here).withColumn("_seen", F.greatest("_reach", F.max(end).over(before)))
+    found = found.withColumn("_begin", F.when(F.col("_seen").isNull() | (F.col(start) > F.col("_seen")), F.col(start))).drop("_reach", "_seen")
+    found = found.withColumn("_own", F.last("_begin", ignorenulls=True).over(upto))
+    last = carried(found.groupBy(*here).agg(F.max("_begin").alias("_max")), F.max("_max").over(ahead), "_from")
+    return _joined(found, last, here).withColumn(target, F.coalesce("_own", "_from")).drop("_begin", "_own", "_from", "_part")
+
+
+def merge_parts(mentions: DataFrame, keys: list[str], seq: str = "seq", most: int = WHOLE_MENTIONS) -> DataFrame:
+    """merge_master() for documents of any size: those with more than `most` mentions are not one task's.
+
+    Where offsets in chunks and documents go together, mentions repeat each other only within an island of overlapping spans, so
+    islands are merged each for itself. Mentions without a place in the document come after all others and are held against
+    their chunk alone, together with what is kept of it by then. Documents whose offsets don't go together stay whole.
+    """
+    rows = stages.written(mentions, "mentions")
+    placed = F.col("global_start").isNotNull()
+    shift = F.when(placed, F.col("global_start") - F.col("start"))
+    whole = F.col("global_end").isNotNull() & F.col("start").isNotNull() & F.col("end").isNotNull()
+    odd = placed & ~F.coalesce(whole & (F.col("global_end") - F.col("end") == F.col("global_start") - F.col("start")) & (F.col("end") >= F.col("start")), F.lit(False))
+    per_chunk = rows.groupBy(*keys, "chunk").agg(F.count(F.lit(1)).alias("n"), F.max(odd).alias("odd"), (F.min(shift) != F.max(shift)).alias("torn"))
+    per = per_chunk.groupBy(*keys).agg(F.sum("n").alias("n"), F.max(F.col("odd") | F.coalesce("torn", F.lit(False))).alias("odd"))
+    large = stages.written(per.where((F.col("n") > most) & ~F.col("odd")).select(*keys), "large")
+    some, small = _joined(rows, large, keys, "left_semi"), _joined(rows, large, keys, "left_anti")
+    order, names = _merge_order(seq), rows.columns
+    one = streamed(islands(some.where(placed), keys, "global_start", "global_end", "_island"), [*keys, "_island"], order, _Merge, _MERGED).select(*names)
+    one = stages.written(one, "placed")  # part of the result, and of what is held against the rest
+    rest = some.where(~placed).withColumn("_settled", F.lit(False))
+    met = [*keys, "chunk"]
+    beside = _joined(one, rest.select(*met).distinct(), met, "left_semi").withColumn("_settled", F.lit(True))
+    two = streamed(beside.unionByName(rest), met, order, _Merge, [*_MERGED, "_settled"]).select(*names)
+    return merge_master(small, keys, seq).unionByName(one).unionByName(two)

@@ -14,7 +14,7 @@ from ..functions.tokenizers import VocabularyTokens
 from ..operators import llm_calls, mapping, models, segment, services, spans, tagger
 from ..sources import artifacts, chunks, markup
 from . import lookups, stages
-from .queries import _MAPPED, _MENTIONS, _PACK, PATTERNS, QUERIES, SQL, TURN_TOKENS, _mappings, _mentions, _parts, decorate, query, t
+from .queries import _MAPPED, _MENTIONS, _PACK, _SPANS, PACK_CHARS, PATTERNS, QUERIES, SQL, TURN_TOKENS, _mappings, _mentions, _parts, _spans, decorate, query, t
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -118,6 +118,16 @@ def tei_paragraphs(spark, d):
     return markup.parse_column(docs, "xml", "paragraphs", lambda x: "|".join(markup.tei_paragraphs(x))).select("p_partkey", "paragraphs")
 
 
+@query(SQL["pack_paragraphs"].replace("SELECT conv_id, chunk::INTEGER", "SELECT conv_id::BIGINT AS conv_id, chunk::INTEGER"))
+def tei_chunks(spark, d):
+    """Conversations as TEI, a paragraph a turn, packed as the document is read."""
+    safe = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    turns = F.transform(F.array_sort(F.collect_list(F.struct("turn", F.concat(F.lit("<p>"), safe, F.lit("</p>")).alias("p")))), lambda x: x["p"])
+    xml = F.concat(F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body>'), F.array_join(turns, ""), F.lit("</body></text></TEI>"))
+    docs = t(spark, d, "conversations").groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(xml.alias("xml"))
+    return markup.tei_chunks(docs, PACK_CHARS).select("conv_id", "chunk_index", "global_offset", F.length("body").alias("chars"))
+
+
 # ---- text and segmentation ----
 
 
@@ -245,15 +255,39 @@ _DEALT = """dealt AS (SELECT l_orderkey AS doc_id, l_linenumber::BIGINT * 100000
  CASE WHEN l_partkey % 4 != 0 THEN 10 + l_partkey % 6 * 10 END::INTEGER AS start, CASE WHEN l_partkey % 4 != 0 THEN 15 + l_partkey % 6 * 10 END::INTEGER AS "end", CASE WHEN l_partkey % 3 = 0 THEN 'llm_pass1' ELSE 'llm_masked_pass' END AS source_pass, l_suppkey % 2 * 1000 AS shift FROM lineitem)"""
 
 
+def _known_mentions(spark, d):
+    cols = ["l_orderkey AS doc_id", "cast(l_linenumber AS bigint) * 100000000 + l_partkey * 1000 + l_suppkey AS seq", "IF(l_suppkey % 2 = 0, lower(l_returnflag || (l_partkey % 3)), ' ' || upper(l_returnflag || (l_partkey % 3))) AS entity", "l_returnflag AS label", "'c' || (l_suppkey % 2) AS chunk"]
+    cols += ["cast(IF(l_partkey % 4 != 0, 10 + l_partkey % 6 * 10, NULL) AS int) AS start", "cast(IF(l_partkey % 4 != 0, 15 + l_partkey % 6 * 10, NULL) AS int) AS end", "IF(l_partkey % 3 = 0, 'llm_pass1', 'llm_masked_pass') AS source_pass", "l_suppkey % 2 * 1000 AS shift"]
+    return t(spark, d, "lineitem").selectExpr(*cols).selectExpr("*", "start + shift AS global_start", "end + shift AS global_end").drop("shift")
+
+
 @query(f"""WITH {_DEALT}, spanned AS (SELECT *, lower(trim(entity)) AS k FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, chunk, start ORDER BY length(entity) DESC, label, source_pass, seq) AS r FROM dealt WHERE start IS NOT NULL) WHERE r = 1),
 bare AS (SELECT *, row_number() OVER (PARTITION BY doc_id, chunk, k, label ORDER BY length(entity) DESC, source_pass, seq) AS r FROM (SELECT *, lower(trim(entity)) AS k FROM dealt WHERE start IS NULL))
 SELECT doc_id, seq, entity, start FROM spanned UNION ALL SELECT doc_id, seq, entity, start FROM bare b WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM spanned s WHERE s.doc_id = b.doc_id AND s.chunk = b.chunk AND s.k = b.k AND s.label = b.label)""")
 def merge_known(spark, d):
     """Mentions of two chunks and passes whose spans are equal or apart; those without a span give way to one of their text and label."""
-    cols = ["l_orderkey AS doc_id", "cast(l_linenumber AS bigint) * 100000000 + l_partkey * 1000 + l_suppkey AS seq", "IF(l_suppkey % 2 = 0, lower(l_returnflag || (l_partkey % 3)), ' ' || upper(l_returnflag || (l_partkey % 3))) AS entity", "l_returnflag AS label", "'c' || (l_suppkey % 2) AS chunk"]
-    cols += ["cast(IF(l_partkey % 4 != 0, 10 + l_partkey % 6 * 10, NULL) AS int) AS start", "cast(IF(l_partkey % 4 != 0, 15 + l_partkey % 6 * 10, NULL) AS int) AS end", "IF(l_partkey % 3 = 0, 'llm_pass1', 'llm_masked_pass') AS source_pass", "l_suppkey % 2 * 1000 AS shift"]
-    rows = t(spark, d, "lineitem").selectExpr(*cols).selectExpr("*", "start + shift AS global_start", "end + shift AS global_end").drop("shift")
-    return spans.merge_master(rows, ["doc_id"]).select("doc_id", "seq", "entity", "start")
+    return spans.merge_master(_known_mentions(spark, d), ["doc_id"]).select("doc_id", "seq", "entity", "start")
+
+
+@query(SQL["merge_known"])
+def merge_parts(spark, d):
+    """The same mentions merged by islands of overlapping spans, as documents are that are too large for a task."""
+    return spans.merge_parts(_known_mentions(spark, d), ["doc_id"], most=0).select("doc_id", "seq", "entity", "start")
+
+
+@query(f"""WITH {_SPANS}, o AS (SELECT *, max("end") OVER (ORDER BY start, "end", seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM (SELECT doc_id * 40 + start AS start, doc_id * 40 + "end" AS "end", doc_id, seq FROM spans)),
+b AS (SELECT *, CASE WHEN seen IS NULL OR start > seen THEN start END AS begins FROM o) SELECT doc_id, seq, max(begins) OVER (ORDER BY start, "end", seq ROWS UNBOUNDED PRECEDING)::BIGINT AS island FROM b""")
+def span_islands(spark, d):
+    """Islands of overlapping spans over one line of places, dealt over ranges."""
+    rows = _spans(spark, d).select("doc_id", "seq", (F.col("doc_id") * 40 + F.col("start")).alias("start"), (F.col("doc_id") * 40 + F.col("end")).alias("end"), F.lit(0).alias("line"))
+    return spans.islands(rows, ["line"]).select("doc_id", "seq", F.col("island").cast("long").alias("island"))
+
+
+@query(f"""WITH {_SPANS}, x AS (SELECT doc_id, seq, start, (start + (1 << (seq % 17)::INTEGER))::BIGINT AS "end" FROM spans) SELECT a.doc_id, a.seq AS a, b.seq AS b FROM x a JOIN x b ON a.doc_id = b.doc_id AND a.seq < b.seq AND a.start < b."end" AND b.start < a."end" """)
+def overlap_long_spans(spark, d):
+    """Overlaps of spans of up to 65,536 characters: each is in one bin."""
+    s = _spans(spark, d).withColumn("end", F.expr("start + shiftleft(1L, cast(seq % 17 AS int))"))
+    return spans.overlap_pairs(s, key="seq")
 
 
 @query(SQL["decorate"].replace("SELECT * FROM decorated", "SELECT doc_id, decorated AS refined FROM decorated"))
@@ -282,6 +316,22 @@ def tag_model(spark, d):
     return tagger.dedupe(found).select("doc_id", "label", "entity", "start", "end")
 
 
+# ---- terms ----
+
+_SHORT_LABELS = """labels AS (SELECT lower(substr(replace(p_name, ' ', ''), 1, (1 + p_partkey % 12)::INTEGER)) AS ontology_label, 'L:' || min(p_partkey) AS ontology_id, 'L' AS ontology FROM part GROUP BY 1),
+terms AS (SELECT DISTINCT lower(substr(replace(p_name, ' ', ''), (2 + p_partkey % 3)::INTEGER, (1 + p_partkey % 13)::INTEGER)) AS term FROM part)"""
+
+
+@query(f"""WITH {_SHORT_LABELS} SELECT term, ontology_id, ontology_label, edits FROM (SELECT *, row_number() OVER (PARTITION BY term ORDER BY edits, ontology_label, ontology_id) AS r FROM (SELECT term, ontology_id, ontology_label, levenshtein(term, ontology_label)::INTEGER AS edits FROM terms, labels) WHERE edits <= 2) WHERE r = 1""")
+def fuzzy_short(spark, d):
+    """Terms and labels of one to thirteen characters, met on what is left of them without up to two characters, or on pieces."""
+    part, name = t(spark, d, "part"), "lower(substr(replace(p_name, ' ', ''), {}, cast({} AS int)))"
+    labels = part.groupBy(F.expr(name.format(1, "1 + p_partkey % 12")).alias("ontology_label")).agg(F.concat(F.lit("L:"), F.min("p_partkey")).alias("ontology_id")).withColumn("ontology", F.lit("L"))
+    terms = part.select(F.expr(name.format("cast(2 + p_partkey % 3 AS int)", "1 + p_partkey % 13")).alias("term")).distinct()
+    found = mapping.exact_then_fuzzy(terms, labels)
+    return found.select("term", "ontology_id", "ontology_label", F.levenshtein("term", "ontology_label").alias("edits"))
+
+
 # ---- lookup services ----
 
 _QUICK = services.Policy(batch=64, wait=0.0, longest=0.0, timeout=None)

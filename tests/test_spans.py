@@ -86,6 +86,24 @@ def test_overlap_pairs(spark):
     assert got == want
 
 
+def test_overlaps_of_spans_of_all_lengths(spark):
+    rng = random.Random(12)
+    rows = [(d, i, a, a + int(8 ** rng.uniform(0, 6)), "X", None) for d in range(3) for i in range(150) for a in [rng.randint(0, 3000)]]
+    rows += [(0, 900, 64, 128, "X", None), (0, 901, 0, 64, "X", None), (0, 902, 63, 65, "X", None), (0, 903, 5, 5, "X", None), (0, 904, None, 9, "X", None), (0, 905, 0, 512, "X", None), (0, 906, 511, 513, "X", None)]
+    for width in (1, 8, 64):
+        got = sorted((r.doc_id, r.a, r.b) for r in E.overlap_pairs(frame(spark, rows), key="seq", width=width).collect())
+        real = [x for x in rows if x[2] is not None and x[2] < x[3]]
+        assert got == sorted((x[0], x[1], y[1]) for x in real for y in real if x[0] == y[0] and x[1] < y[1] and overlap(x[2:4], y[2:4]))
+
+
+def test_a_long_span_is_a_bounded_number_of_rows(spark):
+    long = [(0, i, 7 * i, 7 * i + n, "X", None) for i, n in enumerate([1, 63, 64, 65, 5000, 100_000, 10**8])]
+    binned = E._binned(frame(spark, long), "doc_id", "seq", 64)
+    levels = binned.agg(F.sort_array(F.collect_set("level"))).scalar()
+    rows = {r.k: r["count"] for r in E._probes(binned, levels, 64).groupBy("k").count().collect()}
+    assert rows.keys() == set(range(7)) and max(rows.values()) <= 3 * 5  # a row for every 64 characters would be 1.5 million
+
+
 def test_markup_both_ways(spark):
     docs = spark.createDataFrame([(0, "Ab cd 😀 ef"), (1, "none"), (2, "")], "doc_id long, text string")
     m = frame(spark, [(0, 0, 0, 2, " NEW LABEL ", 0.9), (0, 1, 1, 4, "X", 0.9), (0, 2, 6, 7, "EMO", None), (0, 3, 8, 10, "Z", 0.1)])
@@ -258,6 +276,51 @@ def test_merge(spark):
         assert sorted(r.seq for r in E.merge_master(df, ["run"]).collect()) == merge_spec(rows)
 
 
+def island_spec(rows):
+    out, reach, begin = {}, None, None
+    for a, b, i in sorted(rows):
+        if reach is None or a > reach:
+            begin = a
+        reach = b if reach is None else max(reach, b)
+        if begin == a and out.get(i) is None:
+            out[i] = begin
+        out[i] = begin
+    return out
+
+
+def test_islands(spark):
+    for seed, parts in ((1, 3), (2, 9), (3, 40)):
+        rng = random.Random(seed)
+        rows = [(rng.choice([1, 1, 1, 2, None]), a, a + rng.choice([0, 1, 3, 60]), i) for i in range(300) for a in [rng.randint(0, 2500)]]
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = {r.i: r.island for r in E.islands(spark.createDataFrame(rows, "doc int, start int, end int, i int"), ["doc"]).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+        want = {}
+        for doc in (1, 2, None):
+            want |= island_spec([(a, b, i) for d, a, b, i in rows if d == doc])
+        assert got == want
+
+
+def test_merge_in_parts_is_the_merge(spark):
+    for seed in range(6):
+        rng = random.Random(seed)
+        rows = []
+        for seq in range(160):
+            doc, chunk = rng.choice([1, 1, 1, 2]), rng.randint(0, 5)
+            a, n = rng.choice([None, *range(60)]), rng.randint(1, 5)
+            g = None if a is None or rng.random() < 0.2 else a + 45 * chunk  # chunks overlap
+            torn = seed >= 4 and doc == 2 and rng.random() < 0.3  # offsets that don't go together
+            rows.append((doc, rng.choice(["ab", "AB ", "cde", "ß", "ss"]), rng.choice(["L", "l", "M"]), f"chunk_{chunk}", a, None if a is None else a + n, g, None if g is None else g + n + torn, rng.choice(["p1", "p2"]), seq))
+        df = spark.createDataFrame(rows, "doc int, entity string, label string, chunk string, start int, end int, global_start int, global_end int, source_pass string, seq int").repartition(5)
+        names = df.columns
+        want = sorted(x for d in (1, 2) for x in merge_spec([dict(zip(names, r)) for r in rows if r[0] == d]))
+        for most in (0, 70, 10**6):
+            got = E.merge_parts(df, ["doc"], most=most)
+            assert got.columns == names and sorted(r.seq for r in got.collect()) == want
+
+
 def test_project(spark):
     m = spark.createDataFrame([(1, 0, 2, 5), (1, 1, 0, 3), (2, 0, 1, 2), (1, 0, None, 4)], "doc int, chunk int, start int, end int")
     c = spark.createDataFrame([(1, 0, 100, 9), (1, 1, 200, 2)], "doc int, chunk int, char_start int, n int")
