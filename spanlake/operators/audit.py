@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import iri
 from ..functions import text as tx
@@ -115,28 +117,51 @@ def ontology_counts(validated: DataFrame) -> DataFrame:
     )
 
 
-def span_agrees(text: Column, start: Column, end: Column, entity: Column) -> Column:
-    """Whether text[start:end] is the entity; false for a span outside the text; null where anything is unknown."""
-    inside = (start >= 0) & (end >= start) & (end <= F.length(text))
-    return F.when(text.isNotNull() & start.isNotNull() & end.isNotNull(), F.coalesce(inside & (F.substring(text, start + 1, end - start) == entity), F.lit(False)))
+#: Characters of a text whose mentions are checked together.
+BLOCK_CHARS = 1 << 16
+
+
+@F.arrow_udf(T.ArrayType(T.BooleanType()))
+def _agree(text: pa.Array, spans: pa.Array) -> pa.Array:
+    offsets, values = spans.offsets.to_pylist(), spans.values
+    starts, ends, entities = (values.field(n).to_pylist() for n in ("s", "e", "entity"))
+    out = []
+    for i, whole in enumerate(text.to_pylist()):
+        places = range(offsets[i], offsets[i + 1])
+        out.append([None] * len(places) if whole is None else [0 <= starts[k] <= ends[k] <= len(whole) and whole[starts[k] : ends[k]] == entities[k] for k in places])
+    return pa.array(out, pa.list_(pa.bool_()))
+
+
+def span_agreement(mentions: DataFrame, texts: DataFrame, keys: list[str], start: str, end: str, target: str) -> DataFrame:
+    """`mentions` with `target`: whether the text (column body of `texts`) at [start, end) is the entity; false for a span outside the text; null where anything is unknown.
+
+    Mentions of a block of a text are nested and meet it once: a text isn't copied for each mention, nor looked through from its begin.
+    """
+    names = mentions.columns
+    known = F.col(start).isNotNull() & F.col(end).isNotNull()
+    rows = F.struct(F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e"), F.col("entity").alias("entity"), F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"))
+    nested = mentions.where(known).groupBy(*keys, F.floor(F.col(start) / BLOCK_CHARS).alias("_block")).agg(F.collect_list(rows).alias("_rows"))
+    met = nested.join(texts.select(*keys, F.col("body").alias("_body")), keys, "left")
+    told = met.select(F.explode(F.arrays_zip(F.col("_rows"), _agree(F.col("_body"), F.transform("_rows", lambda x: x.dropFields("row"))).alias("ok"))).alias("x"))
+    told = told.select("x._rows.row.*", F.col("x.ok").alias(target))
+    return told.unionByName(mentions.where(~known).withColumn(target, F.lit(None).cast("boolean")))
 
 
 def validate_spans(mentions: DataFrame, chunks: DataFrame | None = None, sources: DataFrame | None = None, chunk_keys: list[str] | None = None, source_keys: list[str] | None = None) -> DataFrame:
     """span_validation of each mention: valid if the chunk's text or the source's agrees, invalid if either disagrees, else not_checked.
 
-    `chunks` and `sources` have a column body. An empty source text counts as none.
+    `chunks` and `sources` have a column body, and a row for each of their keys. An empty source text counts as none.
     """
-    local = whole = F.lit(None).cast("boolean")
-    out = mentions
-    if chunks is not None:
-        out = out.join(chunks.select(*chunk_keys, F.col("body").alias("_chunk")), chunk_keys, "left")
-        local = span_agrees(F.col("_chunk"), F.col("start"), F.col("end"), F.col("entity"))
-    if sources is not None:
-        out = out.join(sources.select(*source_keys, tx.blank_to_null(F.col("body")).alias("_source")), source_keys, "left")
-        whole = span_agrees(F.col("_source"), F.col("global_start"), F.col("global_end"), F.col("entity"))
-    yes = lambda c, v: F.coalesce(c == v, F.lit(False))
-    state = F.when(yes(local, True) | yes(whole, True), "valid").when(yes(local, False) | yes(whole, False), "invalid").otherwise("not_checked")
-    return out.withColumn("span_validation", state).drop("_chunk", "_source")
+    out, names = mentions, mentions.columns
+    for texts, keys, start, end, target in ((chunks, chunk_keys, "start", "end", "_local"), (sources, source_keys, "global_start", "global_end", "_whole")):
+        if texts is None:
+            out = out.withColumn(target, F.lit(None).cast("boolean"))
+            continue
+        body = F.col("body") if target == "_local" else tx.blank_to_null(F.col("body"))
+        out = span_agreement(out, texts.select(*keys, body.alias("body")), keys, start, end, target)
+    yes = lambda c, v: F.coalesce(F.col(c) == v, F.lit(False))
+    state = F.when(yes("_local", True) | yes("_whole", True), "valid").when(yes("_local", False) | yes("_whole", False), "invalid").otherwise("not_checked")
+    return out.withColumn("span_validation", state).select(*[F.col(f"`{n}`") for n in names if n != "span_validation"], "span_validation")
 
 
 def _keys(df: DataFrame) -> DataFrame:

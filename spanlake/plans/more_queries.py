@@ -13,8 +13,8 @@ from ..functions import text as tx
 from ..functions.tokenizers import VocabularyTokens
 from ..operators import llm_calls, mapping, models, segment, services, spans, tagger
 from ..sources import artifacts, chunks, markup
-from . import lookups, stages
-from .queries import _MAPPED, _MENTIONS, _PACK, _SPANS, PACK_CHARS, PATTERNS, QUERIES, SQL, TURN_TOKENS, _mappings, _mentions, _parts, _spans, decorate, query, t
+from . import extraction, lookups, stages
+from .queries import _DECORATED, _MAPPED, _MENTIONS, _PACK, _SPANS, PACK_CHARS, PATTERNS, QUERIES, SQL, TURN_TOKENS, _mappings, _mentions, _parts, _spans, decorate, query, t
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -48,6 +48,45 @@ def text_files(spark, d):
     return found.select(F.regexp_extract("path", r"n_nationkey=(\d+)/", 1).cast(t(spark, d, "nation").schema["n_nationkey"].dataType).alias("n_nationkey"), "value")
 
 
+@query("SELECT s_suppkey, s_name || '.' || CASE WHEN s_suppkey % 3 = 0 THEN 'PDF' ELSE 'pdf' END AS name, length('%PDF-' || s_name)::INTEGER AS bytes FROM supplier WHERE s_suppkey % 3 != 0")
+def pdf_files(spark, d):
+    """PDFs under the folders of a run, found by their suffix and read as bytes, in no text's company."""
+    folder, rows = _folder(spark, "pdfs"), t(spark, d, "supplier")
+    name = F.concat("s_name", F.lit("."), F.when(F.col("s_suppkey") % 3 == 0, "PDF").otherwise("pdf"))
+    content = F.concat(F.lit("%PDF-"), "s_name")
+
+    def write(batches):
+        import pyarrow as pa
+
+        store, root = artifacts.open_store(folder)
+        for b in batches:
+            for key, file, text in zip(*(c.to_pylist() for c in b.columns)):
+                place = f"{root}/{key % 7}"
+                store.create_dir(place, recursive=True)
+                with store.open_output_stream(f"{place}/{file}") as out:
+                    out.write(text.encode())
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    rows.select("s_suppkey", name.alias("name"), content.alias("content")).mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    found = chunks.pdfs(spark, folder).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.length("content").alias("bytes"))
+    return found.join(rows.select("s_suppkey", name.alias("name")), "name").select("s_suppkey", "name", "bytes")
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || ' ' || p_brand WHEN 3 THEN 'local ' || p_name ELSE p_name END AS text, CASE p_partkey % 4 WHEN 3 THEN 'fallback' ELSE 'primary' END AS parser_used FROM part WHERE p_partkey % 4 != 2")
+def service_texts(spark, d):
+    """Bytes to text by a stand-in service that answers with TEI or plain text, and a local parser for what it can't read."""
+
+    def service(raw: bytes) -> str:
+        if raw.startswith(b"%BAD"):
+            raise OSError("unreadable")
+        kind, name, brand = raw.decode().split("|")
+        return f"<TEI><p>{name}  {brand}</p></TEI>" if kind == "tei" else name
+
+    content = F.expr("cast(CASE p_partkey % 4 WHEN 0 THEN 'tei|' || p_name || '|' || p_brand WHEN 3 THEN '%BAD' || p_name ELSE 'txt|' || p_name || '|' END AS binary)")
+    docs = t(spark, d, "part").where("p_partkey % 4 != 2").select("p_partkey", content.alias("content"))
+    return markup.service_text(docs, service, lambda raw: "local " + raw[4:].decode()).select("p_partkey", "text", "parser_used")
+
+
 _RAW_START = "CASE start % 7 WHEN 1 THEN 'x' || start WHEN 2 THEN '' WHEN 3 THEN '-' || (start + 1) WHEN 4 THEN ' ' || start || ' ' ELSE start || '' END"
 _RAW_END = "CASE start % 11 WHEN 5 THEN '99999999' WHEN 6 THEN start || '' ELSE (start + length(entity)) || '' END"
 
@@ -296,6 +335,18 @@ def refine_markup(spark, d):
     return llm_calls.refine(decorate(spark, d), lambda x: f"```markdown\n{x}\n```").select("doc_id", "refined")
 
 
+@query(f"""WITH {_DECORATED}, gone AS (SELECT doc_id, string_agg(part, '' ORDER BY start) AS body, max(start + length(entity)) AS last FROM (SELECT doc_id, start, entity, substr(text, lag(start + length(entity), 1, 0) OVER (PARTITION BY doc_id ORDER BY start) + 1, start - lag(start + length(entity), 1, 0) OVER (PARTITION BY doc_id ORDER BY start)) || repeat('*', length(entity)) AS part FROM mentions) GROUP BY doc_id)
+SELECT doc_id, 'decorated' AS part, decorated AS content FROM decorated UNION ALL SELECT doc_id, 'refined_markdown', decorated FROM decorated UNION ALL SELECT doc_id, 'clean_text', text FROM documents
+UNION ALL SELECT d.doc_id, 'masked_text', coalesce(g.body, '') || substr(d.text, coalesce(g.last, 0) + 1) FROM documents d LEFT JOIN gone g USING (doc_id)""")
+def artifact_passes(spark, d):
+    """The texts that both passes leave, of documents of one chunk each: marked, refined, clean and masked."""
+    docs = t(spark, d, "documents").select("doc_id", F.lit("chunk_000").alias("chunk"), F.lit(0).alias("char_start"), F.col("text").alias("body"))
+    folder = _folder(spark, "passes")
+    extraction.master_mentions(docs, extraction.Models(tagger.PatternTagger(PATTERNS), list(PATTERNS)), artifacts=folder, meta={"labels": list(PATTERNS)})
+    both = [artifacts.load(spark, f"{folder}/{p}").where("part NOT IN ('refined', 'master')") for p in ("first_pass", "second_pass")]
+    return both[0].unionByName(both[1]).select(F.col("doc").cast("long").alias("doc_id"), "part", "content")
+
+
 class PatternBackend(models.GlinerBackend):
     """A stand-in framework, whose model is the patterns of the stand-in tagger."""
 

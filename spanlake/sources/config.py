@@ -55,10 +55,11 @@ def sample(spark: SparkSession, path: str, chars: int = SAMPLE_CHARS, parser: Ca
     from ..functions import text as tx
 
     try:
-        first = chunks.discover(spark, path).select("path", F.substring(tx.strip(chunks.body(F.col("value"))), 1, chars).alias("text")).first()
+        first = chunks.discover(spark, path).select("path", F.substring(tx.strip(chunks.body(F.col("value"))), 1, chars).alias("text")).orderBy("path").first()
         return first.path, first.text
     except FileNotFoundError:
-        pdf = chunks.pdfs(spark, path).first()
+        place = chunks.pdfs(spark, path).agg(F.min("path").alias("path")).first().path
+        pdf = chunks.pdfs(spark, path).where(F.col("path") == place).first()
     if parser is None:
         raise ValueError(f"{pdf.path} is a PDF: chunk it first, or name a parser")
     return pdf.path, parser(bytes(pdf.content)).strip()[:chars]
