@@ -1,9 +1,10 @@
 """License scans: base phrases, and an exact set-similarity join of text blocks with license templates.
 
 A block is a window of BLOCK words of the whole text, line breaks or not, that starts at a multiple of half of that (all
-of a shorter text), so a notice of up to half a block lies in one. A template matches a block that contains at least
-`threshold` of the template's distinct words, those that tell its license from others among them; where the words that a
-block shares with one template are all shared with another and more, the other one alone counts. Words are ordered by
+of a shorter text), so a notice of up to half a block lies in one. A template matches a block in which a stretch of about the
+template's own length, room() words, contains at least `threshold` of its distinct words, those that tell its license from
+others among them: words strewn over prose are no notice. Of several stretches the one that shares most counts, the first of
+equals; where the words shared with one template are all shared with another and more, the other one alone counts. Words are ordered by
 their frequency in the whole corpus, rarest first; a template of n words that needs a of them can only match a block
 that has one of its n - a + 1 rarest (prefix filter), that has at least a words in any template (length filter), and in
 which enough words are left from that one on in both (positional filter). Candidates are verified in full, so the
@@ -45,8 +46,11 @@ TEMPLATES = [
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License", "creative commons attribution"),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License", "creative commons sharealike"),
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License", "creative commons noncommercial"),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution NonCommercial ShareAlike 4.0 International License", "creative commons noncommercial sharealike"),
+    ("cc-by", "Licensed under CC BY 4.0", "cc by"),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0", "cc sa"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0", "cc nc"),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0", "cc nc sa"),
     ("all-rights-reserved", "All rights reserved", "all rights reserved"),
 ]
 
@@ -58,28 +62,45 @@ def blocks(w: list[bytes], size: int = BLOCK) -> Iterator[tuple[int, list[bytes]
         yield s, w[s : s + size]
 
 
+def room(n: int) -> int:
+    """Words of a text among which those of a template of n words are looked for."""
+    return n + max(1, n // 4)
+
+
 @dataclass
 class Index:
-    """Templates as (label, word set, words needed, words that must be there), and what their prefixes point to: word -> (template, place)."""
+    """Templates as (label, word set, words needed, words that must be there, room), and what their prefixes point to: word -> (template, place)."""
 
-    templates: list[tuple[str, frozenset[bytes], int, frozenset[bytes]]]
+    templates: list[tuple[str, frozenset[bytes], int, frozenset[bytes], int]]
     rank: dict[bytes, int]
     prefix: dict[bytes, list[tuple[int, int]]]
 
 
 def build_index(templates: list[tuple[str, str, str]], freq: dict[bytes, int], threshold: float = THRESHOLD) -> Index:
     kept, prefix = [], defaultdict(list)
-    sets = [(label, frozenset(words(text.encode())), frozenset(words(own.encode()))) for label, text, own in templates]
-    vocabulary = sorted({w for _, s, _ in sets for w in s}, key=lambda w: (freq.get(w, 0), w))
+    sets = [(label, frozenset(w := words(text.encode())), frozenset(words(own.encode())), room(len(w))) for label, text, own in templates]
+    if any(n > BLOCK // 2 for *_, n in sets):
+        raise ValueError("a template doesn't fit half a block")
+    vocabulary = sorted({w for _, s, *_ in sets for w in s}, key=lambda w: (freq.get(w, 0), w))
     rank = {w: i for i, w in enumerate(vocabulary)}
-    for number, (label, s, own) in enumerate(sets):
+    for number, (label, s, own, words_of) in enumerate(sets):
         need = next(k for k in range(len(s) + 1) if k >= threshold * len(s) - 1e-9)
-        kept.append((label, s, need, own))
+        kept.append((label, s, need, own, words_of))
         for place, w in enumerate(sorted(s, key=rank.__getitem__)[: len(s) - need + 1]):
             prefix[w].append((number, place))
     return Index(kept, rank, dict(prefix))
 
 
+def _stretch(block: list[bytes], s: frozenset[bytes], own: frozenset[bytes], size: int) -> frozenset[bytes]:
+    """The words of a template in the first stretch of `size` words that has most of them, those that must be there among them."""
+    best: frozenset[bytes] = frozenset()
+    for i in range(max(1, len(block) - size + 1)):
+        both = s.intersection(block[i : i + size])
+        if len(both) > len(best) and own <= both:
+            best = both
+    return best
+
+
 def match_block(index: Index, block: list[bytes]) -> list[tuple[int, float]]:
     """(template, containment) of every template that the block meets."""
     have = sorted((w for w in set(block) if w in index.rank), key=index.rank.__getitem__)
@@ -88,12 +109,12 @@ def match_block(index: Index, block: list[bytes]) -> list[tuple[int, float]]:
         for number, i in index.prefix.get(w, ()):
             if number in seen:
                 continue
-            _, s, need, own = index.templates[number]
+            _, s, need, own, size = index.templates[number]
             if len(have) < need or min(len(s) - i, len(have) - j) < need:
                 continue
             seen.add(number)
             both = s.intersection(have)
-            if len(both) >= need and own <= both:
+            if len(both) >= need and own <= both and len(both := _stretch(block, s, own, size)) >= need:
                 met[number] = both
     return [(n, len(x) / len(index.templates[n][1])) for n, x in met.items() if not any(x < y for y in met.values())]
 

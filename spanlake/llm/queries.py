@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import codes, decontaminate, exact, fingerprints, licenses, lines, middle, pieces, quality, simhash, suffixes, toxicity, warc
 from .common import table
+from .words import words
 
 
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,18 +90,20 @@ def _sql_words(text: str) -> str:
     return rf"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
-_TEMPLATES = ", ".join(f"({n}, '{label}', '{text}', {own.split()})" for n, (label, text, own) in enumerate(licenses.TEMPLATES))
+_TEMPLATES = ", ".join(f"({n}, '{label}', '{text}', {own.split()}, {licenses.room(len(words(text.encode())))})" for n, (label, text, own) in enumerate(licenses.TEMPLATES))
 _PHRASES = ", ".join(f"({[*phrase.split()]}, '{label}')" for phrase, label in licenses.PHRASES.items())
 _HALF = licenses.BLOCK // 2
 
 OP3_SQL = f"""
-WITH t AS (SELECT n, label, own, list_distinct({_sql_words("text")}) AS t FROM (VALUES {_TEMPLATES}) AS v(n, label, text, own)),
+WITH t AS (SELECT n, label, own, room, list_distinct({_sql_words("text")}) AS t FROM (VALUES {_TEMPLATES}) AS v(n, label, text, own, room)),
 p AS (SELECT * FROM (VALUES {_PHRASES}) AS v(phrase, label)),
 d AS (SELECT doc_id, {_sql_words("text")} AS w FROM documents),
 places AS (SELECT doc_id, i, label FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM d) x, p WHERE list_slice(w, i + 1, i + len(phrase)) = phrase),
 base AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
-blocks AS (SELECT doc_id, s, list_distinct(list_slice(w, s + 1, s + {licenses.BLOCK})) AS b FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - {_HALF}, 1), {_HALF})) AS s FROM d WHERE len(w) > 0)),
-shared AS (SELECT doc_id, s, n, label, len(t) AS size, list_intersect(t, b) AS m FROM blocks, t WHERE len(list_intersect(t, b)) >= {licenses.THRESHOLD} * len(t) - 1e-9 AND list_has_all(b, own)),
+blocks AS (SELECT doc_id, s, list_slice(w, s + 1, s + {licenses.BLOCK}) AS b FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - {_HALF}, 1), {_HALF})) AS s FROM d WHERE len(w) > 0)),
+near AS (SELECT doc_id, s, b, n, label, t, own, room FROM blocks, t WHERE len(list_intersect(t, b)) >= {licenses.THRESHOLD} * len(t) - 1e-9 AND list_has_all(b, own)),
+spread AS (SELECT doc_id, s, n, label, len(t) AS size, i, list_intersect(t, list_slice(b, i + 1, i + room)) AS m, own FROM (SELECT *, unnest(range(0, greatest(len(b) - room + 1, 1))) AS i FROM near)),
+shared AS (SELECT doc_id, s, n, label, size, arg_min(m, i - 1000 * len(m)) AS m FROM spread WHERE len(m) >= {licenses.THRESHOLD} * size - 1e-9 AND list_has_all(m, own) GROUP BY doc_id, s, n, label, size),
 met AS (SELECT doc_id, label, len(m) / size AS share FROM shared x WHERE NOT EXISTS (SELECT 1 FROM shared y WHERE y.doc_id = x.doc_id AND y.s = x.s AND len(y.m) > len(x.m) AND list_has_all(y.m, x.m))),
 best AS (SELECT doc_id, max(share) AS share FROM met GROUP BY doc_id),
 every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM met UNION ALL SELECT doc_id, label FROM places) GROUP BY doc_id)

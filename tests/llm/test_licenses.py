@@ -11,12 +11,15 @@ def brute(text):
     matches = []
     starts = [0] if len(w) <= L.BLOCK else list(range(0, len(w) - L.BLOCK // 2, L.BLOCK // 2))
     for s in starts if w else []:
-        b = set(w[s : s + L.BLOCK])
         met = {}
         for n, (_, t, own) in enumerate(L.TEMPLATES):
+            size = len(plain_words(t)) + max(1, len(plain_words(t)) // 4)
             t = set(plain_words(t))
-            if len(t & b) / len(t) >= L.THRESHOLD - 1e-9 and set(own.split()) <= b:
-                met[n] = (t & b, len(t))
+            block = w[s : s + L.BLOCK]
+            stretches = [t & set(block[i : i + size]) for i in range(len(block))]
+            best = max((m for m in stretches if set(own.split()) <= m), key=len, default=set())
+            if best and len(best) / len(t) >= L.THRESHOLD - 1e-9:
+                met[n] = (best, len(t))
         for n, (m, size) in met.items():
             if not any(m < other for other, _ in met.values()):
                 matches.append((s, min(s + L.BLOCK, len(w)), L.TEMPLATES[n][0], n, len(m) / size))
@@ -38,6 +41,12 @@ def test_no_license_stands_for_another(spark):
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
         "Released under the MIT License": "mit",
         "The license was released under public pressure in all regions": "",
+        "We all have human rights. A table was reserved.": "",
+        "the cc of this mail went to sa and was licensed under no 4 by 0": "",
+        "This free and open release of the film into the domain is not unencumbered by public software": "",
+        "Licensed under CC BY-NC-SA 4.0": "cc-by-nc-sa",
+        "Licensed under CC BY 4.0": "cc-by",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": "cc-by-nc-sa",
     }
     assert labels(spark, rows) == list(rows.values())
 
