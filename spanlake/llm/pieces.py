@@ -36,8 +36,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 UNIGRAM, BPE = 1, 2
 #: Text bytes of a batch, and threads that encode it.
 BATCH_BYTES, THREADS = 1 << 20, 2
-#: Words whose encodings a worker keeps at hand; new words encoded in one text.
-WORDS, JOINED = 400_000, 2000
+#: Words whose encodings a worker keeps at hand; new words that go in one text of a batch.
+WORDS, JOINED = 400_000, 250
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -231,9 +231,8 @@ class Codec:
         """What `encode` makes of each word. Those without spaces go many to a text, which is cut apart at the marks they begin with."""
         out: list[list[int]] = [[self.mark] if not w else [] for w in words]  # an empty word is a lone mark at the end
         plain, odd = [i for i, w in enumerate(words) if w and " " not in w], [i for i, w in enumerate(words) if " " in w]
-        for at in range(0, len(plain), JOINED):
-            some = plain[at : at + JOINED]
-            ids = encode([" ".join(words[i] for i in some)])[0]
+        parts = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
+        for some, ids in zip(parts, encode([" ".join(words[i] for i in some) for some in parts]) if parts else []):  # one batch, whose texts the threads share
             begins = np.flatnonzero(self.marked[np.array(ids, np.int64)]).tolist() if ids else []
             if len(begins) != len(some):  # a vocabulary, or a backend, without words' beginnings
                 odd += some
