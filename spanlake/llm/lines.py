@@ -33,8 +33,8 @@ BANDS, PLACES = 8, 3
 SHORT, LONG = 64, 51
 #: Bytes of a string; bytes beyond which a word (of a script without blanks) counts by its strings as well, and their size.
 GRAM, LONG_WORD, PIECE = 4, 24, 6
-#: Code points of the shortest line that can be similar to a different one, by one edit in five.
-LEAST = 5
+#: Code points of the shortest line that can be similar to a different one: to one of five, by one edit in five.
+LEAST = 4
 #: Lines of one key that a task compares with as many others, share of lines in which hot keys are looked for, bits of the filters that spare traffic.
 TILE, SAMPLE, FILTER_BITS = 1024, 16, 1 << 22
 #: Lines from which on one line is compared with them all at once.
