@@ -164,6 +164,8 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of each row.
 
     The digest is exact, so the likeness of two fingerprints is 1 if the canonical texts are the same bytes and else 0.
+    Null and empty texts are alike; rows without an id come first and rows that share one follow the order of their texts,
+    each a row of the result; other columns are not looked at, whatever their names, and an empty table gives an empty one.
     """
 
     def work(rows: list[tuple]) -> pa.RecordBatch:

@@ -180,7 +180,7 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns as they are, whose score is at least the threshold."""
+    """The rows of `docs`, all columns as they are, whose score is at least the threshold; repeated rows stay or go together."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         off, raw = text_buffers(column(batch, text_col))
@@ -190,6 +190,10 @@ def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_c
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of each row; labels of the held-out fold are never read."""
+    """(doc_id, held_out, score, predicted) of each row; labels of the held-out fold are never read.
+
+    Equal texts score alike, null and empty ones as a chunk of zeros; repeated rows come back as often; a score at the
+    threshold is predicted; other columns are not looked at, whatever their names; an empty table gives an empty one.
+    """
     found = scores(docs, train(docs, labels, folds=folds, held_out=held_out))
     return found.select("doc_id", (crc_fold("doc_id", folds) == held_out).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -187,6 +187,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Equal fingerprints are one node, so copies are never paired. Null or empty texts have fingerprint 0 and link like
     others; null ids are never a component_id unless a component has no other id; repeated rows come back as often.
+    Other columns are not looked at, whatever their names, and an empty table gives an empty one.
     """
     fps = materialize(fingerprints(docs, id_col, text_col, k), "fps")
     nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes", small=True)

@@ -185,7 +185,8 @@ def round_trip(pages: DataFrame, folder: str | None = None, payloads: bool = Fal
     """Write all pages as archives under `folder` (a fresh one under the shared folder if none is named) and read them back.
 
     Null payloads are empty; null urls are left out. A page without an id is a response unless an equal payload has one;
-    rows that share both id and payload are each a record.
+    rows that share both id and payload are each a record. Other columns are not looked at, whatever their names; an empty
+    table gives no archive and an empty result. A very long payload is held whole by one task.
     """
     folder = folder or f"{shared_dir(pages.sparkSession)}/spanlake/warc-{uuid.uuid4().hex}"
     return read(write(plan(pages, **options), folder), payloads)
