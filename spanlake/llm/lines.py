@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +39,8 @@ GRAM, LONG_WORD, PIECE = 4, 24, 6
 LEAST = 4
 #: Lines of one key that a task compares with as many others, share of lines in which hot keys are looked for, bits of the filters that spare traffic.
 TILE, SAMPLE, FILTER_BITS = 1024, 16, 1 << 22
-#: Lines from which on one line is compared with them all at once.
-MANY = 40
+#: Lines from which on one line is compared with them all at once, and code points of the longest line that others are measured from.
+MANY, PIVOT_CHARS = 40, 4096
 #: Bits of a SimHash, and those in which lines of one key may differ to be compared: all but few of the similar ones do in less, most others in more.
 BITS, RADIUS = 128, 24
 _CHUNK, _SEEN = 1 << 20, 500_000
@@ -211,6 +213,11 @@ def _bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
+def _near(bits: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
+    """Whether lines of `a` and `b` code points whose SimHashes differ in so many bits are compared: short ones, of which an edit moves more, within twice the radius."""
+    return bits <= np.where(np.minimum(a, b) <= SHORT, 2 * radius, radius)
+
+
 def _aligned_within(a: list[str], b: list[str], most: int) -> bool:
     """Whether one alignment of two lists of words, found in a single pass, takes `most` edits or less; if not, another one may."""
     j = cost = left = 0
@@ -229,8 +236,11 @@ def _aligned_within(a: list[str], b: list[str], most: int) -> bool:
     return cost + max(left, sum(map(len, b[j:])) + len(b) - j) <= most
 
 
-def _many_within(x: str, others: list[str], most: np.ndarray) -> np.ndarray:
-    """distance_at_most() of one text and many others, all of code points under 256: Myers's bit vectors, 64 bits a block, a column for each other."""
+def _many_distances(x: str, others: list[str], most: np.ndarray | None = None) -> np.ndarray:
+    """Edit distances of one text and many others, all of code points under 256: Myers's bit vectors, 64 bits a block, a column for each other.
+
+    With `most`, it ends when all are found to be further apart than that, and gives numbers beyond it.
+    """
     m, n = len(x), np.fromiter(map(len, others), np.int64, len(others))
     width, one = int(n.max()), np.uint64(1)
     texts = np.frombuffer("".join(y.ljust(width, "\0") for y in others).encode("latin-1"), np.uint8).reshape(len(others), width)
@@ -251,9 +261,14 @@ def _many_within(x: str, others: list[str], most: np.ndarray) -> np.ndarray:
             up[k], down[k] = hm | ~(vertical | hp), hp & vertical
         step = (plus >> shift & one).astype(np.int64) - (minus >> shift & one).astype(np.int64)
         score += np.where(j < n, step, 0)
-        if j & 15 == 15 and (score - np.maximum(n - 1 - j, 0) > most).all():
+        if most is not None and j & 15 == 15 and (score - np.maximum(n - 1 - j, 0) > most).all():
             break
-    return score <= most
+    return score
+
+
+def _many_within(x: str, others: list[str], most: np.ndarray) -> np.ndarray:
+    """distance_at_most() of one text and many others, all of code points under 256."""
+    return _many_distances(x, others, most) <= most
 
 
 def _limit(x: str, y: str, least: float) -> int:
@@ -365,39 +380,150 @@ def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _open_pairs(texts: list[str], i: np.ndarray, j: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs (i, j) are similar for sure, and which are still open; the others are not similar.
+
+    Edit distance is a metric: what two lines are apart from a third one, the pivot, bounds what they are apart from each
+    other from below and above. A pivot costs a distance for each line, and settles pairs, of which there may be
+    as many as the lines' square; pivots are taken while there are far more open pairs than lines and each settles more than it costs.
+    """
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    limit = np.floor((1 - least) * np.maximum(size[i], size[j]) + 1e-9).astype(np.int64)
+    is_open, sure = np.abs(size[i] - size[j]) <= limit, np.zeros(len(i), bool)
+    usable = np.array([0 < len(x) <= PIVOT_CHARS and max(x) < "\u0100" for x in texts])
+    used = ~usable
+    while True:
+        at = np.flatnonzero(is_open & usable[i] & usable[j])
+        rows = np.unique(np.r_[i[at], j[at]])
+        if len(at) < 4 * len(rows) or len(at) < MANY:
+            return sure, is_open
+        met = np.bincount(np.r_[i[at], j[at]], minlength=len(texts))
+        met[used] = 0
+        pivot = int(met.argmax())
+        if not met[pivot]:
+            return sure, is_open
+        used[pivot] = True
+        far = np.zeros(len(texts), np.int64)
+        far[rows] = _many_distances(texts[pivot], [texts[r] for r in rows.tolist()])
+        near, apart = far[i[at]] + far[j[at]] <= limit[at], np.abs(far[i[at]] - far[j[at]]) > limit[at]
+        sure[at[near]] = True
+        is_open[at[near | apart]] = False
+        if near.sum() + apart.sum() < len(rows):
+            return sure, is_open
+
+
+@dataclass
+class _Part:
+    """Lines of one key: the names of their labels, the lines, each one's label by number, what is connected, open pairs, and links found."""
+
+    names: list[int]
+    lines: list[bytes]
+    at: np.ndarray
+    forest: simhash.Forest
+    i: np.ndarray
+    j: np.ndarray
+    links: list[tuple[int, int]] = field(default_factory=list)
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        for a, b in zip(self.at[i].tolist(), self.at[j].tolist()):
+            if self.forest.join(a, b):
+                self.links.append((self.names[a], self.names[b]))
+
+    def rest(self) -> None:
+        """Only pairs of labels that aren't connected stay open."""
+        roots = np.array([self.forest.root(x) for x in range(len(self.names))])[self.at]
+        keep = roots[self.i] != roots[self.j]
+        self.i, self.j = self.i[keep], self.j[keep]
+
+    def taken(self, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Up to `most` of the open pairs of each two groups, which are no longer open."""
+        roots = np.array([self.forest.root(x) for x in range(len(self.names))])[self.at]
+        low, high = np.minimum(roots[self.i], roots[self.j]), np.maximum(roots[self.i], roots[self.j])
+        order = np.lexsort((high, low))
+        begin = np.r_[True, (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])]
+        rank = np.arange(len(order)) - np.maximum.accumulate(np.where(begin, np.arange(len(order)), 0))
+        some = np.zeros(len(order), bool)
+        some[order[rank < most]] = True
+        out = self.i[some], self.j[some]
+        self.i, self.j = self.i[~some], self.j[~some]
+        return out
+
+
+#: Open pairs and lines of the parts that are settled together.
+OPEN_PAIRS = 20_000
+
+
+def _settled(parts: list[_Part], least: float) -> list[tuple[int, int]]:
+    """The links of parts: of each two groups one pair is compared, then two, four and so on, until they are connected or no pair is left."""
+    most = 1
+    live = list(parts)
+    while live:
+        for p in live:
+            p.rest()
+        live = [p for p in live if len(p.i)]
+        took = [(p, *p.taken(most)) for p in live]
+        ok = np.array([similar(p.lines[a], p.lines[b], least) for p, i, j in took for a, b in zip(i.tolist(), j.tolist())], bool)
+        at = 0
+        for p, i, j in took:
+            yes = ok[at : at + len(i)]
+            p.join(i[yes], j[yes])
+            at += len(i)
+        most *= 2
+    return [x for p in parts for x in p.links]
+
+
 def _across(least: float, radius: int):
-    """Of rows (part, side, label, id, fp, line) sorted by part: links that join different labels of a part, by lines not yet connected.
+    """Of rows (part, side, label, id, fp, line) sorted by part: pairs of labels of a part that a similar pair of lines links, by lines not yet connected.
 
     side 0: all lines of the part meet; 1 and 2: those of one side meet those of the other.
     """
 
-    def flush(side: list[int], label: list[int], ids: list[int], fps: list[bytes], lines: list[bytes]) -> list[tuple[int, int]]:
+    def opened(side: list[int], label: list[int], ids: list[int], fps: list[bytes], lines: list[bytes]) -> _Part | None:
+        """A part with the pairs of lines that are still to be compared."""
         number = {x: i for i, x in enumerate(dict.fromkeys(label))}
-        forest, out = simhash.Forest(len(number)), []
-        at, sides = [number[x] for x in label], np.array(side)
+        if len(number) < 2:
+            return None
+        at, sides = np.array([number[x] for x in label]), np.array(side)
         prints = np.frombuffer(b"".join(fps), np.uint64).reshape(-1, BITS // 64)
-        for i in range(1, len(ids)):
-            near = np.flatnonzero((_bits_apart(prints[:i], prints[i]) <= radius) & ((sides[i] == 0) | (sides[:i] != sides[i])))
-            near = [j for j in near.tolist() if forest.root(at[i]) != forest.root(at[j])]
-            for j, ok in zip(near, all_similar(lines[i], [lines[j] for j in near], least)):
-                if ok and forest.join(at[i], at[j]):
-                    out.append((ids[j], ids[i]))
-        return out
+        texts = [x.decode("utf-8", "replace") for x in lines]
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        found = []
+        for lo in range(0, len(ids), 256):  # a stripe of lines against all up to its end
+            hi = min(lo + 256, len(ids))
+            ok = _near(_bits_apart(prints[lo:hi, None], prints[None, :hi]), size[lo:hi, None], size[None, :hi], radius)
+            ok &= (at[lo:hi, None] != at[None, :hi]) & ((sides[lo:hi, None] == 0) | (sides[lo:hi, None] != sides[None, :hi]))
+            i, j = np.nonzero(np.tril(ok, lo - 1))
+            found.append((i + lo, j))
+        i, j = (np.concatenate(x) for x in zip(*found))
+        if not len(i):
+            return None
+        sure, is_open = _open_pairs(texts, i, j, least)
+        part = _Part(list(number), lines, at, simhash.Forest(len(number)), i[is_open], j[is_open])
+        part.join(i[sure], j[sure])
+        return part
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = ([], [], [], [], []), None
+        held, at, parts, size = ([], [], [], [], []), None, [], 0
+
+        def close() -> None:
+            nonlocal size
+            if held[0] and (part := opened(*held)) is not None:
+                parts.append(part)
+                size += len(part.i) + len(part.lines)
+
         for batch in batches:
-            out = []
-            for part, *row in zip(*(column(batch, c).to_pylist() for c in ("part", "side", "label", "id", "fp", "line"))):
-                if part != at:
-                    out += flush(*held)
-                    held, at = ([], [], [], [], []), part
+            for key, *row in zip(*(column(batch, c).to_pylist() for c in ("part", "side", "label", "id", "fp", "line"))):
+                if key != at:
+                    close()
+                    held, at = ([], [], [], [], []), key
+                    if size > OPEN_PAIRS:
+                        yield _links(_settled(parts, least))
+                        parts, size = [], 0
                 for x, v in zip(held, row):
                     x.append(v)
-            if out:
-                yield _links(out)
-        if found := flush(*held):
-            yield _links(found)
+        close()
+        if parts:
+            yield _links(_settled(parts, least))
 
     return run
 
@@ -451,7 +577,8 @@ def groups(docs: DataFrame, seen: DataFrame, least: float = SIMILAR, tile: int =
     texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), bits)
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
-        batch = batch.filter(pa.array(_bits_apart(_prints(column(batch, "p")), _prints(column(batch, "q"))) <= radius))
+        sizes = [pc.utf8_length(column(batch, c).cast(pa.string())).to_numpy() for c in ("x", "y")]
+        batch = batch.filter(pa.array(_near(_bits_apart(_prints(column(batch, "p")), _prints(column(batch, "q"))), *sizes, radius)))
         a, b, x, y = (column(batch, c).to_pylist() for c in ("a", "b", "x", "y"))
         return _links([(i, j) for i, j, u, v in zip(a, b, x, y) if similar(u, v, least)])
 
@@ -468,7 +595,10 @@ def groups(docs: DataFrame, seen: DataFrame, least: float = SIMILAR, tile: int =
         dealt = _dealt(rest, tile).repartition(partitions(docs.sparkSession), "part").sortWithinPartitions("part")
         more = materialize(dealt.mapInArrow(_across(least, radius), "a long, b long"), "more")
         if not more.isEmpty():
-            found = connected_components(links.unionByName(more))
+            # links of labels: what is connected already isn't gone through again
+            over = materialize(connected_components(more).select(F.col("node").alias("_label"), F.col("root").alias("_over")), "over")
+            whole = found.join(over, F.col("root") == F.col("_label"), "left").select("node", F.coalesce("_over", "root").alias("root"))
+            found = whole.unionByName(over.join(found, F.col("_label") == F.col("node"), "left_anti").select(F.col("_label").alias("node"), F.col("_over").alias("root")))
     return texts.select("id", "node").join(found.select(F.col("node").alias("id"), "root"), "id").select("node", "root")
 
 

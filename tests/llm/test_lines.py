@@ -3,6 +3,7 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import numpy as np
 
 from spanlake.llm import lines as L
 
@@ -60,6 +61,26 @@ def test_many_at_once(x, others, cut):
     assert L.all_similar(x.encode(), [y.encode() for y in others]) == [edit_similar(x, y) for y in others]
 
 
+def test_pivots_settle_pairs_rightly():
+    rng = random.Random(3)
+    base = ["".join(rng.choices("abcde ", k=120)).strip() for _ in range(3)]
+
+    def altered(x, n):
+        x = list(x)
+        for _ in range(n):
+            x[rng.randrange(len(x))] = rng.choice("xyz")
+        return "".join(x)
+
+    cousin = altered(base[0], 45)  # like the first family, but not similar to it
+    texts = [altered(rng.choice([*base, cousin]), rng.randint(0, 12)) for _ in range(110)] + ["\u4e00" * 100, "", "short"]
+    i, j = (x.ravel() for x in np.meshgrid(range(len(texts)), range(len(texts)), indexing="ij"))
+    i, j = i[j < i], j[j < i]
+    sure, is_open = L._open_pairs(texts, i, j, L.SIMILAR)
+    for a, b, s, o in zip(i.tolist(), j.tolist(), sure.tolist(), is_open.tolist()):
+        assert not (s and o) and (o or s == edit_similar(texts[a], texts[b]))
+    assert is_open.sum() < len(i) / 4
+
+
 def test_digests_tell_lines_apart():
     """Polynomial hashes modulo 2 ** 64 can't tell a Thue-Morse word from its complement, digests can."""
     word = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
@@ -84,7 +105,7 @@ def brute(rows):
     for a in range(len(occ)):
         for b in range(a):
             x, y = occ[a][2], occ[b][2]
-            if root(a) != root(b) and (x == y or (keys[x] & keys[y] and (prints[x] ^ prints[y]).bit_count() <= L.RADIUS and edit_similar(x, y))):
+            if root(a) != root(b) and (x == y or (keys[x] & keys[y] and (prints[x] ^ prints[y]).bit_count() <= L.RADIUS * (1 + (min(len(x), len(y)) <= L.SHORT)) and edit_similar(x, y))):
                 p, q = sorted((root(a), root(b)))
                 up[q] = p
     gone = {(o[3], o[1]) for n, o in enumerate(occ) if o[:2] != occ[root(n)][:2]}
