@@ -1,6 +1,7 @@
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from spanlake.llm import anchors, suffixes
+from spanlake.llm.common import shared_dir
 
 
 def brute(rows, window):
@@ -98,3 +100,11 @@ def test_union():
     s, e = suffixes.union_spans(np.array([10, 0, 5, 30]), np.array([12, 6, 10, 31]))
     assert (s.tolist(), e.tolist()) == ([0, 30], [12, 31])
     assert pytest.approx(0) == len(suffixes.union_spans(np.zeros(0, np.int64), np.zeros(0, np.int64))[0])
+
+
+def test_tables_between_steps_are_no_files(spark):
+    # each file that a task writes to a local folder starts processes that count with the whole memory of their executor
+    files = lambda: set(Path(shared_dir(spark).removeprefix("file:")).rglob("*"))
+    rows, before = fixture(2), files()
+    assert sorted(map(tuple, suffixes.report(spark.createDataFrame(rows, "doc_id long, text string"), hot=3).collect()), key=str) == brute(rows, suffixes.WINDOW)
+    assert files() == before
