@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bloom, simhash
+from . import bloom, distances, simhash
 from .anchors import _power
 from .common import by_bytes, column, map_batches, materialize, partitions, text_buffers, text_bytes
 from .components import connected_components
@@ -43,7 +43,7 @@ TILE, SAMPLE, FILTER_BITS = 1024, 16, 1 << 22
 MANY, PIVOT_CHARS = 40, 4096
 #: Bits of a SimHash, and those in which lines of one key may differ to be compared: all but few of the similar ones do in less, most others in more.
 BITS, RADIUS = 128, 24
-_CHUNK, _SEEN = 1 << 20, 500_000
+_CHUNK, _SEEN, _KEYED = 1 << 20, 500_000, 1 << 18
 _LINES = bytes(10 if b == 10 else FOLD[b] for b in range(256))
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SIGNS = np.random.default_rng(7).choice(np.array([-1, 1], np.float32), (2048, BITS))
@@ -150,6 +150,16 @@ def line_keys(lines: list[bytes]) -> list[np.ndarray]:
     return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
 
 
+def keys_in_parts(lines: list[bytes], most: int = _KEYED) -> Iterator[np.ndarray]:
+    """line_keys() of so many lines at a time that their running sums stay in the cache."""
+    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
+    at = 0
+    while at < len(lines):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield from line_keys(lines[at:end])
+        at = end
+
+
 def distance_at_most(a, b, most: int) -> bool:
     """Whether the edit distance of two sequences is `most` or less: common ends cut, then Myers's bit vectors."""
     n = min(len(a), len(b))
@@ -298,6 +308,35 @@ def all_similar(a: bytes, others: list[bytes], least: float = SIMILAR) -> list[b
     return out
 
 
+#: Code points of the pairs that are held against each other together.
+PAIR_CHARS = 1 << 20
+
+
+def similar_pairs(a: list[bytes], b: list[bytes], least: float = SIMILAR) -> np.ndarray:
+    """similar() of each line of `a` and the one at its place in `b`."""
+    out = np.zeros(len(a), bool)
+    begin = 0
+    while begin < len(a):
+        number: dict[bytes, int] = {}
+        pairs, chars, end = [], 0, begin
+        while end < len(a) and chars < PAIR_CHARS:
+            if max(len(a[end]), len(b[end])) > distances.LONGEST:
+                out[end] = similar(a[end], b[end], least)
+            else:
+                pairs.append((end, number.setdefault(a[end], len(number)), number.setdefault(b[end], len(number))))
+                chars += len(a[end]) + len(b[end])
+            end += 1
+        if pairs:
+            at, i, j = np.array(pairs).T
+            texts = [x.decode("utf-8", "replace") for x in number]
+            size = np.fromiter(map(len, texts), np.int64, len(texts))
+            most = ((1 - least) * np.maximum(size[i], size[j]) + 1e-9).astype(np.int64)
+            ok = distances.within(texts, i, j, most)
+            out[at] = [similar(a[k], b[k], least) for k in at.tolist()] if ok is None else ok
+        begin = end
+    return out
+
+
 def _first_half(key: str):
     """short_ids() as a Column."""
     return F.conv(F.hex(F.substring(key, 1, 8)), 16, -10).cast("long")
@@ -332,7 +371,7 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             if not nodes:
                 continue
             keys: list[np.ndarray | None] = [None] * len(nodes)
-            for i, k in zip(new, line_keys(lines) if lines else []):
+            for i, k in zip(new, keys_in_parts(lines)):
                 keys[i] = k
             at = pa.array(of, pa.int32())
             columns = [pa.array(rows, pa.binary()).take(at), column(batch, "doc_id").take(at), pa.array(numbers, pa.int32()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
@@ -462,7 +501,7 @@ def _settled(parts: list[_Part], least: float) -> list[tuple[int, int]]:
             p.rest()
         live = [p for p in live if len(p.i)]
         took = [(p, *p.taken(most)) for p in live]
-        ok = np.array([similar(p.lines[a], p.lines[b], least) for p, i, j in took for a, b in zip(i.tolist(), j.tolist())], bool)
+        ok = similar_pairs([p.lines[a] for p, i, _ in took for a in i.tolist()], [p.lines[b] for p, _, j in took for b in j.tolist()], least)
         at = 0
         for p, i, j in took:
             yes = ok[at : at + len(i)]
@@ -625,15 +664,16 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = [f"_c{i}" for i in range(len(docs.columns))]
     at = {c: n for c, n in zip(docs.columns, names)}
     text, lines, row = at[text_col], f"_c{len(names)}", f"_c{len(names) + 1}"
-    counted = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.regexp_count(F.col(text), F.lit("\n")) + 1).cast("long")
-    plain = docs.toDF(*names).withColumn(lines, counted)
-    kinds = ", ".join(f"{n} {t}" for n, t in plain.dtypes)
+    plain = docs.toDF(*names)
+    kinds = ", ".join(f"{n} {t}" for n, t in [*plain.dtypes, (lines, "long")])
 
     def part(moving: bool) -> DataFrame:
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = column(batch, at[id_col]).cast(pa.int64()).to_pylist()
-            keys = [row_key(i, x) for i, x in zip(ids, text_bytes(column(batch, text)))]
-            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=[*batch.schema.names, row])
+            texts = text_bytes(column(batch, text))
+            keys = [row_key(i, x) for i, x in zip(ids, texts)]
+            counted = [x.count(b"\n") + 1 if given else 0 for x, given in zip(texts, column(batch, text).is_valid().to_pylist())]
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(counted, pa.int64()), pa.array(keys, pa.binary())], names=[*batch.schema.names, lines, row])
             return out.filter(pa.array(bloom.contains(has, short_ids(keys)) == moving))
 
         return map_batches(plain, work, f"{kinds}, {row} binary", text, _CHUNK)
