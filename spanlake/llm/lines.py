@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import bloom, distances, simhash
 from .anchors import _power
-from .common import by_bytes, column, map_batches, materialize, partitions, text_buffers, text_bytes
+from .common import bound_batches, by_bytes, column, map_batches, materialize, partitions, text_buffers, text_bytes
 from .components import connected_components
 from .words import FOLD
 
@@ -38,7 +38,9 @@ GRAM, LONG_WORD, PIECE = 4, 24, 6
 #: Code points of the shortest line that can be similar to a different one: to one of five, by one edit in five.
 LEAST = 4
 #: Lines of one key that a task compares with as many others, share of lines in which hot keys are looked for, bits of the filters that spare traffic.
-TILE, SAMPLE, FILTER_BITS = 1024, 16, 1 << 22
+TILE, SAMPLE, FILTER_BITS = 1024, 512, 1 << 22
+#: Keys that a task packs together, and lines of one key, as numbers, that go to one task.
+PACKED, HOT = 1 << 19, 1 << 16
 #: Lines from which on one line is compared with them all at once, and code points of the longest line that others are measured from.
 MANY, PIVOT_CHARS = 40, 4096
 #: Bits of a SimHash, and those in which lines of one key may differ to be compared: all but few of the similar ones do in less, most others in more.
@@ -55,6 +57,27 @@ def normal_lines(text: bytes) -> list[tuple[int, bytes]]:
     return [(i, b" ".join(w)) for i, x in enumerate(text.translate(_LINES).split(b"\n")) if (w := x.split())]
 
 
+def split_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """normal_lines() of many texts at once: the place of each line's text, its number there, and the lines."""
+    raw = np.frombuffer((b"\n".join(texts) + b"\n").translate(_LINES), np.uint8)
+    # of blanks only one after a word stays, and none at the end of a line
+    word = raw > 32
+    keep = raw != 32
+    keep[1:] |= word[:-1]
+    raw = raw[keep]
+    keep = raw != 32
+    keep[:-1] |= raw[1:] != 10
+    raw = raw[keep]
+    end = np.flatnonzero(raw == 10)
+    begin = np.r_[0, end[:-1] + 1]
+    counts = np.fromiter((x.count(b"\n") + 1 for x in texts), np.int64, len(texts))
+    of = np.repeat(np.arange(len(texts)), counts)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+    some = np.flatnonzero(end > begin)
+    data = raw.tobytes()
+    return of[some], number[some], [data[a:b] for a, b in zip(begin[some].tolist(), end[some].tolist())]
+
+
 def digest(line: bytes) -> bytes:
     return hashlib.blake2b(line, digest_size=16).digest()
 
@@ -96,30 +119,35 @@ def _least(values: np.ndarray, weight: np.ndarray | None, count: np.ndarray) ->
 
 def _keys_of(least: np.ndarray, kind: int) -> np.ndarray:
     """A row of BANDS keys for each column of min-hashes."""
-    out = np.empty((least.shape[1], BANDS), np.uint64)
-    for band in range(BANDS):
-        h = np.full(least.shape[1], kind * BANDS + band + 1, np.uint64)
-        for x in least[band * PLACES : (band + 1) * PLACES]:
-            h = _mix(h * np.uint64(_BASE) + x)
-        out[:, band] = h
-    return out.view(np.int64)
+    h = np.repeat(np.arange(kind * BANDS + 1, kind * BANDS + BANDS + 1, dtype=np.uint64)[:, None], least.shape[1], axis=1)
+    for place in range(PLACES):
+        h = _mix(h * np.uint64(_BASE) + least[place::PLACES])
+    return np.ascontiguousarray(h.T).view(np.int64)
 
 
 def line_keys(lines: list[bytes]) -> list[np.ndarray]:
     """The keys of each normalised line: none under LEAST code points, BANDS of them, or twice as many between LONG and SHORT."""
+    of, keys = _keys(lines)
+    return [x.ravel() for x in np.split(keys, np.cumsum(np.bincount(of, minlength=len(lines)))[:-1])]
+
+
+def _keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """line_keys() as rows of BANDS keys, and the place of each row's line, in ascending order."""
     raw = np.frombuffer(b"\n" + b"\n".join(lines) + b"\n", np.uint8)
     size = np.fromiter(map(len, lines), np.int64, len(lines))
     begin = np.cumsum(size + 1) - size
     end = begin + size
-    points = np.r_[0, np.cumsum(raw & 0xC0 != 0x80)]
-    points = points[end] - points[begin]
+    inner = np.flatnonzero(raw & 0xC0 == 0x80)  # bytes that begin no code point
+    points = size - (np.searchsorted(inner, end) - np.searchsorted(inner, begin))
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(raw)), out=sums[1:])
-    out: list[list[np.ndarray]] = [[] for _ in lines]
+    weighed = raw.astype(np.uint64)
+    weighed += np.uint64(1)
+    weighed *= _power(_BASE, len(raw))
+    np.cumsum(weighed, out=sums[1:])
+    of_line, found = [np.zeros(0, np.int64)], [np.zeros((0, BANDS), np.int64)]
 
     def add(some: np.ndarray, least: np.ndarray, kind: int) -> None:
-        for i, keys in zip(some.tolist(), _keys_of(least, kind)):
-            out[i].append(keys)
+        of_line.append(some), found.append(_keys_of(least, kind))
 
     def strings(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.arange(int(counts.sum())) + np.repeat(starts - np.r_[0, np.cumsum(counts)[:-1]], counts)
@@ -134,7 +162,7 @@ def line_keys(lines: list[bytes]) -> list[np.ndarray]:
         gap = np.flatnonzero(raw <= 32)
         start, stop = gap[:-1] + 1, gap[1:]
         word = _span_hash(sums, start, stop)
-        of = np.searchsorted(begin, start, side="right") - 1
+        of = np.cumsum(raw[gap[:-1]] == 10) - 1
         pair = np.flatnonzero((of[1:] == of[:-1]) & is_long[of[1:]])
         line, h = of[pair], _mix(word[pair] * np.uint64(_BASE) + word[pair + 1])
         w = 1 / np.minimum(stop[pair + 1] - start[pair], 64).astype(np.float32)
@@ -145,18 +173,22 @@ def line_keys(lines: list[bytes]) -> list[np.ndarray]:
             line, h, w = np.r_[line, np.repeat(of[big], count)], np.r_[h, _span_hash(sums, at, at + PIECE)], np.r_[w, np.full(len(at), 1 / PIECE, np.float32)]
             order = np.argsort(line, kind="stable")
             line, h, w = line[order], h[order], w[order]
-        some, count = np.unique(line, return_counts=True)
-        add(some, _least((h >> np.uint64(32)).astype(np.uint32), w, count), 1)
-    return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
+        count = np.bincount(line, minlength=len(lines))
+        some = np.flatnonzero(count)
+        add(some, _least((h >> np.uint64(32)).astype(np.uint32), w, count[some]), 1)
+    of, keys = np.concatenate(of_line), np.concatenate(found)
+    order = np.argsort(of, kind="stable")
+    return of[order], keys[order]
 
 
-def keys_in_parts(lines: list[bytes], most: int = _KEYED) -> Iterator[np.ndarray]:
-    """line_keys() of so many lines at a time that their running sums stay in the cache."""
+def keys_in_parts(lines: list[bytes], most: int = _KEYED) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """_keys() of so many lines at a time that their running sums stay in the cache."""
     ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
     at = 0
     while at < len(lines):
         end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
-        yield from line_keys(lines[at:end])
+        of, keys = _keys(lines[at:end])
+        yield of + at, keys
         at = end
 
 
@@ -205,12 +237,16 @@ def simhashes(lines: list[bytes]) -> np.ndarray:
     """A SimHash of BITS bits of each line, as rows of 64-bit words: signs of sums over its triples of neighbouring code points, in 2,048 buckets, by the roots of their counts."""
     out = np.empty((len(lines), BITS // 64), np.uint64)
     for lo in range(0, len(lines), 256):
-        counts = np.empty((len(lines[lo : lo + 256]), 2048), np.float32)
-        for i, x in enumerate(lines[lo : lo + 256]):
-            p = np.frombuffer(f"\n{x.decode('utf-8', 'replace')}\n".encode("utf-32-le"), np.uint32)
-            h = ((p[:-2] * np.uint32(0x9E3779B1) + p[1:-1]) * np.uint32(0x85EBCA77) + p[2:]) * np.uint32(0xC2B2AE3D)
-            counts[i] = np.bincount((h ^ h >> np.uint32(15)) * np.uint32(0x85EBCA77) >> np.uint32(21), minlength=2048)
-        out[lo : lo + 256] = np.packbits(np.sqrt(counts) @ _SIGNS > 0, axis=1).view(np.uint64)
+        texts = [x.decode("utf-8", "replace") for x in lines[lo : lo + 256]]
+        p = np.frombuffer(("\n" + "\n".join(texts) + "\n\n").encode("utf-32-le"), np.uint32)
+        h = ((p[:-2] * np.uint32(0x9E3779B1) + p[1:-1]) * np.uint32(0x85EBCA77) + p[2:]) * np.uint32(0xC2B2AE3D)
+        h = (h ^ h >> np.uint32(15)) * np.uint32(0x85EBCA77) >> np.uint32(21)
+        counts = np.empty((len(texts), 2048), np.float32)
+        at = 0
+        for i, x in enumerate(texts):  # a triple from each break or code point but the last one
+            counts[i] = np.bincount(h[at : at + len(x)], minlength=2048)
+            at += len(x) + 1
+        out[lo : lo + 256] = np.packbits(np.sqrt(counts, out=counts) @ _SIGNS > 0, axis=1).view(np.uint64)
     return out
 
 
@@ -352,64 +388,134 @@ def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, doc_id, number, node, keys) of each line that has a word. A task gives a line's keys once, where it first meets it; else they are null."""
+    """(row, doc_id, number, node, keys) of each line that has a word. A task gives a line's keys once, as bytes of 64-bit numbers, where it first meets it; else they are empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in by_bytes(batches, "text", _CHUNK):
-            ids = column(batch, "doc_id").to_pylist()
-            rows, of, numbers, nodes, lines, new = [], [], [], [], [], []
-            for i, text in enumerate(text_bytes(column(batch, "text"))):
-                rows.append(row_key(ids[i], text))
-                for number, line in normal_lines(text):
-                    d = digest(line)
-                    if d not in seen:
-                        seen.add(d), new.append(len(nodes)), lines.append(line)
-                    of.append(i), numbers.append(number), nodes.append(d)
+            texts = text_bytes(column(batch, "text"))
+            rows = [row_key(i, x) for i, x in zip(column(batch, "doc_id").to_pylist(), texts)]
+            of, numbers, lines = split_lines(texts)
+            nodes = [digest(x) for x in lines]
+            new = [i for i, d in enumerate(nodes) if d not in seen and not seen.add(d)]
             if len(seen) > _SEEN:
                 seen.clear()
             if not nodes:
                 continue
-            keys: list[np.ndarray | None] = [None] * len(nodes)
-            for i, k in zip(new, keys_in_parts(lines)):
-                keys[i] = k
-            at = pa.array(of, pa.int32())
-            columns = [pa.array(rows, pa.binary()).take(at), column(batch, "doc_id").take(at), pa.array(numbers, pa.int32()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+            found = list(keys_in_parts([lines[i] for i in new]))
+            width = np.zeros(len(nodes) + 1, np.int32)
+            if found:
+                width[np.array(new) + 1] = 8 * BANDS * np.bincount(np.concatenate([x for x, _ in found]), minlength=len(new))
+            keys = np.concatenate([k for _, k in found]) if found else np.zeros(0, np.int64)
+            keys = pa.Array.from_buffers(pa.binary(), len(nodes), [None, pa.py_buffer(np.cumsum(width, dtype=np.int32)), pa.py_buffer(keys)])
+            at = pa.array(of)
+            columns = [pa.array(rows, pa.binary()).take(at), column(batch, "doc_id").take(at), pa.array(numbers.astype(np.int32)), pa.array(nodes, pa.binary()), keys]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "number", "node", "keys"])
 
-    return _docs(docs, id_col, text_col).mapInArrow(run, "row binary, doc_id long, number int, node binary, keys array<long>")
+    return _docs(docs, id_col, text_col).mapInArrow(run, "row binary, doc_id long, number int, node binary, keys binary")
 
 
-def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (key, id) sorted by both: (key, first, id) for each id of a key but its first one."""
-    key0 = first0 = None
-    for batch in batches:
-        key, node = (column(batch, c).to_numpy() for c in ("key", "id"))
-        if not len(key):
-            continue
-        # where the key goes on from the batch before, its first id is the one held over
-        begin = np.r_[key[0] != key0, key[1:] != key[:-1]]
-        at = np.maximum.accumulate(np.where(begin, np.arange(len(key)), -1))
-        first = np.where(at >= 0, node[at], first0 or 0)
-        take = np.flatnonzero(node != first)
-        key0, first0 = key[-1], first[-1]
-        if len(take):
-            yield pa.RecordBatch.from_arrays([pa.array(x[take].astype(np.int64)) for x in (key, first, node)], names=["key", "first", "id"])
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(key, id) of all keys of rows (node, keys), the id the first half of the node."""
+    ends, raw = text_buffers(column(batch, "keys"))
+    ids = text_buffers(column(batch, "node"))[1].view(">i8")[::2].astype(np.int64)
+    return raw.view(np.int64), np.repeat(ids, np.diff(ends) // 8)
+
 
+def _numbers(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """64-bit numbers as a binary value for each of the stretches that end there."""
+    offsets = np.r_[0, ends] * 8
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
-def shared_keys(rows: DataFrame, tile: int = TILE) -> DataFrame:
-    """(key, first, id) of the rows (key, id) that aren't their key's first, its least id; a row may come more than once.
 
-    The rows of a key are gone through as a sorted stream; a key that a sample of the ids shows to be large isn't sent to
-    one task, but gets its least id by an aggregate with map-side combine and a join whose partitions Spark can split.
+def _packed(buckets: int, apart: np.ndarray | None):
+    """Of rows (node, keys): (bucket, keys, ids) of many keys of one bucket, a range of keys, without those that the filter `apart` holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def packed() -> pa.RecordBatch:
+            key, ids = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            bucket = ((key.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+            order = np.argsort(bucket, kind="stable")
+            bucket = bucket[order]
+            ends = np.r_[np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket)]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[ends - 1].astype(np.int32)), _numbers(key[order], ends), _numbers(ids[order], ends)], names=["bucket", "keys", "ids"])
+
+        size = 0
+        for batch in batches:
+            key, ids = _flat(batch)
+            if apart is not None:
+                cold = ~bloom.contains(apart, key)
+                key, ids = key[cold], ids[cold]
+            if len(key):
+                held.append((key, ids))
+                size += len(key)
+            if size >= PACKED:
+                yield packed()
+                size = 0
+        if held:
+            yield packed()
+
+    return run
+
+
+def _firsts(key: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """(key, first, id) for each id of a key but its least one, which is the first; each once."""
+    order = np.argsort(key)
+    twice = np.zeros(len(key) + 1, bool)
+    twice[1:-1] = key[order[1:]] == key[order[:-1]]
+    order = order[twice[1:] | twice[:-1]]  # few keys have several ids
+    key, ids = key[order], ids[order]
+    order = np.lexsort((ids, key))
+    key, ids = key[order], ids[order]
+    begin = np.ones(len(key), bool)
+    begin[1:] = key[1:] != key[:-1]
+    first = ids[np.maximum.accumulate(np.where(begin, np.arange(len(key)), 0))] if len(key) else ids
+    take = ids != first
+    take[1:] &= begin[1:] | (ids[1:] != ids[:-1])
+    return pa.RecordBatch.from_arrays([pa.array(x[take]) for x in (key, first, ids)], names=["key", "first", "id"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_firsts() of each bucket of rows (bucket, keys, ids) sorted by bucket."""
+    at, keys, ids = None, [], []
+    for batch in batches:
+        for bucket, k, i in zip(*(column(batch, c).to_pylist() for c in ("bucket", "keys", "ids"))):
+            if bucket != at and keys:
+                yield _firsts(*(np.frombuffer(b"".join(x), np.int64) for x in (keys, ids)))
+                keys, ids = [], []
+            at = bucket
+            keys.append(k), ids.append(i)
+    if keys:
+        yield _firsts(*(np.frombuffer(b"".join(x), np.int64) for x in (keys, ids)))
+
+
+def shared_keys(rows: DataFrame, most: int = HOT, bits: int = FILTER_BITS, sample: int = SAMPLE) -> DataFrame:
+    """(key, first, id) of the keys of rows (node, keys): each id of a key once that isn't the key's first, its least id.
+
+    Keys go in packs, each of one of many ranges, which a task sorts one after the other. A key that a sample of the lines
+    shows to have more than `most` isn't sent to one task, but gets its least id by an aggregate with map-side combine and a
+    join whose partitions Spark can split; a filter of these keys tells which way a key goes, and either way is right.
     """
     spark = rows.sparkSession
-    hot = rows.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * SAMPLE > 2 * tile).select("key")
-    hot = materialize(hot, "hot")
-    cold = rows if hot.isEmpty() else rows.join(hot, "key", "left_anti")
-    found = cold.repartition(partitions(spark), "key").sortWithinPartitions("key", "id").mapInArrow(_firsts, "key long, first long, id long")
-    if not hot.isEmpty():
-        many = rows.join(hot, "key", "left_semi").distinct()
+    some = rows.where(F.pmod(F.xxhash64("node"), F.lit(sample)) == 0)
+    key = some.select(F.explode(F.expr("transform(sequence(1, length(keys), 8), i -> hex(substring(keys, i, 8)))")).alias("key"))
+    hot = key.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * sample > most)
+    hot = materialize(hot.select(F.conv(F.concat(*[F.substring("key", 15 - i, 2) for i in range(0, 16, 2)]), 16, -10).cast("long").alias("key")), "hot", small=True)
+    apart = None if hot.isEmpty() else bloom.build(hot, "key", bits)
+    bound_batches(spark)
+    packs = rows.mapInArrow(_packed(8 * partitions(spark), apart), "bucket int, keys binary, ids binary")
+    found = packs.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket").mapInArrow(_unpacked, "key long, first long, id long")
+    if apart is not None:
+
+        def picked(batch: pa.RecordBatch) -> pa.RecordBatch:
+            key, ids = _flat(batch)
+            inside = bloom.contains(apart, key)
+            return pa.RecordBatch.from_arrays([pa.array(x[inside]) for x in (key, ids)], names=["key", "id"])
+
+        many = materialize(map_batches(rows, picked, "key long, id long").distinct(), "many")
         found = found.unionByName(many.join(many.groupBy("key").agg(F.min("id").alias("first")), "key").where("id != first").select("key", "first", "id"))
     return materialize(found, "shared")
 
@@ -595,38 +701,43 @@ def _texts(docs: DataFrame, ids: DataFrame, bits: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
         for batch in by_bytes(batches, "text", _CHUNK):
-            lines = [x for text in text_bytes(column(batch, "text")) for _, x in normal_lines(text)]
+            lines = split_lines(text_bytes(column(batch, "text")))[2]
             nodes = [digest(x) for x in lines]
             short = short_ids(nodes)
             some = [i for i in np.flatnonzero(bloom.contains(wanted, short)).tolist() if nodes[i] not in sent and not sent.add(nodes[i])]
             if len(sent) > _SEEN:
                 sent.clear()
             if some:
-                yield pa.RecordBatch.from_arrays([pa.array(short[some]), pa.array([nodes[i] for i in some], pa.binary()), pa.array([lines[i] for i in some], pa.binary()), pa.array([x.tobytes() for x in simhashes([lines[i] for i in some])], pa.binary())], names=["id", "node", "line", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(short[some]), pa.array([nodes[i] for i in some], pa.binary()), pa.array([lines[i] for i in some], pa.binary())], names=["id", "node", "line"])
+
+    def printed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        prints = simhashes(text_bytes(column(batch, "line")))
+        return batch.append_column("fp", pa.array([x.tobytes() for x in prints], pa.binary()))
 
-    found = docs.select("text").mapInArrow(work, "id long, node binary, line binary, fp binary")
-    return materialize(found.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("node", "line", "fp")).alias("x")).select("id", "x.*"), "lines")
+    found = docs.select("text").mapInArrow(work, "id long, node binary, line binary")
+    found = found.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("node", "line")).alias("x")).select("id", "x.*")
+    return materialize(map_batches(found, printed, "id long, node binary, line binary, fp binary"), "lines")
 
 
 def groups(docs: DataFrame, seen: DataFrame, least: float = SIMILAR, tile: int = TILE, bits: int = FILTER_BITS, radius: int = RADIUS) -> DataFrame:
     """(node, root) of each line that is linked to a different one; docs has the column text, `seen` are its occurrences()."""
-    rows = seen.where("keys IS NOT NULL").select(_first_half("node").alias("id"), F.explode("keys").alias("key"))
-    shared = shared_keys(rows, tile)
+    shared = shared_keys(seen.where(F.length("keys") > 0).select("node", "keys"), bits=bits)
     pairs = materialize(shared.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), bits)
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes = [pc.utf8_length(column(batch, c).cast(pa.string())).to_numpy() for c in ("x", "y")]
-        batch = batch.filter(pa.array(_near(_bits_apart(_prints(column(batch, "p")), _prints(column(batch, "q"))), *sizes, radius)))
-        a, b, x, y = (column(batch, c).to_pylist() for c in ("a", "b", "x", "y"))
-        return _links([(i, j) for i, j, u, v in zip(a, b, x, y) if similar(u, v, least)])
+        near = _near(_bits_apart(_prints(column(batch, "p")), _prints(column(batch, "q"))), *sizes, radius)
+        batch = batch.filter(pa.array(near & (np.abs(sizes[0] - sizes[1]) <= np.floor((1 - least) * np.maximum(*sizes) + 1e-9))))
+        ok = [similar(x, y, least) for x, y in zip(*(column(batch, c).to_pylist() for c in ("x", "y")))]
+        return batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     one, other = texts.select(F.col("id").alias("a"), F.col("line").alias("x"), F.col("fp").alias("p")), texts.select(F.col("id").alias("b"), F.col("line").alias("y"), F.col("fp").alias("q"))
     pairs = pairs.join(other, "b").join(one, "a")
     links = materialize(map_batches(pairs, check, "a long, b long"), "links")
     found = connected_components(links)
     # lines of one key, none of them the one that all were held against, that are in different groups so far
-    rest = shared.select("key", "id").distinct().join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("label"))
+    rest = shared.select("key", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("label"))
     rest = materialize(rest, "labels")
     mixed = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
     rest = materialize(rest.join(mixed, "key", "left_semi").join(texts.select("id", "line", "fp"), "id"), "mixed")

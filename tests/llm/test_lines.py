@@ -34,6 +34,14 @@ def test_normal_lines(text):
     assert L.normal_lines(text.encode()) == want
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="aB é\n.1", max_size=40), min_size=1, max_size=8))
+def test_lines_of_many_texts_at_once(texts):
+    texts = [x.encode() for x in texts]
+    of, number, lines = L.split_lines(texts)
+    assert list(zip(of.tolist(), number.tolist(), lines)) == [(t, i, x) for t, text in enumerate(texts) for i, x in L.normal_lines(text)]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="ab é1", max_size=90), min_size=1, max_size=6), st.text(alphabet="abcd ", max_size=4000))
 def test_keys_do_not_depend_on_neighbours(texts, long):
@@ -152,6 +160,20 @@ def test_ids_that_collide(spark, monkeypatch):
     assert {r.doc_id: r.n_removed for r in got.collect()} == {0: 0, 1: 0, 2: 0, 3: 1}
 
 
+def test_keys_travel_in_packs(spark):
+    """Every id of a key but its least one is found once, also by the way of large keys; a task sends packs of keys, not a row for each."""
+    rng = random.Random(4)
+    lines = [(rng.randrange(-(1 << 63), 1 << 63), [rng.choice([7, -8, rng.randrange(400) << 54]) for _ in range(L.BANDS)]) for _ in range(300)]
+    rows = [(i.to_bytes(8, "big", signed=True) + b"\0" * 8, np.array(keys, np.int64).tobytes()) for i, keys in lines + lines[:40]]
+    df = spark.createDataFrame(rows, "node binary, keys binary").repartition(3)
+    ids = {k: {i for i, keys in lines if k in keys} for k in {k for _, keys in lines for k in keys}}
+    want = sorted((k, min(some), i) for k, some in ids.items() for i in some if i != min(some))
+    for most in (L.HOT, 50):  # no key is large, or the two frequent ones are
+        assert sorted(map(tuple, L.shared_keys(df, most, sample=1).collect())) == want, most
+    few = df.mapInArrow(L._packed(5, None), "bucket int, keys binary, ids binary").collect()
+    assert len(few) <= 3 * 5 and sum(len(r["keys"]) for r in few) == sum(len(r["ids"]) for r in few) == 8 * L.BANDS * len(rows)
+
+
 def test_hot_key_in_tiles(spark):
     """Two families of lines under one key, one far larger: dealt over tiles, both become one group each."""
     rng = random.Random(1)
