@@ -31,7 +31,7 @@ def _batch(flat: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray, n: np.
     """Whether texts of m <= n codes from a and b on are within `most` edits, which is n - m at least.
 
     Cells of the edit matrix are gone through by antidiagonals, and only on diagonals that a path of so few edits can
-    reach; a pair is dropped when all ways on from its cells take too many.
+    reach. On a pair's last diagonal the distance never falls: a pair is dropped once it is over `most` there.
     """
     out = np.zeros(len(m), bool)
     order = np.argsort(m + n, kind="stable")
@@ -48,7 +48,6 @@ def _batch(flat: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray, n: np.
     fore = _rows(flat, b, n, np.arange(first, (steps + low) // 2 + half + 2), 1)
     even, odd = (np.full((half + 1, len(m)), _FAR, np.int16) for _ in range(2))  # even: a row too many at the end, odd: one at the begin
     even[-low // 2] = 0
-    diagonals = np.arange(low, low + 2 * half)[:, None]
     ends, limit, live = m + n, most.astype(np.int16), np.arange(len(m))
     done = int(np.searchsorted(ends, 0, side="right"))
     out[order[:done]] = True  # both empty
@@ -74,9 +73,9 @@ def _batch(flat: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray, n: np.
             out[order[live[at]]] = mine[row, at] <= limit[at]
             done = upto
         if s % LOOK == 0 or done == len(live):
-            ahead = np.abs((n - m) - diagonals).astype(np.int16)
-            best = np.minimum((even[:-1] + ahead[::2]).min(axis=0), (odd[1:] + ahead[1::2]).min(axis=0))
-            keep = np.flatnonzero((best <= limit) & (np.arange(len(live)) >= done))
+            at, row = np.arange(len(live)), (n - m - low) // 2
+            on_last = np.where((n - m) & 1, odd[1 + row, at], even[row, at])
+            keep = np.flatnonzero(((on_last <= limit) | (s < n - m)) & (at >= done))
             if not len(keep):
                 break
             if len(keep) < 0.8 * len(live):

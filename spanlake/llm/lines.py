@@ -45,7 +45,7 @@ PACKED, HOT = 1 << 19, 1 << 16
 MANY, PIVOT_CHARS = 40, 4096
 #: Bits of a SimHash, and those in which lines of one key may differ to be compared: all but few of the similar ones do in less, most others in more.
 BITS, RADIUS = 128, 24
-_CHUNK, _SEEN, _KEYED = 1 << 20, 500_000, 1 << 18
+_CHUNK, _SEEN, _KEYED = 1 << 20, 500_000, 1 << 17
 _LINES = bytes(10 if b == 10 else FOLD[b] for b in range(256))
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SIGNS = np.random.default_rng(7).choice(np.array([-1, 1], np.float32), (2048, BITS))
@@ -193,7 +193,7 @@ def keys_in_parts(lines: list[bytes], most: int = _KEYED) -> Iterator[tuple[np.n
 
 
 def distance_at_most(a, b, most: int) -> bool:
-    """Whether the edit distance of two sequences is `most` or less: common ends cut, then Myers's bit vectors."""
+    """Whether the edit distance of two sequences is `most` or less: common ends cut, then Myers's bit vectors in a band (Hyyro 2003)."""
     n = min(len(a), len(b))
     lo = 0
     while lo < n and a[lo] == b[lo]:
@@ -208,29 +208,27 @@ def distance_at_most(a, b, most: int) -> bool:
         return False
     if len(b) <= most:
         return True
-    m = len(a)
-    if not m:
-        return len(b) <= most
+    # a bit for each diagonal that a path of so few edits can reach, the uppermost first
+    slack = (most - len(b) + len(a)) // 2
+    high = len(b) - len(a) + slack
     masks: dict = {}
-    for i, x in enumerate(a):
+    for i, x in enumerate(a, high):
         masks[x] = masks.get(x, 0) | 1 << i
-    full, top = (1 << m) - 1, 1 << (m - 1)
-    up, down, score = full, 0, m
+    full, last = (1 << high + slack + 1) - 1, 1 << slack
+    up, down, cost = full >> high << high, 0, 0
     for j, x in enumerate(b):
-        match = masks.get(x, 0)
-        diag = (((match & up) + up) ^ up) | match | down
-        hp = down | (~(diag | up) & full)
-        hn = diag & up
-        if hp & top:
-            score += 1
-        elif hn & top:
-            score -= 1
-        if score - (len(b) - 1 - j) > most:
-            return False
-        hp = (hp << 1 | 1) & full
-        up = (hn << 1 & full) | (~(diag | hp) & full)
-        down = hp & diag
-    return score <= most
+        match = masks.get(x, 0) >> j & full
+        free = ((((match & up) + up) ^ up) | match | down) & full
+        if not free & last:  # on the last diagonal the distance never falls
+            cost += 1
+            if cost > most:
+                return False
+        plus = down | (free | up) ^ full
+        minus = free & up
+        free >>= 1
+        up = minus | (free | plus) ^ full
+        down = free & plus
+    return True
 
 
 def simhashes(lines: list[bytes]) -> np.ndarray:
