@@ -61,8 +61,8 @@ def dense_ids(df: DataFrame, seq: str, target: str = "id") -> DataFrame:
     return numbered(df, [seq], "_number").withColumn(target, F.format_string("mention_%06d", "_number")).drop("_number")
 
 
-def normalize(raw: DataFrame, kind: str, seq: str = "seq") -> DataFrame:
-    """Mentions in canonical columns; rows without a surface go. Other columns are kept as text in the map source_fields."""
+def normalize(raw: DataFrame, kind: str, seq: str = "seq", ids: bool = True) -> DataFrame:
+    """Mentions in canonical columns; rows without a surface go. Other columns are kept as text in the map source_fields. Numbering all rows can be left out."""
     have = set(raw.columns)
 
     def pick(*names: str) -> Column:
@@ -86,7 +86,7 @@ def normalize(raw: DataFrame, kind: str, seq: str = "seq") -> DataFrame:
     rest = sorted(have - set(CANONICAL) - _ALIASES - {seq})
     extra = F.map_filter(F.create_map(*[x for n in rest for x in (F.lit(n), F.col(n).cast("string"))]), lambda k, v: v.isNotNull()) if rest else F.lit(None).cast("map<string,string>")
     out = raw.select(F.col(seq), *[cols.get(n, as_is(n)).alias(n) for n in CANONICAL if n != "id"], extra.alias("source_fields")).where("entity != ''")
-    return dense_ids(out, seq)
+    return dense_ids(out, seq) if ids else out
 
 
 def iri_problem() -> Column:

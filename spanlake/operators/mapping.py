@@ -31,8 +31,9 @@ def valid_mentions(mentions: DataFrame, entity: str = "entity", fallback: str |
 
 def distinct_terms(mentions: DataFrame, seq: str = "seq") -> DataFrame:
     """(term, context) of each distinct surface; the context is that of its first mention."""
-    terms = mentions.select(tx.sanitize_term(F.col("entity")).alias("term"), tx.term_context(F.col("context")).alias("context"), F.col(seq).alias("seq")).where("term != ''")
-    # an aggregate with map-side combine, not a window: one term may hold a third of all mentions
+    # an aggregate with map-side combine, not a window: one term may hold a third of all mentions; texts are sanitised once a surface, not a mention
+    first = mentions.groupBy("entity").agg(F.min_by("context", seq).alias("context"), F.min(seq).alias("seq"))
+    terms = first.select(tx.sanitize_term(F.col("entity")).alias("term"), tx.term_context(F.col("context")).alias("context"), "seq").where("term != ''")
     return terms.groupBy("term").agg(F.min_by("context", "seq").alias("context"))
 
 
